@@ -58,7 +58,7 @@ def thousands(value: Column) -> Column:
 
 
 def trend_arrow(label: Column) -> Column:
-    return F.when(label == 0, F.lit("↓")).otherwise(F.lit("↑"))
+    return F.when(label == 0, F.lit("↓")).when(label.isNotNull(), F.lit("↑"))
 
 
 def display_name(name: Column, fullname: Column) -> Column:

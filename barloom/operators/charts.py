@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions import change_ratio, display_name, signed_text, thousands, trend_arrow, truncated
+from barloom.operators.bars import by_date
 from barloom.schema import CODE, DATE
 
 
@@ -54,18 +55,13 @@ def chart_series(enriched: DataFrame, axis: int = 2, complexity: int = 3) -> Dat
 
 
 def chart_caption(enriched: DataFrame, symbols: DataFrame | None = None, asof: str | None = None) -> DataFrame:
-    """Figures and the text under each chart.
-
-    Only partial aggregates: the two latest closes come from the two largest dated values.
-    """
-    dated = F.struct(DATE, "adj_close", "volume", "classified", "predicted")
-    base = enriched.groupBy(CODE).agg(
-        F.max(dated).alias("_last"),
-        F.max(F.when(F.col("_next").isNotNull(), F.struct(DATE, "adj_close"))).alias("_prev"),
-        F.max("high").alias("_high"),
-        F.min("low").alias("_low"),
-    ) if "_next" in enriched.columns else _caption_base(enriched)
-    close, prev = truncated(F.col("_last.adj_close")), truncated(F.col("_prev.adj_close"))
+    """Figures and the text under each chart; the grouping reuses the window's shuffle."""
+    prev = F.lag("adj_close").over(by_date())
+    last = F.struct(DATE, "adj_close", "_prev", "volume", "classified", "predicted")
+    base = enriched.withColumn("_prev", prev).groupBy(CODE).agg(
+        F.max_by(last, DATE).alias("_last"), F.max("high").alias("_high"), F.min("low").alias("_low")
+    )
+    close, prev = truncated(F.col("_last.adj_close")), truncated(F.col("_last._prev"))
     change = close - prev
     out = base.select(
         CODE,
@@ -98,6 +94,3 @@ def chart_caption(enriched: DataFrame, symbols: DataFrame | None = None, asof: s
     )
     return out.withColumn("caption", text)
 
-
-def _caption_base(enriched: DataFrame) -> DataFrame:
-    return enriched
