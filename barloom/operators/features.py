@@ -10,16 +10,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.schema import CODE, DATE, FEATURE_LENGTH, TRAIN_RANGE_CAP
+from barloom.session import checkpoint, spread
 
 
-def _recent(series: DataFrame, value: str) -> DataFrame:
-    """The rows that training can see, with their position from the end (1 = last)."""
+def recent_rows(series: DataFrame) -> DataFrame:
+    """The last rows of every symbol that training can see."""
     back = Window.partitionBy(CODE).orderBy(F.col(DATE).desc())
-    return (
-        series.select(CODE, DATE, F.col(value).alias("_x"))
-        .withColumn("_pos", F.row_number().over(back))
-        .where(F.col("_pos") <= TRAIN_RANGE_CAP)
-    )
+    return series.withColumn("_pos", F.row_number().over(back)).where(F.col("_pos") <= TRAIN_RANGE_CAP)
+
+
+def stored_recent(series: DataFrame) -> DataFrame:
+    """Recent rows kept in shared storage and spread by symbol for several fits.
+
+    They are few bytes but become many rows in a fit, so the partition count is fixed.
+    """
+    return spread(checkpoint(recent_rows(series)), CODE)
+
+
+def _recent(series: DataFrame, value: str) -> DataFrame:
+    rows = series if "_pos" in series.columns else recent_rows(series)
+    return rows.select(CODE, DATE, F.col(value).alias("_x"), "_pos")
 
 
 def _windows(recent: DataFrame, span: int | None, last_target: int) -> DataFrame:

@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.schema import CODE, DATE, FEATURE_LENGTH
+from barloom.schema import CODE, DATE
+from barloom.session import spread
 
 TREE = "tree"
 DEPTH = 5
@@ -48,7 +49,8 @@ def grow(samples: DataFrame, depth: int = DEPTH, one_feature_seed: int | None =
         F.lit(False).alias("leaf"),
         F.array().cast("array<struct<node:bigint,f:int,cut:double>>").alias("path"),
     )
-    state = state.repartition(CODE, TREE) if one_feature_seed is not None else state.repartition(CODE)
+    if one_feature_seed is not None:
+        state = spread(state, CODE, TREE)
     for _ in range(depth):
         state = _split_nodes(state, one_feature_seed)
 
@@ -199,7 +201,8 @@ def fit_boosted(samples: DataFrame, rounds: int = 50) -> DataFrame:
     The rounds depend on each other and reweight at most 121 samples of a symbol, a proven
     bound, so each symbol is one small grouped task rather than fifty shuffles.
     """
-    return samples.select(CODE, "features", "label").groupBy(CODE).applyInPandas(_boost(rounds), f"{CODE} string, stumps {STUMPS}")
+    rows = samples.select(CODE, "features", "label")
+    return rows.groupBy(CODE).applyInPandas(_boost(rounds), f"{CODE} string, stumps {STUMPS}")
 
 
 def classify_boosted(model: DataFrame, windows: DataFrame) -> DataFrame:

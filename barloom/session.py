@@ -42,3 +42,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix=f"barloom-ckpt-{os.getpid()}-")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by key into ``spark.sql.shuffle.partitions`` parts.
+
+    For work that is heavy per byte: partitions are otherwise merged by size at run time,
+    which would leave such work to a few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
