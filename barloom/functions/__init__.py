@@ -43,7 +43,7 @@ def change_ratio(change: Column, close: Column) -> Column:
 
     The ``1 +`` and the current close as divisor are the defined behaviour.
     """
-    return F.round((F.lit(1.0) + change) / close * 100.0, 2)
+    return F.round(F.try_divide(F.lit(1.0) + change, close) * 100.0, 2)
 
 
 def signed_text(value: Column) -> Column:

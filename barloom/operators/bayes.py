@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -97,11 +98,11 @@ def _bernoulli_score() -> Column:
     return F.col("log_prior") + F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
 
 
-def classify_by_score(score: Column):
+def classify_by_score(score: Callable[[], Column]):
     """Classifier for models with one row per symbol and label: best score, ties to the lower label."""
 
     def run(model: DataFrame, windows: DataFrame) -> DataFrame:
-        scored = windows.join(model, CODE).withColumn("_s", score)
+        scored = windows.join(model, CODE).withColumn("_s", score())
         return scored.groupBy(CODE).agg(
             F.max(DATE).alias(DATE), F.max_by("label", F.struct("_s", -F.col("label"))).alias("prediction")
         )
@@ -109,9 +110,9 @@ def classify_by_score(score: Column):
     return run
 
 
-classify_gaussian = classify_by_score(_gaussian_score())
-classify_multinomial = classify_by_score(_multinomial_score())
-classify_bernoulli = classify_by_score(_bernoulli_score())
+classify_gaussian = classify_by_score(_gaussian_score)
+classify_multinomial = classify_by_score(_multinomial_score)
+classify_bernoulli = classify_by_score(_bernoulli_score)
 
 
 def _discriminant(tolerance: float):

@@ -203,14 +203,14 @@ def tr() -> Indicator:
     """True range and its percentage of the typical price."""
 
     def build(f: Frame):
-        return [*true_range_stages(f), Stage({"tr": F.col("_tr"), "vl": F.col("_tr") / typical() * 100.0})]
+        return [*true_range_stages(f), Stage({"tr": F.col("_tr"), "vl": F.try_divide("_tr", typical()) * 100.0})]
 
     return Indicator(["tr", "vl"], build)
 
 
 def ret_index() -> Indicator:
     """Value of one unit invested at the first bar."""
-    return Indicator(["ret_index"], lambda f: [Stage({"ret_index": F.col(C) / F.first(C).over(f.so_far)})])
+    return Indicator(["ret_index"], lambda f: [Stage({"ret_index": F.try_divide(C, F.first(C).over(f.so_far))})])
 
 
 def vol(n: int = 250, min_periods: int = 50, of: str = "ret_index") -> Indicator:
@@ -230,7 +230,7 @@ def vol(n: int = 250, min_periods: int = 50, of: str = "ret_index") -> Indicator
         rows = F.least(F.col(RN), F.lit(n)).cast("double")
         variance = F.greatest((s2 - s1 * s1 / rows) / (rows - 1.0), F.lit(0.0))
         return [
-            Stage({"ret_index": F.col(C) / F.first(C).over(f.so_far)}),
+            Stage({"ret_index": F.try_divide(C, F.first(C).over(f.so_far))}),
             Stage({"_rs1": F.sum(index).over(f.so_far), "_rs2": F.sum(index * index).over(f.so_far)}),
             Stage({"vol": since(max(min_periods, 2), F.sqrt(variance) * math.sqrt(n))}),
         ]
@@ -267,13 +267,13 @@ def rolling_corr(bars: DataFrame, reference: DataFrame, window: int = 5) -> Data
     own = Frame()
     pad = F.last(C, ignorenulls=True).over(own.so_far)
     left = number_rows(bars).withColumn("_p", pad)
-    left = left.withColumn("_c", F.col("_p") / own.lag("_p") - 1.0)
+    left = left.withColumn("_c", F.try_divide(F.col("_p"), own.lag("_p")) - 1.0)
 
     # One row per calendar day at most: 366 rows a year whatever the number of symbols.
     ref = reference.groupBy(DATE).agg(F.max(C).alias(C)).withColumn(CODE, F.lit("ref"))
     ref = number_rows(ref).withColumn("_q", F.last(C, ignorenulls=True).over(own.so_far))
     ref = ref.select(
-        DATE, (F.col("_q") / own.lag("_q") - 1.0).alias("_r"), F.col(RN).alias("_pos")
+        DATE, (F.try_divide(F.col("_q"), own.lag("_q")) - 1.0).alias("_r"), F.col(RN).alias("_pos")
     )
 
     joined = left.join(F.broadcast(ref), DATE, "left")
@@ -282,6 +282,6 @@ def rolling_corr(bars: DataFrame, reference: DataFrame, window: int = 5) -> Data
     full = (F.count(F.when(pair, 1)).over(w) == window) & (
         F.col("_pos") - F.lag("_pos", window - 1).over(own.order) == window - 1
     )
-    both_vary = (F.stddev_pop("_c").over(w) > 0) & (F.stddev_pop("_r").over(w) > 0)
-    corr = F.when(full & both_vary, F.corr("_c", "_r").over(w))
+    spread = F.stddev_pop("_c").over(w) * F.stddev_pop("_r").over(w)
+    corr = F.when(full, F.try_divide(F.covar_pop("_c", "_r").over(w), spread))
     return joined.withColumn("rolling_corr", corr).select(*bars.columns, "rolling_corr")

@@ -75,7 +75,11 @@ def grow(samples: DataFrame, depth: int = DEPTH, one_feature_seed: int | None =
 
 def _split_nodes(state: DataFrame, one_feature_seed: int | None) -> DataFrame:
     values = F.when(F.col("leaf"), F.array(F.lit(None).cast("double"))).otherwise(F.col("x"))
-    wide = state.select("*", F.posexplode(values).alias("f", "v"))
+    # Only the first of a sample's rows carries its wide columns through the sort.
+    carried = [F.when(F.col("f") == 0, F.col(c)).alias(c) for c in ("x", "path")]
+    wide = state.select("*", F.posexplode(values).alias("f", "v")).select(
+        CODE, TREE, "w", "y", "node", "leaf", "f", "v", *carried
+    )
     key = [CODE, TREE, "node"]
     by_value = Window.partitionBy(*key, "f").orderBy("v")
     upto = by_value.rangeBetween(Window.unboundedPreceding, Window.currentRow)

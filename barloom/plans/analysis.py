@@ -38,7 +38,7 @@ def forecasts(
     part of the return index, at most 135 short rows per symbol, which is stored once.
     """
     first = F.first("adj_close").over(by_date())
-    index = valid_bars(kept).select(*KEY, (F.col("adj_close") / first).alias("ret_index"), first.alias("base"))
+    index = valid_bars(kept).select(*KEY, F.try_divide("adj_close", first).alias("ret_index"), first.alias("base"))
     recent = stored_recent(index)
     windows = scoring_window(recent)
     samples = class_samples(recent, mode)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_local_folder: str | None = None
+
 
 def build_session(app: str = "barloom", master: str | None = None, **conf: str) -> SparkSession:
     """Create or get a session. On a cluster leave ``master`` unset and let spark-submit decide."""
@@ -26,21 +29,33 @@ def build_session(app: str = "barloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local master without that
-    setting gets a temporary folder; a cluster without one is a configuration error.
+    Only a local master without that setting gets a temporary folder; a cluster without one
+    is a configuration error.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    global _local_folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix=f"barloom-{os.getpid()}-")
+    return _local_folder
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage through storage that survives the loss of executors."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix=f"barloom-ckpt-{os.getpid()}-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

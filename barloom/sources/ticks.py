@@ -48,7 +48,7 @@ def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         li,
         code=F.col("l_suppkey"),
         day=F.col("l_shipdate"),
-        value=F.col("l_extendedprice") / F.col("l_quantity"),
+        value=F.try_divide("l_extendedprice", "l_quantity"),
         order=F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"),
         volume=F.col("l_quantity"),
     )
