@@ -93,7 +93,8 @@ def cci(n: int = 14) -> Indicator:
                 {
                     name: since(
                         n,
-                        F.when((F.col("_tp") == m) | (F.col(f"_dev{n}") == 0), 0.0).otherwise(
+                        # The mean of equal prices can miss them by the last bits: that is no deviation.
+                        F.when(F.least(F.abs(F.col("_tp") - m), F.col(f"_dev{n}")) <= F.abs(m) * 1e-13, 0.0).otherwise(
                             (F.col("_tp") - m) / (0.015 * F.col(f"_dev{n}"))
                         ),
                     )

@@ -165,7 +165,7 @@ def t_mom(ns=(10, 25)):
 def t_cci(n=14):
     inner = f"(SELECT *, avg(tp) {over(n)} AS m, list(tp) {over(n)} AS l FROM s)"
     spread = f"(SELECT *, list_sum([abs(x - m) for x in l]) / {n}.0 AS dev FROM {inner})"
-    col = since(n, "CASE WHEN tp = m OR dev = 0 THEN 0.0 ELSE (tp - m) / (0.015 * dev) END")
+    col = since(n, "CASE WHEN least(abs(tp - m), dev) <= abs(m) * 1e-13 THEN 0.0 ELSE (tp - m) / (0.015 * dev) END")
     return [window_table("i_cci", {f"cci{n}": col}, inner=spread)], [f"cci{n}"]
 
 
@@ -375,6 +375,15 @@ def features_sql(table: str, label: str | None, span: int = 135) -> str:
     return query(body, BARS, VALID, *learning(span=span))
 
 
+def eliminate(n: int) -> list[str]:
+    """Solve the n x (n + 1) systems ``a`` of table m0; the solutions are the last columns in table m<n>."""
+    return [
+        f"m{k} AS MATERIALIZED (SELECT code, [[CASE WHEN i = {k} THEN a[i][j] / a[{k}][{k}] "
+        f"ELSE a[i][j] - a[i][{k}] * a[{k}][j] / a[{k}][{k}] END for j in range(1, {n + 2})] for i in range(1, {n + 1})] AS a FROM m{k - 1})"
+        for k in range(1, n + 1)
+    ]
+
+
 def ridge_ctes(alpha: float = 1.0) -> list[str]:
     """Centred normal equations per symbol, solved by elimination without pivoting (they are definite)."""
     n = 14
@@ -388,11 +397,7 @@ def ridge_ctes(alpha: float = 1.0) -> list[str]:
         cells = [f"sum(z[{i}] * z[{j}])" + (f" + {alpha}" if i == j else "") for j in range(1, n + 1)]
         rows.append("[" + ", ".join([*cells, f"sum(z[{i}] * y)"]) + "]")
     ctes.append(f"m0 AS MATERIALIZED (SELECT code, [{', '.join(rows)}] AS a FROM cen GROUP BY code)")
-    for k in range(1, n + 1):
-        ctes.append(
-            f"m{k} AS MATERIALIZED (SELECT code, [[CASE WHEN i = {k} THEN a[i][j] / a[{k}][{k}] "
-            f"ELSE a[i][j] - a[i][{k}] * a[{k}][j] / a[{k}][{k}] END for j in range(1, {n + 2})] for i in range(1, {n + 1})] AS a FROM m{k - 1})"
-        )
+    ctes += eliminate(n)
     ctes.append(
         f"ridge AS MATERIALIZED (SELECT score.code, score.date, my + list_sum([a[i][{n + 1}] * (f[i] - m[i]) for i in range(1, {n + 1})]) AS p, base "
         f"FROM score JOIN m{n} USING (code) JOIN mu USING (code))"
@@ -437,6 +442,27 @@ def nb_sql(kind: str) -> str:
     return query("SELECT code, date, prediction FROM nb", BARS, VALID, *learning(), *nb_ctes(kind))
 
 
+def discriminant_sql() -> str:
+    """Pooled within-class covariance (divisor n - 2), solved for the difference of the class means."""
+    n = 14
+    means = "[" + ", ".join(f"avg(f[{i}])" for i in range(1, n + 1)) + "]"
+    rows = ", ".join(
+        "[" + ", ".join([f"sum(z[{i}] * z[{j}]) / (count(*) - 2)" for j in range(1, n + 1)] + [f"any_value(gap[{i}])"]) + "]"
+        for i in range(1, n + 1)
+    )
+    ctes = [
+        f"cm AS MATERIALIZED (SELECT code, label, count(*) AS n, {means} AS m FROM cls GROUP BY code, label)",
+        "two AS MATERIALIZED (SELECT a.code, a.n AS n0, b.n AS n1, [b.m[i] - a.m[i] for i in range(1, 15)] AS gap, "
+        "[b.m[i] + a.m[i] for i in range(1, 15)] AS both FROM cm a JOIN cm b ON a.code = b.code AND a.label = 0 AND b.label = 1)",
+        "cen AS MATERIALIZED (SELECT c.code, gap, [f[i] - m[i] for i in range(1, 15)] AS z FROM cls c JOIN cm USING (code, label) JOIN two USING (code))",
+        f"m0 AS MATERIALIZED (SELECT code, [{rows}] AS a FROM cen GROUP BY code)",
+        *eliminate(n),
+    ]
+    body = f"""SELECT score.code, score.date, CAST(list_sum([a[i][{n + 1}] * (f[i] - both[i] / 2.0) for i in range(1, {n + 1})]) + ln(n1 / n0) > 0 AS INTEGER) AS prediction
+FROM score JOIN m{n} USING (code) JOIN two USING (code)"""
+    return query(body, BARS, VALID, *learning(), *ctes)
+
+
 def tree_ctes(depth: int = 5) -> list[str]:
     """Trees of all symbols, level by level; the scored window rides along with weight 0."""
     ctes = [
@@ -698,6 +724,7 @@ def statements() -> dict[str, str]:
         "gaussian_nb": nb_sql("gaussian"),
         "multinomial_nb": nb_sql("multinomial"),
         "bernoulli_nb": nb_sql("bernoulli"),
+        "discriminant": discriminant_sql(),
         "stored_model": nb_sql("gaussian"),
         "stream_bars": f"""SELECT * FROM ({resample_sql(BDAY)}) WHERE CAST(date + 1 AS TIMESTAMP) <=
   (SELECT max(ts - to_days(CAST(greatest(isodow(ts) - 5, 0) AS INTEGER))) - INTERVAL 1 DAY FROM events WHERE value IS NOT NULL)""",
