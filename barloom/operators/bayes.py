@@ -146,12 +146,12 @@ def fit_discriminant(samples: DataFrame, tolerance: float = 1e-4) -> DataFrame:
     per_class = samples.groupBy(CODE, "label").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.avg(v) for v in x]).alias("mean"),
-        F.array(*[F.covar_pop(x[i], x[j]) for i, j in PAIRS]).alias("cov"),
+        F.expr(f"array({', '.join(f'covar_pop(features[{i}], features[{j}])' for i, j in PAIRS)})").alias("cov"),
     )
-    scatter = [F.sum(F.col("n") * F.col("cov")[k]) for k in range(len(PAIRS))]
+    scatter = F.expr(f"array({', '.join(f'sum(n * cov[{k}])' for k in range(len(PAIRS)))})")
     joined = per_class.groupBy(CODE).agg(
         F.sum("n").alias("n"),
-        F.array(*scatter).alias("scatter"),
+        scatter.alias("scatter"),
         *[F.max(F.when(F.col("label") == c, F.col("mean"))).alias(f"mean{c}") for c in (0, 1)],
         *[F.max(F.when(F.col("label") == c, F.col("n"))).alias(f"n{c}") for c in (0, 1)],
     ).where(F.col("n0").isNotNull() & F.col("n1").isNotNull())

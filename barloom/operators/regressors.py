@@ -25,27 +25,28 @@ def gram_sums(samples: DataFrame) -> DataFrame:
     Features and label are shifted by the symbol's mean label first, so the products stay
     small and centring loses no digits.
     """
-    shift = F.avg("label").over(Window.partitionBy(CODE))
-    s = samples.withColumn("_m", shift)
-    f = [F.col("features")[i] - F.col("_m") for i in range(P)]
-    s = s.select(CODE, "_m", (F.col("label") - F.col("_m")).alias("y"), *[x.alias(f"f{i}") for i, x in enumerate(f)])
-    sums = s.groupBy(CODE).agg(
+    columns = ["y", *[f"f{i}" for i in range(P)]]
+    shifted = samples.withColumn("_m", F.avg("label").over(Window.partitionBy(CODE))).selectExpr(
+        CODE, "_m", "label - _m AS y", *[f"features[{i}] - _m AS f{i}" for i in range(P)]
+    )
+    products = [f"sum(f{i} * f{j})" for i, j in PAIRS] + [f"sum(f{i} * y)" for i in range(P)]
+    sums = shifted.groupBy(CODE).agg(
         F.count(F.lit(1)).alias("n"),
         F.first("_m").alias("shift"),
-        F.array(*[F.sum(f"f{i}") for i in range(P)]).alias("sx"),
-        F.sum("y").alias("sy"),
-        F.array(*[F.sum(F.col(f"f{i}") * F.col(f"f{j}")) for i, j in PAIRS]).alias("sxx"),
-        F.array(*[F.sum(F.col(f"f{i}") * F.col("y")) for i in range(P)]).alias("sxy"),
+        F.expr(f"array({', '.join(f'sum({c})' for c in columns)})").alias("s"),
+        F.expr(f"array({', '.join(products)})").alias("ss"),
     )
-    n = F.col("n").cast("double")
-    return sums.select(
+    # In the array of sums the label comes first.
+    gram = [f"ss[{k}] - s[{i + 1}] * s[{j + 1}] / n" for k, (i, j) in enumerate(PAIRS)]
+    moment = [f"ss[{len(PAIRS) + i}] - s[{i + 1}] * s[0] / n" for i in range(P)]
+    return sums.selectExpr(
         CODE,
         "n",
         "shift",
-        F.transform("sx", lambda v: v / n).alias("mean_x"),
-        (F.col("sy") / n).alias("mean_y"),
-        F.array(*[F.col("sxx")[k] - F.col("sx")[i] * F.col("sx")[j] / n for k, (i, j) in enumerate(PAIRS)]).alias("gram"),
-        F.array(*[F.col("sxy")[i] - F.col("sx")[i] * F.col("sy") / n for i in range(P)]).alias("moment"),
+        f"transform(slice(s, 2, {P}), v -> v / n) AS mean_x",
+        "s[0] / n AS mean_y",
+        f"array({', '.join(gram)}) AS gram",
+        f"array({', '.join(moment)}) AS moment",
     )
 
 

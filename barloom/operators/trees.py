@@ -176,17 +176,17 @@ def _boost(rounds: int):
         w = np.full(len(y), 1.0 / len(y))
         stumps = []
         for _ in range(rounds):
-            n = np.cumsum(w[order], axis=0)
-            p = np.cumsum((w * y)[order], axis=0)
+            # Both sides are summed from their own end, as late weights differ by many powers.
+            ws, ps = w[order], (w * y)[order]
+            ln, lp = np.cumsum(ws, axis=0)[:-1], np.cumsum(ps, axis=0)[:-1]
+            rn, rp = np.cumsum(ws[::-1], axis=0)[::-1][1:], np.cumsum(ps[::-1], axis=0)[::-1][1:]
             tn, tp = w.sum(), (w * y).sum()
             f, cut, below, above = 0, np.inf, tp / tn, tp / tn
             if gap.any() and 0 < tp < tn:
-                ln, lp = n[:-1], p[:-1]
-                rn, rp = np.maximum(tn - ln, eps), tp - lp
-                gain = (lp**2 + (ln - lp) ** 2) / np.maximum(ln, eps) + (rp**2 + (rn - rp) ** 2) / rn
+                gain = (lp**2 + (ln - lp) ** 2) / ln + (rp**2 + (rn - rp) ** 2) / rn
                 at, f = np.unravel_index(np.argmax(np.where(gap, gain, -np.inf)), gain.shape)
                 cut = (ranked[at, f] + ranked[at + 1, f]) / 2.0
-                below, above = lp[at, f] / max(ln[at, f], eps), rp[at, f] / rn[at, f]
+                below, above = lp[at, f] / ln[at, f], rp[at, f] / rn[at, f]
             share = np.where(x[:, f] > cut, above, below)
             stumps.append((int(f), float(cut), float(below), float(above)))
             if w[(share > 0.5) != (y > 0.5)].sum() <= 0:

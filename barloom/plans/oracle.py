@@ -453,12 +453,12 @@ def discriminant_sql() -> str:
     ctes = [
         f"cm AS MATERIALIZED (SELECT code, label, count(*) AS n, {means} AS m FROM cls GROUP BY code, label)",
         "two AS MATERIALIZED (SELECT a.code, a.n AS n0, b.n AS n1, [b.m[i] - a.m[i] for i in range(1, 15)] AS gap, "
-        "[b.m[i] + a.m[i] for i in range(1, 15)] AS both FROM cm a JOIN cm b ON a.code = b.code AND a.label = 0 AND b.label = 1)",
+        "[b.m[i] + a.m[i] for i in range(1, 15)] AS msum FROM cm a JOIN cm b ON a.code = b.code AND a.label = 0 AND b.label = 1)",
         "cen AS MATERIALIZED (SELECT c.code, gap, [f[i] - m[i] for i in range(1, 15)] AS z FROM cls c JOIN cm USING (code, label) JOIN two USING (code))",
         f"m0 AS MATERIALIZED (SELECT code, [{rows}] AS a FROM cen GROUP BY code)",
         *eliminate(n),
     ]
-    body = f"""SELECT score.code, score.date, CAST(list_sum([a[i][{n + 1}] * (f[i] - both[i] / 2.0) for i in range(1, {n + 1})]) + ln(n1 / n0) > 0 AS INTEGER) AS prediction
+    body = f"""SELECT score.code, score.date, CAST(list_sum([a[i][{n + 1}] * (f[i] - msum[i] / 2.0) for i in range(1, {n + 1})]) + ln(n1 / n0) > 0 AS INTEGER) AS prediction
 FROM score JOIN m{n} USING (code) JOIN two USING (code)"""
     return query(body, BARS, VALID, *learning(), *ctes)
 

@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the call site of every column expression doubles the time to build wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_folder: str | None = None
