@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles methods above this size; wide projections then run interpreted.
+    # With the limit they are generated as many small methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording the call site of every column expression doubles the time to build wide plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
