@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions import change_ratio, is_business_day, is_index, next_business_day, title_case, truncated
+from barloom.functions import change_ratio, is_business_day, is_index, next_business_day, truncated
 from barloom.schema import BAR_COLUMNS, CODE, DATE, KEY, OHLC_HEADERS, PRICES, VALUES
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import output_class, truncated
 from barloom.operators import regressors
-from barloom.operators.bars import by_date, high_water, last_bars, merge_frames, new_rows, upsert, valid_bars
+from barloom.operators.bars import by_date, last_bars, merge_frames, new_rows, upsert, valid_bars
 from barloom.operators.classifiers import CLASSIFIERS, class_samples, classify_pooled, fit_pooled, value_samples
 from barloom.operators.features import scoring_window, stored_recent
 from barloom.operators.finite import ret_index
@@ -157,7 +157,3 @@ def write_reports(
         write_summary(report, f"{out}/{name}")
         if name == "summary":
             append_snapshot(report, f"{out}/history", asof)
-
-
-def next_dates(bars: DataFrame) -> DataFrame:
-    return high_water(bars)
