@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import exact, topk
+from barloom.llm import chat, exact, packing, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The public vocabulary that the queries use; the operators take any path."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1 whose texts are control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = f"{chat.END}{chat.START}assistant ok"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    return chat.read_conversations(chat.format_turns(turns.unionByName(extra), vocabulary()), vocabulary())
+
+
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -21,7 +40,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
 QUERIES = {
+    "op1_chat": op1_chat,
     "op4_top_k": op4_top_k,
+    "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
 }
