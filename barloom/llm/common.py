@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from barloom.session import scratch_path
 
@@ -38,3 +39,14 @@ def fresh_name(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+DOUBLE, LONG, INT = DoubleType(), LongType(), IntegerType()
+
+
+def array_of(kind: DataType) -> ArrayType:
+    return ArrayType(kind)
+
+
+def extended(schema: StructType, **fields: DataType) -> StructType:
+    return StructType([*schema.fields, *(StructField(name, kind) for name, kind in fields.items())])

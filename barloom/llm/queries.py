@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, exact, packing, topk
+from barloom.llm import chat, exact, packing, quality, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,36 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(chat.format_turns(turns.unionByName(extra), vocabulary()), vocabulary())
 
 
+def not_held_out(mod: int, held: int) -> Column:
+    """Whether a labelled row may be learnt from, by its ``doc_id``."""
+    return remainder(mod) != held
+
+
+def remainder(mod: int) -> Column:
+    """crc32 of the id as text; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % mod
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels, not_held_out(4, 2))
+    return quality.score_quality(docs, model).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs, labels, not_held_out(5, 0)).select(
+        "doc_id",
+        (remainder(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "neighbours",
+        "cosines",
+    )
+
+
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -46,7 +76,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat": op1_chat,
+    "op3_quality": op3_quality,
     "op4_top_k": op4_top_k,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
 }
