@@ -41,6 +41,14 @@ def fresh_name(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def row_order(id_col: Column, row: Column) -> Column:
+    """The order of rows by id, nulls last, then by row number, as one number that a hash
+    aggregate can hold. Row numbers are below 10^18."""
+    past = F.lit(str(2**63)).cast("decimal(20,0)")
+    shifted = (F.coalesce(id_col.cast("decimal(20,0)"), past) + past).cast("decimal(20,0)")
+    return ((shifted * F.lit(10**18).cast("decimal(19,0)")).cast("decimal(38,0)") + row).cast("decimal(38,0)")
+
+
 DOUBLE, LONG, INT = DoubleType(), LongType(), IntegerType()
 
 

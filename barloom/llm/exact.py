@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import fresh_name, text_or_empty, written
+from barloom.llm.common import fresh_name, row_order, text_or_empty, written
 
 FIRST_BYTES, GROWTH = 64, 8
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -43,11 +43,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         docs, "key_", "gid_", "seg_", "ended_", "done_", "size_", "least_", "low_"
     )
     columns = docs.columns
-    # The order of rows in one number that a hash aggregate can hold: id, then position.
-    past = F.lit(str(2**63)).cast("decimal(20,0)")
-    shifted = (F.coalesce(F.col(id_col).cast("decimal(20,0)"), past) + past).cast("decimal(20,0)")
-    order = (shifted * F.lit(10**18).cast("decimal(19,0)")).cast("decimal(38,0)")
-    state = docs.withColumn(key, (order + F.monotonically_increasing_id()).cast("decimal(38,0)"))
+    state = docs.withColumn(key, row_order(F.col(id_col), F.monotonically_increasing_id()))
     whole = normalised(F.col(text_col))
     state = state.withColumn("text_sha256", F.sha2(whole, 256)).withColumn(gid, F.lit(None).cast("decimal(38,0)"))
 

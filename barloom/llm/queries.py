@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, exact, packing, quality, topk, toxicity
+from barloom.llm import chat, exact, neardup, packing, quality, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = neardup.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op3_quality": op3_quality,
@@ -81,4 +86,5 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_near_dedup": op8_near_dedup,
 }
