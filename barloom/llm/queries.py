@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, exact, neardup, packing, quality, topk, toxicity
+from barloom.llm import chat, exact, extract, neardup, packing, quality, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,11 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op3_quality": op3_quality,
@@ -87,4 +92,5 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op9_html": op9_html,
 }
