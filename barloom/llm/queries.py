@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat, exact, extract, neardup, packing, quality, topk, toxicity
+from barloom.llm import bpe, chat, exact, extract, neardup, packing, quality, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,17 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(chat.format_turns(turns.unionByName(extra), vocabulary()), vocabulary())
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, vocabulary()), vocabulary())
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def not_held_out(mod: int, held: int) -> Column:
     """Whether a labelled row may be learnt from, by its ``doc_id``."""
     return remainder(mod) != held
@@ -86,6 +97,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat": op1_chat,
+    "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_top_k": op4_top_k,
     "op5_toxicity": op5_toxicity,

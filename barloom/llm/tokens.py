@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 CACHED_PIECES, CACHED_LENGTH = 400_000, 48
-_NOT_PLAIN = re.compile(r" (?=\s|\Z)")
+NOT_PLAIN = re.compile(r" (?=\s|\Z)")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -45,7 +45,7 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-class _Pieces(dict):
+class Pieces(dict):
     """Encoded pieces by their text without the leading space; emptied when full."""
 
     def __init__(self, encode):
@@ -73,7 +73,7 @@ class Encoder:
         self.whole.no_padding()
         self.vocabulary = Vocabulary(path)
         self.dtype = np.dtype("<u2" if self.vocabulary.size <= 2**16 else "<u4")
-        self.pieces = _Pieces(self._piece_encoder())
+        self.pieces = Pieces(self._piece_encoder())
 
     def _piece_encoder(self):
         """Ids of one piece. Where ids follow the order of the merges a rank-based encoder
@@ -93,7 +93,7 @@ class Encoder:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def plain(self, text: str) -> bool:
-        return not _NOT_PLAIN.search(text) and not any(t in text for t in self.vocabulary.added)
+        return not NOT_PLAIN.search(text) and not any(t in text for t in self.vocabulary.added)
 
     def encode(self, text: str) -> bytes:
         if not text:
