@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import DOUBLE, INT, LONG, array_of, extended, fresh_name, text_or_empty, written
+from barloom.llm.common import DOUBLE, INT, LONG, array_of, extended, fresh_name, parallelism, text_or_empty, written
 from barloom.llm.quality import labelled_sample
 
-SAMPLE_PER_CLASS, MOST_TERMS, NEIGHBOURS, BLOCK = 2000, 2000, 15, 64
+SAMPLE_PER_CLASS, MOST_TERMS, NEIGHBOURS, BLOCK = 2000, 2000, 15, 256
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 BEGINNINGS, CACHED_WORDS = (4, 5, 6), 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -265,19 +265,24 @@ def build_index(
 
 
 def fit_and_cut(
-    docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text", per_class: int = SAMPLE_PER_CLASS
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column,
+    text_col: str = "text",
+    per_class: int = SAMPLE_PER_CLASS,
+    with_text: bool = False,
 ) -> tuple[NearestExamples, list[str], DataFrame]:
-    """The index, its vocabulary, and all documents without text but with their terms (written).
+    """The index, its vocabulary, and all documents with their terms (written).
 
     ``learn`` picks by ``doc_id`` the labelled rows that may be learnt from; at most
-    ``per_class`` of each class are.
+    ``per_class`` of each class are. The text goes unless ``with_text``.
     """
     sample = written(labelled_sample(docs, labels, "toxic", learn, per_class), "labelled")
     sample = written(one_of_each_family(sample), "examples")
     vocabulary = choose_terms(sample)
     (text,) = fresh_name(docs, "text_")
-    lean = docs.withColumn(text, text_or_empty(F.col(text_col))).drop(text_col)
-    ready = written(cut_to_terms(lean, vocabulary, text), "terms")
+    lean = docs.withColumn(text, text_or_empty(F.col(text_col)))
+    ready = written(cut_to_terms(lean if with_text else lean.drop(text_col), vocabulary, text), "terms")
     n = ready.count()
     df = np.zeros(len(vocabulary))
     for r in ready.select(F.explode("terms_").alias("t")).groupBy("t").count().collect():  # one row for each term
@@ -327,8 +332,10 @@ def judge(ready: DataFrame, index: NearestExamples, score_col: str = "score") ->
     return ready.mapInArrow(_judged(shared, score_col), schema)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with ``score``, ``neighbours`` and ``cosines``.
+def score_toxicity(
+    docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text", with_text: bool = False
+) -> DataFrame:
+    """``docs`` with ``score``, ``neighbours`` and ``cosines``, and its text if ``with_text``.
 
     The score is the calibrated probability that a text is toxic. A text without any term of
     the vocabulary (also a null or empty one) has no neighbours and the share of toxic rows
@@ -338,5 +345,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, text_col:
     """
     taken = {"score", "neighbours", "cosines", "terms_", "counts_"} - {text_col}
     docs = docs.drop(*[c for c in docs.columns if c.lower() in taken])
-    index, _, ready = fit_and_cut(docs, labels, learn, text_col)
+    index, _, ready = fit_and_cut(docs, labels, learn, text_col, with_text=with_text)
+    if not with_text:  # few bytes, much work: deal it to more tasks than its size asks for
+        ready = ready.repartition(parallelism(ready.sparkSession))
     return judge(ready, index)
