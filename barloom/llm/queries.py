@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, exact, extract, neardup, packing, quality, topk, toxicity
+from barloom.llm import bpe, chat, exact, extract, licences, neardup, packing, quality, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +95,11 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs, licences.fit_licences(docs), with_text=True)
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
@@ -105,4 +110,5 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_html": op9_html,
+    "op10_licences": op10_licences,
 }
