@@ -124,14 +124,16 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sample = sample.orderBy(F.xxhash64("id", "text"), "id").limit(SAMPLE_DOCUMENTS)
     sample = written(paragraphs(sample, "text", "n", "part").select("part").filter("length(part) > 0"), "licence-sample")
     templates = _templates(spark)
+    triples = sorted({r["t"] for r in templates.select(F.explode(sequences(F.col("words"), 3)).alias("t")).collect()})
+    # Licence lines of the sample say nothing about how rare a word is elsewhere.
+    sample = sample.filter(~F.arrays_overlap(sequences(words(F.col("part")), 3), F.array(*[F.lit(t) for t in triples])))
     own = templates.select(F.explode(F.array_distinct("words")).alias("word")).distinct()
     total = max(1, sample.count())
     seen = sample.select(F.explode(F.array_distinct(words(F.col("part")))).alias("word")).groupBy("word").count()
     rare = own.join(seen, "word", "left").filter(F.coalesce("count", F.lit(0)) <= RARE_SHARE * total)
     anchors = sorted(r["word"] for r in rare.filter("length(word) > 1").collect())
 
-    around = sample.filter(~F.arrays_overlap(words(F.col("part")), F.array(*[F.lit(a) for a in anchors] or [F.lit("")])))
-    around = around.orderBy(F.xxhash64("part"), "part").limit(4).select(F.substring("part", 1, 200).alias("near"))
+    around = sample.orderBy(F.xxhash64("part"), "part").limit(4).select(F.substring("part", 1, 200).alias("near"))
     whole = templates.select("family", "words")
     dropped = templates.filter(F.size("words") > 3).select(
         "family",
