@@ -18,7 +18,7 @@ emptied when full.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from barloom.llm.common import INT, array_of, extended, fresh_name, text_or_empty
 from barloom.llm.tokens import NOT_PLAIN, Pieces, Vocabulary
 
-TABLE_ENTRIES, TABLE_WORD = 400_000, 48
+TABLE_ENTRIES, TABLE_WORD = 250_000, 48
 #: Fixed value: the pre-split pattern of this kind of vocabulary; white space is Unicode's.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -101,29 +101,31 @@ class AutomatonEncoder:
         added = [regex.escape(t) for t in sorted(self.vocabulary.added, key=len, reverse=True)]
         self.special = regex.compile("|".join(added)) if added else None
         self.arcs: dict[tuple[int, int], bool] = {}
-        self.pieces = Pieces(self._piece)
+        self.pieces = Pieces(self._spaced)
         self._empty_table()
 
     def _empty_table(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
+        self.next: dict[int, int] = {}  # (string state << 8 | byte) to string state
         self.state, self.labels = [0], [b""]
 
     def _reads(self, state: int, token: int) -> bool:
-        key = (state, token)
-        found = self.arcs.get(key)
-        if found is None:
-            if len(self.arcs) >= TABLE_ENTRIES:
-                self.arcs.clear()
-            found = self.arcs[key] = self.automaton.arc(state, token)
+        """The automaton's answer, kept for the next time."""
+        if len(self.arcs) >= TABLE_ENTRIES:
+            self.arcs.clear()
+        found = self.arcs[state, token] = self.automaton.arc(state, token)
         return found
 
-    def _last(self, word: bytes, end: int, states: list[int]) -> tuple[int, int]:
-        """Start and token of the arc that ends at ``end``."""
-        find = self.tokens.get
-        for start in range(max(0, end - self.longest), end):
+    def _last(self, word: bytes, end: int, path: Sequence[int], state: list[int]) -> tuple[int, int]:
+        """Start and token of the arc that ends at ``end``; ``state`` holds the automaton's states
+        by the entries of ``path``."""
+        find, known, reads = self.tokens.get, self.arcs.get, self._reads
+        for start in range(end - self.longest if end > self.longest else 0, end):
             token = find(word[start:end])
-            if token is not None and self._reads(states[start], token):
-                return start, token
+            if token is not None:
+                at = state[path[start]]
+                found = known((at, token))
+                if found or (found is None and reads(at, token)):
+                    return start, token
         raise ValueError("a byte of the text has no token")
 
     def word(self, word: bytes) -> bytes:
@@ -134,7 +136,7 @@ class AutomatonEncoder:
             self._empty_table()
         path, at, table = [0], 0, self.next
         for byte in word:
-            to = table[at].get(byte)
+            to = table.get(at << 8 | byte)
             if to is None:
                 return self._new_entries(word, path)
             at = to
@@ -143,24 +145,22 @@ class AutomatonEncoder:
 
     def _new_entries(self, word: bytes, path: list[int]) -> bytes:
         """Table entries for the rest of the word, whose known beginning ``path`` walks."""
-        states, labels = [self.state[p] for p in path], [self.labels[p] for p in path]
+        state, labels, raw, target = self.state, self.labels, self.raw, self.automaton.target
         at = path[-1]
         for i in range(len(path) - 1, len(word)):
-            start, token = self._last(word, i + 1, states)
-            to = self.next[at][word[i]] = len(self.next)
-            self.next.append({})
-            states.append(self.automaton.target[token])
-            labels.append(labels[start] + self.raw[token])
-            self.state.append(states[-1])
-            self.labels.append(labels[-1])
+            start, token = self._last(word, i + 1, path, state)
+            to = self.next[at << 8 | word[i]] = len(labels)
+            state.append(target[token])
+            labels.append(labels[path[start]] + raw[token])
+            path.append(to)
             at = to
-        return labels[-1]
+        return labels[at]
 
     def _long(self, word: bytes) -> bytes:
         """The same without keeping table entries."""
-        states, back = [0], [(0, 0)]
+        states, back, path = [0], [(0, 0)], range(len(word) + 1)
         for end in range(1, len(word) + 1):
-            start, token = self._last(word, end, states)
+            start, token = self._last(word, end, path, states)
             states.append(self.automaton.target[token])
             back.append((start, token))
         out, end = [], len(word)
@@ -169,6 +169,15 @@ class AutomatonEncoder:
             out.append(self.raw[token])
         return b"".join(reversed(out))
 
+    def _spaced(self, part: str) -> bytes:
+        """Ids of a space and ``part``. A Latin word, perhaps with a point or comma, is split in
+        the way the pattern does it."""
+        stem = part[:-1] if part[-1] in ".," else part
+        if stem.isalpha() and max(stem) < "\u0250":
+            ids = self.word(b" " + stem.encode())
+            return ids if stem is part else ids + self.word(part[-1].encode())
+        return self._piece(" " + part)
+
     def _piece(self, piece: str) -> bytes:
         return b"".join([self.word(w.encode()) for w in self.split(piece)])
 
@@ -187,8 +196,17 @@ class AutomatonEncoder:
         return self._piece(head) + b"".join(map(self.pieces.__getitem__, parts))
 
     def decode(self, ids: list[int]) -> str:
-        """The text that the labels spell; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+        return emitted(self.vocabulary, ids)
+
+
+def emitted(vocabulary: Vocabulary, ids: list[int]) -> str:
+    """The text that the arcs' labels spell; bytes that are no UTF-8 become U+FFFD."""
+    return vocabulary.decode(ids).decode("utf-8", "replace")
+
+
+@lru_cache(maxsize=2)
+def labels_only(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
 @lru_cache(maxsize=2)
@@ -228,10 +246,10 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
 
 def _decoded(path: str, ids_col: str, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = automaton_encoder(path)
+        vocabulary = labels_only(path)
         for batch in batches:
             column = batch.column(ids_col)
-            got = [vocabulary.decode(v.values.to_numpy().tolist()) if v.is_valid else "" for v in column]
+            got = [emitted(vocabulary, v.values.to_numpy().tolist()) if v.is_valid else "" for v in column]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.string())], [*batch.schema.names, text])
 
     return run

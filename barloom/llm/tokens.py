@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHED_PIECES, CACHED_LENGTH = 400_000, 48
+CACHED_PIECES, CACHED_LENGTH = 300_000, 48
 NOT_PLAIN = re.compile(r" (?=\s|\Z)")
 
 
@@ -46,14 +46,15 @@ class Vocabulary:
 
 
 class Pieces(dict):
-    """Encoded pieces by their text without the leading space; emptied when full."""
+    """Encoded pieces by their text without the leading space; emptied when full. ``encode``
+    gives the ids of a space and the text."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.encode(" " + part)
+        ids = self.encode(part)
         if len(part) <= CACHED_LENGTH:
             if len(self) >= CACHED_PIECES:
                 self.clear()
@@ -73,7 +74,8 @@ class Encoder:
         self.whole.no_padding()
         self.vocabulary = Vocabulary(path)
         self.dtype = np.dtype("<u2" if self.vocabulary.size <= 2**16 else "<u4")
-        self.pieces = Pieces(self._piece_encoder())
+        self.piece = self._piece_encoder()
+        self.pieces = Pieces(lambda part: self.piece(" " + part))
 
     def _piece_encoder(self):
         """Ids of one piece. Where ids follow the order of the merges a rank-based encoder
@@ -101,7 +103,7 @@ class Encoder:
         if not self.plain(text):
             return self.encode_whole(text)
         head, *parts = text.split(" ")
-        first = self.pieces.encode(head) if head else b""
+        first = self.piece(head) if head else b""
         return first + b"".join(map(self.pieces.__getitem__, parts))
 
     def ids(self, text: str) -> np.ndarray:
