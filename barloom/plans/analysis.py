@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import output_class, truncated
 from barloom.operators import regressors
-from barloom.operators.bars import by_date, last_bars, merge_frames, new_rows, upsert, valid_bars
+from barloom.operators.bars import by_date, last_bars, merge_frames, new_rows, valid_bars
 from barloom.operators.classifiers import CLASSIFIERS, class_samples, classify_pooled, fit_pooled, value_samples
 from barloom.operators.features import scoring_window, stored_recent
 from barloom.operators.finite import ret_index
@@ -16,7 +16,7 @@ from barloom.operators.standard import enrich
 from barloom.operators.summary import ranked_summary
 from barloom.schema import CODE, COMPAT_RANGE, DATE, FEATURE_LENGTH, KEY, STANDARD_COLUMNS
 from barloom.session import checkpoint
-from barloom.sources.sinks import append_snapshot, write_summary, write_table
+from barloom.sources.sinks import append_snapshot, write_summary
 
 
 def kept_bars(bars: DataFrame, days: int) -> DataFrame:
@@ -104,32 +104,81 @@ def chart_classes(bars: DataFrame, days: int) -> DataFrame:
     return bars.select(CODE).distinct().withColumn("chart", output_class(F.lit(days)))
 
 
-def update_history(stored: DataFrame, landed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored bars merged with newer landed ones, and the symbols that changed."""
-    fresh = new_rows(stored, landed)
-    return upsert(stored, fresh), fresh.select(CODE).distinct()
+class DailyStore:
+    """The tables of the daily job under one folder, each partitioned by the run that wrote it.
 
+    ``bars``: the history; a run appends its new rows. ``marks``: last stored day of each symbol.
+    ``tail``: the last ``TAIL`` complete bars of each symbol. ``enriched``: analysed rows. Of the
+    last three a symbol's latest run counts, so a run writes only the symbols that changed, and
+    everything else stays as it is. A run that is repeated replaces what it wrote before.
+    """
 
-def daily_run(
-    spark: SparkSession,
-    stored_path: str,
-    landed: DataFrame,
-    out_path: str,
-    enriched_path: str,
-    days: int = 240,
-) -> DataFrame:
-    """Merge new bars, write the new history, and analyse the symbols that changed.
+    TAIL = 600
+    RUN = "run"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
 
-    Returns the enriched rows as written. Symbols without new rows are neither refitted nor
-    written again.
+    def write(self, table: str, df: DataFrame, run: int) -> None:
+        out = df.withColumn(self.RUN, F.lit(run).cast("int"))
+        out = out.repartitionByRange(CODE, DATE) if table != "marks" else out
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.RUN).parquet(
+            f"{self.path}/{table}"
+        )
+
+    def read(self, table: str, before: int | None = None) -> DataFrame | None:
+        """The rows of all runs, or of those before one; ``None`` if nothing was ever written."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return None
+        df = self.spark.read.parquet(f"{self.path}/{table}")
+        return df if before is None else df.where(F.col(self.RUN) < before)
+
+    def latest(self, table: str, before: int | None = None) -> DataFrame | None:
+        """Each symbol's rows of its latest run."""
+        df = self.read(table, before)
+        if df is None:
+            return None
+        newest = df.groupBy(CODE).agg(F.max(self.RUN).alias("_newest"))
+        joined = df.join(newest, CODE).where(F.col(self.RUN) == F.col("_newest"))
+        return joined.drop(self.RUN, "_newest")
+
+    def history(self) -> DataFrame:
+        """All stored bars."""
+        return self.read("bars").drop(self.RUN)
+
+    def enriched(self) -> DataFrame:
+        """The current enriched rows of every symbol."""
+        return self.latest("enriched")
+
+
+def daily_run(store: DailyStore, landed: DataFrame, run: int, days: int = 240) -> DataFrame:
+    """Append new bars and analyse the symbols that got any; returns all current enriched rows.
+
+    New rows start after a symbol's last stored day, so they never meet a stored key and the
+    history is neither read nor rewritten: the cost is that of the landed rows and of the tails
+    of the symbols that changed. Runs are numbered upwards; a run without news changes nothing.
     """
-    stored = spark.read.parquet(stored_path)
-    merged, changed = update_history(stored, landed)
-    write_table(merged, out_path)
-    history = spark.read.parquet(out_path)
-    enriched = analyse(history.join(changed, CODE, "left_semi"), days)
-    write_table(enriched, enriched_path)
-    return spark.read.parquet(enriched_path)
+    if not 0 < days <= store.TAIL:
+        raise ValueError(f"days must be from 1 to {store.TAIL}")
+    marks = store.read("marks", before=run)
+    if marks is None:
+        fresh = landed
+    else:
+        last = marks.groupBy(CODE).agg(F.max(DATE).alias(DATE))
+        fresh = new_rows(last, landed)
+    store.write("bars", fresh, run)
+    fresh = store.read("bars").where(F.col(store.RUN) == run).drop(store.RUN)
+    changed = fresh.groupBy(CODE).agg(F.max(DATE).alias(DATE))
+    tail = valid_bars(fresh)
+    old = store.latest("tail", before=run)
+    if old is not None:
+        tail = tail.unionByName(old.join(changed.select(CODE), CODE, "left_semi"))
+    store.write("tail", last_bars(tail, store.TAIL), run)
+    kept = store.read("tail").where(F.col(store.RUN) == run).drop(store.RUN)
+    store.write("enriched", analyse(kept, days), run)
+    store.write("marks", changed, run)  # last, so a run that broke off is taken up again
+    return store.enriched()
 
 
 def demo(bars: DataFrame) -> DataFrame:

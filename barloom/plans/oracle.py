@@ -585,12 +585,22 @@ def caption_sql() -> str:
     )
 
 
-def analysed_sql() -> str:
+def analysed_sql(*source: str) -> str:
     ctes, table = all_indicators()
     learn = [c for c in forecast_ctes("tree") if not c.startswith("s AS")]
     body = f"""SELECT t.code, t.date, {rnds(VALUES)}, {rnds(STANDARD_COLUMNS)}, classified, predicted
 FROM {table} t LEFT JOIN marks m ON m.code = t.code AND m.date = t.date"""
-    return query(body, BARS, VALID, KEPT.format(days=240), *series("kept"), *ctes, *learn, recursive=True)
+    return query(body, *(source or [BARS]), VALID, KEPT.format(days=240), *series("kept"), *ctes, *learn, recursive=True)
+
+
+DAILY = [
+    BARS.replace("bars AS", "whole AS", 1),
+    f"start AS (SELECT * FROM whole WHERE date < DATE '{SPLIT}')",
+    f"mark AS (SELECT code, {NEXT.format(d='max(date)')} AS next_date FROM start GROUP BY code)",
+    """bars AS MATERIALIZED (SELECT * FROM start UNION ALL
+  SELECT whole.* FROM whole LEFT JOIN mark USING (code)
+  WHERE CAST(code AS INTEGER) % 3 <> 0 AND (next_date IS NULL OR date >= next_date))""",
+]
 
 
 def enriched_sql() -> str:
@@ -735,6 +745,8 @@ def statements() -> dict[str, str]:
         ),
         "enriched_all": enriched_sql(),
         "analysed_240": analysed_sql(),
+        "daily_run_history": query(f"SELECT code, date, {V} FROM bars", *DAILY),
+        "daily_run_enriched": analysed_sql(*DAILY),
         "return_index_demo": query(
             f"SELECT code, date, {V}, {rnd('ri', 'ret_index')} FROM s", *bv, *series("valid")
         ),

@@ -331,6 +331,30 @@ def _analysed(spark, sf):
     return rounded(out.select(*BAR_COLUMNS, *STANDARD_COLUMNS, "classified", "predicted"))
 
 
+def _daily(spark: SparkSession, sf: str) -> analysis.DailyStore:
+    """Three runs: a first history, news for two thirds of the symbols, and no news.
+
+    What lands again of the stored days has other prices, which must not count.
+    """
+    bars = _bars(spark, sf)
+    early = F.col(DATE) < F.lit(SPLIT).cast("date")
+    store = analysis.DailyStore(spark, scratch_path(spark, "daily"))
+    again = bars.where(F.col(CODE).cast("int") % 3 != 0).select(*KEY, *[F.when(early, F.col(c) * 2.0).otherwise(F.col(c)).alias(c) for c in VALUES])
+    analysis.daily_run(store, bars.where(early), 1)
+    analysis.daily_run(store, again, 2)
+    analysis.daily_run(store, again, 3)
+    return store
+
+
+def _daily_history(spark, sf):
+    return rounded(_daily(spark, sf).history().select(BAR_COLUMNS))
+
+
+def _daily_enriched(spark, sf):
+    out = _daily(spark, sf).enriched()
+    return rounded(out.select(*BAR_COLUMNS, *STANDARD_COLUMNS, "classified", "predicted"))
+
+
 def _demo(spark, sf):
     return rounded(analysis.demo(tb.valid_bars(_bars(spark, sf))))
 
@@ -494,5 +518,7 @@ QUERIES: dict[str, Query] = {
     # composed jobs
     "enriched_all": _enriched,
     "analysed_240": _analysed,
+    "daily_run_history": _daily_history,
+    "daily_run_enriched": _daily_enriched,
     "return_index_demo": _demo,
 }

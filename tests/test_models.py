@@ -221,10 +221,18 @@ def test_analysis_of_all_symbols(walks):
 
 
 def test_daily_run(spark, walks, tmp_path):
-    from barloom.sources.sinks import write_table
-
-    stored, landed = walks.where("date < '2019-03-01'"), walks.where("code in ('H', 'I')")
-    write_table(stored, str(tmp_path / "old"))
-    out = analysis.daily_run(spark, str(tmp_path / "old"), landed, str(tmp_path / "new"), str(tmp_path / "ti"))
-    assert {r.code for r in out.select("code").distinct().collect()} == {"H", "I"}
-    assert spark.read.parquet(str(tmp_path / "new")).where("code = 'I'").count() == 300
+    store = analysis.DailyStore(spark, str(tmp_path / "daily"))
+    first = analysis.daily_run(store, walks.where("date < '2019-03-01'"), 1)
+    codes = {r.code for r in first.select("code").distinct().collect()}
+    landed = walks.where("code in ('H', 'I')")
+    again = analysis.daily_run(store, landed, 2)
+    assert {r.code for r in again.select("code").distinct().collect()} == codes == {r.code for r in walks.select("code").distinct().collect()}
+    assert store.history().where("code = 'I'").count() == 300
+    history, enriched = store.history().count(), sorted(map(str, again.collect()))
+    want = analysis.analyse(walks.where("code = 'I'"), 240).select("date", "sma25", "predicted").orderBy("date").collect()
+    assert again.where("code = 'I'").select("date", "sma25", "predicted").orderBy("date").collect() == want
+    for run in (3, 2):  # no news, and a run repeated
+        out = analysis.daily_run(store, landed, run)
+        assert sorted(map(str, out.collect())) == enriched and store.history().count() == history
+    with pytest.raises(ValueError, match="days"):
+        analysis.daily_run(store, landed, 4, days=0)
