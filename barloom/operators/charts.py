@@ -81,6 +81,7 @@ def chart_caption(enriched: DataFrame, symbols: DataFrame | None = None, asof: s
     else:
         out = out.withColumn("title", F.col(CODE))
     day = F.lit(asof).cast("date") if asof else F.col("last_date")
+    # The caption's labels and their order.
     text = F.concat(
         F.coalesce("title", CODE), F.lit("("), F.col(CODE), F.lit(")  "), F.date_format(day, "yyyy/MM/dd"),
         F.lit("\n終値:"), thousands(F.col("close")),
@@ -89,7 +90,7 @@ def chart_caption(enriched: DataFrame, symbols: DataFrame | None = None, asof: s
         F.lit(" 出来高:"), thousands(F.col("volume")),
         F.lit(" 最高:"), thousands(F.col("highest")),
         F.lit(" 最安:"), thousands(F.col("lowest")),
-        F.lit(" 分類器予測:"), F.col("trend"),
+        F.lit(" 分類器予測:"), F.coalesce("trend", F.lit("")),
         F.lit(" 回帰分析:"), F.coalesce(thousands(F.col("pred")), F.lit("")),
     )
     return out.withColumn("caption", text)

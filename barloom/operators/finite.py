@@ -215,28 +215,19 @@ def ret_index() -> Indicator:
 
 
 def vol(n: int = 250, min_periods: int = 50, of: str = "ret_index") -> Indicator:
-    """Rolling sample deviation of a column (by default the return index level) times sqrt(n)."""
+    """Rolling sample deviation of a column (by default the return index level) times sqrt(n).
 
-    def sliding(f: Frame):
+    The frame is added up anew for each row: differences of running sums would lose the digits of
+    a small deviation after a long rise.
+    """
+
+    def build(f: Frame):
         w = f.last(n)
         value = F.when(F.count(of).over(w) >= max(min_periods, 2), F.stddev_samp(of).over(w) * math.sqrt(n))
-        return [Stage({"vol": value})]
-
-    def running(f: Frame):
-        # Sums of the index less its start value 1: every row has one, so the count is the
-        # row number, and the cost per row does not grow with n.
-        index = F.col("ret_index") - 1.0
-        s1 = F.col("_rs1") - f.lag_or_zero("_rs1", n)
-        s2 = F.col("_rs2") - f.lag_or_zero("_rs2", n)
-        rows = F.least(F.col(RN), F.lit(n)).cast("double")
-        variance = F.greatest((s2 - s1 * s1 / rows) / (rows - 1.0), F.lit(0.0))
-        return [
-            Stage({"ret_index": F.try_divide(C, F.first(C).over(f.so_far))}),
-            Stage({"_rs1": F.sum(index).over(f.so_far), "_rs2": F.sum(index * index).over(f.so_far)}),
-            Stage({"vol": since(max(min_periods, 2), F.sqrt(variance) * math.sqrt(n))}),
-        ]
+        first = [Stage({"ret_index": F.try_divide(C, F.first(C).over(f.so_far))})] if of == "ret_index" else []
+        return [*first, Stage({"vol": value})]
 
-    return Indicator(["vol"], running if of == "ret_index" else sliding)
+    return Indicator(["vol"], build)
 
 
 def volume_rate() -> Indicator:

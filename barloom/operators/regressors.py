@@ -67,20 +67,29 @@ def _ridge_weights(alpha: float):
     return F.pandas_udf(solve, T.ArrayType(T.DoubleType()))
 
 
-def _lasso_weights(alpha: float, rounds: int = 1000, tolerance: float = 1e-10):
+def _lasso_weights(alpha: float, rounds: int = 100_000, tolerance: float = 1e-11):
+    """Coordinate descent. Each symbol stops by itself, when no weight moved by more than the
+    tolerance times its largest weight; one that has not after all rounds is an error."""
+
     def solve(gram: pd.Series, moment: pd.Series, n: pd.Series) -> pd.Series:
         a, b = unpack_gram(gram), np.stack(moment.to_numpy()).astype(float)
         penalty = alpha * n.to_numpy(float)
-        w = np.zeros_like(b)
+        w, left = np.zeros_like(b), np.arange(len(b))
         for _ in range(rounds):
-            before = w.copy()
-            for j in range(P):
-                d = a[:, j, j]
-                rho = b[:, j] - np.einsum("bk,bk->b", a[:, j], w) + d * w[:, j]
-                shrunk = np.sign(rho) * np.maximum(np.abs(rho) - penalty, 0.0)
-                w[:, j] = np.divide(shrunk, d, out=np.zeros_like(d), where=d > 0)
-            if np.abs(w - before).max() <= tolerance:
+            if not len(left):
                 break
+            g, m, v, p = a[left], b[left], w[left], penalty[left]
+            before = v.copy()
+            for j in range(P):
+                d = g[:, j, j]
+                rho = m[:, j] - np.einsum("bk,bk->b", g[:, j], v) + d * v[:, j]
+                shrunk = np.sign(rho) * np.maximum(np.abs(rho) - p, 0.0)
+                v[:, j] = np.divide(shrunk, d, out=np.zeros_like(d), where=d > 0)
+            w[left] = v
+            moved = np.abs(v - before).max(1) > tolerance * np.maximum(np.abs(v).max(1), 1e-300)
+            left = left[moved]
+        if len(left):
+            raise ArithmeticError(f"Lasso did not converge for {len(left)} symbols in {rounds} rounds")
         return pd.Series(list(w))
 
     return F.pandas_udf(solve, T.ArrayType(T.DoubleType()))

@@ -98,7 +98,8 @@ def apply(
     """The complete business-day bars plus the output columns of all indicators.
 
     ``max_rows`` tells that no symbol has more rows, for instance after keeping the last N
-    bars; recurrences then need no blocks. ``block`` forces the block length.
+    bars; recurrences then need no blocks. A symbol with more is an error. ``block`` forces the
+    block length.
     """
     probe = Frame()
     built = [(i, i.build(probe)) for i in indicators]
@@ -135,6 +136,9 @@ def _apply_group(bars: DataFrame, built: Built, max_rows: int | None, block: int
     levels = max(len(p) for p in plans)
 
     df = number_rows(valid_bars(bars))
+    if max_rows:
+        too_many = F.raise_error(F.concat(F.lit(f"more than max_rows={max_rows} bars of symbol "), F.col(CODE))).cast("int")
+        df = df.withColumn(RN, F.when(F.col(RN) > max_rows, too_many).otherwise(F.col(RN)))
     if blocked:
         df = df.withColumn(BLK, F.floor((F.col(RN) - 1) / block))
     known: set[str] = set()

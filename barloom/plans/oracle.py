@@ -637,6 +637,11 @@ def statements() -> dict[str, str]:
         "flagship_report": sma_rsi,
         "bars_from_ticks": plain,
         "history_round_trip": plain,
+        "price_csv_round_trip": plain,
+        "symbol_list_round_trip": query(
+            "SELECT code, name, CAST(NULL AS VARCHAR) AS fullname, CAST(NULL AS VARCHAR) AS sector, CAST(NULL AS VARCHAR) AS \"group\" FROM symbols",
+            SUPPLIERS,
+        ),
         "report_round_trip": sma_rsi,
         "report_snapshots": f"SELECT d.snapshot_date, code, close, ratio FROM ({sma_rsi}) r, "
         f"(SELECT DATE '{SPLIT}' AS snapshot_date UNION ALL SELECT DATE '{ASOF}') d",

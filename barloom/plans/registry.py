@@ -115,10 +115,23 @@ def _store_round_trip(spark, sf):
 def _text_round_trip(spark, sf):
     path = scratch_path(spark, "report")
     sinks.write_summary(_summary()(spark, sf), path)
-    back = spark.read.option("sep", "\t").option("header", True).schema(
-        "Code string, open long, high long, low long, close long, change long, ratio double, rsi14 long, name string"
+    back = spark.read.option("sep", "\t").option("header", True).option("enforceSchema", False).schema(
+        "Code string, Open long, High long, Low long, Close long, Change long, Ratio double, rsi14 long, Name string"
     )
-    return back.csv(path).withColumnRenamed("Code", CODE)
+    out = back.csv(path)
+    return out.toDF(*[c.lower() for c in out.columns])
+
+
+def _price_csv_round_trip(spark, sf):
+    path = scratch_path(spark, "prices")
+    sinks.export_csv(_bars(spark, sf), path)
+    return rounded(files.read_exported(spark, path))
+
+
+def _symbol_list_round_trip(spark, sf):
+    path = scratch_path(spark, "symbols")
+    sinks.write_symbols(_symbols(spark, sf), path)
+    return files.read_symbols(spark, path)
 
 
 def _snapshots(spark, sf):
@@ -427,6 +440,8 @@ QUERIES: dict[str, Query] = {
     # sources and sinks
     "bars_from_ticks": _on_bars(lambda b: b),
     "history_round_trip": _store_round_trip,
+    "price_csv_round_trip": _price_csv_round_trip,
+    "symbol_list_round_trip": _symbol_list_round_trip,
     "report_round_trip": _text_round_trip,
     "report_snapshots": _snapshots,
     "raw_history": _raw_history,

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from barloom.functions import clean, local_date
 from barloom.operators.bars import business_day_align
@@ -37,6 +38,13 @@ def read_price_csv(spark: SparkSession, path: str | list[str], prefix: str = "st
     return _to_bars(raw, _code_from_name(prefix), F.col("Date"))
 
 
+def read_exported(spark: SparkSession, path: str) -> DataFrame:
+    """Bars exported as text with one directory per symbol."""
+    schema = StructType([*PRICE_FILE.fields, StructField(CODE, StringType())])
+    raw = spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    return _to_bars(raw, F.col(CODE), F.col("Date"))
+
+
 def read_raw_history(spark: SparkSession, path: str | list[str], prefix: str = "raw_") -> DataFrame:
     """Landed raw pages: seven columns by position, dates in the 2015年3月20日 form."""
     raw = spark.read.schema(RAW_FILE).option("header", True).csv(path)

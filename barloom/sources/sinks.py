@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.schema import CODE, DATE
+from barloom.schema import CODE, CSV_HEADERS, DATE, SYMBOLS, VALUES
+
+# The columns of the report, besides the symbol.
+REPORT_COLUMNS = ("open", "high", "low", "close", "change", "ratio", "trend", "pred", "name")
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", buckets: int | None = None) -> None:
@@ -20,21 +23,33 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", buckets: int
     out.sortWithinPartitions(CODE, DATE).write.mode(mode).parquet(path)
 
 
-def write_by_code(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Parquet with one directory per symbol, for short symbol lists."""
-    df.repartition(F.col(CODE)).sortWithinPartitions(CODE, DATE).write.mode(mode).partitionBy(CODE).parquet(path)
-
-
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Text export with header, one directory per symbol."""
-    df.repartition(F.col(CODE)).sortWithinPartitions(CODE, DATE).write.mode(mode).partitionBy(CODE).option(
+    """Bars in the form that :func:`barloom.sources.files.read_exported` reads: the headers of price
+    files, one directory per symbol, for short symbol lists."""
+    named = df.select(CODE, F.date_format(DATE, "yyyy-MM-dd").alias("Date"), *[F.col(v).alias(h) for v, h in zip(VALUES, CSV_HEADERS[1:])])
+    named.repartition(F.col(CODE)).sortWithinPartitions(CODE, "Date").write.mode(mode).partitionBy(CODE).option(
         "header", True
     ).csv(path)
 
 
+def write_symbols(symbols: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A stock list without header."""
+    symbols.select(SYMBOLS.fieldNames()).write.mode(mode).option("header", False).csv(path)
+
+
+# The report's headers that are not the column's name in title case.
+REPORT_HEADERS = {CODE: "Code"}
+
+
+def report_header(column: str) -> str:
+    return REPORT_HEADERS.get(column, column.title() if column in REPORT_COLUMNS else column)
+
+
 def write_summary(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Tab-separated report in the order of ``df``; the key column is headed ``Code``."""
-    df.withColumnRenamed(CODE, "Code").write.mode(mode).option("sep", "\t").option("header", True).csv(path)
+    """Tab-separated report in the order of ``df``; the report's own columns are in title case,
+    a screening column keeps its name."""
+    named = df.select(*[F.col(c).alias(report_header(c)) for c in df.columns])
+    named.write.mode(mode).option("sep", "\t").option("header", True).csv(path)
 
 
 def append_snapshot(df: DataFrame, path: str, snapshot_date: str) -> None:

@@ -24,8 +24,9 @@ def ohlc(
 ) -> DataFrame:
     """One open/high/low/close(/volume) row per symbol and day.
 
-    ``order`` must be a total order of the ticks of one day, for example a struct of the
-    timestamp and a sequence number.
+    ``order`` must be a total order of the ticks of one day in one number of fixed width, see
+    :func:`order_key`. A struct would do as well, but only fixed-width values let the partial
+    sums stay in a hash table; otherwise every task sorts its raw ticks.
     """
     aggs = [
         F.min_by("_v", "_o").alias("open"),
@@ -43,6 +44,25 @@ def ohlc(
     return bars.withColumn(CODE, F.col(CODE).cast("string"))
 
 
+def order_key(*parts: tuple[Column, int]) -> Column:
+    """Several non-negative whole numbers as one, the first the most significant.
+
+    Each comes with its number of decimal digits, 38 in all. A value that needs more digits
+    is an error.
+    """
+    if sum(digits for _, digits in parts) > 38:
+        raise ValueError("an order key has at most 38 digits")
+    key = None
+    for value, digits in parts:
+        whole = value.cast("decimal(38,0)")
+        limit = F.lit(str(10**digits)).cast("decimal(38,0)") if digits < 38 else None
+        if limit is not None:
+            bad = F.raise_error(F.concat(F.lit(f"a part of an order key has more than {digits} digits: "), whole.cast("string")))
+            whole = F.when((whole >= 0) & (whole < limit), whole).when(whole.isNotNull(), bad.cast("decimal(38,0)"))
+        key = whole if key is None else (key * limit + whole).cast("decimal(38,0)")
+    return key
+
+
 def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars of the unit price each supplier shipped at."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -51,7 +71,13 @@ def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         code=F.col("l_suppkey"),
         day=F.col("l_shipdate"),
         value=F.try_divide("l_extendedprice", "l_quantity"),
-        order=F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"),
+        order=order_key(
+            (F.col("l_orderkey"), 12),
+            (F.col("l_linenumber"), 1),
+            (F.col("l_partkey"), 11),
+            (F.round(F.col("l_extendedprice") * 100), 9),
+            (F.round(F.col("l_quantity") * 100), 5),
+        ),
         volume=F.col("l_quantity"),
     )
     return bars.withColumn("adj_close", F.col("close")).select(BAR_COLUMNS)
@@ -86,7 +112,7 @@ def resample_ticks(ticks: DataFrame, freq: str = "B") -> DataFrame:
         code=F.col(CODE),
         day=bucket[freq],
         value=F.col("value"),
-        order=F.struct("ts", "seq"),
+        order=order_key((F.unix_micros("ts"), 19), (F.col("seq"), 19)),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.schema import CODE, DATE
+from barloom.sources.ticks import order_key
 
 
 def stream_bars(ticks: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -21,7 +22,7 @@ def stream_bars(ticks: DataFrame, delay: str = "1 day") -> DataFrame:
         CODE,
         (F.col("ts") - F.make_dt_interval(back)).alias("bar_ts"),
         F.col("value").alias("_v"),
-        F.struct("ts", "seq").alias("_o"),
+        order_key((F.unix_micros("ts"), 19), (F.col("seq"), 19)).alias("_o"),
     ).where(F.col("_v").isNotNull())
     return (
         day.withWatermark("bar_ts", delay)

@@ -2,7 +2,8 @@
 
 Each micro-batch is written as its own partition, which a replay of the same batch replaces:
 the write costs as much as the batch, not the table. Reading merges by key: the oldest
-non-null value of every cell wins, as when new bars only fill what the history lacks.
+non-null value of every cell wins, as when new bars only fill what the history lacks. Within a
+batch a key may stand once; two rows would have no order, so a repeated key stops the stream.
 """
 
 from __future__ import annotations
@@ -17,8 +18,12 @@ BATCH = "batch"
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    repeated = F.raise_error(F.concat(F.lit("two bars for one symbol and date in a batch: "), KEY[0])).cast("double")
+    once = batch.groupBy(*KEY).agg(
+        *[F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.max(c)).alias(c) for c in VALUES]
+    )
     (
-        batch.select(BAR_COLUMNS)
+        once.select(BAR_COLUMNS)
         .withColumn(BATCH, F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -1,5 +1,7 @@
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from barloom.operators.bars import business_day_align, valid_bars
 from barloom.operators.sar import sar
 from barloom.operators.series import apply
 from barloom.operators.standard import enrich
-from barloom.schema import BAR_COLUMNS, STANDARD_COLUMNS
-from conftest import walk
+from barloom.schema import BAR_COLUMNS, BARS, STANDARD_COLUMNS
+from conftest import walk, weekdays
 
 GOLDEN = {
     "sma5": 19452.864, "sma25": 18791.3916, "sma75": 17902.110667, "ewma5": 19428.781669, "ewma25": 18821.274391,
@@ -158,3 +160,18 @@ def test_one_shuffle_for_all_indicators(walks, spark, tmp_path):
         assert plan.count("Exchange") == 1
         assert plan.count("Sort [") == (2 if rows is None else 1)
         assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_more_rows_than_promised_is_an_error(walks):
+    with pytest.raises(Exception, match="max_rows"):
+        apply(walks, [recursive.ewma(5)], max_rows=240).collect()
+
+
+def test_deviation_after_a_long_rise(spark):
+    """The index grows a thousandfold, then hardly moves: the digits must stay."""
+    rng = np.random.RandomState(3)
+    close = np.concatenate([np.geomspace(1, 1000, 300), 1000 + np.cumsum(rng.normal(0, 0.001, 300))])
+    rows = [("A", d, c, c, c, c, 1.0, c) for d, c in zip(weekdays(600), map(float, close))]
+    got = apply(spark.createDataFrame(rows, BARS), [finite.vol()]).orderBy("date").select("vol").toPandas()["vol"]
+    want = pd.Series(close / close[0]).rolling(250, min_periods=50).apply(lambda x: np.std(x, ddof=1), raw=True) * np.sqrt(250)
+    assert np.allclose(got, want, rtol=1e-9, equal_nan=True)

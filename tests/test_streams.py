@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators import recursive
@@ -83,3 +84,8 @@ def test_incremental_indicators_equal_batch(spark, walks, tmp_path):
     for c in ("ewma5", "rsi14", "atr"):
         bad = both.where((F.abs(F.col(f"g_{c}") - F.col(c)) > 1e-8) | (F.col(f"g_{c}").isNull() != F.col(c).isNull()))
         assert bad.count() == 0, c
+
+
+def test_a_key_repeated_in_a_batch_is_an_error(spark, walks, tmp_path):
+    with pytest.raises(Exception, match="two bars"):
+        write_batch(walks.union(walks.limit(1)), 0, str(tmp_path / "t"))

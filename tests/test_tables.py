@@ -69,9 +69,7 @@ def test_new_rows_and_changed_codes(spark):
     stored = make(spark, [bar("a", D(2024, 1, 5), 1), bar("b", D(2024, 1, 8), 1)])
     landed = make(spark, [bar("a", D(2024, 1, 5), 2), bar("a", D(2024, 1, 8), 2), bar("b", D(2024, 1, 8), 2), bar("c", D(2024, 1, 1), 2)])
     assert rows(tb.new_rows(stored, landed), "code", "date") == [("a", D(2024, 1, 8)), ("c", D(2024, 1, 1))]
-    merged, changed = analysis.update_history(stored, landed)
-    assert rows(changed, "code") == [("a",), ("c",)]
-    assert merged.count() == 4
+    assert rows(tb.changed_codes(stored, landed), "code") == [("a",), ("c",)]
 
 
 def test_resample_ticks_rolls_weekends_back_and_breaks_ties(spark):
@@ -136,9 +134,28 @@ def test_price_csv_round_trip(spark, golden_bars, tmp_path):
     assert tb.business_day_align(golden_bars).count() == 315
     sinks.write_table(golden_bars, str(tmp_path / "t"))
     assert files.read_bars(spark, str(tmp_path / "t")).exceptAll(golden_bars).count() == 0
-    sinks.export_csv(golden_bars, str(tmp_path / "c"))
-    back = spark.read.option("header", True).csv(str(tmp_path / "c"))
-    assert back.count() == 307 and "code" in back.columns
+
+
+def test_exported_text_reads_back(spark, walks, tmp_path):
+    sinks.export_csv(walks, str(tmp_path / "c"))
+    back = files.read_exported(spark, str(tmp_path / "c"))
+    assert back.columns == walks.columns
+    assert back.count() == walks.count() and back.exceptAll(walks).count() == 0
+    one = files.read_price_csv(spark, str(next((tmp_path / "c" / "code=I").glob("*.csv"))))
+    assert one.drop("code").exceptAll(walks.where("code = 'I'").drop("code")).count() == 0
+
+
+def test_order_key_keeps_ticks_in_a_hash_table(spark, small):
+    plan = ticks.lineitem_bars(spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    key = ticks.order_key((F.col("a"), 2), (F.col("b"), 3))
+    df = spark.createDataFrame([(1, 999), (2, 0), (None, 5)], "a long, b long")
+    assert [r[0] if r[0] is None else int(r[0]) for r in df.select(key).collect()] == [1999, 2000, None]
+    for bad in ((100, 0), (-1, 0)):
+        with pytest.raises(Exception, match="order key"):
+            spark.createDataFrame([bad], "a long, b long").select(key).collect()
+    with pytest.raises(ValueError, match="38"):
+        ticks.order_key((F.col("a"), 20), (F.col("b"), 19))
 
 
 def test_csv_reading(spark, tmp_path):
