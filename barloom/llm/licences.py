@@ -65,7 +65,7 @@ OTHERS = [
 ]
 UNKNOWN = "unknown"
 SAMPLE_DOCUMENTS, RARE_SHARE, LONGEST_SEQUENCE, MOST_FEATURES = 300, 0.002, 3, 8192
-LEAST_PROBABILITY, LEAST_SIMILARITY = 0.5, 0.75
+AROUND, LEAST_PROBABILITY, LEAST_SIMILARITY = 4, 0.5, 0.75
 _WORD = "([a-z0-9]+(?:[.+-][a-z0-9]+)*)"
 
 
@@ -126,14 +126,16 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     templates = _templates(spark)
     triples = sorted({r["t"] for r in templates.select(F.explode(sequences(F.col("words"), 3)).alias("t")).collect()})
     # Licence lines of the sample say nothing about how rare a word is elsewhere.
-    sample = sample.filter(~F.arrays_overlap(sequences(words(F.col("part")), 3), F.array(*[F.lit(t) for t in triples])))
+    plain = ~F.arrays_overlap(sequences(words(F.col("part")), 3), F.array(*[F.lit(t) for t in triples]))
+    sample = written(sample.filter(plain), "licence-sample")
     own = templates.select(F.explode(F.array_distinct("words")).alias("word")).distinct()
     total = max(1, sample.count())
     seen = sample.select(F.explode(F.array_distinct(words(F.col("part")))).alias("word")).groupBy("word").count()
     rare = own.join(seen, "word", "left").filter(F.coalesce("count", F.lit(0)) <= RARE_SHARE * total)
     anchors = sorted(r["word"] for r in rare.filter("length(word) > 1").collect())
 
-    around = sample.orderBy(F.xxhash64("part"), "part").limit(4).select(F.substring("part", 1, 200).alias("near"))
+    around = sample.orderBy(F.xxhash64("part"), "part").limit(AROUND).select(F.substring("part", 1, 200).alias("near")).collect()
+    near = F.array(*[F.lit(r["near"]) for r in around]) if around else F.array().cast("array<string>")
     whole = templates.select("family", "words")
     dropped = templates.filter(F.size("words") > 3).select(
         "family",
@@ -144,16 +146,16 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ).alias("words"),
     )
     # A few lines of the sample stand before and after each template.
-    edged = templates.join(F.broadcast(around)).select(
+    edged = templates.select("family", "text", F.explode(near).alias("near")).select(
         "family", F.explode(F.array(words(F.concat_ws(" ", "near", "text")), words(F.concat_ws(" ", "text", "near")))).alias("words")
     )
     others = local_table(spark, [{"text": t} for t in OTHERS], "text string").select(
         F.lit(UNKNOWN).alias("family"), words(F.col("text")).alias("words")
     )
-    plain = around.select(F.lit(UNKNOWN).alias("family"), words(F.col("near")).alias("words"))
+    alone = spark.range(1).select(F.explode(near).alias("near")).select(F.lit(UNKNOWN).alias("family"), words(F.col("near")).alias("words"))
     families = [UNKNOWN, *sorted(TEMPLATES)]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
-    rows = whole.union(dropped).union(edged).union(others).union(plain)
+    rows = whole.union(dropped).union(edged).union(others).union(alone)
     rows = rows.select(label.alias("label"), features(F.col("words"), anchors).alias("grams"), F.size("words").alias("n"))
     rows = written(rows.withColumn("aside", F.pmod(F.xxhash64("label", "grams", "n"), F.lit(5)) == 0), "licence-variants")
     vectors = CountVectorizer(inputCol="grams", outputCol="vector", vocabSize=MOST_FEATURES, binary=True).fit(rows)
