@@ -28,7 +28,8 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(said).alias("text"),
     )
-    return chat.read_conversations(chat.format_turns(turns.unionByName(extra), vocabulary()), vocabulary())
+    read = chat.read_conversations(chat.format_turns(turns.unionByName(extra), vocabulary()), vocabulary())
+    return read.drop("n_tokens", "loss_tokens")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,4 +29,44 @@ with n as (
 select doc_id, keep_id, group_size, nth = 1 as kept, sha256(t) as text_sha256 from g
 """
 
-ORACLE_SQL = {"op4_top_k": OP4, "op7_exact_dedup": OP7}
+OP1 = r"""
+with t as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), e as (
+    select *, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') as shown,
+           replace(replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), '\', '\\'), chr(10), '\n') as head
+    from t
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, head, shown)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, head, shown) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length('<|im_start|>' || head || chr(10) || shown || '<|im_end|>' || chr(10))) as bigint) as formatted_chars
+from e group by conv_id
+"""
+
+OP8 = r"""
+with recursive w as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+), s as (
+    select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+    from w
+), n as materialized (select doc_id, len(s) as n from s),
+u as materialized (select doc_id, unnest(s) as x from s),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as k from u a join u b on a.x = b.x and a.doc_id < b.doc_id group by all),
+links as materialized (
+    select a, b from common join n p on p.doc_id = a join n q on q.doc_id = b where 100 * k >= 75 * (p.n + q.n - k)
+), ends as materialized (select a, b from links union all select b, a from links),
+reach as (
+    select doc_id as a, doc_id as b from n
+    union select reach.a, ends.b from reach join ends on ends.a = reach.b
+)
+select n.doc_id, cast(n.n as bigint) as n_shingles, min(b) as component_id, n.doc_id = min(b) as kept
+from n join reach on reach.a = n.doc_id group by n.doc_id, n.n
+"""
+
+ORACLE_SQL = {"op1_chat": OP1, "op8_near_dedup": OP8, "op4_top_k": OP4, "op7_exact_dedup": OP7}
