@@ -162,11 +162,11 @@ def quality_report(bars: DataFrame) -> DataFrame:
     )
 
 
-def rows_from_end(df: DataFrame, k: int = 1) -> DataFrame:
-    """The k-th row from the end of every symbol (1 = last)."""
-    return (
-        df.withColumn("_rd", F.row_number().over(by_date(descending=True))).where(F.col("_rd") == k).drop("_rd")
-    )
+def rows_from_end(df: DataFrame, k: int = 1, upto: int | None = None) -> DataFrame:
+    """The k-th row from the end of every symbol (1 = last), or the rows from there to ``upto``
+    with their number in ``_rd``."""
+    ranked = df.withColumn("_rd", F.row_number().over(by_date(descending=True)))
+    return ranked.where(F.col("_rd") == k).drop("_rd") if upto is None else ranked.where(F.col("_rd").between(k, upto))
 
 
 def cell(df: DataFrame, column: str, date: str) -> DataFrame:

@@ -677,12 +677,12 @@ def statements() -> dict[str, str]:
         "ohlc_columns": resample_sql(BDAY),
         "quality_report": query(
             """SELECT code, CAST(sum(n) AS BIGINT) AS bars, CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_keys,
-  CAST(sum(lb) AS BIGINT) AS low_above_body, CAST(sum(hb) AS BIGINT) AS high_below_body, CAST(0 AS BIGINT) AS incomplete_rows,
+  CAST(sum(lb) AS BIGINT) AS low_above_body, CAST(sum(hb) AS BIGINT) AS high_below_body, CAST(sum(mi) AS BIGINT) AS incomplete_rows,
   CAST(sum(we) AS BIGINT) AS weekend_rows FROM (
   SELECT code, date, count(*) AS n, count(*) FILTER (low > least(open, close)) AS lb, count(*) FILTER (high < greatest(open, close)) AS hb,
-    count(*) FILTER (isodow(date) > 5) AS we FROM (
-    SELECT code, date, open, close, high, CASE WHEN volume > 80 THEN high * 2 ELSE low END AS low FROM bars
-    UNION ALL SELECT code, date, open, close, high, low FROM bars WHERE volume > 60) GROUP BY code, date) GROUP BY code""",
+    count(*) FILTER (isodow(date) > 5) AS we, count(*) FILTER (gone) AS mi FROM (
+    SELECT code, date, open, close, high, CASE WHEN volume > 80 THEN high * 2 ELSE low END AS low, volume > 70 AS gone FROM bars
+    UNION ALL SELECT code, date, open, close, high, low, false FROM bars WHERE volume > 60) GROUP BY code, date) GROUP BY code""",
             *b,
         ),
         "last_cells": query(

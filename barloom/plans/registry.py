@@ -219,14 +219,10 @@ def _chart_families(spark, sf):
 
 
 def _last_cells(spark, sf):
-    b = tb.valid_bars(_bars(spark, sf))
-    last, before = tb.rows_from_end(b, 1), tb.rows_from_end(b, 2)
-    pick = [F.col(DATE), F.col("adj_close")]
-    return rounded(
-        last.select(CODE, *[c.alias(f"last_{n}") for c, n in zip(pick, ("date", "close"))]).join(
-            before.select(CODE, *[c.alias(f"previous_{n}") for c, n in zip(pick, ("date", "close"))]), CODE
-        )
-    )
+    two = tb.rows_from_end(tb.valid_bars(_bars(spark, sf)), 1, 2)
+    at = lambda k, c: F.max(F.when(F.col("_rd") == k, F.col(c)))
+    cells = {"last_date": at(1, DATE), "last_close": at(1, "adj_close"), "previous_date": at(2, DATE), "previous_close": at(2, "adj_close")}
+    return rounded(two.groupBy(CODE).agg(*[c.alias(n) for n, c in cells.items()]).where(F.col("previous_date").isNotNull()))
 
 
 def _cell(spark, sf):
@@ -243,6 +239,7 @@ def _quality(spark, sf):
     # Landed twice for large volumes, and with a broken low for some rows.
     again = b.where(F.col("volume") > 60)
     broken = b.withColumn("low", F.when(F.col("volume") > 80, F.col("high") * 2).otherwise(F.col("low")))
+    broken = broken.withColumn("adj_close", F.when(F.col("volume") <= 70, F.col("adj_close")))
     return tb.quality_report(broken.unionByName(again))
 
 
@@ -252,9 +249,10 @@ def _short_history_errors(spark, sf):
 
 
 def _rolling_corr(spark, sf):
+    # The first supplier stands in for a market index. The filter is on the key's own type, so
+    # that the scan for the reference can skip row groups.
     b = tb.business_day_align(_bars(spark, sf))
-    # The first supplier stands in for a market index.
-    reference = b.where(F.col(CODE) == "0").select(DATE, "adj_close")
+    reference = tb.business_day_align(ticks.lineitem_bars(spark, sf, F.col("l_suppkey") == 0)).select(DATE, "adj_close")
     return rounded(finite.rolling_corr(b, reference).select(*KEY, "rolling_corr"))
 
 

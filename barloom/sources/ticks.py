@@ -63,9 +63,13 @@ def order_key(*parts: tuple[Column, int]) -> Column:
     return key
 
 
-def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars of the unit price each supplier shipped at."""
+def lineitem_bars(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+    """Daily bars of the unit price each supplier shipped at.
+
+    ``where`` filters the ticks on columns of the table, before symbols become text.
+    """
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = li if where is None else li.where(where)
     bars = ohlc(
         li,
         code=F.col("l_suppkey"),

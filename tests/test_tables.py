@@ -249,4 +249,7 @@ def test_filters_reach_the_scan(spark, small):
     bars = tb.valid_bars(ticks.lineitem_bars(spark, small)).where(F.col("code") == "3")
     plan = bars._jdf.queryExecution().executedPlan().toString()
     assert "l_suppkey" in plan.split("PushedFilters")[1]
+    one = ticks.lineitem_bars(spark, small, F.col("l_suppkey") == 3)
+    assert "EqualTo(l_suppkey,3)" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.exceptAll(ticks.lineitem_bars(spark, small).where("code = '3'")).count() == 0
     assert "l_discount" not in plan and "l_tax" not in plan
