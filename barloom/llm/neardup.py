@@ -9,10 +9,10 @@ In every bucket each member is compared with the bucket's least and greatest mem
 so candidate pairs grow with the members. Links are confirmed on the full sets of word
 sequences. Stars alone can miss a link between two members that are both unlike the centres. So
 buckets that still hold several components are searched again: members outside the component of
-the least member are held against all other members, in cells of bounded size, by signature,
-and only pairs of unlike components that may reach the threshold come out, to be confirmed as
-well. Pairs inside a component cannot change the result. The odds that no band of a pair at
-the threshold agrees are about 5 in a million.
+the least member are held against the members of other components, in cells of bounded size,
+first by signature and then by their full sets, and only links leave the cell. Pairs inside a
+component cannot change the result. The odds that no band of a pair at the threshold agrees
+are about 5 in a million.
 """
 
 from __future__ import annotations
@@ -23,16 +23,16 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from barloom.llm.common import LONG, array_of, extended, fresh_name, row_order, text_or_empty, written
+from barloom.llm.common import LONG, array_of, extended, row_order, text_or_empty, written
 from barloom.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
 BINS, BAND, TRIES, SEED = 128, 4, 1024, 11
-CELL, SHORT, LEAST_AGREEMENT = 512, 64, 0.5
+CELL = 256
 _MIX = tuple(np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
@@ -108,11 +108,11 @@ def _sketched(text: str):
         for batch in batches:
             size, digest, sigs, keys = [], [], [], []
             for t in batch.column(text).to_pylist():
-                h = shingle_hashes(t)
+                h = shingle_hashes(t or "")
                 size.append(len(h))
                 digest.append(blake2b(h.tobytes(), digest_size=16).digest())
                 sig = signature(h) if len(h) else None
-                sigs.append(None if sig is None else sig.tobytes())
+                sigs.append(None if sig is None else sig.astype(np.uint8).tobytes())
                 keys.append([] if sig is None else bands(sig).tolist())
             columns = [pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(sigs, pa.binary())]
             columns.append(pa.array(keys, pa.list_(pa.int64())))
@@ -148,57 +148,75 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In each cell, pairs of an outsider and a member of another component that may be alike."""
+def _least_agreement(n: np.ndarray) -> np.ndarray:
+    """Five standard errors below the threshold, for a set of ``n`` shingles."""
+    share = PERCENT / 100
+    return share - 5 * np.sqrt(share * (1 - share) / np.minimum(n, BINS))
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        a, b = [], []
-        for i in range(batch.num_rows):
-            out, held = (_side(batch.column(c)[i]) for c in ("outsiders", "members"))
-            for row, comp, n, sig in zip(*out, strict=True):
-                fits = (held[1] != comp) & (100 * np.minimum(held[2], n) >= PERCENT * np.maximum(held[2], n))
-                at = np.flatnonzero(fits)
-                if len(at):
-                    agree = (held[3][at] == sig).mean(1)
-                    at = at[(agree >= LEAST_AGREEMENT) | (np.minimum(held[2][at], n) < SHORT)]
-                    a.append(np.minimum(held[0][at], row))
-                    b.append(np.maximum(held[0][at], row))
-        a, b = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (a, b))
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-
-def _side(rows: pa.ListScalar) -> tuple[np.ndarray, ...]:
-    row, comp, n, sig = rows.values.flatten()
-    sigs = np.frombuffer(b"".join(sig.to_pylist()), np.uint32).reshape(len(row), BINS)
-    return row.to_numpy(), comp.to_numpy(), n.to_numpy(), sigs
+        sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("sa", "sb"))
+        least = np.minimum(batch.column("na").to_numpy(), batch.column("nb").to_numpy())
+        keep = pa.array((sa == sb).mean(1) >= _least_agreement(least))
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+
+
+def _across(cell: pa.Table) -> pa.Table:
+    """Links between the outsiders of a cell and its members of other components.
+
+    A pair is looked at in the first band it shares only, and once if both are outsiders. Of a
+    component, one link is enough.
+    """
+    row, comp, n = (cell.column(c).to_numpy() for c in ("row", "component", "n_shingles"))
+    query, outside = (np.asarray(cell.column(c).to_pylist(), bool) for c in ("query", "outside"))
+    sigs = np.frombuffer(b"".join(cell.column("signature").to_pylist()), np.uint8).reshape(len(row), BINS)
+    keys = np.array(cell.column("band_keys").to_pylist(), np.int64)
+    band = cell.column("band")[0].as_py()
+    text, sets = cell.column("text"), {}
+
+    def full(i: int) -> set:
+        if row[i] not in sets:
+            sets[row[i]] = shingle_set(text[i].as_py())
+        return sets[row[i]]
+
+    members, links = np.flatnonzero(~query), []
+    for q in np.flatnonzero(query):
+        fits = (comp[members] != comp[q]) & (~outside[members] | (row[members] > row[q]))
+        fits &= 100 * np.minimum(n[members], n[q]) >= PERCENT * np.maximum(n[members], n[q])
+        at = members[fits]
+        first = (keys[at] == keys[q]).argmax(1) == band
+        agree = (sigs[at] == sigs[q]).mean(1)
+        likely = first & (agree >= _least_agreement(np.minimum(n[at], n[q])))
+        at, agree = at[likely], agree[likely]
+        linked = set()
+        for i in at[np.argsort(-agree, kind="stable")]:
+            if comp[i] not in linked:
+                both = len(full(q) & full(i))
+                if 100 * both >= PERCENT * (n[q] + n[i] - both):
+                    linked.add(comp[i])
+                    links.append((int(row[q]), int(row[i])))
+    return pa.table({"a": pa.array([min(x) for x in links], pa.int64()), "b": pa.array([max(x) for x in links], pa.int64())})
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs (a, b)`` that are links; ``texts`` is ``(row, text)``."""
-    involved = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    needed = texts.join(involved, "row", "left_semi")
-    with_a = pairs.join(needed.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
-    full = with_a.join(needed.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+    """``pairs (a, b)`` that are links; ``texts`` is ``(row, text)``. The joins carry texts, so they are
+    sort-merge joins at any size."""
+    with_a = pairs.hint("merge").join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
+    full = with_a.hint("merge").join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
     return written(full.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed, "a long, b long"), "confirmed")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows of ``docs`` with ``n_shingles``, ``component_id`` and ``kept``.
+RESULT = ("n_shingles", "component_id", "kept")
 
-    ``component_id`` is the smallest id that can be reached over links, the row's own included.
-    One row of each component is kept: the one with that id, of repeated ids the first row.
-    Null texts count as empty; texts without words are linked with nothing and stay. Texts of
-    less than five words are one shingle. A null id comes last and ``component_id`` is null
-    only if all ids of a component are. An empty table gives an empty result. Columns of
-    ``docs`` named like a result are replaced, others pass through.
-    """
-    result = {"n_shingles", "component_id", "kept"}
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in result])
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """The written rows, the rows with their group, and the columns of ``docs`` in either."""
     own = docs.columns
     clash = {c: f"own_{i}_" for i, c in enumerate(own)}
     doc_id, text = clash[id_col], clash[text_col]
     renamed = docs.select(*[F.col(f"`{c}`").alias(clash[c]) for c in own])
-    (plain,) = fresh_name(renamed, "plain_text")
-    rows = sketches(renamed.withColumn(plain, text_or_empty(F.col(text))), plain, "row")
+    rows = sketches(renamed.withColumn(text, F.col(text).cast("string")), text, "row")
 
     classes = written(
         rows.filter("n_shingles > 0")
@@ -212,34 +230,37 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     reps = rows.join(classes.select(F.col("class").alias("row")), "row", "left_semi")
     members = written(reps.select("row", "n_shingles", "signature", "band_keys"), "members")
-    texts = rows.select("row", F.col(plain).alias("text"))
 
-    keyed = members.select(F.explode("band_keys").alias("key"), "row", "n_shingles")
+    keyed = members.select(F.posexplode("band_keys").alias("band", "key"), "row", "n_shingles")
     buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("row").alias("lo"), F.max("row").alias("hi"))
     buckets = written(buckets.filter("m > 1"), "buckets")
     filled = written(keyed.join(buckets, "key"), "bucket-members")
     stars = filled.select(F.col("lo").alias("a"), F.col("row").alias("b"), "n_shingles").union(
         filled.select(F.col("row"), F.col("hi"), "n_shingles")
     )
-    pairs = written(stars.filter("a <> b").select("a", "b").distinct(), "stars")
-    links = _confirm(_of_like_size(pairs, members), texts)
+    pairs = stars.filter("a <> b").select("a", "b").distinct()
+    # All later comparisons are between rows that share a bucket: their texts move once.
+    texts = rows.select("row", text_or_empty(F.col(text)).alias("text"))
+    texts = written(texts.join(filled.select("row").distinct().hint("merge"), "row", "left_semi"), "bucket-texts")
+    links = _confirm(_likely(pairs, members), texts)
     joined = components(links)
 
     labelled = filled.filter("m > 3").join(joined.withColumnRenamed("node", "row"), "row", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "row")).select("key", "row", "component", "m", "lo")
+    labelled = labelled.withColumn("component", F.coalesce("component", "row")).select("key", "band", "row", "component", "lo")
     labelled = written(labelled, "labelled")
     mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     main = labelled.filter("row = lo").select("key", F.col("component").alias("main"))
     open_rows = written(
         labelled.join(mixed.select("key"), "key", "left_semi")
         .join(main, "key")
-        .join(members.select("row", "n_shingles", "signature"), "row")
+        .join(members, "row")
         .withColumn("outside", F.col("component") != F.col("main"))
         .drop("lo", "main"),
         "open-buckets",
     )
     if not open_rows.isEmpty():
-        more = _confirm(written(_cells(open_rows).mapInArrow(_across, "a long, b long").distinct(), "across"), texts)
+        cells = _cells(open_rows).join(texts.hint("merge"), "row")
+        more = written(cells.groupBy("key", "cm", "co").applyInArrow(_across, "a long, b long").distinct(), "across")
         if not more.isEmpty():
             joined = components(links.union(more))
 
@@ -248,43 +269,55 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     least = by_class.groupBy("component").agg(F.min("low").alias("component_id"), F.min("first").alias("first"))
     found = by_class.drop("first", "low").join(least, "component").select("set_digest", "n_shingles", "component_id", "first")
-    lean = rows.drop(plain, "signature", "band_keys")
+    lean = rows.drop("signature", "band_keys")
     some = lean.filter("n_shingles > 0").join(found, ["set_digest", "n_shingles"])
     kept = row_order(F.col(doc_id), F.col("row")) == F.col("first")
-    back = [F.col(clash[c]).alias(c) for c in own]
-    return some.select(*back, "n_shingles", "component_id", kept.alias("kept")).union(
-        lean.filter("n_shingles = 0").select(
-            *back, "n_shingles", F.col(doc_id).alias("component_id"), F.lit(True).alias("kept")
-        )
+    alone = lean.filter("n_shingles = 0")
+    grouped = some.select(*lean.columns, "component_id", kept.alias("kept")).union(
+        alone.select(*lean.columns, F.col(doc_id).alias("component_id"), F.lit(True).alias("kept"))
     )
+    return rows, grouped, [F.col(clash[c]).alias(c) for c in own]
 
 
-def _of_like_size(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    sizes = members.select("row", "n_shingles")
-    sized = pairs.join(sizes.select(F.col("row").alias("a"), F.col("n_shingles").alias("na")), "a")
-    sized = sized.join(sizes.select(F.col("row").alias("b"), F.col("n_shingles").alias("nb")), "b")
-    return written(sized.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b"), "like-size")
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All rows of ``docs`` with ``n_shingles``, ``component_id`` and ``kept``.
+
+    ``component_id`` is the smallest id that can be reached over links, the row's own included.
+    One row of each component is kept: the one with that id, of repeated ids the first row.
+    Null texts count as empty; texts without words are linked with nothing and stay. Texts of
+    less than five words are one shingle. A null id comes last and ``component_id`` is null
+    only if all ids of a component are. An empty table gives an empty result. Columns of
+    ``docs`` named like a result are replaced, others pass through.
+    """
+    _, grouped, own = _grouped(docs.drop(*[c for c in docs.columns if c.lower() in RESULT]), id_col, text_col)
+    return grouped.select(*own, *RESULT)
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component."""
+    rows, grouped, own = _grouped(docs, id_col, text_col)
+    gone = grouped.filter(~F.col("kept")).select("row")
+    return rows.join(gone, "row", "left_anti").select(*own)
+
+
+def _likely(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs whose sizes allow the threshold and whose signatures make it likely enough."""
+    side = members.select("row", "n_shingles", "signature")
+    a, b = (side.toDF(x, f"n{x}", f"s{x}") for x in ("a", "b"))
+    like = pairs.join(a, "a").join(b, "b").filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+    return written(like.mapInArrow(_agreeing, "a long, b long"), "likely")
 
 
 def _cells(rows: DataFrame) -> DataFrame:
-    """Cells of at most about ``CELL`` outsiders and ``CELL`` members of one bucket."""
+    """The rows dealt to cells of about ``CELL`` outsiders (``query``) and ``CELL`` members of one
+    bucket. A member goes to as many cells as there are shares of outsiders, and the reverse."""
     sizes = rows.groupBy("key").agg(
         F.ceil(F.count(F.lit(1)) / CELL).alias("nm"), F.ceil(F.sum(F.col("outside").cast("int")) / CELL).alias("no")
     )
     sized = rows.join(sizes, "key").withColumn("dealt", F.xxhash64("row"))
-    item = F.struct("row", "component", "n_shingles", "signature")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    held = sized.select("key", F.pmod("dealt", "nm").alias("cm"), upto("no").alias("co"), item.alias("item"))
-    out = sized.filter("outside").select("key", upto("nm").alias("cm"), F.pmod("dealt", "no").alias("co"), item.alias("item"))
-    cell = ["key", "cm", "co"]
-    return (
-        held.groupBy(*cell)
-        .agg(F.collect_list("item").alias("members"))
-        .join(out.groupBy(*cell).agg(F.collect_list("item").alias("outsiders")), cell)
-        .select("outsiders", "members")
+    held = sized.select(*rows.columns, F.lit(False).alias("query"), F.pmod("dealt", "nm").alias("cm"), upto("no").alias("co"))
+    out = sized.filter("outside").select(
+        *rows.columns, F.lit(True).alias("query"), upto("nm").alias("cm"), F.pmod("dealt", "no").alias("co")
     )
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component."""
-    return near_groups(docs, id_col, text_col).filter("kept").select(*docs.columns)
+    return held.union(out)
