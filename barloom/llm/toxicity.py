@@ -270,19 +270,18 @@ def fit_and_cut(
     learn: Column,
     text_col: str = "text",
     per_class: int = SAMPLE_PER_CLASS,
-    with_text: bool = False,
 ) -> tuple[NearestExamples, list[str], DataFrame]:
-    """The index, its vocabulary, and all documents with their terms (written).
+    """The index, its vocabulary, and all documents without text but with their terms (written).
 
     ``learn`` picks by ``doc_id`` the labelled rows that may be learnt from; at most
-    ``per_class`` of each class are. The text goes unless ``with_text``.
+    ``per_class`` of each class are.
     """
     sample = written(labelled_sample(docs, labels, "toxic", learn, per_class), "labelled")
     sample = written(one_of_each_family(sample), "examples")
     vocabulary = choose_terms(sample)
     (text,) = fresh_name(docs, "text_")
-    lean = docs.withColumn(text, text_or_empty(F.col(text_col)))
-    ready = written(cut_to_terms(lean if with_text else lean.drop(text_col), vocabulary, text), "terms")
+    lean = docs.withColumn(text, text_or_empty(F.col(text_col))).drop(text_col)
+    ready = written(cut_to_terms(lean, vocabulary, text), "terms")
     n = ready.count()
     df = np.zeros(len(vocabulary))
     for r in ready.select(F.explode("terms_").alias("t")).groupBy("t").count().collect():  # one row for each term
@@ -345,7 +344,9 @@ def score_toxicity(
     """
     taken = {"score", "neighbours", "cosines", "terms_", "counts_"} - {text_col}
     docs = docs.drop(*[c for c in docs.columns if c.lower() in taken])
-    index, _, ready = fit_and_cut(docs, labels, learn, text_col, with_text=with_text)
+    index, vocabulary, ready = fit_and_cut(docs, labels, learn, text_col)
     if not with_text:  # few bytes, much work: deal it to more tasks than its size asks for
-        ready = ready.repartition(parallelism(ready.sparkSession))
-    return judge(ready, index)
+        return judge(ready.repartition(parallelism(ready.sparkSession)), index)
+    # Cutting the texts again costs less than carrying them through storage.
+    (text,) = fresh_name(docs, "text_")
+    return judge(cut_to_terms(docs.withColumn(text, text_or_empty(F.col(text_col))), vocabulary, text), index)
