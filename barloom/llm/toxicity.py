@@ -125,20 +125,23 @@ class _Known(dict):
         return found
 
 
+def _terms_in(text: str, known: _Known) -> tuple[list[int], list[int]]:
+    """Numbers and counts of the vocabulary's terms in a text."""
+    words = Counter(_WORD.findall(text.lower()))
+    held: Counter = Counter()
+    for w in words:
+        for i in known[w]:
+            held[i] += words[w]
+    at = sorted(held)
+    return at, [held[i] for i in at]
+
+
 def _cut(vocabulary, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known({t: i for i, t in enumerate(vocabulary.value)})
         for batch in batches:
-            ids, counts = [], []
-            for t in batch.column(text).to_pylist():
-                words = Counter(_WORD.findall(t.lower()))
-                held: Counter = Counter()
-                for w in words:
-                    for i in known[w]:
-                        held[i] += words[w]
-                at = sorted(held)
-                ids.append(at)
-                counts.append([held[i] for i in at])
+            found = [_terms_in(t, known) for t in batch.column(text).to_pylist()]
+            ids, counts = [f[0] for f in found], [f[1] for f in found]
             keep = [i for i, name in enumerate(batch.schema.names) if name != text]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in keep), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64()))],
@@ -301,6 +304,14 @@ def fit_and_cut(
     return index, vocabulary, ready
 
 
+def _verdicts(got: list[tuple[float, np.ndarray, np.ndarray]]) -> list[pa.Array]:
+    return [
+        pa.array([g[0] for g in got], pa.float64()),
+        pa.array([g[1].tolist() for g in got], pa.list_(pa.int64())),
+        pa.array([g[2].tolist() for g in got], pa.list_(pa.float64())),
+    ]
+
+
 def _judged(model, score: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = model.value
@@ -311,18 +322,28 @@ def _judged(model, score: str):
             ]
             keep = [i for i, name in enumerate(batch.schema.names) if name not in ("terms_", "counts_")]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(i) for i in keep),
-                    pa.array([g[0] for g in got], pa.float64()),
-                    pa.array([g[1].tolist() for g in got], pa.list_(pa.int64())),
-                    pa.array([g[2].tolist() for g in got], pa.list_(pa.float64())),
-                ],
+                [*(batch.column(i) for i in keep), *_verdicts(got)],
                 [*(batch.schema.names[i] for i in keep), score, "neighbours", "cosines"],
             )
 
     return run
 
 
+def _read_and_judged(model, vocabulary, text: str, score: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, known = model.value, _Known({t: i for i, t in enumerate(vocabulary.value)})
+        for batch in batches:
+            got = []
+            for t in batch.column(text):
+                terms, counts = _terms_in(t.as_py() or "", known)
+                got.append(index.judge(np.array(terms, np.int64), np.array(counts, np.float64)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *_verdicts(got)], [*batch.schema.names, score, "neighbours", "cosines"]
+            )
+
+    return run
+
+
 def judge(ready: DataFrame, index: NearestExamples, score_col: str = "score") -> DataFrame:
     """The rows of ``fit_and_cut`` with a score and, as evidence, the neighbours' ids and cosines."""
     shared = ready.sparkSession.sparkContext.broadcast(index)
@@ -347,6 +368,9 @@ def score_toxicity(
     index, vocabulary, ready = fit_and_cut(docs, labels, learn, text_col)
     if not with_text:  # few bytes, much work: deal it to more tasks than its size asks for
         return judge(ready.repartition(parallelism(ready.sparkSession)), index)
-    # Cutting the texts again costs less than carrying them through storage.
-    (text,) = fresh_name(docs, "text_")
-    return judge(cut_to_terms(docs.withColumn(text, text_or_empty(F.col(text_col))), vocabulary, text), index)
+    # Reading the texts again costs less than carrying them through storage.
+    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    context = docs.sparkSession.sparkContext
+    run = _read_and_judged(context.broadcast(index), context.broadcast(vocabulary), text_col, "score")
+    schema = extended(docs.schema, score=DOUBLE, neighbours=array_of(LONG), cosines=array_of(DOUBLE))
+    return docs.mapInArrow(run, schema)
