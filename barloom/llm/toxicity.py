@@ -1,14 +1,16 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are lower-cased words and word beginnings of four to six letters. From a bounded labelled
-sample the terms that prefer one label beyond chance (likelihood ratio) become the vocabulary; their document frequencies come from all documents. The examples go into an
-inverted index cut into blocks of examples: for every term and block the largest weight is
-kept, so a block whose bound cannot reach the current k-th neighbour is skipped without a loss.
+Terms are lower-cased words and word beginnings of four to six letters. The vocabulary is every
+term of a bounded labelled sample; document frequencies come from all documents, and a term that
+prefers one label counts more by its likelihood ratio. A term that no example holds changes no
+order of neighbours, so it is left out of a text's length too. Cosines with all examples are
+computed in single precision, common terms by a matrix product and the others from postings;
+whatever its error could put among the nearest is compared again exactly, so nothing is lost.
 Votes weighted by distance are turned into probabilities by a monotone fit on the examples
 themselves, each judged without its own vote, at the class shares of all labels.
 
-The corpus is read once to cut texts to their terms (written, small) and only those are scored.
-Vocabulary and examples are bounded by parameters, so index and broadcast are too.
+The corpus is read twice, for document frequencies and for verdicts; nothing of it is written.
+Vocabulary and examples are bounded by the sample, so index and broadcast are too.
 """
 
 from __future__ import annotations
@@ -22,15 +24,16 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import DOUBLE, INT, LONG, array_of, extended, fresh_name, parallelism, text_or_empty, written
+from barloom.llm.common import DOUBLE, LONG, array_of, extended, text_or_empty, written
 from barloom.llm.quality import labelled_sample
 
-SAMPLE_PER_CLASS, MOST_TERMS, NEIGHBOURS, BLOCK = 2000, 2000, 15, 256
+SAMPLE_PER_CLASS, NEIGHBOURS, BLOCK, COMMON = 2000, 15, 256, 16
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
-BEGINNINGS, CACHED_WORDS = (4, 5, 6), 300_000
+BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -83,79 +86,113 @@ def one_of_each_family(sample: DataFrame) -> DataFrame:
     return sample.join(F.broadcast(ids), "doc_id", "left_semi")
 
 
-def choose_terms(sample: DataFrame, most: int = MOST_TERMS) -> list[str]:
-    """The terms that prefer one class most, by the likelihood ratio against equal rates.
+def weigh_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
+    """All terms of the sample in order, and for each how far it prefers one class.
 
-    Rates are per distinct term of a class, not per document, so a class of longer documents does
-    not make every rare term look telling. A term must exceed twice the logarithm of the number
-    of terms compared, which chance alone is not expected to reach for any of them.
+    That is the square of 1 and the likelihood ratio against equal rates, in units of what chance
+    alone reaches among so many terms (twice the logarithm of their number). It is a weight, never a
+    gate: a term without any preference counts like in plain TF-IDF. Rates are per distinct term
+    of a class, not per document, so a class of longer documents does not make every rare term
+    look telling.
     """
     counts = (
         sample.select("text", F.col("y").cast("int").alias("y"))
         .mapInArrow(_document_terms, "term string, clean long, toxic long")
         .groupBy("term")
-        .agg(F.sum("clean").cast("double").alias("a"), F.sum("toxic").cast("double").alias("b"))
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .toArrow()
+        .sort_by("term")
     )
-    n, na, nb = counts.agg(F.count(F.lit(1)), F.sum("a"), F.sum("b")).first()
-    if not na or not nb:
-        return []
-    both = F.col("a") + F.col("b")
-
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-    ratio = 2 * (part(F.col("a"), both * (na / (na + nb))) + part(F.col("b"), both * (nb / (na + nb))))
-    best = counts.withColumn("ratio", ratio).filter(F.col("ratio") >= 2 * math.log(n))
-    return [r["term"] for r in best.orderBy(F.col("ratio").desc(), "term").limit(most).collect()]
+    held = np.array([counts["clean"].to_numpy(), counts["toxic"].to_numpy()], np.float64).reshape(2, -1)
+    totals = held.sum(1, keepdims=True)
+    weight = np.ones(held.shape[1])
+    if totals.all():
+        expected = held.sum(0) * totals / totals.sum()
+        ratio = 2 * (held * np.log(np.where(held > 0, held, 1) / np.where(held > 0, expected, 1))).sum(0)
+        weight += np.maximum(ratio, 0) / (2 * math.log(max(2, len(weight))))
+    return counts["term"].to_pylist(), weight**2
 
 
 class _Known(dict):
-    """The vocabulary's numbers of a word's terms."""
-
-    def __init__(self, number: dict[str, int]):
-        super().__init__()
-        self.number = number
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        found = tuple(self.number[t] for t in terms_of(word) if t in self.number)
-        if len(word) <= 40:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = found
-        return found
+    """A row for each word of the vocabulary met, with the numbers of its terms, -1 for none.
 
+    Other words can hold known beginnings; these go to ``extra`` and the word gets the empty row
+    0. So what is kept is bounded by the vocabulary, and stays from task to task in a worker.
+    """
 
-def _terms_in(text: str, known: _Known) -> tuple[list[int], list[int]]:
+    def __init__(self, vocabulary: list[str]):
+        super().__init__()
+        self.number = {t: i for i, t in enumerate(vocabulary)}
+        self.rows = np.full((1 + sum(t[-1] == "$" for t in vocabulary), 1 + len(BEGINNINGS)), -1, np.int32)
+        self.extra: list[int] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self.number
+        whole = number.get(word + "$", -1)
+        if whole < 0:
+            for n in BEGINNINGS:
+                if len(word) < n or (found := number.get(word[:n], -1)) < 0:
+                    break  # no longer beginning is known either
+                self.extra.append(found)
+            return 0
+        row = self[word] = len(self) + 1
+        found = [number.get(t, -1) for t in terms_of(word)]
+        self.rows[row, : len(found)] = found
+        return row
+
+
+def _terms_in(text: str, known: _Known) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and counts of the vocabulary's terms in a text."""
-    words = Counter(_WORD.findall(text.lower()))
-    held: Counter = Counter()
-    for w in words:
-        for i in known[w]:
-            held[i] += words[w]
-    at = sorted(held)
-    return at, [held[i] for i in at]
-
-
-def _cut(vocabulary, text: str):
+    words = _WORD.findall(text.lower())
+    at = known.rows[np.fromiter(map(known.__getitem__, words), np.int64, len(words))].ravel()
+    if known.extra:
+        at = np.concatenate([at, np.array(known.extra, np.int32)])
+        known.extra.clear()
+    at.sort()
+    at = at[np.searchsorted(at, 0) :]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return at[first], np.diff(first, append=len(at))
+
+
+def _cut(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known({t: i for i, t in enumerate(vocabulary.value)})
+        known = vocabulary.value
         for batch in batches:
-            found = [_terms_in(t, known) for t in batch.column(text).to_pylist()]
+            found = [_terms_in(t, known) for t in batch.column("text").to_pylist()]
             ids, counts = [f[0] for f in found], [f[1] for f in found]
-            keep = [i for i, name in enumerate(batch.schema.names) if name != text]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in keep), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64()))],
-                [*(batch.schema.names[i] for i in keep), "terms_", "counts_"],
+                [batch.column("doc_id"), batch.column("y"), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
+                ["doc_id", "y", "terms", "counts"],
             )
 
     return run
 
 
-def cut_to_terms(docs: DataFrame, vocabulary: list[str], text: str) -> DataFrame:
-    """``docs`` with the numbers and counts of the vocabulary's terms in place of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    schema = extended(docs.drop(text).schema, terms_=array_of(INT), counts_=array_of(LONG))
-    return docs.mapInArrow(_cut(shared, text), schema)
+def _holding(vocabulary, text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary.value
+        rows, held = 0, np.zeros(len(known.number), np.int64)
+        for batch in batches:
+            rows += batch.num_rows
+            for t in batch.column(text):
+                held[_terms_in(t.as_py(), known)[0]] += 1
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([rows], pa.int64())], ["term", "held"])
+        for i in range(0, len(at), 50_000):
+            part = at[i : i + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(held[part])], ["term", "held"])
+
+    return run
+
+
+def document_frequencies(docs: DataFrame, vocabulary, n_terms: int, text: str) -> tuple[int, np.ndarray]:
+    """The number of all documents, and of those that hold each term of the vocabulary."""
+    held = docs.select(text_or_empty(F.col(text)).alias("text")).mapInArrow(_holding(vocabulary, "text"), "term int, held long")
+    summed = held.groupBy("term").agg(F.sum("held").alias("held")).toArrow()  # one row for each term
+    terms, counts = summed["term"].to_numpy(), summed["held"].to_numpy()
+    df = np.zeros(n_terms, np.int64)
+    df[terms[terms >= 0]] = counts[terms >= 0]
+    return int(counts[terms < 0].sum()), df
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,84 +214,126 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 @dataclass
 class NearestExamples:
-    """The examples' inverted index. ``ids`` are the examples' document ids, in index order."""
+    """The examples' index. ``ids`` are the examples' document ids, in index order.
+
+    ``terms`` and ``weights`` hold the examples' vectors one after the other. Terms of many
+    examples are rows of ``common``, the others have postings.
+    """
 
     ids: np.ndarray
     labels: np.ndarray
     idf: np.ndarray
-    posting_start: np.ndarray
-    posting_example: np.ndarray
-    posting_weight: np.ndarray
-    block_most: np.ndarray
     neighbours: int
     without_terms: float
     at: np.ndarray
     value: np.ndarray
+    start: np.ndarray
+    terms: np.ndarray
+    weights: np.ndarray
+
+    def arrange(self) -> None:
+        """Postings and the rows of common terms, from the examples' vectors."""
+        n, m = len(self.ids), len(self.idf)
+        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
+        held = np.bincount(self.terms, minlength=m)
+        common = np.flatnonzero(held * COMMON >= max(n, 1))
+        self.common_at = np.full(m, -1, np.int32)
+        self.common_at[common] = np.arange(len(common))
+        row = self.common_at[self.terms]
+        self.common = np.zeros((len(common), n), np.float32)
+        self.common[row[row >= 0], example[row >= 0]] = self.weights[row >= 0]
+        rare = np.flatnonzero(row < 0)
+        rare = rare[np.argsort(self.terms[rare], kind="stable")]
+        self.posting_example, self.posting_weight = example[rare], self.weights[rare].astype(np.float32)
+        self.posting_start = np.concatenate([[0], np.cumsum(np.bincount(self.terms[rare], minlength=m))])
+        self.whole = np.zeros(m)
+
+    def __getstate__(self) -> dict:
+        made = ("common_at", "common", "posting_example", "posting_weight", "posting_start", "whole")
+        return {k: v for k, v in self.__dict__.items() if k not in made}
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         v = (1 + np.log(counts)) * self.idf[terms]
         norm = np.sqrt(v @ v)
         return v / norm if norm else v
 
+    def rough(self, terms: list[np.ndarray], vectors: list[np.ndarray]) -> np.ndarray:
+        """Cosines of some texts with all examples in single precision, a row for each text."""
+        if not hasattr(self, "whole"):
+            self.arrange()
+        out = np.empty((len(terms), len(self.ids)), np.float32)
+        wide = np.zeros((len(terms), len(self.common)), np.float32)
+        for i, (t, v) in enumerate(zip(terms, vectors, strict=True)):
+            at = self.common_at[t]
+            wide[i, at[at >= 0]] = v[at >= 0]
+            t, v = t[at < 0], v[at < 0].astype(np.float32)
+            first = self.posting_start[t]
+            sizes = self.posting_start[t + 1] - first
+            before = np.cumsum(sizes) - sizes
+            where = np.repeat(first - before, sizes)
+            where += np.arange(len(where))
+            out[i] = np.bincount(self.posting_example[where], self.posting_weight[where] * np.repeat(v, sizes), len(self.ids))
+        out += wide @ self.common
+        return out
+
+    def best(self, terms: np.ndarray, vector: np.ndarray, rough: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The examples of the largest cosines above zero, ties by their order, and the cosines.
+
+        All that the error of single precision could put among them are compared exactly.
+        """
+        k = min(self.neighbours, len(rough))
+        least = np.partition(rough, len(rough) - k)[len(rough) - k] if k else 0.0
+        found = np.flatnonzero((rough > 0) & (rough >= least - 4 * (len(self.common) + 64) * 2.0**-24))
+        self.whole[terms] = vector
+        cosines = np.array([self.whole[self.terms[a:b]] @ self.weights[a:b] for a, b in zip(self.start[found], self.start[found + 1], strict=True)])
+        self.whole[terms] = 0
+        order = np.lexsort((found, -np.round(cosines, 12)))[:k]
+        return found[order], cosines[order]
+
     def nearest(self, terms: np.ndarray, vector: np.ndarray, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The examples of the largest cosines above zero, ties by their order, and the cosines."""
-        bound = vector @ self.block_most[terms]
-        blocks = np.argsort(-bound, kind="stable")
-        best_at, best = np.empty(0, np.int64), np.empty(0)
-        for b in blocks:
-            if bound[b] <= 0 or (len(best) == self.neighbours and bound[b] < best[-1] - 1e-12):
-                break
-            first, last = b * BLOCK, min((b + 1) * BLOCK, len(self.ids))
-            score = np.zeros(last - first)
-            for t, q in zip(terms, vector, strict=True):
-                lo, hi = self.posting_start[t], self.posting_start[t + 1]
-                held = self.posting_example[lo:hi]
-                i, j = np.searchsorted(held, [first, last])
-                score[held[i:j] - first] += q * self.posting_weight[lo + i : lo + j]
-            if first <= leave_out < last:
-                score[leave_out - first] = 0
-            found = np.flatnonzero(score > 0)
-            best_at, best = np.concatenate([best_at, found + first]), np.concatenate([best, score[found]])
-            order = np.lexsort((best_at, -np.round(best, 12)))[: self.neighbours]
-            best_at, best = best_at[order], best[order]
-        return best_at, best
+        rough = self.rough([terms], [vector])[0]
+        if leave_out >= 0:
+            rough[leave_out] = 0
+        return self.best(terms, vector, rough)
 
     def vote(self, at: np.ndarray, cosines: np.ndarray) -> float:
         weight = 1 / (1.05 - np.minimum(cosines, 1))
         return float(weight @ self.labels[at] / weight.sum())
 
-    def judge(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Score, neighbours and their cosines."""
-        if len(terms):
-            at, cosines = self.nearest(terms, self.vector(terms, counts))
-            if len(at):
-                return float(np.interp(self.vote(at, cosines), self.at, self.value)), self.ids[at], cosines
-        return self.without_terms, self.ids[:0], np.empty(0)
+    def judge(self, terms: list[np.ndarray], counts: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, neighbours and their cosines of each text."""
+        out = [(self.without_terms, self.ids[:0], np.empty(0))] * len(terms)
+        full = [i for i, t in enumerate(terms) if len(t) and len(self.ids)]
+        for first in range(0, len(full), BLOCK):
+            part = full[first : first + BLOCK]
+            vectors = [self.vector(terms[i], counts[i]) for i in part]
+            for i, v, rough in zip(part, vectors, self.rough([terms[i] for i in part], vectors), strict=True):
+                at, cosines = self.best(terms[i], v, rough)
+                if len(at):
+                    out[i] = float(np.interp(self.vote(at, cosines), self.at, self.value)), self.ids[at], cosines
+        return out
 
 
 def build_index(
     ids: np.ndarray, labels: np.ndarray, terms: list, counts: list, idf: np.ndarray, share: float, neighbours: int = NEIGHBOURS
 ) -> NearestExamples:
     """Index and calibration; ``share`` is the share of toxic rows among all labels."""
-    n, m = len(ids), len(idf)
-    index = NearestExamples(ids, labels, idf, *([np.empty(0)] * 4), neighbours, share, np.array([0.0]), np.array([share]))
+    n = len(ids)
+    start = np.concatenate([[0], np.cumsum([len(t) for t in terms])]).astype(np.int64)
+    index = NearestExamples(
+        ids, labels, idf, neighbours, share, np.array([0.0]), np.array([share]), start, np.concatenate([*terms, np.empty(0)]).astype(np.int32), np.empty(0)
+    )
     vectors = [index.vector(t, c) for t, c in zip(terms, counts, strict=True)]
-    term = np.concatenate([*terms, np.empty(0)]).astype(np.int64)
-    example = np.repeat(np.arange(n), [len(t) for t in terms])
-    weight = np.concatenate([*vectors, np.empty(0)])
-    order = np.lexsort((example, term))
-    index.posting_example, index.posting_weight = example[order], weight[order]
-    index.posting_start = np.searchsorted(term[order], np.arange(m + 1))
-    index.block_most = np.zeros((m, max(1, -(-n // BLOCK))))
-    np.maximum.at(index.block_most, (term, example // BLOCK), weight)
+    index.weights = np.concatenate([*vectors, np.empty(0)])
     # Rows stand for their class's share among all labels.
     toxic = max(1, int(labels.sum()))
     row_weight = np.where(labels == 1, share / toxic, (1 - share) / max(1, n - toxic))
-    empty = np.array([not len(t) for t in terms], bool)
     votes, has = np.zeros(n), np.zeros(n, bool)
-    for i in range(n):
-        if not empty[i]:
-            at, cosines = index.nearest(terms[i], vectors[i], leave_out=i)
+    for first in range(0, n, BLOCK):
+        rough = index.rough(terms[first : first + BLOCK], vectors[first : first + BLOCK])
+        for i in range(first, first + len(rough)):
+            rough[i - first, i] = 0
+            at, cosines = index.best(terms[i], vectors[i], rough[i - first])
             if len(at):
                 votes[i], has[i] = index.vote(at, cosines), True
     if has.any():
@@ -267,41 +346,39 @@ def build_index(
     return index
 
 
-def fit_and_cut(
+def fit(
     docs: DataFrame,
     labels: DataFrame,
     learn: Column,
     text_col: str = "text",
     per_class: int = SAMPLE_PER_CLASS,
-) -> tuple[NearestExamples, list[str], DataFrame]:
-    """The index, its vocabulary, and all documents without text but with their terms (written).
+) -> tuple[NearestExamples, Broadcast]:
+    """The index and, shared, its vocabulary.
 
     ``learn`` picks by ``doc_id`` the labelled rows that may be learnt from; at most
     ``per_class`` of each class are.
     """
     sample = written(labelled_sample(docs, labels, "toxic", learn, per_class), "labelled")
     sample = written(one_of_each_family(sample), "examples")
-    vocabulary = choose_terms(sample)
-    (text,) = fresh_name(docs, "text_")
-    lean = docs.withColumn(text, text_or_empty(F.col(text_col))).drop(text_col)
-    ready = written(cut_to_terms(lean, vocabulary, text), "terms")
-    n = ready.count()
-    df = np.zeros(len(vocabulary))
-    for r in ready.select(F.explode("terms_").alias("t")).groupBy("t").count().collect():  # one row for each term
-        df[r["t"]] = r["count"]
-    idf = np.log((1 + n) / (1 + df)) + 0.1
-    rows = cut_to_terms(sample.select("doc_id", "y", "text"), vocabulary, "text").orderBy("doc_id").collect()
+    vocabulary, weight = weigh_terms(sample)
+    shared = docs.sparkSession.sparkContext.broadcast(_Known(vocabulary))
+    n, df = document_frequencies(docs, shared, len(vocabulary), text_col)
+    idf = (np.log((1 + n) / (1 + df)) + 0.1) * weight
+    cut = sample.select("doc_id", F.col("y").cast("int").alias("y"), "text").mapInArrow(
+        _cut(shared), "doc_id long, y int, terms array<int>, counts array<int>"
+    )
+    rows = cut.toArrow().sort_by("doc_id")
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     share = known.filter(learn).agg(F.avg(F.col("y").cast("double"))).first()[0]
     index = build_index(
-        np.array([r["doc_id"] for r in rows], np.int64),
-        np.array([r["y"] for r in rows], np.int64),
-        [np.array(r["terms_"], np.int64) for r in rows],
-        [np.array(r["counts_"], np.float64) for r in rows],
+        rows["doc_id"].to_numpy().astype(np.int64),
+        rows["y"].to_numpy().astype(np.int64),
+        [t.values.to_numpy().astype(np.int64) for t in rows["terms"]],
+        [c.values.to_numpy().astype(np.float64) for c in rows["counts"]],
         idf,
         float(share or 0.0),
     )
-    return index, vocabulary, ready
+    return index, shared
 
 
 def _verdicts(got: list[tuple[float, np.ndarray, np.ndarray]]) -> list[pa.Array]:
@@ -312,65 +389,39 @@ def _verdicts(got: list[tuple[float, np.ndarray, np.ndarray]]) -> list[pa.Array]
     ]
 
 
-def _judged(model, score: str):
+def _judged(model, vocabulary, text: str, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = model.value
-        for batch in batches:
-            got = [
-                index.judge(np.array(t, np.int64), np.array(c, np.float64))
-                for t, c in zip(batch.column("terms_").to_pylist(), batch.column("counts_").to_pylist(), strict=True)
-            ]
-            keep = [i for i, name in enumerate(batch.schema.names) if name not in ("terms_", "counts_")]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in keep), *_verdicts(got)],
-                [*(batch.schema.names[i] for i in keep), score, "neighbours", "cosines"],
-            )
-
-    return run
-
-
-def _read_and_judged(model, vocabulary, text: str, score: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, known = model.value, _Known({t: i for i, t in enumerate(vocabulary.value)})
+        index, known = model.value, vocabulary.value
         for batch in batches:
             got = []
-            for t in batch.column(text):
-                terms, counts = _terms_in(t.as_py() or "", known)
-                got.append(index.judge(np.array(terms, np.int64), np.array(counts, np.float64)))
+            for first in range(0, batch.num_rows, BLOCK):
+                found = [_terms_in(t.as_py() or "", known) for t in batch.column(text).slice(first, BLOCK)]
+                got += index.judge([f[0] for f in found], [f[1] for f in found])
+            keep = [i for i, name in enumerate(batch.schema.names) if keep_text or name != text]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *_verdicts(got)], [*batch.schema.names, score, "neighbours", "cosines"]
+                [*(batch.column(i) for i in keep), *_verdicts(got)],
+                [*(batch.schema.names[i] for i in keep), "score", "neighbours", "cosines"],
             )
 
     return run
 
 
-def judge(ready: DataFrame, index: NearestExamples, score_col: str = "score") -> DataFrame:
-    """The rows of ``fit_and_cut`` with a score and, as evidence, the neighbours' ids and cosines."""
-    shared = ready.sparkSession.sparkContext.broadcast(index)
-    schema = ready.drop("terms_", "counts_").schema
-    schema = extended(schema, **{score_col: DOUBLE}, neighbours=array_of(LONG), cosines=array_of(DOUBLE))
-    return ready.mapInArrow(_judged(shared, score_col), schema)
-
-
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, learn: Column, text_col: str = "text", with_text: bool = False
 ) -> DataFrame:
     """``docs`` with ``score``, ``neighbours`` and ``cosines``, and its text if ``with_text``.
 
-    The score is the calibrated probability that a text is toxic. A text without any term of
-    the vocabulary (also a null or empty one) has no neighbours and the share of toxic rows
+    The score is the calibrated probability that a text is toxic. A text that shares no term
+    with any example (also a null or empty one) has no neighbours and the share of toxic rows
     among such examples as its score. Equal texts have equal scores; ties between neighbours
     go to the smaller id. Without labels of both classes the score is the share of toxic labels,
     zero without labels. Columns named like a result are replaced; others pass through.
     """
-    taken = {"score", "neighbours", "cosines", "terms_", "counts_"} - {text_col}
+    taken = {"score", "neighbours", "cosines"} - {text_col}
     docs = docs.drop(*[c for c in docs.columns if c.lower() in taken])
-    index, vocabulary, ready = fit_and_cut(docs, labels, learn, text_col)
-    if not with_text:  # few bytes, much work: deal it to more tasks than its size asks for
-        return judge(ready.repartition(parallelism(ready.sparkSession)), index)
-    # Reading the texts again costs less than carrying them through storage.
+    index, vocabulary = fit(docs, labels, learn, text_col)
+    # Reading the texts again costs less than carrying their terms through storage.
     docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
-    context = docs.sparkSession.sparkContext
-    run = _read_and_judged(context.broadcast(index), context.broadcast(vocabulary), text_col, "score")
-    schema = extended(docs.schema, score=DOUBLE, neighbours=array_of(LONG), cosines=array_of(DOUBLE))
-    return docs.mapInArrow(run, schema)
+    run = _judged(docs.sparkSession.sparkContext.broadcast(index), vocabulary, text_col, with_text)
+    schema = docs.schema if with_text else docs.drop(text_col).schema
+    return docs.mapInArrow(run, extended(schema, score=DOUBLE, neighbours=array_of(LONG), cosines=array_of(DOUBLE)))

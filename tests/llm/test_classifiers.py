@@ -160,3 +160,21 @@ def test_host_path_overrules_a_pages_own_choice():
     assert extract.main_text(page, []).startswith("Not the article")
     assert extract.main_text(page, [">html>body>article"]) == "Short text."
     assert extract.main_text(page, [">html>body>main", ">html>body>article"]) == "Short text."
+
+
+def test_toxicity_sees_every_term(spark):
+    """Words too rare to single out by themselves, copies of labelled examples, and texts of words without preference."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(330):
+        words = [f"{rng.choice(WORDS)}{rng.choice('aeiou')}{rng.choice('lmnrst')}" for _ in range(rng.randrange(30, 90))]
+        if i % 8 == 1:  # each telling word stands in about two examples
+            words.insert(rng.randrange(len(words)), f"{'bcdfghjklmnpqrstvwxz'[i // 8 % 20]}uvile")
+        rows.append((i, " ".join(words), int(i % 8 == 1)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(i + 1000, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs, labels, F.lit(True)).collect()}
+    assert all(len(r.neighbours) == toxicity.NEIGHBOURS for r in got.values())
+    assert all(abs(got[i + 1000].cosines[0] - 1) < 1e-9 and got[i + 1000].neighbours[0] == i for i, _, _ in rows)
+    assert np.mean([got[i + 1000].score >= 0.5 for i, _, x in rows if x]) >= 0.95
+    assert np.mean([got[i + 1000].score >= 0.5 for i, _, x in rows if not x]) <= 0.05
