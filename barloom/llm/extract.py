@@ -2,8 +2,9 @@
 
 First pass: every page is cut into blocks, each container is scored by the plain text it holds
 below it (links count against it, nearer text counts more), and the page votes for the
-generalised path of its best containers: tags with their classes, digits as 0. Spark sums the
-votes by host and path. Second pass: every page is cut again below the best path of its host
+generalised path of its best containers: tags with their classes, digits as 0. A container stands
+for the outermost one around it that adds mostly plain text, so a title or lead outside the
+body's own container stays. Spark sums the votes by host and path. Second pass: every page is cut again below the best path of its host
 that it has; a page with none of them uses its own best container.
 
 Votes are reduced on the map side, so a host with a third of all pages is a few rows for each task. Winners
@@ -50,10 +51,11 @@ PATHS_FOR_EACH_HOST, PATHS_FOR_EACH_PAGE, NEARER = 3, 2, 0.6
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "unwanted", "score", "container")
+    __slots__ = ("tag", "path", "parent", "unwanted", "score", "container", "size", "linked", "own")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag, self.parent, self.score = tag, parent, 0.0
+        self.size = self.linked = self.own = 0
         found = {}
         if attributes and not attributes.isspace():
             for m in _ATTRIBUTE.finditer(attributes):
@@ -161,16 +163,40 @@ def _below(block: Block, top: Element | None) -> bool:
     return top is None and not seen
 
 
+def whole_of(e: Element) -> Element:
+    """The outermost container around ``e`` that adds mostly plain text to it.
+
+    An article grows only to the article or main around it, and the whole page is taken only if no
+    container beside ``e`` holds text.
+    """
+    best, p = e, e.parent
+    while p is not None:
+        more = p.size - best.size
+        if p.container and more > 0 and 2 * (p.linked - best.linked) <= more:
+            page = p.tag in ("html", "body")
+            if p.tag in ("article", "main") or best.tag not in ("article", "main") and not (page and more > p.own):
+                best = p
+        p = p.parent
+    return best
+
+
 def ranked_containers(blocks: list[Block]) -> list[Element]:
     """Containers with the text they hold, best first."""
     held: dict[int, Element] = {}
     for b in blocks:
         good = max(0, len(b.text) - 3 * b.linked)
         share = 1.0
-        e = b.owner
+        e, within, nearest = b.owner, False, True
         while e is not None:
-            if e.unwanted and not (b.heading and e.tag == "header"):
-                break
+            if e.unwanted:
+                if not (b.heading and e.tag == "header"):
+                    break
+                within = True
+            elif e.container and (not within or e.tag in ("article", "main")):
+                e.size += len(b.text)
+                e.linked += b.linked
+                e.own += len(b.text) * nearest
+                nearest = False
             if e.container:
                 e.score += good * share * (1.5 if e.tag in ("article", "main") else 1.0)
                 held[id(e)] = e
@@ -189,7 +215,7 @@ def main_text(page: str, paths: list[str]) -> str:
         if tops:
             break
     else:
-        tops = found[:1]
+        tops = [whole_of(e) for e in found[:1]]
     chosen = {id(e): e for e in tops}
     out = []
     for b in blocks:
@@ -211,7 +237,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = sum(e.score for e in best)
             for e in best:
                 if e.score > 0:
-                    v = held[host, e.path]
+                    v = held[host, whole_of(e).path]
                     v[0] += int(1_000_000 * e.score / total)
         keys = list(held)
         yield pa.RecordBatch.from_arrays(

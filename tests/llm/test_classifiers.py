@@ -178,3 +178,20 @@ def test_toxicity_sees_every_term(spark):
     assert all(abs(got[i + 1000].cosines[0] - 1) < 1e-9 and got[i + 1000].neighbours[0] == i for i, _, _ in rows)
     assert np.mean([got[i + 1000].score >= 0.5 for i, _, x in rows if x]) >= 0.95
     assert np.mean([got[i + 1000].score >= 0.5 for i, _, x in rows if not x]) <= 0.05
+
+
+def test_title_and_lead_outside_the_body_container_stay(spark):
+    body = "Many words of the body, and more of them. " * 60
+    head = "<html><body><nav><p><a href=/>home and other links</a></p></nav>"
+    title = f"{head}<article><h1>A title of the page</h1><div class='content'><p>{body}</p></div></article></body></html>"
+    lead = f"{head}<div class='post'><div class='lead'><p>The lead.</p></div><div class='text'><p>{body}</p></div></div></body></html>"
+    linked = f"{head}<div class='outer'><div class='text'><p>{body}</p></div><div class='more'><a href=x>{'Other pages. ' * 9}</a></div></div></body></html>"
+    bare = f"<html><body><h1>A title</h1><div class='text'><p>{body}</p></div></body></html>"
+    assert extract.main_text(title, []) == f"A title of the page\n\n{body.strip()}"
+    assert extract.main_text(lead, []) == f"The lead.\n\n{body.strip()}"
+    assert extract.main_text(linked, []) == body.strip()
+    assert extract.main_text(bare, []) == f"A title\n\n{body.strip()}"
+    short = title.replace(body, "Short.")
+    rows = [(i, f"https://t.example/{i}", short if i == 3 else title) for i in range(4)]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0].startswith("A title of the page\n\nMany") and got[3] == "A title of the page\n\nShort."
