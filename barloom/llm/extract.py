@@ -7,6 +7,12 @@ for the outermost one around it that adds mostly plain text, so a title or lead
 body's own container stays. Spark sums the votes by host and path. Second pass: every page is cut again below the best path of its host
 that it has; a page with none of them uses its own best container.
 
+Left out from a chosen container, by what they are: script, style, textarea, the page's title element,
+noscript, iframe, template, svg, select, xmp and MathML annotations; nav, header (but not
+headings in it below an article or main), footer, aside, form, menu, dialog and button; hidden
+elements; and containers, lists, tables and figures with a word of ``UNWANTED`` in their class or
+role, or in their id unless they are sections.
+
 Votes are reduced on the map side, so a host with a third of all pages is a few rows for each task. Winners
 are one short row for each host and rank; whether they are broadcast is decided by their size.
 """
@@ -26,15 +32,17 @@ from barloom.llm.common import fresh_name, text_or_empty
 
 # Elements of HTML by their part in this extraction.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript iframe template svg math object select xmp".split())
+RAW = set("script style textarea title noscript iframe template svg select xmp annotation annotation-xml".split())
 CONTAINERS = set("html body main article section div td form aside header footer nav center fieldset details dialog".split())
 BLOCKS = CONTAINERS | set(
     "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr th caption blockquote pre figure figcaption hr address summary menu".split()
 )
-NEVER = set("nav header footer aside form menu dialog button figcaption".split())
+NEVER = set("nav header footer aside form menu dialog button".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: A start tag that closes an open element of the same set before it.
 CLOSES = [({"p"}, BLOCKS), ({"li"}, {"li"}), ({"dt", "dd"}, {"dt", "dd"}), ({"tr", "td", "th"}, {"tr"}), ({"td", "th"}, {"td", "th"})]
+#: Elements that words can exclude; headings, paragraphs and other text never are.
+WORDED = CONTAINERS | set("ul ol dl table figure".split())
 #: Words in class, id or role of what is not the article.
 UNWANTED = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
@@ -65,7 +73,12 @@ class Element:
         step = tag + "".join(sorted({"." + re.sub(r"\d+", "0", n.lower()) for n in names.split()})) if names else tag
         above = parent.path if parent else ""
         self.path = f"{above}>{step}" if self.container else above
-        words = set(_WORDS.findall(f"{names} {found.get('role', '')}".lower())) if found else ()
+        words = ()
+        if found and tag in WORDED:
+            classes = found.get("class", "")
+            # The id of a section is its title, not its part of the page.
+            section = tag in ("section", "article") or "section" in classes.lower().split()
+            words = set(_WORDS.findall(f"{classes if section else names} {found.get('role', '')}".lower()))
         hidden = found and (
             "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
         )

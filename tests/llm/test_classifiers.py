@@ -195,3 +195,18 @@ def test_title_and_lead_outside_the_body_container_stay(spark):
     rows = [(i, f"https://t.example/{i}", short if i == 3 else title) for i in range(4)]
     got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[0].startswith("A title of the page\n\nMany") and got[3] == "A title of the page\n\nShort."
+
+
+def test_article_text_is_not_dropped_by_tag_or_id():
+    parts = {
+        '<section id="discussion"><h2 id="search">Discussion</h2><p>It holds.</p></section>': ["Discussion", "It holds."],
+        '<div class="section" id="related-work"><h2 class="related">Related work</h2></div>': ["Related work"],
+        '<p class="alert">Mind this.</p>': ["Mind this."],
+        "<figure><img src=a><figcaption>A figure.</figcaption></figure>": ["A figure."],
+        "<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x = 1</annotation></math> be.</p>": ["Let x=1 be."],
+        "<object data=a><p>The fallback.</p></object>": ["The fallback."],
+        '<div class="related"><p>Other news.</p></div><div id="comments"><p>Nice.</p></div><ul class="menu"><li>Home</ul>': [],
+    }
+    page = f"<html><body><article><p>Start of it.</p>{''.join(parts)}</article></body></html>"
+    want = ["Start of it.", *(t for texts in parts.values() for t in texts)]
+    assert extract.main_text(page, [">html>body>article"]).split("\n\n") == want
