@@ -1,12 +1,13 @@
 """Licence families of paragraphs, with DataFrame functions only.
 
-A paragraph is a line. Its features are the word sequences of one to three words that hold an
-anchor: a word of the licence templates that hardly occurs elsewhere in the corpus. A
+A paragraph is a line. Its features are the word sequences of one to three words that hold a word
+of the licence templates, weighed by how rare that word is in all texts of the corpus, equal ones once. A
 multinomial logistic regression (Spark's own, sparse by an L1 share) learns the families from
 the templates, their variants with a word left out or text around them, and paragraphs of a
 bounded sample of the corpus as the class ``unknown``. Its probabilities are calibrated by a
-temperature fitted on variants kept out of training. A paragraph without an anchor has no feature and is
-``unknown`` by the intercepts, so texts without anchors are set aside by one array test.
+temperature fitted on variants kept out of training. A paragraph without such words has no feature and is
+``unknown`` by the intercepts, and so is one whose features together cannot outweigh them by an
+upper bound; only the others are scored.
 
 A prediction is confirmed by comparison: the share of a template's word triples that the
 paragraph holds, for the best template of the predicted family.
@@ -17,12 +18,14 @@ Templates, anchors and weights depend on the templates alone in size, a few thou
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,7 +67,7 @@ OTHERS = [
     "Students of the MIT met in the general hall",
 ]
 UNKNOWN = "unknown"
-SAMPLE_DOCUMENTS, RARE_SHARE, LONGEST_SEQUENCE, MOST_FEATURES = 300, 0.002, 3, 8192
+SAMPLE_DOCUMENTS, LONGEST_SEQUENCE, MOST_FEATURES, LEAST_RARITY, LEVELS = 300, 3, 8192, 0.4, 8
 AROUND, LEAST_PROBABILITY, LEAST_SIMILARITY = 4, 0.5, 0.75
 _WORD = "([a-z0-9]+(?:[.+-][a-z0-9]+)*)"
 
@@ -81,8 +84,7 @@ def sequences(w: Column, n: int) -> Column:
 
 def features(w: Column, anchors: list[str]) -> Column:
     """Distinct runs of one to three words around the anchors of ``w``, however long it is."""
-    known = F.array(*[F.lit(a) for a in anchors]) if anchors else F.array().cast("array<string>")
-    at = F.filter(F.transform(w, lambda x, i: F.when(F.array_contains(known, x), i + 1)), lambda i: i.isNotNull())
+    at = F.filter(F.transform(w, lambda x, i: F.when(x.isin(anchors), i + 1)), lambda i: i.isNotNull())
 
     def runs(n: int, back: int) -> Column:
         fits = F.filter(at, lambda i: (i - back >= 1) & (i - back + n - 1 <= F.size(w)))
@@ -107,6 +109,30 @@ def paragraphs(docs: DataFrame, text: str, number: str, part: str) -> DataFrame:
     return docs.select("*", F.posexplode(F.split(F.col(text), "\n")).alias(number, part))
 
 
+def rarities(docs: DataFrame, own: list[str]) -> dict[str, float]:
+    """For each word from ``LEAST_RARITY``, in every text, to 1, in none; all texts count, equal ones once."""
+    held = F.filter(F.array_distinct(words(F.col("text"))), lambda x: x.isin(own))
+    pairs = docs.select(F.xxhash64("text").alias("h"), F.explode(F.concat(held, F.array(F.lit("")))).alias("word")).distinct()
+    df = {r["word"]: r["count"] for r in pairs.groupBy("word").count().collect()}  # one row for each word
+    n = df.get("", 0)
+    span = (1 - LEAST_RARITY) / math.log(2 + n)
+    return {w: LEAST_RARITY + span * math.log((1 + n) / (1 + df.get(w, 0))) for w in own}
+
+
+def bound(grams: Column, model: LicenceModel) -> Column:
+    """At least what any family can gain on ``unknown`` by these grams, in halving levels."""
+    gains = {r["gram"]: max(r["w"][1:]) - r["w"][0] for r in model.weights}
+    most = max([*gains.values(), 0.0])
+    total, above = F.lit(0.0), most
+    for level in range(LEVELS):
+        below = above / 2 if level < LEVELS - 1 else 0.0
+        here = [g for g, x in gains.items() if below < x <= above]
+        if here:
+            total = total + F.size(F.filter(grams, lambda g: g.isin(here))) * F.lit(above)  # noqa: B023
+        above = below
+    return total
+
+
 @dataclass(frozen=True)
 class LicenceModel:
     families: list[str]
@@ -125,16 +151,16 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sample = written(paragraphs(sample, "text", "n", "part").select("part").filter("length(part) > 0"), "licence-sample")
     templates = _templates(spark)
     triples = sorted({r["t"] for r in templates.select(F.explode(sequences(F.col("words"), 3)).alias("t")).collect()})
-    # Licence lines of the sample say nothing about how rare a word is elsewhere.
+    # Licence lines of the sample are no examples of unknown.
     plain = ~F.arrays_overlap(sequences(words(F.col("part")), 3), F.array(*[F.lit(t) for t in triples]))
     sample = written(sample.filter(plain), "licence-sample")
-    own = templates.select(F.explode(F.array_distinct("words")).alias("word")).distinct()
-    total = max(1, sample.count())
-    seen = sample.select(F.explode(F.array_distinct(words(F.col("part")))).alias("word")).groupBy("word").count()
-    rare = own.join(seen, "word", "left").filter(F.coalesce("count", F.lit(0)) <= RARE_SHARE * total)
-    anchors = sorted(r["word"] for r in rare.filter("length(word) > 1").collect())
+    own = sorted({w for r in templates.select("words").collect() for w in r["words"]})
+    anchors = [w for w in own if len(w) > 1]
+    rarity = rarities(docs.select(text_or_empty(F.col(text_col)).alias("text")), own)
 
-    around = sample.orderBy(F.xxhash64("part"), "part").limit(AROUND).select(F.substring("part", 1, 200).alias("near")).collect()
+    # Different lines with the fewest template words: a notice of one source must not pass as unknown.
+    lines = sample.select(F.substring("part", 1, 200).alias("near")).distinct()
+    around = lines.orderBy(F.size(F.filter(words(F.col("near")), lambda x: x.isin(own))), F.xxhash64("near"), "near").limit(AROUND).collect()
     near = F.array(*[F.lit(r["near"]) for r in around]) if around else F.array().cast("array<string>")
     whole = templates.select("family", "words")
     dropped = templates.filter(F.size("words") > 3).select(
@@ -158,14 +184,17 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = whole.union(dropped).union(edged).union(others).union(alone)
     rows = rows.select(label.alias("label"), features(F.col("words"), anchors).alias("grams"), F.size("words").alias("n"))
     rows = written(rows.withColumn("aside", F.pmod(F.xxhash64("label", "grams", "n"), F.lit(5)) == 0), "licence-variants")
-    vectors = CountVectorizer(inputCol="grams", outputCol="vector", vocabSize=MOST_FEATURES, binary=True).fit(rows)
-    wide = vectors.transform(rows).cache()
+    vectors = CountVectorizer(inputCol="grams", outputCol="counted", vocabSize=MOST_FEATURES, binary=True).fit(rows)
+    # Rarity is a weight of the features; it is multiplied into the model's own weights below.
+    scale = [max(rarity[w] for w in g.split(" ") if w in rarity) for g in vectors.vocabulary]
+    weighed = ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol="counted", outputCol="vector")
+    wide = weighed.transform(vectors.transform(rows)).cache()
     fitted = LogisticRegression(
         featuresCol="vector", labelCol="label", family="multinomial", regParam=0.001, elasticNetParam=0.3, maxIter=60, standardization=False
     ).fit(wide.filter("not aside"))
     k = len(families)
     matrix, intercepts = np.zeros((k, len(vectors.vocabulary))), np.full(k, -20.0)
-    matrix[: fitted.coefficientMatrix.numRows] = fitted.coefficientMatrix.toArray()
+    matrix[: fitted.coefficientMatrix.numRows] = fitted.coefficientMatrix.toArray() * np.array(scale)
     intercepts[: fitted.numClasses] = fitted.interceptVector.toArray()
     aside = fitted.transform(wide.filter("aside")).select("label", vector_to_array("rawPrediction").alias("raw")).collect()
     wide.unpersist()
@@ -199,17 +228,21 @@ def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", with_text
     docs = docs.drop(*[c for c in docs.columns if c.lower() in result and c != text_col])
     text, row, w, gram, part = fresh_name(docs, "text_", "row_", "words_", "gram_", "part_")
     others = [c for c in docs.columns if c != text_col]
-    anchors = F.array(*[F.lit(a) for a in model.anchors] or [F.lit("")])
     held = docs.select(*others, text_or_empty(F.col(text_col)).alias(text))
-    held = held.filter(F.arrays_overlap(words(F.col(text)), anchors))
     lines = paragraphs(held, text, "paragraph", part).drop(text).withColumn(w, words(F.col(part)))
-    # Few lines remain: they are written once, with a number that later joins can use.
-    lines = lines.filter(F.arrays_overlap(F.col(w), anchors)).withColumn(row, F.monotonically_increasing_id())
-    lines = written(lines, "licence-lines")
+    # Lines whose grams cannot lift any family above unknown are left; few remain and are written
+    # once, with a number that later joins can use.
+    all_known = [r["gram"] for r in model.weights]
+    lines = lines.filter(F.exists(w, lambda x: x.isin(model.anchors)))
+    lines = lines.withColumn(gram, F.filter(features(F.col(w), model.anchors), lambda g: g.isin(all_known)))
+    needed = model.intercepts[0] - max(model.intercepts[1:])
+    lines = lines.filter((F.size(gram) > 0) & (bound(F.col(gram), model) >= needed - 1e-6))
+    lines = written(lines.withColumn(row, F.monotonically_increasing_id()), "licence-lines")
 
     k = len(model.families)
     known = local_table(spark, model.weights, "gram string, w array<double>").withColumnRenamed("gram", gram)
-    grams = lines.select(row, F.explode(features(F.col(w), model.anchors)).alias(gram))
+    grams = lines.select(row, F.explode(gram).alias(gram))
+    lines = lines.drop(gram)
     sums = grams.join(F.broadcast(known), gram).groupBy(row)
     logits = sums.agg(*[F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)])
     z = F.array(*[(F.col(f"z{i}") + model.intercepts[i]) / model.temperature for i in range(k)])

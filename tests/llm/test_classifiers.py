@@ -210,3 +210,13 @@ def test_article_text_is_not_dropped_by_tag_or_id():
     page = f"<html><body><article><p>Start of it.</p>{''.join(parts)}</article></body></html>"
     want = ["Start of it.", *(t for texts in parts.values() for t in texts)]
     assert extract.main_text(page, [">html>body>article"]).split("\n\n") == want
+
+
+def test_licence_words_of_one_large_source_stay_telling_elsewhere(spark):
+    rng = random.Random(8)
+    hot = "License: MIT. Licensed under CC BY, version 2.0 or 4.0, released by the Apache group"
+    rows = [(i, f"{prose(rng, 20)}\n{hot}\n{prose(rng, 9)}") for i in range(100)] + [(500 + i, prose(rng, 30)) for i in range(100)]
+    rows += [(200 + k, f"{prose(rng, 20)}\n{line}\n{prose(rng, 9)}") for k, line in enumerate(LINES.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.paragraph): r for r in licences.scan(docs, licences.fit_licences(docs)).collect()}
+    assert [got[200 + k, 1].family if (200 + k, 1) in got else None for k in range(len(LINES))] == list(LINES)
