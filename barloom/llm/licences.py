@@ -6,8 +6,7 @@ multinomial logistic regression (Spark's own, sparse by an L1 share) learns the
 the templates, their variants with a word left out or text around them, and paragraphs of a
 bounded sample of the corpus as the class ``unknown``. Its probabilities are calibrated by a
 temperature fitted on variants kept out of training. A paragraph without such words has no feature and is
-``unknown`` by the intercepts, and so is one whose features together cannot outweigh them by an
-upper bound; only the others are scored.
+``unknown`` by the intercepts; all others are scored.
 
 A prediction is confirmed by comparison: the share of a template's word triples that the
 paragraph holds, for the best template of the predicted family.
@@ -67,7 +66,7 @@ OTHERS = [
     "Students of the MIT met in the general hall",
 ]
 UNKNOWN = "unknown"
-SAMPLE_DOCUMENTS, LONGEST_SEQUENCE, MOST_FEATURES, LEAST_RARITY, LEVELS = 300, 3, 8192, 0.4, 8
+SAMPLE_DOCUMENTS, LONGEST_SEQUENCE, MOST_FEATURES, LEAST_RARITY = 300, 3, 8192, 0.4
 AROUND, LEAST_PROBABILITY, LEAST_SIMILARITY = 4, 0.5, 0.75
 _WORD = "([a-z0-9]+(?:[.+-][a-z0-9]+)*)"
 
@@ -119,20 +118,6 @@ def rarities(docs: DataFrame, own: list[str]) -> dict[str, float]:
     return {w: LEAST_RARITY + span * math.log((1 + n) / (1 + df.get(w, 0))) for w in own}
 
 
-def bound(grams: Column, model: LicenceModel) -> Column:
-    """At least what any family can gain on ``unknown`` by these grams, in halving levels."""
-    gains = {r["gram"]: max(r["w"][1:]) - r["w"][0] for r in model.weights}
-    most = max([*gains.values(), 0.0])
-    total, above = F.lit(0.0), most
-    for level in range(LEVELS):
-        below = above / 2 if level < LEVELS - 1 else 0.0
-        here = [g for g, x in gains.items() if below < x <= above]
-        if here:
-            total = total + F.size(F.filter(grams, lambda g: g.isin(here))) * F.lit(above)  # noqa: B023
-        above = below
-    return total
-
-
 @dataclass(frozen=True)
 class LicenceModel:
     families: list[str]
@@ -230,19 +215,13 @@ def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", with_text
     others = [c for c in docs.columns if c != text_col]
     held = docs.select(*others, text_or_empty(F.col(text_col)).alias(text))
     lines = paragraphs(held, text, "paragraph", part).drop(text).withColumn(w, words(F.col(part)))
-    # Lines whose grams cannot lift any family above unknown are left; few remain and are written
-    # once, with a number that later joins can use.
-    all_known = [r["gram"] for r in model.weights]
+    # Written once, with a number that later joins can use; words are cut once.
     lines = lines.filter(F.exists(w, lambda x: x.isin(model.anchors)))
-    lines = lines.withColumn(gram, F.filter(features(F.col(w), model.anchors), lambda g: g.isin(all_known)))
-    needed = model.intercepts[0] - max(model.intercepts[1:])
-    lines = lines.filter((F.size(gram) > 0) & (bound(F.col(gram), model) >= needed - 1e-6))
     lines = written(lines.withColumn(row, F.monotonically_increasing_id()), "licence-lines")
 
     k = len(model.families)
     known = local_table(spark, model.weights, "gram string, w array<double>").withColumnRenamed("gram", gram)
-    grams = lines.select(row, F.explode(gram).alias(gram))
-    lines = lines.drop(gram)
+    grams = lines.select(row, F.explode(features(F.col(w), model.anchors)).alias(gram))
     sums = grams.join(F.broadcast(known), gram).groupBy(row)
     logits = sums.agg(*[F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)])
     z = F.array(*[(F.col(f"z{i}") + model.intercepts[i]) / model.temperature for i in range(k)])
