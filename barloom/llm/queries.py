@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, exact, extract, licences, neardup, packing, quality, topk, toxicity
+from barloom.llm import bpe, chat, exact, extract, licences, neardup, packing, quality, topk, toxicity, variants
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +101,11 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(docs, licences.fit_licences(docs), with_text=True)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.corpus_words(table(spark, sf_dir, "documents"), slip=97)
+    return variants.spelling_variants(words)
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_bpe": op2_bpe,
@@ -112,4 +117,5 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_html": op9_html,
     "op10_licences": op10_licences,
+    "op13_spelling": op13_spelling,
 }

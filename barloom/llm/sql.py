@@ -69,4 +69,47 @@ select n.doc_id, cast(n.n as bigint) as n_shingles, min(b) as component_id, n.do
 from n join reach on reach.a = n.doc_id group by n.doc_id, n.n
 """
 
-ORACLE_SQL = {"op1_chat": OP1, "op8_near_dedup": OP8, "op4_top_k": OP4, "op7_exact_dedup": OP7}
+#: The hash goes bit by bit, lowest first; letters from U+00C0 on are the bytes C3 and code point less 64.
+OP13 = r"""
+with recursive runs as (
+    select cast(doc_id as varchar) as id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as w
+    from documents where text is not null
+), counted as materialized (select coalesce(id, '') as id, w, count(*) as n from runs group by all),
+bits as materialized (
+    select s, flatten(list_transform(flatten(list_transform(string_split(s, ''), lambda c: case when unicode(c) < 128 then [unicode(c)] else [195, unicode(c) - 64] end)),
+        lambda b: [b & 1, (b >> 1) & 1, (b >> 2) & 1, (b >> 3) & 1, (b >> 4) & 1, (b >> 5) & 1, (b >> 6) & 1, b >> 7])) as bits
+    from (select distinct w as s from counted union select distinct id || ':' from counted)
+), started as materialized (
+    select s as id, list_reduce(list_prepend(4294967295, cast(bits as bigint[])), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))) as c
+    from bits where s like '%:'
+), hashed as materialized (
+    select k.id, k.w, k.n, xor(4294967295, list_reduce(list_prepend(t.c, cast(b.bits as bigint[])), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) as h
+    from counted k join started t on t.id = k.id || ':' join bits b on b.s = k.w
+), spelt as (
+    select case when h % 97 = 0 then substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) else w end as word, n from hashed
+), words as materialized (
+    select word, cast(sum(n) as bigint) as n from spelt where length(word) >= 5 group by word having sum(n) >= 3
+), cut as materialized (
+    select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, unnest(range(1, length(word) + 1)) as i from words)
+), near as materialized (
+    select a.word as a, b.word as b from cut a join cut b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+    union select cut.word, words.word from cut join words on words.word = cut.rest
+    union select words.word, cut.word from cut join words on words.word = cut.rest
+), best as (
+    select a, b, words.n as n, count(*) over (partition by a) as n_near,
+           row_number() over (partition by a order by words.n desc, b) as nth
+    from near join words on words.word = b
+), formed as materialized (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when best.n >= 2 * w.n then b end as form,
+           case when best.n >= 2 * w.n then best.n end as form_n
+    from words w left join best on best.a = w.word and nth = 1
+), way as (
+    select word, form as last from formed where form is not null
+    union all select way.word, f.form from way join formed f on f.word = way.last where f.form is not null
+), ends as (select way.word, last from way join formed f on f.word = last where f.form is null)
+select formed.word, form, coalesce(last, formed.word) as root, n, n_near, form_n
+from formed left join ends on ends.word = formed.word
+"""
+
+ORACLE_SQL = {"op13_spelling": OP13, "op1_chat": OP1, "op8_near_dedup": OP8, "op4_top_k": OP4, "op7_exact_dedup": OP7}
