@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, exact, extract, licences, neardup, packing, quality, topk, toxicity, variants
+from barloom.llm import bpe, chat, exact, extract, licences, neardup, negatives, packing, quality, topk, toxicity, variants
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +101,13 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(docs, licences.fit_licences(docs), with_text=True)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 50; some labels are shifted by one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", shifted), F.col("vec_id") % 50 == 0)
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = variants.corpus_words(table(spark, sf_dir, "documents"), slip=97)
     return variants.spelling_variants(words)
@@ -117,5 +124,6 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_html": op9_html,
     "op10_licences": op10_licences,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_spelling": op13_spelling,
 }

@@ -112,4 +112,26 @@ select formed.word, form, coalesce(last, formed.word) as root, n, n_near, form_n
 from formed left join ends on ends.word = formed.word
 """
 
-ORACLE_SQL = {"op13_spelling": OP13, "op1_chat": OP1, "op8_near_dedup": OP8, "op4_top_k": OP4, "op7_exact_dedup": OP7}
+OP12 = """
+with v as (
+    select row_number() over () as rid, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e
+    from embeddings
+    where embedding is not null and vec_id is not null and label is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as materialized (
+    select a.rid as a, a.vec_id as anchor_id, a.label = c.label as same, c.rid as c, c.vec_id,
+           cast(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
+    from v a join v c on a.rid <> c.rid and len(a.e) = len(c.e)
+    where a.vec_id % 50 = 0
+), p as (
+    select *, row_number() over (partition by a order by score desc, vec_id, c) as nth from s where same qualify nth <= 5
+), n as (
+    select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+           row_number() over (partition by p.a, p.nth order by s.score desc, s.vec_id, s.c) as rank
+    from p join s on s.a = p.a and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 3
+"""
+
+ORACLE_SQL = {"op12_hard_negatives": OP12, "op13_spelling": OP13, "op1_chat": OP1, "op8_near_dedup": OP8, "op4_top_k": OP4, "op7_exact_dedup": OP7}
