@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat, exact, extract, licences, neardup, negatives, packing, quality, topk, toxicity, variants
+from barloom.llm import bpe, chat, exact, extract, licences, neardup, negatives, packing, quality, topk, toxicity, variants, veclinks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +101,10 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(docs, licences.fit_licences(docs), with_text=True)
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return veclinks.vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors are the rows whose id is divisible by 50; some labels are shifted by one."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -124,6 +128,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_html": op9_html,
     "op10_licences": op10_licences,
+    "op11_embedding_dedup": op11_embedding_dedup,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_spelling": op13_spelling,
 }

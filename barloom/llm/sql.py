@@ -134,4 +134,23 @@ with v as (
 select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 3
 """
 
-ORACLE_SQL = {"op12_hard_negatives": OP12, "op13_spelling": OP13, "op1_chat": OP1, "op8_near_dedup": OP8, "op4_top_k": OP4, "op7_exact_dedup": OP7}
+OP11 = """
+with recursive v as (
+    select row_number() over () as rid, vec_id, cast(embedding as double[]) as e from embeddings
+), u as materialized (
+    select rid, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) as norm from v
+    where e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0
+), links as materialized (
+    select a.rid as a, b.rid as b from u a join u b on a.rid <> b.rid and len(a.e) = len(b.e)
+    where list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) / (a.norm * b.norm) >= 0.9
+), reach as (
+    select rid as a, rid as b from v
+    union select reach.a, links.b from reach join links on links.a = reach.b
+), ends as (
+    select reach.a, min(v.vec_id) as component_id from reach join v on v.rid = reach.b group by reach.a
+)
+select vec_id, (select count(*) from links where links.a = v.rid) as n_links, component_id, vec_id is not distinct from component_id as kept
+from v join ends on ends.a = v.rid
+"""
+
+ORACLE_SQL = {"op11_embedding_dedup": OP11, "op12_hard_negatives": OP12, "op13_spelling": OP13, "op1_chat": OP1, "op8_near_dedup": OP8, "op4_top_k": OP4, "op7_exact_dedup": OP7}
