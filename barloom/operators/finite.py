@@ -130,62 +130,6 @@ def ultosc(short: int = 7, middle: int = 14, long: int = 28) -> Indicator:
     return Indicator(["ultosc"], build)
 
 
-def _raw_k(f: Frame, n: int):
-    low, high = F.min(L).over(f.last(n)), F.max(H).over(f.last(n))
-    return [
-        Stage({f"_ll{n}": low, f"_hh{n}": high}),
-        Stage(
-            {
-                f"_k{n}": since(
-                    n, ratio_or_zero(F.col(C) - F.col(f"_ll{n}"), F.col(f"_hh{n}") - F.col(f"_ll{n}"), 100.0)
-                )
-            }
-        ),
-    ]
-
-
-def _simple_average_only(*matypes: int) -> None:
-    if any(m != 0 for m in matypes):
-        raise ValueError("only the simple moving average (type 0) is supported here")
-
-
-def stoch(
-    fastk_period: int = 5, slowk_period: int = 3, slowk_matype: int = 0, slowd_period: int = 3, slowd_matype: int = 0
-) -> Indicator:
-    _simple_average_only(slowk_matype, slowd_matype)
-    n, sk, sd = fastk_period, slowk_period, slowd_period
-
-    def build(f: Frame):
-        slow = F.avg(f"_k{n}").over(f.last(sk))
-        first = n + sk + sd - 2
-        return [
-            *_raw_k(f, n),
-            Stage({f"_slowk{n}_{sk}": since(n + sk - 1, slow)}),
-            Stage(
-                {
-                    "slowk": since(first, F.col(f"_slowk{n}_{sk}")),
-                    "slowd": since(first, F.avg(f"_slowk{n}_{sk}").over(f.last(sd))),
-                }
-            ),
-        ]
-
-    return Indicator(["slowk", "slowd"], build)
-
-
-def stochf(fastk_period: int = 5, fastd_period: int = 3, fastd_matype: int = 0) -> Indicator:
-    _simple_average_only(fastd_matype)
-    n, d = fastk_period, fastd_period
-
-    def build(f: Frame):
-        first = n + d - 1
-        return [
-            *_raw_k(f, n),
-            Stage({"fastk": since(first, F.col(f"_k{n}")), "fastd": since(first, F.avg(f"_k{n}").over(f.last(d)))}),
-        ]
-
-    return Indicator(["fastk", "fastd"], build)
-
-
 def willr(n: int = 14) -> Indicator:
     name = f"willr{n}"
 

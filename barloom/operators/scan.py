@@ -1,10 +1,14 @@
-"""Linear recurrences y[t] = q*y[t-1] + (1-q)*x[t] as window aggregates.
+"""Linear recurrences y[t] = q*y[t-1] + (1-q)*x[t] as window aggregates, and those whose q varies.
 
 y[t] is a sum of q**(t-i) times the inputs. A plain prefix sum of x[i]/q**i overflows on long
 series, so the rows of a symbol are cut into blocks: inside a block the prefix sum is safe,
 and the value carried into a block folds the ends of the blocks before it. When the caller
 knows that no symbol has more rows than one block, there is nothing to carry and the scan is
 a single running sum in date order.
+
+With a factor that varies from row to row, y[t] = a[t]*y[t-1] + b[t], the powers of q become running
+products of the factors. A block is then an affine map of the value carried into it: its product
+and its own end, composed in block order.
 """
 
 from __future__ import annotations
@@ -44,6 +48,25 @@ class Recurrence:
         return self.start + self.seed_rows - 1
 
 
+@dataclass
+class Varying(Recurrence):
+    """``factor * y + value`` from row ``start`` on; ``decay`` is a lower bound of the factors.
+
+    ``seed`` is the value at the row before ``start``. Factors are above 0.
+    """
+
+    factor: Column | None = None
+    seed: Column | None = None
+
+    @property
+    def seed_row(self) -> int:
+        return self.start - 1
+
+    def product(self, frame) -> Column:
+        """Running product of the factors."""
+        return F.exp(F.sum(F.when(F.col(RN) >= self.start, F.ln(self.factor)).otherwise(0.0)).over(frame))
+
+
 def block_length(recurrences: list[Recurrence]) -> int:
     fastest = min((r.decay for r in recurrences if 0 < r.decay < 1), default=None)
     if fastest is None:
@@ -51,9 +74,13 @@ def block_length(recurrences: list[Recurrence]) -> int:
     return max(2, min(MAX_BLOCK, int(LOG_LIMIT / -math.log(fastest))))
 
 
-def _inside_block(r: Recurrence, pos: Column, frame, blocked: bool) -> Column:
+def _inside_block(r: Recurrence, pos: Column, frame, blocked: bool, product: str) -> Column:
     """The recurrence restarted at the first row of each block."""
     rn = F.col(RN)
+    if isinstance(r, Varying):
+        grown = F.col(product)
+        drive = F.when(rn >= r.start, r.value).when(rn == r.seed_row, r.seed).otherwise(0.0)
+        return grown * F.sum(drive / grown).over(frame)
     first_driven = r.start + r.seed_rows
     drive = F.coalesce(r.value, F.lit(0.0)) * r.gain
     if first_driven > 1:
@@ -76,37 +103,46 @@ def _inside_block(r: Recurrence, pos: Column, frame, blocked: bool) -> Column:
     return y
 
 
-def _fold_ends(name: str, step: float) -> Column:
-    return F.aggregate("_ends", F.lit(0.0), lambda total, end: total * F.lit(step) + end[name])
+def _fold_ends(name: str, step: float, product: str | None = None) -> Column:
+    """The end of the block before, from the ends of all blocks; one that varies keeps its own step."""
+    return F.aggregate(
+        "_ends", F.lit(0.0), lambda total, end: total * (end[product] if product else F.lit(step)) + end[name]
+    )
 
 
 def run_recurrences(
     df: DataFrame, cols: dict[str, Column], recurrences: dict[str, Recurrence], block: int, blocked: bool
 ) -> DataFrame:
     """Add the plain columns and one column per recurrence."""
+    varying = {f"_g_{n}": r for n, r in recurrences.items() if isinstance(r, Varying)}
     if not blocked:
         frame = Window.partitionBy(CODE).orderBy(DATE).rowsBetween(Window.unboundedPreceding, 0)
         pos = (F.col(RN) - 1).cast("double")
-        return df.withColumns(
-            {**cols, **{n: _inside_block(r, pos, frame, False) for n, r in recurrences.items()}}
+        if varying:
+            df = df.withColumns({g: r.product(frame) for g, r in varying.items()})
+        df = df.withColumns(
+            {**cols, **{n: _inside_block(r, pos, frame, False, f"_g_{n}") for n, r in recurrences.items()}}
         )
+        return df.drop(*varying) if varying else df
 
     if cols:
         df = df.withColumns(cols)
     pos = F.pmod(F.col(RN) - 1, F.lit(block)).cast("double")
     inside = Window.partitionBy(CODE, BLK).orderBy(DATE).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(CODE).orderBy(BLK, DATE).rowsBetween(Window.unboundedPreceding, -1)
-    local = {f"_l_{n}": _inside_block(r, pos, inside, True) for n, r in recurrences.items()}
+    if varying:
+        df = df.withColumns({g: r.product(inside) for g, r in varying.items()})
+    local = {f"_l_{n}": _inside_block(r, pos, inside, True, f"_g_{n}") for n, r in recurrences.items()}
     # A series shorter than one block has no ends: its list stays empty.
     ends = F.collect_list(
-        F.when(pos == block - 1, F.struct(*[F.col(f"_l_{n}").alias(n) for n in recurrences]))
+        F.when(pos == block - 1, F.struct(*[F.col(f"_l_{n}").alias(n) for n in recurrences], *varying))
     ).over(before)
     df = df.withColumns(local).withColumn("_ends", ends)
 
     out = {}
     for name, r in recurrences.items():
-        carried = _fold_ends(name, float(r.decay) ** block)
-        out[name] = F.when(F.col(BLK) == 0, F.col(f"_l_{name}")).otherwise(
-            F.col(f"_l_{name}") + F.pow(F.lit(float(r.decay)), pos + 1) * carried
-        )
-    return df.withColumns(out).drop("_ends", *local)
+        product = f"_g_{name}" if isinstance(r, Varying) else None
+        carried = _fold_ends(name, float(r.decay) ** block, product)
+        step = F.col(product) if product else F.pow(F.lit(float(r.decay)), pos + 1)
+        out[name] = F.when(F.col(BLK) == 0, F.col(f"_l_{name}")).otherwise(F.col(f"_l_{name}") + step * carried)
+    return df.withColumns(out).drop("_ends", *local, *varying)

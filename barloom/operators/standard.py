@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from barloom.operators import finite as fin
 from barloom.operators import recursive as rec
+from barloom.operators import stochastics as stc
 from barloom.operators.sar import sar
 from barloom.operators.series import Indicator, apply
 from barloom.schema import STANDARD_COLUMNS
@@ -24,8 +25,8 @@ def standard_indicators() -> list[Indicator]:
         *[fin.roc(n) for n in (10, 25, 50, 75, 150)],
         fin.cci(),
         fin.ultosc(),
-        fin.stoch(),
-        fin.stochf(),
+        stc.stoch(),
+        stc.stochf(),
         rec.macd(),
         fin.willr(),
         *[fin.mom(n) for n in (10, 25)],

@@ -93,17 +93,17 @@ def ema(state: str, x: str, n: int, start: int) -> str:
     )
 
 
-def walk(name: str, states: dict[str, str], first: dict[str, str] | None = None) -> str:
+def walk(name: str, states: dict[str, str], first: dict[str, str] | None = None, source: str = "s") -> str:
     """Recursive walk over the rows of every symbol; states see r (before), b (row) and each other as new_<x>."""
     first = first or {}
     start = ", ".join(f"CAST({first.get(k, '0.0')} AS DOUBLE) AS {k}" for k in states)
     step = ", ".join(f"{e} AS new_{k}" for k, e in states.items())
     keep = ", ".join(f"new_{k}" for k in states)
     return f"""{name} AS (
-  SELECT code, date, rn, {start} FROM s AS b WHERE rn = 1
+  SELECT code, date, rn, {start} FROM {source} AS b WHERE rn = 1
   UNION ALL
   SELECT code, date, rn, {keep} FROM (
-    SELECT b.code, b.date, b.rn, {step} FROM {name} AS r JOIN s AS b ON b.code = r.code AND b.rn = r.rn + 1))"""
+    SELECT b.code, b.date, b.rn, {step} FROM {name} AS r JOIN {source} AS b ON b.code = r.code AND b.rn = r.rn + 1))"""
 
 
 def window_table(name: str, cols: dict[str, str], source: str = "s", inner: str | None = None) -> str:
@@ -196,6 +196,56 @@ def t_stochf():
     return [window_table("i_stochf", cols, inner=_raw_k(5))], list(cols)
 
 
+def averaged(name: str, source: str, n: int, kind: int, start: int) -> tuple[list[str], int]:
+    """Tables up to ``name`` with the average ``v`` of the column ``v`` that ``source`` knows from row ``start`` on."""
+    links = {1: 1, 3: 2, 4: 3, 8: 6}.get(kind, 1)
+    first = start + links * (n - 1) + (kind == 6)
+    if kind == 0:
+        return [window_table(name, {"v": since(first, f"avg(v) {over(n)}")}, source)], first
+    if kind == 2:
+        inner = f"(SELECT *, list(v) {over(n)} AS l FROM {source})"
+        total = " + ".join(f"{i} * l[{i}]" for i in range(1, n + 1))
+        return [window_table(name, {"v": since(first, f"({total}) / {n * (n + 1) / 2}")}, inner=inner)], first
+    if kind == 5:
+        a, b = (n + 1) // 2, n // 2 + 1
+        inner = f"(SELECT code, date, rn, {since(start + a - 1, f'avg(v) {over(a)}')} AS v FROM {source})"
+        return [window_table(name, {"v": since(first, f"avg(v) {over(b)}")}, inner=inner)], first
+    if kind == 6:
+        steps = f"(SELECT *, abs(v - lag(v) {LAG}) AS d, abs(v - lag(v, {n}) {LAG}) AS net FROM {source})"
+        way = f"(SELECT *, sum(d) {over(n)} AS way FROM {steps})"
+        factor = f"{name}_f AS MATERIALIZED (SELECT *, power(CASE WHEN way <= net THEN 1.0 ELSE net / way END * (2.0 / 3.0 - 2.0 / 31.0) + 2.0 / 31.0, 2) AS f FROM {way})"
+        state = f"CASE WHEN b.rn < {first - 1} THEN 0.0 WHEN b.rn = {first - 1} THEN b.v ELSE r.y + b.f * (b.v - r.y) END"
+        return [factor, walk(f"{name}_w", {"y": state}, source=f"{name}_f"), window_table(name, {"v": since(first, "y")}, f"{name}_w")], first
+    states, x = {}, "b.v"
+    for k in range(1, links + 1):
+        states[f"e{k}"] = ema(f"r.e{k}", x, n, start + (k - 1) * (n - 1))
+        x = f"new_e{k}"
+    v = 0.7
+    col = {
+        1: "e1",
+        3: "2 * e1 - e2",
+        4: "3 * e1 - 3 * e2 + e3",
+        8: f"(-power({v}, 3)) * e6 + (3 * (power({v}, 2) + power({v}, 3))) * e5 + "
+        f"(-6 * power({v}, 2) - 3 * ({v} + power({v}, 3))) * e4 + (1 + 3 * {v} + power({v}, 3) + 3 * power({v}, 2)) * e3",
+    }[kind]
+    return [walk(f"{name}_w", states, source=source), window_table(name, {"v": since(first, col)}, f"{name}_w")], first
+
+
+def average_sql(kinds: tuple[int, int], slow: tuple[int, int], fast: int | None) -> str:
+    """Stochastics with the given types and lengths of averages."""
+    ctes = [*series("valid"), f"k AS MATERIALIZED (SELECT code, date, rn, k AS v FROM {_raw_k(5)})"]
+    a, at = averaged("sk", "k", slow[0], kinds[0], 5)
+    b, first = averaged("sd", "sk", slow[1], kinds[1], at)
+    ctes += [*a, *b]
+    cols, joins = [rnd(since(first, "sk.v"), "slowk"), rnd(since(first, "sd.v"), "slowd")], "sk JOIN sd USING (code, date, rn)"
+    if fast:
+        c, own = averaged("fd", "k", fast, kinds[0], 5)
+        ctes += c
+        cols += [rnd(since(own, "k.v"), "fastk"), rnd(since(own, "fd.v"), "fastd")]
+        joins += " JOIN k USING (code, date, rn) JOIN fd USING (code, date, rn)"
+    return query(f"SELECT code, date, {', '.join(cols)} FROM {joins}", BARS, VALID, *ctes, recursive=True)
+
+
 def t_macd():
     states = {
         "mf": ema("r.mf", "b.c", 12, 15),
@@ -630,6 +680,8 @@ def statements() -> dict[str, str]:
     b = [BARS]
     bv = [BARS, VALID]
     out = {name: indicator_sql(name) for name in TABLES}
+    out |= {f"stoch_average_{t}": average_sql((t, t), (4, 3), 6) for t in (1, 2, 3, 4, 5, 6, 8)}
+    out["stoch_average_mixed"] = average_sql((2, 6), (3, 5), None)
     report = f"SELECT code, close, {rnd(RATIO, 'ratio')}"
     plain = query(f"SELECT code, date, {V} FROM bars", *b)
     sma_rsi = screening_sql(1, "rsi14")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from barloom import functions as fn
 from barloom.operators import bars as tb
-from barloom.operators import charts, finite, recursive, regressors, summary
+from barloom.operators import charts, finite, recursive, regressors, stochastics, summary
 from barloom.operators import features as feat
 from barloom.operators.classifiers import CLASSIFIERS, class_samples, classify_pooled, fit_pooled, value_samples
 from barloom.operators.sar import sar
@@ -80,6 +80,11 @@ def _indicator(*make) -> Query:
     return run
 
 
+def _averaged(kind: int) -> Query:
+    """Both stochastics smoothed by one type of average."""
+    return _indicator(lambda: stochastics.stoch(5, 4, kind, 3, kind), lambda: stochastics.stochf(5, 6, kind))
+
+
 def _on_bars(f: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: rounded(f(_bars(spark, sf)))
 
@@ -489,8 +494,10 @@ QUERIES: dict[str, Query] = {
     "roc": _indicator(*[lambda n=n: finite.roc(n) for n in (10, 25, 50, 75, 150)]),
     "cci": _indicator(finite.cci),
     "ultosc": _indicator(finite.ultosc),
-    "stoch": _indicator(finite.stoch),
-    "stochf": _indicator(finite.stochf),
+    "stoch": _indicator(stochastics.stoch),
+    "stochf": _indicator(stochastics.stochf),
+    **{f"stoch_average_{t}": _averaged(t) for t in stochastics.TYPES if t},
+    "stoch_average_mixed": _indicator(lambda: stochastics.stoch(5, 3, stochastics.WEIGHTED, 5, stochastics.ADAPTIVE)),
     "macd": _indicator(recursive.macd),
     "mom": _indicator(lambda: finite.mom(10), lambda: finite.mom(25)),
     "bbands": _indicator(recursive.bbands),
