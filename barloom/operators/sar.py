@@ -20,45 +20,66 @@ from barloom.operators.series import Frame, Indicator, Stage
 from barloom.schema import CODE
 
 
-def _stop_column(acceleration: float, maximum: float):
-    start = min(acceleration, maximum)
+class Stop:
+    """The stop of one symbol, bar by bar. Its state is the six numbers that ``state`` returns."""
+
+    __slots__ = ("acceleration", "maximum", "long", "stop", "extreme", "factor", "high", "low")
+
+    def __init__(self, acceleration: float = 0.02, maximum: float = 0.2):
+        self.acceleration, self.maximum = acceleration, maximum
+        self.long, self.stop, self.extreme, self.factor = True, 0.0, 0.0, min(acceleration, maximum)
+        self.high = self.low = 0.0
+
+    def state(self) -> tuple[bool, float, float, float, float, float]:
+        return self.long, self.stop, self.extreme, self.factor, self.high, self.low
 
+    def resume(self, state: tuple) -> Stop:
+        self.long, self.stop, self.extreme, self.factor, self.high, self.low = state
+        return self
+
+    def step(self, rn: int, high: float, low: float) -> float | None:
+        """The stop shown at bar ``rn``, counted from 1."""
+        if rn == 1:
+            self.high, self.low = high, low
+            return None
+        if rn == 2:
+            fall, rise = self.low - low, high - self.high
+            self.long = not (fall > 0 and fall > rise)
+            self.extreme, self.stop = (high, self.low) if self.long else (low, self.high)
+            self.factor = min(self.acceleration, self.maximum)
+            self.high, self.low = high, low
+        # Work on mirrored prices in a fall, so one rule serves both sides.
+        if self.long:
+            sign, near, far, near_before, far_before = 1.0, low, high, self.low, self.high
+        else:
+            sign, near, far, near_before, far_before = -1.0, -high, -low, -self.high, -self.low
+        s, e = sign * self.stop, sign * self.extreme
+        if near <= s:
+            s = max(e, far_before, far)
+            shown = sign * s
+            self.factor, e = min(self.acceleration, self.maximum), near
+            s = max(s + self.factor * (e - s), far_before, far)
+            self.long = not self.long
+        else:
+            shown = sign * s
+            if far > e:
+                e, self.factor = far, min(self.factor + self.acceleration, self.maximum)
+            s = min(s + self.factor * (e - s), near_before, near)
+        self.stop, self.extreme = sign * s, sign * e
+        self.high, self.low = high, low
+        return shown
+
+
+def _stop_column(acceleration: float, maximum: float):
     def stops(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        owner, row = None, 0
-        long, stop, extreme, factor = True, 0.0, 0.0, start
-        last_high = last_low = 0.0
+        owner, row, stop = None, 0, Stop(acceleration, maximum)
         for codes, rows, highs, lows in batches:
             out = []
             for code, rn, high, low in zip(codes.tolist(), rows.tolist(), highs.tolist(), lows.tolist()):
-                if rn == 1:
-                    out.append(None)
-                elif code != owner or rn != row + 1:
+                if rn > 1 and (code != owner or rn != row + 1):
                     raise RuntimeError("rows of a symbol must arrive together and in date order")
-                else:
-                    if rn == 2:
-                        fall, rise = last_low - low, high - last_high
-                        long = not (fall > 0 and fall > rise)
-                        extreme, stop = (high, last_low) if long else (low, last_high)
-                        factor = start
-                        last_high, last_low = high, low
-                    # Work on mirrored prices in a fall, so one rule serves both sides.
-                    sign = 1.0 if long else -1.0
-                    near, far = (low, high) if long else (-high, -low)
-                    near_before, far_before = (last_low, last_high) if long else (-last_high, -last_low)
-                    s, e = sign * stop, sign * extreme
-                    if near <= s:
-                        s = max(e, far_before, far)
-                        out.append(sign * s)
-                        factor, e = start, near
-                        s = max(s + factor * (e - s), far_before, far)
-                        long = not long
-                    else:
-                        out.append(sign * s)
-                        if far > e:
-                            e, factor = far, min(factor + acceleration, maximum)
-                        s = min(s + factor * (e - s), near_before, near)
-                    stop, extreme = sign * s, sign * e
-                owner, row, last_high, last_low = code, rn, high, low
+                out.append(stop.step(rn, high, low))
+                owner, row = code, rn
             yield pd.Series(out, dtype="float64")
 
     # Not deterministic to the optimizer: no filter may move below it and cut the history.

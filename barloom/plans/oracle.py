@@ -6,7 +6,7 @@ directly: recurrences as recursive queries, trees level by level, systems by eli
 
 from __future__ import annotations
 
-from barloom.plans.registry import ASOF, EVENT_ASOF, OFFSET, SCALE, SPLIT
+from barloom.plans.registry import ASOF, EVENT_ASOF, OFFSET, SCALE, SPLIT, STREAM_CUTS
 from barloom.schema import INDEX_CODES, STANDARD_COLUMNS, VALUES
 
 ORDER = "ROW(l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity)"
@@ -676,6 +676,14 @@ def corr_sql(n: int = 5) -> str:
     )
 
 
+def streamed_sql(where: str) -> str:
+    parts = [t_ewma((5,)), t_rsi((14,)), t_atr(), t_macd(), t_bbands(), t_sar()]
+    first, *others = [_table_name(c[-1]) for c, _ in parts]
+    joined = first + "".join(f" JOIN {t} USING (code, date)" for t in others)
+    body = f"SELECT code, date, {rnds([c for _, cols in parts for c in cols])} FROM {joined} {where}"
+    return query(body, BARS, VALID, *series("valid"), *[c for ctes, _ in parts for c in ctes], recursive=True)
+
+
 def statements() -> dict[str, str]:
     b = [BARS]
     bv = [BARS, VALID]
@@ -795,11 +803,14 @@ def statements() -> dict[str, str]:
         "stored_model": nb_sql("gaussian"),
         "stream_bars": f"""SELECT * FROM ({resample_sql(BDAY)}) WHERE CAST(date + 1 AS TIMESTAMP) <=
   (SELECT max(ts - to_days(CAST(greatest(isodow(ts) - 5, 0) AS INTEGER))) - INTERVAL 1 DAY FROM events WHERE value IS NOT NULL)""",
-        "stream_upsert": query(f"SELECT code, date, {V} FROM valid", *bv),
-        "stream_indicators": query(
-            f"SELECT code, date, {rnds(['ewma5', 'rsi14', 'atr'])} FROM i_ewma JOIN i_rsi USING (code, date) JOIN i_atr USING (code, date)",
-            *bv, *series("valid"), *t_ewma((5,))[0], *t_rsi((14,))[0], *t_atr()[0], recursive=True,
+        "stream_upsert": query(
+            "SELECT code, date, " + ", ".join(rnd(f"arg_min({c}, k) FILTER ({c} IS NOT NULL)", c) for c in VALUES)
+            + " FROM (SELECT 0 AS k, * FROM old UNION ALL SELECT 1, * FROM new WHERE CAST(code AS INTEGER) % 2 = 1 "
+            + "UNION ALL SELECT 2, code, date, " + ", ".join(f"{c} * 1.5" for c in VALUES) + " FROM new) GROUP BY code, date",
+            *b, OLD, NEW,
         ),
+        "stream_indicators": streamed_sql(""),
+        "stream_indicators_stored": streamed_sql(f"WHERE date >= DATE '{STREAM_CUTS[0]}'"),
         "enriched_all": enriched_sql(),
         "analysed_240": analysed_sql(),
         "daily_run_history": query(f"SELECT code, date, {V} FROM bars", *DAILY),

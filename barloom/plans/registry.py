@@ -24,7 +24,7 @@ from barloom.schema import BAR_COLUMNS, CODE, CSV_HEADERS, DATE, INDEX_CODES, KE
 from barloom.session import checkpoint, scratch_path
 from barloom.sources import files, sinks, ticks
 from barloom.streaming.bars import stream_bars
-from barloom.streaming.recursive import stream_indicators
+from barloom.streaming.recursive import row_store, stream_indicators
 from barloom.streaming.upsert import read_upserted, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ASOF = "2001-11-04"
 SPLIT = "2000-01-01"
 EVENT_ASOF = "2024-01-20"
+STREAM_CUTS = ("1998-09-01", "1999-04-01", SPLIT, "2000-11-01")
 
 
 # Values are compared in steps of 1/SCALE. The offset of the steps is no simple fraction, so
@@ -404,31 +405,56 @@ def _streamed_bars(spark, sf):
     return rounded(spark.read.schema(bars.schema).parquet(f"{path}/out"))
 
 
-def _bar_stream(spark, sf, name: str):
-    path = scratch_path(spark, name)
-    valid = tb.valid_bars(_bars(spark, sf))
-    valid.write.parquet(f"{path}/in")
-    return path, spark.readStream.schema(valid.schema).parquet(f"{path}/in")
+def _landed(spark, path: str, schema, files_at_once: int | None = None) -> DataFrame:
+    """A stream of the bar files under ``path``."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    return (reader if files_at_once is None else reader.option("maxFilesPerTrigger", files_at_once)).parquet(path)
 
 
 def _streamed_upsert(spark, sf):
-    path, stream = _bar_stream(spark, sf, "upsert")
-    stream_upsert(stream, f"{path}/table", f"{path}/state").awaitTermination()
+    """Three batches with common keys: cells that are null at first, and other prices later, which must not count."""
+    old, new = _halves(spark, sf)
+    third = new.select(*KEY, *[(F.col(c) * 1.5).alias(c) for c in VALUES])
+    path = scratch_path(spark, "upsert")
+    for i, part in enumerate([old, new.where(F.col(CODE).cast("int") % 2 == 1), third]):
+        part.coalesce(1).write.parquet(f"{path}/in/{i}")
+    stream_upsert(_landed(spark, f"{path}/in", old.schema, 1), f"{path}/table", f"{path}/state").awaitTermination()
     return rounded(read_upserted(spark, f"{path}/table"))
 
 
-def _streamed_indicators(spark, sf):
-    path, stream = _bar_stream(spark, sf, "indicators")
-    out = stream_indicators(stream)
-    query = (
-        out.writeStream.format("parquet")
-        .option("path", f"{path}/out")
-        .option("checkpointLocation", f"{path}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return rounded(spark.read.schema(out.schema).parquet(f"{path}/out"))
+def _pieces(bars: DataFrame) -> list[DataFrame]:
+    """The bars in five pieces by date; the days before each cut land again at other prices."""
+    day = F.col(DATE)
+    cuts = [F.lit(c).cast("date") for c in STREAM_CUTS]
+    pieces = [bars.where(day < cuts[0])]
+    for lo, hi in zip(cuts, [*cuts[1:], F.lit("9999-12-31").cast("date")], strict=True):
+        again = bars.where((day < lo) & (day >= F.date_sub(lo, 40)))
+        again = again.select(*KEY, *[(F.col(c) * 2.0).alias(c) for c in VALUES])
+        pieces.append(bars.where((day >= lo) & (day < hi)).unionByName(again))
+    return pieces
+
+
+def _streamed_indicators(stored_pieces: int = 0) -> Query:
+    """Each piece lands, and the stream starts anew from its state; the first ones may be stored bars instead."""
+
+    def run(spark, sf):
+        path, pieces = scratch_path(spark, "indicators"), _pieces(checkpoint(_bars(spark, sf)))
+        stored = files.concat_pages(pieces[:stored_pieces]).dropDuplicates(KEY) if stored_pieces else None
+        for i, piece in enumerate(pieces[stored_pieces:]):
+            piece.coalesce(1).write.parquet(f"{path}/in/{i}")
+            out = stream_indicators(_landed(spark, f"{path}/in", piece.schema), stored=stored)
+            with row_store(spark):
+                query = (
+                    out.writeStream.format("parquet")
+                    .option("path", f"{path}/out")
+                    .option("checkpointLocation", f"{path}/state")
+                    .trigger(availableNow=True)
+                    .start()
+                )
+                query.awaitTermination()
+        return rounded(spark.read.schema(out.schema).parquet(f"{path}/out"))
+
+    return run
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
@@ -534,7 +560,8 @@ QUERIES: dict[str, Query] = {
     # streams
     "stream_bars": _streamed_bars,
     "stream_upsert": _streamed_upsert,
-    "stream_indicators": _streamed_indicators,
+    "stream_indicators": _streamed_indicators(),
+    "stream_indicators_stored": _streamed_indicators(stored_pieces=1),
     # composed jobs
     "enriched_all": _enriched,
     "analysed_240": _analysed,

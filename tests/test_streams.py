@@ -8,7 +8,8 @@ from barloom.operators.series import apply
 from barloom.schema import BARS
 from barloom.sources import ticks
 from barloom.streaming.bars import stream_bars
-from barloom.streaming.recursive import stream_indicators
+from barloom.operators.sar import sar
+from barloom.streaming.recursive import row_store, stream_indicators
 from barloom.streaming.upsert import compact, read_upserted, stream_upsert, write_batch
 
 TICK = "code string, ts timestamp, seq long, value double"
@@ -72,18 +73,67 @@ def test_stream_upsert(spark, walks, tmp_path):
     assert read_upserted(spark, str(tmp_path / "t")).exceptAll(walks).count() == 0
 
 
+NAMES = ["ewma5", "rsi14", "atr", "natr", "macd", "macdsignal", "macdhist", "upperband", "middleband", "lowerband", "sar"]
+
+
+def batch_indicators(bars):
+    made = [recursive.ewma(5), recursive.rsi(14), recursive.atr(), recursive.natr(), recursive.macd(), recursive.bbands(), sar()]
+    return apply(bars, made).select("code", "date", *NAMES)
+
+
+def assert_same(got, want):
+    got, want = ({(r.code, r.date): r for r in df.collect()} for df in (got, want))
+    assert got.keys() == want.keys()
+    for key, row in want.items():
+        for c in NAMES:
+            a, b = got[key][c], row[c]
+            assert (a is None) == (b is None) and (b is None or abs(a - b) <= 1e-8 * max(1, abs(b))), (key, c, a, b)
+
+
+def streamed(spark, path, parts, **options):
+    """The parts land one after the other, and the stream is started anew for each."""
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{path}/in/{i}")
+        stream = spark.readStream.schema(BARS).option("recursiveFileLookup", True).parquet(f"{path}/in")
+        with row_store(spark):
+            got = run_to_table(stream_indicators(stream, **options), path)
+    return got
+
+
+def dirty(spark, walks):
+    """The walks, with incomplete and weekend bars between."""
+    broken = walks.where("day(date) % 5 = 0").select("code", (F.col("date") + F.expr("interval 1 hour")).cast("date").alias("date"), "open", "high", "low", "close", "volume", "adj_close")
+    broken = broken.withColumn("adj_close", F.lit(None).cast("double"))
+    kept = walks.join(broken.select("code", "date"), ["code", "date"], "left_anti").select(walks.columns)
+    weekend = kept.where("weekday(date) = 4").withColumn("date", F.date_add("date", 1)).withColumn("high", F.lit(1e6))
+    return kept, kept.unionByName(broken).unionByName(weekend)
+
+
 def test_incremental_indicators_equal_batch(spark, walks, tmp_path):
-    cuts = [("0001", "date < '2019-02-01'"), ("0002", "date >= '2019-02-01' and date < '2019-06-01'"), ("0003", "date >= '2019-05-20'")]
-    for name, cond in cuts:
-        walks.where(cond).coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
-    stream = spark.readStream.schema(BARS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
-    got = run_to_table(stream_indicators(stream), str(tmp_path))
-    want = apply(walks, [recursive.ewma(5), recursive.rsi(14), recursive.atr()]).select(*got.columns)
-    assert got.count() == want.count()
-    both = got.toDF(*[f"g_{c}" for c in got.columns]).join(want, (F.col("g_code") == F.col("code")) & (F.col("g_date") == F.col("date")))
-    for c in ("ewma5", "rsi14", "atr"):
-        bad = both.where((F.abs(F.col(f"g_{c}") - F.col(c)) > 1e-8) | (F.col(f"g_{c}").isNull() != F.col(c).isNull()))
-        assert bad.count() == 0, c
+    kept, rows = dirty(spark, walks)
+    cuts = ["date < '2019-01-15'", "date >= '2019-01-15' and date < '2019-02-20'", "date >= '2019-02-20' and date < '2019-06-01'", "date >= '2019-05-20' and date < '2019-09-01'", "date >= '2019-09-01'"]
+    parts = [rows.where(c) for c in cuts]
+    again = rows.where("date < '2019-03-01'").withColumn("adj_close", F.col("adj_close") * 2)  # old days land again
+    assert_same(streamed(spark, str(tmp_path), [*parts[:3], parts[3].unionByName(again), parts[4]]), batch_indicators(kept))
+
+
+def test_state_from_stored_bars(spark, walks, tmp_path):
+    old, new = walks.where("date < '2019-03-01'"), walks.where("date >= '2019-02-20'")
+    cut = "date >= '2019-03-01'"
+    got = streamed(spark, str(tmp_path), [new.where("date < '2019-05-01'"), new.where("date >= '2019-05-01'")], stored=old)
+    assert_same(got, batch_indicators(walks).where(cut))
+
+
+def test_silent_symbols_are_forgotten(spark, walks, tmp_path):
+    """Symbol I goes on, H comes back after 100 days without a bar and starts anew."""
+    both = walks.where("code in ('H', 'I')")
+    gap = "not (code = 'H' and date between '2019-02-01' and '2019-03-15')"
+    moved = both.where(gap).withColumn("date", F.when(F.expr("code = 'H' and date > '2019-03-15'"), F.date_add("date", 112)).otherwise(F.col("date")))
+    parts = ["date < '2019-02-01'", "date >= '2019-02-01' and date < '2019-05-20'", "date >= '2019-05-20' and date < '2019-06-01'", "date >= '2019-06-01'"]
+    got = streamed(spark, str(tmp_path), [moved.where(p) for p in parts], idle_days=60, delay="0 days")
+    first, later = "code = 'I' or date < '2019-02-01'", "code = 'H' and date > '2019-05-20'"
+    want = batch_indicators(moved.where(first)).unionByName(batch_indicators(moved.where(later)))
+    assert_same(got, want)
 
 
 def test_a_key_repeated_in_a_batch_is_an_error(spark, walks, tmp_path):
