@@ -155,7 +155,7 @@ def tr() -> Indicator:
 
 def ret_index() -> Indicator:
     """Value of one unit invested at the first bar."""
-    return Indicator(["ret_index"], lambda f: [Stage({"ret_index": F.try_divide(C, F.first(C).over(f.so_far))})])
+    return Indicator(["ret_index"], lambda f: [Stage({"ret_index": F.try_divide(C, f.first(C))})])
 
 
 def vol(n: int = 250, min_periods: int = 50, of: str = "ret_index") -> Indicator:
@@ -168,7 +168,7 @@ def vol(n: int = 250, min_periods: int = 50, of: str = "ret_index") -> Indicator
     def build(f: Frame):
         w = f.last(n)
         value = F.when(F.count(of).over(w) >= max(min_periods, 2), F.stddev_samp(of).over(w) * math.sqrt(n))
-        first = [Stage({"ret_index": F.try_divide(C, F.first(C).over(f.so_far))})] if of == "ret_index" else []
+        first = [Stage({"ret_index": F.try_divide(C, f.first(C))})] if of == "ret_index" else []
         return [*first, Stage({"vol": value})]
 
     return Indicator(["vol"], build)

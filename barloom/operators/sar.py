@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +87,40 @@ def _stop_column(acceleration: float, maximum: float):
     return F.pandas_udf(stops, T.DoubleType()).asNondeterministic()
 
 
+#: What a resumed run keeps of a symbol's stop.
+STATE = "long boolean, stop double, extreme double, factor double, high double, low double"
+
+
+def resumed_stop(rn: Column, high: Column, low: Column, held: Column, state: Column, *settings: float) -> Column:
+    """The stop and its state ``(shown, long, stop, ...)`` at each row after ``held``, the last old one.
+
+    ``state`` is what it was there; both are null for a history that starts here. Rows must
+    arrive by symbol and in date order.
+    """
+    names = ["long", "stop", "extreme", "factor", "high", "low"]
+
+    def stops(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        row, stop = 0, Stop(*settings)
+        for columns in batches:
+            rows, highs, lows, olds = (c.tolist() for c in columns[:4])
+            before, out = list(zip(*(c.tolist() for c in columns[4:]), strict=True)), []
+            for k, (n, h, l, old) in enumerate(zip(rows, highs, lows, olds, strict=True)):
+                if n <= old:  # never for a history that starts here, where it is NaN
+                    shown = None
+                    if n == old:
+                        stop.resume((bool(before[k][0]), *before[k][1:]))
+                elif n > 1 and row != n - 1:
+                    raise RuntimeError("rows of a symbol must arrive together and in date order")
+                else:
+                    shown = stop.step(n, h, l)
+                out.append((shown, *stop.state()))
+                row = n
+            yield pd.DataFrame(out, columns=["shown", *names])
+
+    columns = [rn, high, low, held.cast("double"), *(state[n].cast("double") for n in names)]
+    return F.pandas_udf(stops, f"shown double, {STATE}").asNondeterministic()(*columns)
+
+
 def sar(acceleration: float = 0.02, maximum: float = 0.2) -> Indicator:
     """``sar`` from raw high and low; NULL on a symbol's first bar."""
 

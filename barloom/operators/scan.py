@@ -23,6 +23,9 @@ from barloom.schema import CODE, DATE
 
 RN = "_rn"
 BLK = "_blk"
+#: In a resumed run: rows before the first given one, the number of the last old row, the values
+#: of the recurrences there, and the first close. All are null for a history that starts here.
+BEFORE, HELD, CARRY, BASE = "_before", "_held", "_carry", "_base"
 
 # q**-length stays below about 1e120 for the fastest decay.
 LOG_LIMIT = 276.0
@@ -62,9 +65,15 @@ class Varying(Recurrence):
     def seed_row(self) -> int:
         return self.start - 1
 
-    def product(self, frame) -> Column:
+    def product(self, frame, resumed: bool = False) -> Column:
         """Running product of the factors."""
-        return F.exp(F.sum(F.when(F.col(RN) >= self.start, F.ln(self.factor)).otherwise(0.0)).over(frame))
+        driven = _from(F.col(RN) >= self.start, resumed)
+        return F.exp(F.sum(F.when(driven, F.ln(self.factor)).otherwise(0.0)).over(frame))
+
+
+def _from(start: Column, resumed: bool) -> Column:
+    """Rows that drive a recurrence: from its start on, or all new ones where it goes on."""
+    return F.when(F.col(HELD).isNull(), start).otherwise(F.col(RN) > F.col(HELD)) if resumed else start
 
 
 def block_length(recurrences: list[Recurrence]) -> int:
@@ -74,17 +83,20 @@ def block_length(recurrences: list[Recurrence]) -> int:
     return max(2, min(MAX_BLOCK, int(LOG_LIMIT / -math.log(fastest))))
 
 
-def _inside_block(r: Recurrence, pos: Column, frame, blocked: bool, product: str) -> Column:
+def _inside_block(name: str, r: Recurrence, pos: Column, frame, blocked: bool, block: int, resumed: bool) -> Column:
     """The recurrence restarted at the first row of each block."""
     rn = F.col(RN)
+    kept = F.col(f"{CARRY}.{name}") if resumed else None
     if isinstance(r, Varying):
-        grown = F.col(product)
-        drive = F.when(rn >= r.start, r.value).when(rn == r.seed_row, r.seed).otherwise(0.0)
-        return grown * F.sum(drive / grown).over(frame)
+        grown = F.col(f"_g_{name}")
+        drive = F.when(_from(rn >= r.start, resumed), r.value)
+        drive = drive.when(rn == F.col(HELD), kept) if resumed else drive
+        at_seed = (rn == r.seed_row) & F.col(HELD).isNull() if resumed else rn == r.seed_row
+        return grown * F.sum(drive.when(at_seed, r.seed).otherwise(0.0) / grown).over(frame)
     first_driven = r.start + r.seed_rows
     drive = F.coalesce(r.value, F.lit(0.0)) * r.gain
-    if first_driven > 1:
-        drive = F.when(rn >= first_driven, drive).otherwise(0.0)
+    if first_driven > 1 or resumed:
+        drive = F.when(_from(rn >= first_driven, resumed), drive).otherwise(0.0)
     if r.decay == 0:
         y = drive
     else:
@@ -99,7 +111,14 @@ def _inside_block(r: Recurrence, pos: Column, frame, blocked: bool, product: str
             reach = reach & (F.col(BLK) == 0)
         if r.decay == 0:
             reach = rn == r.seed_row
+        if resumed:
+            reach = reach & F.col(HELD).isNull()
         y = y + F.when(reach, F.pow(F.lit(float(r.decay)), age) * mean).otherwise(0.0)
+    if resumed:
+        # What was held goes on from the last old row, within its block.
+        held = F.col(HELD)
+        within = (rn >= held) & (F.col(BLK) == F.floor((held - 1) / block))
+        y = y + F.when(within, F.pow(F.lit(float(r.decay)), (rn - held).cast("double")) * kept).otherwise(0.0)
     return y
 
 
@@ -111,7 +130,7 @@ def _fold_ends(name: str, step: float, product: str | None = None) -> Column:
 
 
 def run_recurrences(
-    df: DataFrame, cols: dict[str, Column], recurrences: dict[str, Recurrence], block: int, blocked: bool
+    df: DataFrame, cols: dict[str, Column], recurrences: dict[str, Recurrence], block: int, blocked: bool, resumed: bool = False
 ) -> DataFrame:
     """Add the plain columns and one column per recurrence."""
     varying = {f"_g_{n}": r for n, r in recurrences.items() if isinstance(r, Varying)}
@@ -121,7 +140,7 @@ def run_recurrences(
         if varying:
             df = df.withColumns({g: r.product(frame) for g, r in varying.items()})
         df = df.withColumns(
-            {**cols, **{n: _inside_block(r, pos, frame, False, f"_g_{n}") for n, r in recurrences.items()}}
+            {**cols, **{n: _inside_block(n, r, pos, frame, False, block, False) for n, r in recurrences.items()}}
         )
         return df.drop(*varying) if varying else df
 
@@ -131,8 +150,8 @@ def run_recurrences(
     inside = Window.partitionBy(CODE, BLK).orderBy(DATE).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(CODE).orderBy(BLK, DATE).rowsBetween(Window.unboundedPreceding, -1)
     if varying:
-        df = df.withColumns({g: r.product(inside) for g, r in varying.items()})
-    local = {f"_l_{n}": _inside_block(r, pos, inside, True, f"_g_{n}") for n, r in recurrences.items()}
+        df = df.withColumns({g: r.product(inside, resumed) for g, r in varying.items()})
+    local = {f"_l_{n}": _inside_block(n, r, pos, inside, True, block, resumed) for n, r in recurrences.items()}
     # A series shorter than one block has no ends: its list stays empty.
     ends = F.collect_list(
         F.when(pos == block - 1, F.struct(*[F.col(f"_l_{n}").alias(n) for n in recurrences], *varying))

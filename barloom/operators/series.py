@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.bars import valid_bars
-from barloom.operators.scan import BLK, RN, Recurrence, block_length, run_recurrences
+from barloom.operators.scan import BASE, BEFORE, BLK, RN, Recurrence, block_length, run_recurrences
 from barloom.schema import CODE, DATE
 
 
@@ -26,6 +26,7 @@ class Frame:
     """Window shortcuts in the order the enclosing plan sorts by."""
 
     blocked: bool = False
+    resumed: bool = False
 
     @property
     def order(self):
@@ -43,6 +44,11 @@ class Frame:
     def whole(self):
         return self.order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
+    def first(self, col: str) -> Column:
+        """The value at a symbol's first bar, which a resumed run was told."""
+        first = F.first(col).over(self.so_far)
+        return F.coalesce(F.col(BASE), first) if self.resumed else first
+
     def lag(self, col: str | Column, n: int = 1) -> Column:
         return F.lag(col, n).over(self.order)
 
@@ -94,25 +100,34 @@ def apply(
     indicators: Sequence[Indicator],
     max_rows: int | None = None,
     block: int | None = None,
+    resumed: bool = False,
 ) -> DataFrame:
     """The complete business-day bars plus the output columns of all indicators.
 
     ``max_rows`` tells that no symbol has more rows, for instance after keeping the last N
     bars; recurrences then need no blocks. A symbol with more is an error. ``block`` forces the
-    block length.
+    block length. With ``resumed`` the bars carry the columns of :mod:`barloom.operators.resume`, and
+    the row numbers and the recurrences are returned too.
     """
-    probe = Frame()
+    probe = Frame(resumed=resumed)
     built = [(i, i.build(probe)) for i in indicators]
     df = bars
     for group in _split_by_block(built) if block is None else [built]:
-        df = _apply_group(df, group, max_rows, block)
+        df = _apply_group(df, group, max_rows, block, resumed)
     wanted = list(dict.fromkeys(o for i in indicators for o in i.outputs))
+    if resumed:
+        wanted += [RN, *recurrence_names(indicators)]
     return df.select(*[c for c in bars.columns if c not in wanted], *wanted)
 
 
 Built = list[tuple[Indicator, list[Stage]]]
 
 
+def recurrence_names(indicators: Sequence[Indicator]) -> list[str]:
+    """The recurrences behind some indicators, whose last values a resumed run needs."""
+    return sorted({n for i in indicators for s in i.build(Frame()) for n in s.recurrences})
+
+
 def _recurrences(built: Built) -> list[Recurrence]:
     return [r for _, stages in built for s in stages for r in s.recurrences.values()]
 
@@ -126,16 +141,18 @@ def _split_by_block(built: Built) -> list[Built]:
     return [g for g in (near, far) if g]
 
 
-def _apply_group(bars: DataFrame, built: Built, max_rows: int | None, block: int | None) -> DataFrame:
+def _apply_group(bars: DataFrame, built: Built, max_rows: int | None, block: int | None, resumed: bool = False) -> DataFrame:
     recs = _recurrences(built)
     block = block or block_length(recs)
     if recs and max(r.seed_row for r in recs) > block:
         raise ValueError("the block must hold the seed rows of every recurrence")
     blocked = bool(recs) and not (max_rows is not None and 0 < max_rows <= block)
-    plans = [i.build(Frame(True)) if blocked else stages for i, stages in built]
+    plans = [i.build(Frame(True, resumed)) if blocked else stages for i, stages in built]
     levels = max(len(p) for p in plans)
 
     df = number_rows(valid_bars(bars))
+    if resumed:
+        df = df.withColumn(RN, F.col(RN) + F.coalesce(BEFORE, F.lit(0)))
     if max_rows:
         too_many = F.raise_error(F.concat(F.lit(f"more than max_rows={max_rows} bars of symbol "), F.col(CODE))).cast("int")
         df = df.withColumn(RN, F.when(F.col(RN) > max_rows, too_many).otherwise(F.col(RN)))
@@ -152,7 +169,7 @@ def _apply_group(bars: DataFrame, built: Built, max_rows: int | None, block: int
                 recurrences.update({n: r for n, r in p[k].recurrences.items() if n not in known})
         known.update(cols, recurrences)
         if recurrences:
-            df = run_recurrences(df, cols, recurrences, block, blocked)
+            df = run_recurrences(df, cols, recurrences, block, blocked, resumed)
         elif cols:
             df = df.withColumns(cols)
     folds = {name: col for p in plans for s in p for name, col in s.folds.items()}
@@ -160,4 +177,6 @@ def _apply_group(bars: DataFrame, built: Built, max_rows: int | None, block: int
         # The windows below already left this order, so the sort is dropped at planning.
         df = df.sortWithinPartitions(*([CODE, BLK, DATE] if blocked else [CODE, DATE])).withColumns(folds)
     kept = [o for i, _ in built for o in i.outputs]
+    if resumed:
+        kept += [RN, *recurrence_names([i for i, _ in built])]
     return df.select(*[c for c in bars.columns if c not in kept], *dict.fromkeys(kept))

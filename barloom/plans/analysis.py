@@ -11,14 +11,21 @@ from barloom.operators.bars import by_date, last_bars, merge_frames, new_rows, v
 from barloom.operators.classifiers import CLASSIFIERS, class_samples, classify_pooled, fit_pooled, value_samples
 from barloom.operators.features import scoring_window, stored_recent
 from barloom.operators.finite import ret_index
+from barloom.operators.resume import VOLUME_RATE, enrich_resumed, next_carry, with_carry, with_volume_rate
+from barloom.operators.scan import BASE
 from barloom.operators.series import apply
 from barloom.operators.standard import enrich
 from barloom.operators.summary import ranked_summary
-from barloom.schema import CODE, COMPAT_RANGE, DATE, FEATURE_LENGTH, KEY, STANDARD_COLUMNS
+from barloom.schema import BAR_COLUMNS, CODE, COMPAT_RANGE, DATE, FEATURE_LENGTH, KEY, STANDARD_COLUMNS
 from barloom.session import checkpoint
+from barloom.sources.keyed import KeyedStore
 from barloom.sources.sinks import append_snapshot, write_summary
 
 
+#: Bars that an indicator of the standard set or a model looks back, at most.
+LONGEST_WINDOW = 250
+
+
 def kept_bars(bars: DataFrame, days: int) -> DataFrame:
     """The last ``days`` complete business-day bars of each symbol (0: all)."""
     return last_bars(valid_bars(bars), days)
@@ -38,6 +45,8 @@ def forecasts(
     part of the return index, at most 135 short rows per symbol, which is stored once.
     """
     first = F.first("adj_close").over(by_date())
+    if BASE in kept.columns:  # the rows are only the end of a history
+        first = F.coalesce(F.col(BASE), first)
     index = valid_bars(kept).select(*KEY, F.try_divide("adj_close", first).alias("ret_index"), first.alias("base"))
     recent = stored_recent(index)
     windows = scoring_window(recent)
@@ -104,83 +113,83 @@ def chart_classes(bars: DataFrame, days: int) -> DataFrame:
     return bars.select(CODE).distinct().withColumn("chart", output_class(F.lit(days)))
 
 
-class DailyStore:
-    """The tables of the daily job under one folder, each partitioned by the run that wrote it.
+class DailyStore(KeyedStore):
+    """The tables of the daily job under one folder, see :mod:`barloom.sources.keyed`.
 
-    ``bars``: the history; a run appends its new rows. ``marks``: last stored day of each symbol.
-    ``tail``: the last ``TAIL`` complete bars of each symbol. ``enriched``: analysed rows. Of the
-    last three a symbol's latest run counts, so a run writes only the symbols that changed, and
-    everything else stays as it is. A run that is repeated replaces what it wrote before.
+    ``bars``: the history, which grows by the new rows of each run. Of the others a symbol's last
+    run counts: ``tail``, its last complete bars; ``enriched``, its analysed rows. A store that
+    analyses whole histories keeps ``whole`` instead, analysed rows that grow like the bars, with
+    ``carry``, what the next run goes on from, and ``marks``, the forecasts for the last bar.
     """
 
-    TAIL = 600
-    RUN = "run"
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def write(self, table: str, df: DataFrame, run: int) -> None:
-        out = df.withColumn(self.RUN, F.lit(run).cast("int"))
-        out = out.repartitionByRange(CODE, DATE) if table != "marks" else out
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.RUN).parquet(
-            f"{self.path}/{table}"
-        )
-
-    def read(self, table: str, before: int | None = None) -> DataFrame | None:
-        """The rows of all runs, or of those before one; ``None`` if nothing was ever written."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
-        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
-            return None
-        df = self.spark.read.parquet(f"{self.path}/{table}")
-        return df if before is None else df.where(F.col(self.RUN) < before)
+    def __init__(self, spark: SparkSession, path: str, tail: int = 600, live: int = 8):
+        if tail < LONGEST_WINDOW:
+            raise ValueError(f"the tail must hold the longest window, {LONGEST_WINDOW} bars")
+        super().__init__(spark, path, live)
+        self.tail = tail
 
-    def latest(self, table: str, before: int | None = None) -> DataFrame | None:
-        """Each symbol's rows of its latest run."""
-        df = self.read(table, before)
-        if df is None:
-            return None
-        newest = df.groupBy(CODE).agg(F.max(self.RUN).alias("_newest"))
-        joined = df.join(newest, CODE).where(F.col(self.RUN) == F.col("_newest"))
-        return joined.drop(self.RUN, "_newest")
+    def history(self, run: int | None = None) -> DataFrame:
+        """All stored bars, as of a run."""
+        return self.all_rows("bars", run)
 
-    def history(self) -> DataFrame:
-        """All stored bars."""
-        return self.read("bars").drop(self.RUN)
-
-    def enriched(self) -> DataFrame:
-        """The current enriched rows of every symbol."""
-        return self.latest("enriched")
+    def enriched(self, run: int | None = None) -> DataFrame:
+        """The enriched rows of every symbol, as of a run."""
+        whole = self.all_rows("whole", run)
+        if whole is None:
+            return self.current("enriched", run)
+        marks = self.current("marks", run).select(*KEY, "classified", "predicted")
+        return with_volume_rate(whole, self.current("carry", run)).join(marks, KEY, "left")
 
 
 def daily_run(store: DailyStore, landed: DataFrame, run: int, days: int = 240) -> DataFrame:
     """Append new bars and analyse the symbols that got any; returns all current enriched rows.
 
     New rows start after a symbol's last stored day, so they never meet a stored key and the
-    history is neither read nor rewritten: the cost is that of the landed rows and of the tails
-    of the symbols that changed. Runs are numbered upwards; a run without news changes nothing.
+    history is neither read nor rewritten. A run costs the landed rows, the tails of the symbols
+    that changed, one index row for each symbol, and now and then the merging of small parts.
+
+    ``days`` bars of a symbol are analysed, up to the store's tail, or its whole history with
+    ``days=0``: new bars then go on from carried values. A store keeps to one of the two. Runs
+    are numbered upwards from 0; a run without news changes nothing.
     """
-    if not 0 < days <= store.TAIL:
-        raise ValueError(f"days must be from 1 to {store.TAIL}")
-    marks = store.read("marks", before=run)
-    if marks is None:
-        fresh = landed
-    else:
-        last = marks.groupBy(CODE).agg(F.max(DATE).alias(DATE))
-        fresh = new_rows(last, landed)
-    store.write("bars", fresh, run)
-    fresh = store.read("bars").where(F.col(store.RUN) == run).drop(store.RUN)
+    if not 0 <= days <= store.tail:
+        raise ValueError(f"days must be 0 or at most the store's tail, {store.tail}")
+    index = store.index(run - 1)
+    known = "whole" if days == 0 else "enriched"
+    if index is not None and not store.has(known):
+        raise ValueError("a store analyses either the last bars or whole histories")
+    fresh = landed if index is None else new_rows(index.select(*KEY), landed)
+    fresh = store.stage(run, "bars", fresh)
+    if fresh.isEmpty():
+        return store.enriched()
     changed = fresh.groupBy(CODE).agg(F.max(DATE).alias(DATE))
     tail = valid_bars(fresh)
-    old = store.latest("tail", before=run)
+    old = store.current("tail", run - 1)
     if old is not None:
         tail = tail.unionByName(old.join(changed.select(CODE), CODE, "left_semi"))
-    store.write("tail", last_bars(tail, store.TAIL), run)
-    kept = store.read("tail").where(F.col(store.RUN) == run).drop(store.RUN)
-    store.write("enriched", analyse(kept, days), run)
-    store.write("marks", changed, run)  # last, so a run that broke off is taken up again
+    if days:
+        kept = store.stage(run, "tail", last_bars(tail, store.tail))
+        store.stage(run, "enriched", analyse(kept, days))
+        keyed, growing = ["tail", "enriched"], ["bars"]
+    else:
+        _whole_histories(store, tail, run)
+        keyed, growing = ["tail", "carry", "marks"], ["bars", "whole"]
+    store.commit(run, changed, keyed, growing)
     return store.enriched()
 
 
+def _whole_histories(store: DailyStore, bars: DataFrame, run: int) -> None:
+    """Stage what a run adds to whole histories: analysed new rows, carries and marks."""
+    carry = store.current("carry", run - 1)
+    carried = with_carry(bars, carry, store.tail)
+    enriched = checkpoint(enrich_resumed(carried))
+    columns = [c for c in STANDARD_COLUMNS if c not in VOLUME_RATE]
+    store.stage(run, "whole", enriched.where("_new").select(*BAR_COLUMNS, *columns))
+    store.stage(run, "carry", next_carry(enriched))
+    store.stage(run, "marks", forecasts(enriched.select(*BAR_COLUMNS, BASE)))
+    store.stage(run, "tail", last_bars(enriched.select(*BAR_COLUMNS), store.tail))
+
+
 def demo(bars: DataFrame) -> DataFrame:
     """Bars joined with their return index."""
     index = apply(bars, [ret_index()]).select(*KEY, "ret_index")

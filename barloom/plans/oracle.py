@@ -635,12 +635,12 @@ def caption_sql() -> str:
     )
 
 
-def analysed_sql(*source: str) -> str:
+def analysed_sql(*source: str, days: int = 240) -> str:
     ctes, table = all_indicators()
     learn = [c for c in forecast_ctes("tree") if not c.startswith("s AS")]
     body = f"""SELECT t.code, t.date, {rnds(VALUES)}, {rnds(STANDARD_COLUMNS)}, classified, predicted
 FROM {table} t LEFT JOIN marks m ON m.code = t.code AND m.date = t.date"""
-    return query(body, *(source or [BARS]), VALID, KEPT.format(days=240), *series("kept"), *ctes, *learn, recursive=True)
+    return query(body, *(source or [BARS]), VALID, KEPT.format(days=days), *series("kept"), *ctes, *learn, recursive=True)
 
 
 DAILY = [
@@ -815,6 +815,8 @@ def statements() -> dict[str, str]:
         "analysed_240": analysed_sql(),
         "daily_run_history": query(f"SELECT code, date, {V} FROM bars", *DAILY),
         "daily_run_enriched": analysed_sql(*DAILY),
+        "daily_run_whole": analysed_sql(days=10**9),
+        "daily_run_earlier": analysed_sql(DAILY[0], DAILY[1].replace("start AS (", "bars AS MATERIALIZED (", 1)),
         "return_index_demo": query(
             f"SELECT code, date, {V}, {rnd('ri', 'ret_index')} FROM s", *bv, *series("valid")
         ),

@@ -348,7 +348,7 @@ def _analysed(spark, sf):
     return rounded(out.select(*BAR_COLUMNS, *STANDARD_COLUMNS, "classified", "predicted"))
 
 
-def _daily(spark: SparkSession, sf: str) -> analysis.DailyStore:
+def _daily(spark: SparkSession, sf: str, days: int = 240) -> analysis.DailyStore:
     """Three runs: a first history, news for two thirds of the symbols, and no news.
 
     What lands again of the stored days has other prices, which must not count.
@@ -357,9 +357,9 @@ def _daily(spark: SparkSession, sf: str) -> analysis.DailyStore:
     early = F.col(DATE) < F.lit(SPLIT).cast("date")
     store = analysis.DailyStore(spark, scratch_path(spark, "daily"))
     again = bars.where(F.col(CODE).cast("int") % 3 != 0).select(*KEY, *[F.when(early, F.col(c) * 2.0).otherwise(F.col(c)).alias(c) for c in VALUES])
-    analysis.daily_run(store, bars.where(early), 1)
-    analysis.daily_run(store, again, 2)
-    analysis.daily_run(store, again, 3)
+    analysis.daily_run(store, bars.where(early), 1, days)
+    analysis.daily_run(store, again, 2, days)
+    analysis.daily_run(store, again, 3, days)
     return store
 
 
@@ -372,6 +372,22 @@ def _daily_enriched(spark, sf):
     return rounded(out.select(*BAR_COLUMNS, *STANDARD_COLUMNS, "classified", "predicted"))
 
 
+def _daily_whole(spark, sf):
+    """The same three runs over whole histories, with a tail shorter than they are."""
+    bars = checkpoint(_bars(spark, sf))
+    store = analysis.DailyStore(spark, scratch_path(spark, "daily"), tail=analysis.LONGEST_WINDOW)
+    day, third = F.col(DATE), F.col(CODE).cast("int") % 3 != 0
+    for run, cut in enumerate(("2000-06-01", "2000-06-20", "2001-03-01", "9999-12-31"), 1):
+        landed = bars.where((day < F.lit(cut).cast("date")) & (third | F.lit(run in (1, 4))))
+        analysis.daily_run(store, landed, run, days=0)
+    return rounded(store.enriched().select(*BAR_COLUMNS, *STANDARD_COLUMNS, "classified", "predicted"))
+
+
+def _daily_earlier(spark, sf):
+    """The rows as they were after the first run."""
+    return rounded(_daily(spark, sf).enriched(run=1).select(*BAR_COLUMNS, *STANDARD_COLUMNS, "classified", "predicted"))
+
+
 def _demo(spark, sf):
     return rounded(analysis.demo(tb.valid_bars(_bars(spark, sf))))
 
@@ -567,5 +583,7 @@ QUERIES: dict[str, Query] = {
     "analysed_240": _analysed,
     "daily_run_history": _daily_history,
     "daily_run_enriched": _daily_enriched,
+    "daily_run_whole": _daily_whole,
+    "daily_run_earlier": _daily_earlier,
     "return_index_demo": _demo,
 }

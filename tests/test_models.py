@@ -235,4 +235,6 @@ def test_daily_run(spark, walks, tmp_path):
         out = analysis.daily_run(store, landed, run)
         assert sorted(map(str, out.collect())) == enriched and store.history().count() == history
     with pytest.raises(ValueError, match="days"):
+        analysis.daily_run(store, landed, 4, days=601)
+    with pytest.raises(ValueError, match="either"):
         analysis.daily_run(store, landed, 4, days=0)
