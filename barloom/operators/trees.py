@@ -1,10 +1,9 @@
 """Decision trees, forests and boosted stumps, one model per symbol.
 
-Trees of all symbols grow together, one level per pass: the samples expand to one row per
-feature, a window ordered by value yields the counts left and right of every cut, and a
-second window picks the best cut of each node. A symbol has at most 121 samples, so every
-window group is small whatever the length of its history, and all passes use the one
-partitioning by symbol.
+A symbol has at most 121 samples, a proven bound, so its samples travel as one row and its trees
+grow in one Arrow-batched pass: one shuffle by symbol, whatever the depth and the number of trees.
+Every cut of every feature of a node is tried at once, from sums over its samples in the order of
+each feature.
 
 A model row holds the tree as a map from node number to its cut or its share of label 1;
 node k has the children 2k (value at most the threshold) and 2k+1.
@@ -12,111 +11,105 @@ node k has the children 2k (value at most the threshold) and 2k+1.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import md5
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.schema import CODE, DATE
+from barloom.schema import CODE, DATE, FEATURE_LENGTH
 from barloom.session import spread
 
 TREE = "tree"
 DEPTH = 5
+NODES = "map<bigint,struct<f:int,cut:double,share:double>>"
+#: Mean shares of a forest are compared with one half up to the last bits of their sum.
+EVEN = 0.5 + 1e-12
+
 
+def grown(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, draw=None) -> dict[int, tuple]:
+    """Nodes ``(feature, cut, share)`` of one tree; a leaf has a share only.
 
-def _gini_gain(n: str, p: str, total_n: str, total_p: str) -> Column:
-    """Larger is purer; orders cuts of one node like the decrease of Gini impurity."""
-    ln, lp = F.col(n), F.col(p)
-    rn, rp = F.col(total_n) - ln, F.col(total_p) - lp
-    return (lp * lp + (ln - lp) * (ln - lp)) / ln + (rp * rp + (rn - rp) * (rn - rp)) / rn
+    The best cut leaves the purest sides; of equal ones the first feature's lowest counts. With
+    ``draw``, a node looks at the features in the order ``draw(node)``, and at the next one only
+    while those before allow no cut.
+    """
+    nodes: dict[int, tuple] = {}
+    keep = np.flatnonzero(w > 0)
+    todo = [(1, keep)] if len(keep) else []
+    while todo:
+        node, rows = todo.pop()
+        wy = w[rows] * y[rows]
+        tn, tp = w[rows].sum(), wy.sum()
+        best = None
+        if node < 2**depth and 0 < tp < tn:
+            order = np.argsort(x[rows], axis=0, kind="stable")
+            v = np.take_along_axis(x[rows], order, axis=0)
+            n, p = np.cumsum(w[rows][order], axis=0)[:-1], np.cumsum(wy[order], axis=0)[:-1]
+            possible = v[1:] > v[:-1]
+            if possible.any():
+                rn, rp = tn - n, tp - p
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    gain = (p * p + (n - p) * (n - p)) / n + (rp * rp + (rn - rp) * (rn - rp)) / rn
+                gain = np.where(possible, gain, -np.inf)
+                if draw is None:
+                    f = int(gain.max(axis=0).argmax())
+                else:
+                    f = next(f for f in draw(node) if possible[:, f].any())
+                at = int(gain[:, f].argmax())
+                best = f, (v[at, f] + v[at + 1, f]) / 2.0
+        if best is None:
+            nodes[node] = (None, None, float(tp / tn))
+            continue
+        nodes[node] = (*best, None)
+        right = x[rows, best[0]] > best[1]
+        todo += [(2 * node, rows[~right]), (2 * node + 1, rows[right])]
+    return nodes
+
+
+def drawn_order(code: str, tree: int, node: int, seed: int) -> list[int]:
+    """Features in the order of two digits each of a digest, the larger first."""
+    digits = md5(f"{code}|{tree}|{node}|{seed}".encode()).hexdigest()
+    return sorted(range(FEATURE_LENGTH), key=lambda f: (digits[2 * f : 2 * f + 2], f), reverse=True)
+
+
+def _grow(depth: int, seed: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, trees, models = [], [], []
+            for k, code in enumerate(batch.column(CODE).to_pylist()):
+                y = batch.column("y")[k].values.to_numpy().astype(np.float64)
+                # Single precision values, as cuts are commonly searched on.
+                x = batch.column("x")[k].values.to_numpy().astype(np.float32).astype(np.float64).reshape(len(y), -1)
+                w = batch.column("w")[k].values.to_numpy().astype(np.float64).reshape(len(y), -1)
+                for tree in range(w.shape[1]):
+                    draw = None if seed is None else (lambda node, t=tree, c=code: drawn_order(c, t, node, seed))
+                    nodes = grown(x, y, w[:, tree], depth, draw)
+                    if nodes:
+                        codes.append(code)
+                        trees.append(tree)
+                        models.append([(n, {"f": f, "cut": c, "share": s}) for n, (f, c, s) in sorted(nodes.items())])
+            kind = pa.map_(pa.int64(), pa.struct([("f", pa.int32()), ("cut", pa.float64()), ("share", pa.float64())]))
+            columns = [pa.array(codes, pa.string()), pa.array(trees, pa.int32()), pa.array(models, kind)]
+            yield pa.RecordBatch.from_arrays(columns, [CODE, TREE, "nodes"])
+
+    return run
 
 
 def grow(samples: DataFrame, depth: int = DEPTH, one_feature_seed: int | None = None) -> DataFrame:
-    """Model table ``(code, tree, nodes)`` from ``(code, tree, weight, label, features)``.
+    """Model table ``(code, tree, nodes)`` from ``(code, weights, label, features)``, one weight for each tree.
 
     With ``one_feature_seed`` every node looks at one feature drawn at random, and at the
     next ones of its draw only while those so far allow no cut.
     """
-    # Single precision values, as cuts are commonly searched on.
-    x = F.transform("features", lambda v: v.cast("float").cast("double"))
-    state = samples.where(F.col("weight") > 0).select(
-        CODE,
-        TREE,
-        F.col("weight").cast("double").alias("w"),
-        F.col("label").cast("double").alias("y"),
-        x.alias("x"),
-        F.lit(1).cast("long").alias("node"),
-        F.lit(False).alias("leaf"),
-        F.array().cast("array<struct<node:bigint,f:int,cut:double>>").alias("path"),
-    )
-    if one_feature_seed is not None:
-        state = spread(state, CODE, TREE)
-    for _ in range(depth):
-        state = _split_nodes(state, one_feature_seed)
-
-    here = Window.partitionBy(CODE, TREE, "node")
-    share = F.sum(F.col("w") * F.col("y")).over(here) / F.sum("w").over(here)
-    leaf = F.struct(F.lit(None).cast("int").alias("f"), F.lit(None).cast("double").alias("cut"), F.col("share"))
-    inner = F.transform(
-        "path",
-        lambda s: F.struct(
-            s["node"].alias("node"),
-            F.struct(s["f"].alias("f"), s["cut"].alias("cut"), F.lit(None).cast("double").alias("share")).alias("v"),
-        ),
-    )
-    entries = F.concat(inner, F.array(F.struct(F.col("node"), leaf.alias("v"))))
-    return (
-        state.withColumn("share", share)
-        .select(CODE, TREE, F.explode(entries).alias("e"))
-        .groupBy(CODE, TREE)
-        .agg(F.map_from_entries(F.collect_set("e")).alias("nodes"))
-    )
-
-
-def _split_nodes(state: DataFrame, one_feature_seed: int | None) -> DataFrame:
-    values = F.when(F.col("leaf"), F.array(F.lit(None).cast("double"))).otherwise(F.col("x"))
-    # Only the first of a sample's rows carries its wide columns through the sort.
-    carried = [F.when(F.col("f") == 0, F.col(c)).alias(c) for c in ("x", "path")]
-    wide = state.select("*", F.posexplode(values).alias("f", "v")).select(
-        CODE, TREE, "w", "y", "node", "leaf", "f", "v", *carried
-    )
-    key = [CODE, TREE, "node"]
-    by_value = Window.partitionBy(*key, "f").orderBy("v")
-    upto = by_value.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    every = by_value.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    wy = F.col("w") * F.col("y")
-    wide = wide.withColumns(
-        {
-            "n": F.sum("w").over(upto),
-            "p": F.sum(wy).over(upto),
-            "tn": F.sum("w").over(every),
-            "tp": F.sum(wy).over(every),
-            "nv": F.lead("v").over(by_value),
-        }
-    )
-    possible = (F.col("nv") > F.col("v")) & (F.col("tp") > 0) & (F.col("tp") < F.col("tn"))
-    cut = (F.col("v") + F.col("nv")) / 2.0
-    gain = _gini_gain("n", "p", "tn", "tp").alias("gain")
-    if one_feature_seed is None:
-        choice = F.struct(gain, (-F.col("f")).alias("nf"), (-cut).alias("ncut"), F.col("f"), cut.alias("cut"))
-    else:
-        draw = F.xxhash64(CODE, TREE, "node", "f", F.lit(one_feature_seed)).alias("draw")
-        choice = F.struct(draw, gain, (-cut).alias("ncut"), F.col("f"), cut.alias("cut"))
-    wide = wide.withColumn("best", F.max(F.when(possible, choice)).over(Window.partitionBy(*key)))
-    f, at = F.col("best.f"), F.col("best.cut")
-    right = (F.element_at("x", f + 1) > at).cast("long")
-    none = F.col("best").isNull()
-    step = F.array(F.struct(F.col("node"), f.cast("int").alias("f"), at.alias("cut")))
-    return wide.where(F.col("f") == 0).select(
-        CODE,
-        TREE,
-        "w",
-        "y",
-        "x",
-        F.when(none, F.col("node")).otherwise(F.col("node") * 2 + right).alias("node"),
-        (F.col("leaf") | none).alias("leaf"),
-        F.when(none, F.col("path")).otherwise(F.concat("path", step)).alias("path"),
-    )
+    one = F.struct(F.col("label").cast("double").alias("y"), F.col("features").alias("x"), F.col("weights").alias("w"))
+    packed = samples.groupBy(CODE).agg(F.collect_list(one).alias("s"))
+    packed = packed.select(CODE, F.flatten("s.x").alias("x"), F.col("s.y").alias("y"), F.flatten("s.w").alias("w"))
+    # Few bytes become much work, which merged partitions would leave to few tasks.
+    return spread(packed, CODE).mapInArrow(_grow(depth, one_feature_seed), f"{CODE} string, {TREE} int, nodes {NODES}")
 
 
 def tree_share(depth: int = DEPTH) -> Column:
@@ -133,34 +126,44 @@ def tree_share(depth: int = DEPTH) -> Column:
 
 
 def fit_tree(samples: DataFrame, depth: int = DEPTH) -> DataFrame:
-    return grow(samples.withColumns({TREE: F.lit(0), "weight": F.lit(1.0)}), depth)
+    return grow(samples.withColumn("weights", F.array(F.lit(1.0))), depth)
+
+
+def poisson_steps() -> list[str]:
+    """The first eight digits of a digest beyond which a Poisson(1) draw is above 0, 1, 2, ..."""
+    total, term, out = 0.0, float(np.exp(-1.0)), []
+    for k in range(12):
+        total += term
+        out.append(f"{min(int(total * 2**32), 2**32 - 1):08x}")
+        term /= k + 1
+    return out
 
 
 def fit_forest(samples: DataFrame, trees: int = 10, depth: int = DEPTH, seed: int = 7) -> DataFrame:
     """Bagged trees with one random feature per node.
 
     A sample's weight in a tree is a Poisson(1) draw, the distributed form of sampling with
-    replacement. Draws are hashes of key, tree and seed: the same on every retry.
+    replacement. Draws are digests of key, tree and seed: the same on every retry.
     """
-    bits = F.xxhash64(CODE, DATE, TREE, F.lit(seed))
-    u = (F.pmod(bits, F.lit(1 << 30)).cast("double") + 0.5) / float(1 << 30)
-    weight, total, term = F.lit(0.0), 0.0, float(np.exp(-1.0))
-    for k in range(12):
-        total += term
-        weight = weight + (u > total).cast("double")
-        term /= k + 1
-    bagged = samples.withColumn(TREE, F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("weight", weight)
-    return grow(bagged, depth, one_feature_seed=seed)
+
+    def weight(tree: Column) -> Column:
+        name = F.concat_ws("|", CODE, F.date_format(DATE, "yyyy-MM-dd"), tree.cast("string"), F.lit(str(seed)))
+        drawn = F.substring(F.md5(name.cast("binary")), 1, 8)
+        return sum(((drawn > step).cast("double") for step in poisson_steps()), F.lit(0.0))
+
+    weights = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), weight)
+    return grow(samples.withColumn("weights", weights), depth, one_feature_seed=seed)
 
 
 def classify_trees(model: DataFrame, windows: DataFrame) -> DataFrame:
     """Mean leaf share over the trees of a symbol; label 1 above one half."""
     scored = windows.join(model, CODE).withColumn("_share", tree_share())
     return scored.groupBy(CODE).agg(
-        F.max(DATE).alias(DATE), (F.avg("_share") > 0.5).cast("int").alias("prediction")
+        F.max(DATE).alias(DATE), (F.avg("_share") > EVEN).cast("int").alias("prediction")
     )
 
 
+GAIN_DIGITS = 11
 STUMPS = "array<struct<f:int,cut:double,below:double,above:double>>"
 
 
@@ -184,7 +187,10 @@ def _boost(rounds: int):
             f, cut, below, above = 0, np.inf, tp / tn, tp / tn
             if gap.any() and 0 < tp < tn:
                 gain = (lp**2 + (ln - lp) ** 2) / ln + (rp**2 + (rn - rp) ** 2) / rn
-                at, f = np.unravel_index(np.argmax(np.where(gap, gain, -np.inf)), gain.shape)
+                # Equal cuts differ in their last bits; of these the first feature's lowest counts.
+                gain = np.where(gap, np.round(gain, GAIN_DIGITS), -np.inf)
+                f = int(gain.max(axis=0).argmax())
+                at = int(gain[:, f].argmax())
                 cut = (ranked[at, f] + ranked[at + 1, f]) / 2.0
                 below, above = lp[at, f] / ln[at, f], rp[at, f] / rn[at, f]
             share = np.where(x[:, f] > cut, above, below)

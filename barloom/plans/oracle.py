@@ -513,39 +513,110 @@ FROM score JOIN m{n} USING (code) JOIN two USING (code)"""
     return query(body, BARS, VALID, *learning(), *ctes)
 
 
-def tree_ctes(depth: int = 5) -> list[str]:
-    """Trees of all symbols, level by level; the scored window rides along with weight 0."""
+def tree_ctes(depth: int = 5, trees: int = 1, weight: str = "1", draw: str | None = None) -> list[str]:
+    """Trees of all symbols, level by level; the scored window rides along with weight 0.
+
+    ``weight`` is a sample's weight in tree ``t``; ``draw`` orders the features ``f`` of a node.
+    """
+    last = f"ROW({draw}, f, gain, -t)" if draw else "ROW(gain, -f, -t)"
     ctes = [
-        """g0 AS MATERIALIZED (
-  SELECT code, row_number() OVER () AS sid, 1 AS w, label AS y, [CAST(CAST(v AS FLOAT) AS DOUBLE) for v in f] AS x, CAST(1 AS BIGINT) AS node FROM cls
-  UNION ALL SELECT code, -1, 0, 0, [CAST(CAST(v AS FLOAT) AS DOUBLE) for v in f], 1 FROM score)"""
+        f"""g0 AS MATERIALIZED (
+  SELECT code, t, sid, {weight} AS w, y, x, CAST(1 AS BIGINT) AS node FROM (
+    SELECT code, date, row_number() OVER () AS sid, label AS y, [CAST(CAST(v AS FLOAT) AS DOUBLE) for v in f] AS x FROM cls), range(0, {trees}) AS ts(t)
+  UNION ALL SELECT code, t, -1, 0, 0, [CAST(CAST(v AS FLOAT) AS DOUBLE) for v in f], 1 FROM score, range(0, {trees}) AS ts(t))"""
     ]
     for d in range(1, depth + 1):
         ctes.append(f"""cut{d} AS MATERIALIZED (
-  SELECT code, node, arg_max(ROW(f, t), ROW(gain, -f, -t)) AS best FROM (
-    SELECT code, node, f, (v + nv) / 2.0 AS t,
+  SELECT code, tree, node, arg_max(ROW(f, t), {last}) AS best FROM (
+    SELECT code, tree, node, f, (v + nv) / 2.0 AS t,
       (p * p + (n - p) * (n - p)) / n + ((tp - p) * (tp - p) + ((tn - n) - (tp - p)) * ((tn - n) - (tp - p))) / (tn - n) AS gain
     FROM (
-      SELECT code, node, f, v, lead(v) OVER o AS nv,
+      SELECT code, t AS tree, node, f, v, lead(v) OVER o AS nv,
         CAST(sum(w) OVER (o RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS n,
-        CAST(sum(y) OVER (o RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS p,
-        CAST(sum(w) OVER (PARTITION BY code, node, f) AS DOUBLE) AS tn,
-        CAST(sum(y) OVER (PARTITION BY code, node, f) AS DOUBLE) AS tp
-      FROM (SELECT code, node, w, y, f, x[f + 1] AS v FROM g{d - 1}, range(0, 14) AS fs(f) WHERE w = 1)
-      WINDOW o AS (PARTITION BY code, node, f ORDER BY v))
+        CAST(sum(w * y) OVER (o RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS p,
+        CAST(sum(w) OVER (PARTITION BY code, t, node, f) AS DOUBLE) AS tn,
+        CAST(sum(w * y) OVER (PARTITION BY code, t, node, f) AS DOUBLE) AS tp
+      FROM (SELECT code, t, node, w, y, f, x[f + 1] AS v FROM g{d - 1}, range(0, 14) AS fs(f) WHERE w > 0)
+      WINDOW o AS (PARTITION BY code, t, node, f ORDER BY v))
     WHERE nv > v AND tp > 0 AND tp < tn)
-  GROUP BY code, node)""")
+  GROUP BY code, tree, node)""")
         ctes.append(f"""g{d} AS MATERIALIZED (
-  SELECT g.code, sid, w, y, x, CASE WHEN best IS NULL THEN g.node
+  SELECT g.code, g.t, sid, w, y, x, CASE WHEN best IS NULL THEN g.node
     ELSE g.node * 2 + CAST(x[best[1] + 1] > best[2] AS BIGINT) END AS node
-  FROM g{d - 1} g LEFT JOIN cut{d} c ON c.code = g.code AND c.node = g.node)""")
+  FROM g{d - 1} g LEFT JOIN cut{d} c ON c.code = g.code AND c.tree = g.t AND c.node = g.node)""")
     ctes.append(f"""tree AS MATERIALIZED (
-  SELECT q.code, score.date, CAST(q.share > 0.5 AS INTEGER) AS prediction FROM (
-    SELECT code, w, sum(w * y) OVER (PARTITION BY code, node) / sum(w) OVER (PARTITION BY code, node) AS share FROM g{depth}) q
-  JOIN score ON score.code = q.code WHERE w = 0 AND share IS NOT NULL)""")
+  SELECT q.code, max(score.date) AS date, CAST(avg(q.share) > 0.5 + 1e-12 AS INTEGER) AS prediction FROM (
+    SELECT code, sid, sum(w * y) OVER (PARTITION BY code, t, node) / sum(w) OVER (PARTITION BY code, t, node) AS share FROM g{depth}) q
+  JOIN score ON score.code = q.code WHERE sid = -1 AND share IS NOT NULL GROUP BY q.code)""")
     return ctes
 
 
+def forest_sql(trees: int = 10, seed: int = 7) -> str:
+    """Weights and drawn features from the digits of a digest."""
+    from barloom.operators.trees import poisson_steps
+
+    digits = f"substr(md5(code || '|' || strftime(date, '%Y-%m-%d') || '|' || t || '|{seed}'), 1, 8)"
+    weight = "(" + " + ".join(f"CAST({digits} > '{step}' AS INTEGER)" for step in poisson_steps()) + ")"
+    draw = f"substr(md5(code || '|' || tree || '|' || node || '|{seed}'), 1 + 2 * f, 2)"
+    return query("SELECT code, date, prediction FROM tree", BARS, VALID, *learning(), *tree_ctes(5, trees, weight, draw))
+
+
+def boosted_sql(rounds: int = 50) -> str:
+    """Stumps round by round; a symbol whose stump makes no mistake stops there."""
+    eps = "2.220446049250313e-16"
+    ctes = [
+        "b_x AS MATERIALIZED (SELECT code, row_number() OVER () AS sid, label AS y, [CAST(CAST(v AS FLOAT) AS DOUBLE) for v in f] AS x FROM cls)",
+        "b_v AS MATERIALIZED (SELECT code, sid, y, f, x[f + 1] AS v FROM b_x, range(0, 14) AS fs(f))",
+        "b_w0 AS MATERIALIZED (SELECT code, sid, y, 1.0 / CAST(count(*) OVER (PARTITION BY code) AS DOUBLE) AS w, false AS done FROM b_x)",
+    ]
+    for k in range(1, rounds + 1):
+        ctes.append(f"""b_s{k} AS MATERIALIZED (
+  SELECT code, max(tp) / max(tn) AS whole, arg_max(ROW(f, t, lp / ln, rp / rn), ROW(gain, -f, -t)) FILTER (t IS NOT NULL AND tp > 0 AND tp < tn) AS s FROM (
+    SELECT *, CASE WHEN nv > v THEN (v + nv) / 2.0 END AS t,
+      round((lp * lp + (ln - lp) * (ln - lp)) / ln + (rp * rp + (rn - rp) * (rn - rp)) / rn, 11) AS gain FROM (
+      SELECT b.code, f, v, lead(v) OVER o AS nv, sum(w) OVER (o ROWS UNBOUNDED PRECEDING) AS ln, sum(w * b.y) OVER (o ROWS UNBOUNDED PRECEDING) AS lp,
+        sum(w) OVER (o ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS rn, sum(w * b.y) OVER (o ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS rp,
+        sum(w) OVER (PARTITION BY b.code, f) AS tn, sum(w * b.y) OVER (PARTITION BY b.code, f) AS tp
+      FROM b_v b JOIN b_w{k - 1} p ON p.sid = b.sid WHERE NOT done WINDOW o AS (PARTITION BY b.code, f ORDER BY v, b.sid)))
+  GROUP BY code)""")
+        ctes.append(f"""b_w{k} AS MATERIALIZED (
+  SELECT code, sid, y, m / sum(m) OVER (PARTITION BY code) AS w, wrong <= 0 AS done FROM (
+    SELECT *, w * exp(CASE WHEN y > 0.5 THEN -0.5 ELSE 0.5 END * ln(greatest(least(p, 1.0 - {eps}), {eps}) / (1.0 - greatest(least(p, 1.0 - {eps}), {eps})))) AS m,
+      sum(CASE WHEN (p > 0.5) <> (y > 0.5) THEN w ELSE 0 END) OVER (PARTITION BY code) AS wrong FROM (
+      SELECT w.code, w.sid, w.y, w.w, CASE WHEN s IS NULL THEN whole WHEN x[s[1] + 1] > s[2] THEN s[4] ELSE s[3] END AS p
+      FROM b_w{k - 1} w JOIN b_x x ON x.sid = w.sid JOIN b_s{k} t ON t.code = w.code WHERE NOT w.done)))""")
+    votes = " UNION ALL ".join(
+        f"SELECT code, whole, s FROM b_s{k}" for k in range(1, rounds + 1)
+    )
+    share = "CASE WHEN s IS NULL THEN whole WHEN CAST(CAST(f[s[1] + 1] AS FLOAT) AS DOUBLE) > s[2] THEN s[4] ELSE s[3] END"
+    body = f"""SELECT code, date, CAST(sum(ln(p / (1.0 - p))) > 0 AS INTEGER) AS prediction FROM (
+  SELECT score.code, score.date, greatest(least({share}, 1.0 - {eps}), {eps}) AS p FROM score JOIN ({votes}) v ON v.code = score.code) GROUP BY code, date"""
+    return query(body, BARS, VALID, *learning(), *ctes)
+
+
+def lasso_sql(alpha: float, sweeps: int = 300) -> str:
+    """Cyclic coordinate descent on the centred sums, one coordinate a step."""
+    n = 14
+    means = ", ".join(f"avg(f[{i}])" for i in range(1, n + 1))
+    gram = "[" + ", ".join("[" + ", ".join(f"sum(z[{i}] * z[{j}])" for j in range(1, n + 1)) + "]" for i in range(1, n + 1)) + "]"
+    moment = "[" + ", ".join(f"sum(z[{i}] * y)" for i in range(1, n + 1)) + "]"
+    rho = "(q.b[k] - list_sum([q.g[k][j] * w[j] for j in range(1, 15)]) + q.g[k][k] * w[k])"
+    return query(
+        f"SELECT score.code, score.date, {rnd(f'(my + list_sum([w[i] * (f[i] - m[i]) for i in range(1, {n + 1})])) * base', 'prediction')} "
+        f"FROM score JOIN descent USING (code) JOIN mu USING (code) WHERE step = {n * sweeps}",
+        BARS, VALID, *learning(),
+        f"mu AS MATERIALIZED (SELECT code, [{means}] AS m, avg(label) AS my FROM val GROUP BY code)",
+        "cen AS MATERIALIZED (SELECT v.code, [v.f[i] - m[i] for i in range(1, 15)] AS z, v.label - my AS y FROM val v JOIN mu USING (code))",
+        f"sums AS MATERIALIZED (SELECT code, {gram} AS g, {moment} AS b, {alpha!r} * count(*) AS penalty FROM cen GROUP BY code)",
+        f"""descent AS (
+  SELECT code, 0 AS step, [CAST(0.0 AS DOUBLE) for i in range(0, 14)] AS w FROM sums
+  UNION ALL
+  SELECT code, step + 1, [CASE WHEN i <> k THEN w[i] WHEN d = 0 THEN 0.0 ELSE sign(rho) * greatest(abs(rho) - penalty, 0.0) / d END for i in range(1, 15)]
+  FROM (SELECT r.code, step, w, k, q.penalty, q.g[k][k] AS d, {rho} AS rho FROM (SELECT *, step % 14 + 1 AS k FROM descent WHERE step < {n * sweeps}) r JOIN sums q ON q.code = r.code))""",
+        recursive=True,
+    )
+
+
 def tree_sql(span: int = 135) -> str:
     return query("SELECT code, date, prediction FROM tree", BARS, VALID, *learning(span=span), *tree_ctes())
 
@@ -794,6 +865,10 @@ def statements() -> dict[str, str]:
             f"SELECT score.code, score.date, {rnd('avg(label) * any_value(base)', 'prediction')} FROM score JOIN val USING (code) GROUP BY score.code, score.date",
             *bv, *learning(),
         ),
+        "lasso": lasso_sql(1.0, 40),
+        "lasso_small_penalty": lasso_sql(0.001),
+        "random_forest": forest_sql(),
+        "adaboost": boosted_sql(),
         "decision_tree": tree_sql(),
         "decision_tree_compat_last": tree_sql(16),
         "gaussian_nb": nb_sql("gaussian"),

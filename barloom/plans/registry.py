@@ -15,7 +15,7 @@ from barloom import functions as fn
 from barloom.operators import bars as tb
 from barloom.operators import charts, finite, recursive, regressors, stochastics, summary
 from barloom.operators import features as feat
-from barloom.operators.classifiers import CLASSIFIERS, class_samples, classify_pooled, fit_pooled, value_samples
+from barloom.operators.classifiers import CLASSIFIERS, class_samples, value_samples
 from barloom.operators.sar import sar
 from barloom.operators.series import apply
 from barloom.operators.standard import enrich
@@ -321,14 +321,6 @@ def _classifier(name: str, mode: str = "full") -> Query:
     return run
 
 
-def _pooled(name: str) -> Query:
-    def run(spark, sf):
-        recent = feat.stored_recent(_index(spark, sf).select(*KEY, "ret_index"))
-        return classify_pooled(fit_pooled(class_samples(recent), name), feat.scoring_window(recent))
-
-    return run
-
-
 def _stored_model(spark, sf):
     from barloom.operators.classifiers import load_model, save_model
 
@@ -570,8 +562,6 @@ QUERIES: dict[str, Query] = {
     "multinomial_nb": _classifier("Multinomial Naive Bayes"),
     "bernoulli_nb": _classifier("Bernoulli Naive Bayes"),
     "discriminant": _classifier("LDA"),
-    "pooled_decision_tree": _pooled("Decision Tree"),
-    "pooled_random_forest": _pooled("Random Forest"),
     "stored_model": _stored_model,
     # streams
     "stream_bars": _streamed_bars,
