@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import change_ratio, is_business_day, is_index, next_business_day, truncated
 from barloom.schema import BAR_COLUMNS, CODE, DATE, KEY, OHLC_HEADERS, PRICES, VALUES
+from barloom.session import checkpoint
 
 
 def by_date(descending: bool = False):
@@ -28,23 +29,36 @@ def valid_bars(bars: DataFrame) -> DataFrame:
     return bars.where(is_business_day(F.col(DATE)) & complete)
 
 
-def business_day_align(bars: DataFrame) -> DataFrame:
-    """Every weekday between a symbol's first and last bar; days without a bar are null rows.
+#: Length of a bin as an interval; business days are days without weekends.
+BIN_STEPS = {"B": "1 day", "D": "1 day", "W": "7 days", "M": "1 month"}
+
+
+def fill_bins(bars: DataFrame, freq: str = "B") -> DataFrame:
+    """Every bin between a symbol's first and last one; bins without a bar are null rows.
 
-    The gaps come from the next date of each row, so one window replaces a join with a
-    calendar: every row expands to itself plus the weekdays until the next bar.
+    Bars are dated by the first day of their bin. The gaps come from the next date of each row,
+    so one window replaces a join with a calendar: every row expands to itself plus the bins
+    until the next bar.
     """
+    if freq not in BIN_STEPS:
+        raise ValueError(f"frequency must be one of {sorted(BIN_STEPS)}")
     nxt = F.lead(DATE).over(by_date())
-    days = F.sequence(F.col(DATE), F.coalesce(F.date_sub(nxt, 1), F.col(DATE)), F.expr("interval 1 day"))
+    days = F.sequence(F.col(DATE), F.coalesce(F.date_sub(nxt, 1), F.col(DATE)), F.expr(f"interval {BIN_STEPS[freq]}"))
     spread = bars.withColumn("_days", days).withColumn("_day", F.explode("_days"))
     own = F.col("_day") == F.col(DATE)
-    return spread.where(is_business_day(F.col("_day"))).select(
+    kept = spread.where(is_business_day(F.col("_day"))) if freq == "B" else spread
+    return kept.select(
         CODE,
         F.col("_day").alias(DATE),
         *[F.when(own, F.col(c)).alias(c) for c in bars.columns if c not in KEY],
     )
 
 
+def business_day_align(bars: DataFrame) -> DataFrame:
+    """Every weekday between a symbol's first and last bar; days without a bar are null rows."""
+    return fill_bins(bars, "B")
+
+
 def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with any missing value."""
     return df.dropna("any", subset=list(subset) if subset else None)
@@ -93,15 +107,15 @@ def changed_codes(stored: DataFrame, landed: DataFrame) -> DataFrame:
     return new_rows(stored, landed).select(CODE).distinct()
 
 
-def resample_bars(bars: DataFrame, interval: str = "w") -> DataFrame:
-    """Daily, weekly or monthly bars from daily ones."""
+def resample_bars(bars: DataFrame, interval: str = "w", fill: bool = False) -> DataFrame:
+    """Daily, weekly or monthly bars from daily ones; with ``fill`` empty bins are null rows."""
     units = {"d": None, "w": "week", "m": "month"}
     if interval not in units:
         raise ValueError("interval must be 'd', 'w' or 'm'")
     if units[interval] is None:
-        return bars
+        return fill_bins(bars, "D") if fill else bars
     period = F.date_trunc(units[interval], F.col(DATE)).cast("date")
-    return (
+    out = (
         bars.groupBy(CODE, period.alias("_p"))
         .agg(
             F.min_by("open", DATE).alias("open"),
@@ -114,6 +128,7 @@ def resample_bars(bars: DataFrame, interval: str = "w") -> DataFrame:
         .withColumnRenamed("_p", DATE)
         .select(BAR_COLUMNS)
     )
+    return fill_bins(out, interval.upper()) if fill else out
 
 
 def ohlc_columns(df: DataFrame) -> DataFrame:
@@ -183,6 +198,25 @@ def fresh_only(df: DataFrame, asof: str, days: int = 10, last_date: str = "last_
     return df.where(F.col(last_date) >= F.date_sub(F.lit(asof).cast("date"), days))
 
 
+def numbered(ordered: DataFrame, name: str = "rank") -> DataFrame:
+    """Number the rows of an ordered table from 1, without bringing them together.
+
+    The sorted partitions are stored once; only their numbers of rows come to the driver.
+    """
+    at = F.col("_at")
+    stored = checkpoint(ordered.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright(at, 33)
+    rows = dict(stored.groupBy(part.alias("p")).count().collect())
+    offsets, total = [], 0
+    for p in sorted(rows):
+        offsets += [F.lit(p).cast("long"), F.lit(total).cast("long")]
+        total += rows[p]
+    if not offsets:
+        return stored.withColumn(name, at).drop("_at")
+    before = F.element_at(F.create_map(*offsets), part)
+    return stored.withColumn(name, before + at - F.shiftleft(part, 33) + 1).drop("_at")
+
+
 def rank(df: DataFrame, sortkey: str | None = None, ascending: bool = False, limit: int | None = None) -> DataFrame:
     """Order a per-symbol table by a column, ties by symbol; by symbol alone without a key."""
     if sortkey is None:

@@ -9,12 +9,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as mlc
 from pyspark.ml.feature import Binarizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import bayes, trees
 from barloom.operators.features import binary_class, proportion_class
 from barloom.schema import CODE, COMPAT_RANGE, DATE, FEATURE_LENGTH
+from barloom.sources.keyed import KeyedStore
 
 
 @dataclass(frozen=True)
@@ -89,6 +90,29 @@ def classify_pooled(model: PipelineModel, windows: DataFrame) -> DataFrame:
     return scored.select(CODE, DATE, F.col("prediction").cast("int").alias("prediction"))
 
 
+class ModelStore:
+    """Models of both kinds by name, one row or more for each symbol.
+
+    Saving replaces the models of the symbols in the table and leaves all others as they are;
+    the models after any earlier run stay readable. See :mod:`barloom.sources.keyed`.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, live: int = 8):
+        self.spark, self.path, self.live = spark, path.rstrip("/"), live
+
+    def _store(self, name: str) -> KeyedStore:
+        return KeyedStore(self.spark, f"{self.path}/{name.replace(' ', '_')}", self.live)
+
+    def save(self, name: str, model: DataFrame, run: int) -> None:
+        store = self._store(name)
+        staged = store.stage(run, "models", model)
+        store.commit(run, staged.select(CODE).distinct(), ["models"], [])
+
+    def load(self, name: str, run: int | None = None) -> DataFrame | None:
+        """Every symbol's model, as of a run; ``None`` if none was saved."""
+        return self._store(name).current("models", run)
+
+
 def save_model(model: DataFrame | PipelineModel, path: str) -> None:
     """Model tables are stored as Parquet, pooled models in their own format."""
     if isinstance(model, PipelineModel):

@@ -6,7 +6,7 @@ directly: recurrences as recursive queries, trees level by level, systems by eli
 
 from __future__ import annotations
 
-from barloom.plans.registry import ASOF, EVENT_ASOF, OFFSET, SCALE, SPLIT, STREAM_CUTS
+from barloom.plans.registry import ASOF, EVENT_ASOF, FINE, FINE_COLUMNS, OFFSET, SCALE, SPLIT, STREAM_CUTS
 from barloom.schema import INDEX_CODES, STANDARD_COLUMNS, VALUES
 
 ORDER = "ROW(l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity)"
@@ -37,7 +37,8 @@ IS_INDEX = "code IN (" + ", ".join(f"'{c}'" for c in INDEX_CODES) + ")"
 
 def rnd(expr: str, name: str | None = None) -> str:
     """The value in the same steps as the registered queries."""
-    return f"floor(({expr}) * {SCALE:.1e} + {OFFSET}e0) / {SCALE:.1e} AS {name or expr}"
+    scale = FINE if (name or expr) in FINE_COLUMNS else SCALE
+    return f"floor(({expr}) * {scale:.1e} + {OFFSET}e0) / {scale:.1e} AS {name or expr}"
 
 
 def rnds(cols) -> str:
@@ -399,6 +400,10 @@ FROM figures JOIN symbols USING (code) WHERE last_date >= DATE '{ASOF}' - 10 AND
     return query(body, BARS, VALID, KEPT.format(days=240), *ti_ctes, SUPPLIERS, figures, recursive=True)
 
 
+def placed(report: str, by: str = "ratio DESC") -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {by} NULLS LAST, code) AS rank FROM ({report})"
+
+
 def screening_sql(span: int, key: str, limit: str = "") -> str:
     ctes, _ = t_rsi()
     ctes = [*series("kept"), *ctes, "t AS (SELECT s.*, rsi9, rsi14 FROM s JOIN i_rsi USING (code, date))"]
@@ -628,16 +633,23 @@ DAY = "CAST(ts AS DATE)"
 BDAY = f"{DAY} - CAST(greatest(isodow(ts) - 5, 0) AS INTEGER)"
 
 
-def resample_sql(bucket: str, where: str = "") -> str:
+def filled_sql(bars: str, step: str, where: str) -> str:
+    """Bars with all bins between a symbol's first and last one, from a calendar of its own."""
+    return f"""WITH b AS MATERIALIZED ({bars}), d AS (
+  SELECT code, CAST(unnest(generate_series(CAST(min(date) AS TIMESTAMP), CAST(max(date) AS TIMESTAMP), INTERVAL {step})) AS DATE) AS date FROM b GROUP BY code)
+SELECT d.code, d.date, b.* EXCLUDE (code, date) FROM d LEFT JOIN b ON b.code = d.code AND b.date = d.date {where.replace("date", "d.date")}"""
+
+
+def resample_sql(bucket: str, where: str = "", ticks: str = "event_type") -> str:
     body = f"""SELECT code, {bucket} AS date, {rnd('arg_min(value, ROW(ts, seq))', 'open')}, {rnd('max(value)', 'high')},
   {rnd('min(value)', 'low')}, {rnd('arg_max(value, ROW(ts, seq))', 'close')} FROM ticks GROUP BY ALL {where}"""
-    return query(body, TICKS)
+    return query(body, TICKS.replace("event_type AS", f"CAST({ticks} AS VARCHAR) AS"))
 
 
-def period_sql(unit: str) -> str:
+def period_sql(unit: str, where: str = "") -> str:
     body = f"""SELECT code, CAST(date_trunc('{unit}', date) AS DATE) AS date, {rnd('arg_min(open, date)', 'open')},
   {rnd('max(high)', 'high')}, {rnd('min(low)', 'low')}, {rnd('arg_max(close, date)', 'close')},
-  {rnd('sum(volume)', 'volume')}, {rnd('arg_max(adj_close, date)', 'adj_close')} FROM bars GROUP BY ALL"""
+  {rnd('sum(volume)', 'volume')}, {rnd('arg_max(adj_close, date)', 'adj_close')} FROM bars {where} GROUP BY ALL"""
     return query(body, BARS)
 
 
@@ -654,14 +666,28 @@ MARK = f"mark AS (SELECT code, {NEXT.format(d='max(date)')} AS next_date FROM ol
 FRESH = "fresh AS (SELECT new.* FROM new LEFT JOIN mark USING (code) WHERE next_date IS NULL OR date >= next_date)"
 
 
-def chart_sql(axis: int, complexity: int, days: int) -> str:
-    from barloom.operators.charts import series_for
+#: What each chart shows: columns as they are, and scaled ones as (series, expression).
+OHLC = ["open", "high", "low", "close"]
+MEANS = ["ewma25", "ewma50", "ewma75"]
+OSCILLATORS = ["rsi9", "rsi14", "v_rate"], [("vl", "vl * 5")]
+CHARTS = {
+    (1, 1): ([*OHLC, *MEANS, "ewma200", "v_rate_p"], [], []),
+    (1, 3): ([*OHLC, *MEANS, "ewma5", "sar", "upperband", "lowerband", "v_rate_p"], [], []),
+    (2, 1): ([*OHLC, *MEANS, "ewma200"], *OSCILLATORS),
+    (2, 2): ([*OHLC, *MEANS, "ewma5", "sar"], [*OSCILLATORS[0], "mfi14", "ultosc", "slowk", "slowd"], OSCILLATORS[1]),
+    (2, 3): (
+        [*OHLC, *MEANS, "ewma5", "sar", "upperband", "lowerband"],
+        [*OSCILLATORS[0], "mfi14", "ultosc", "slowk", "slowd"],
+        [*OSCILLATORS[1], ("roc10", "roc10 + 50"), ("roc25", "roc25 + 50"), ("willr14", "willr14 + 100")],
+    ),
+}
+
 
+def chart_sql(axis: int, complexity: int, days: int) -> str:
     ctes, table = all_indicators()
-    rows = " UNION ALL ".join(
-        f"SELECT code, date, '{p}' AS panel, '{s}' AS series, {c} * {m} + {o} AS value FROM {table}"
-        for p, s, c, m, o in series_for(axis, complexity)
-    )
+    price, plain, scaled = CHARTS[axis, complexity]
+    shown = [("price", c, c) for c in price] + [("oscillator", c, c) for c in plain] + [("oscillator", c, e) for c, e in scaled]
+    rows = " UNION ALL ".join(f"SELECT code, date, '{p}' AS panel, '{c}' AS series, {e} AS value FROM {table}" for p, c, e in shown)
     body = f"SELECT code, date, panel, series, {rnd('value')} FROM ({rows}) WHERE value IS NOT NULL"
     return query(body, BARS, VALID, KEPT.format(days=days), *series("kept"), *ctes, recursive=True)
 
@@ -724,6 +750,9 @@ DAILY = [
 ]
 
 
+MODELS_RUN = [DAILY[0], f"bars AS MATERIALIZED (SELECT * FROM whole WHERE CAST(code AS INTEGER) % 3 <> 0 OR date < DATE '{SPLIT}')"]
+
+
 def enriched_sql() -> str:
     ctes, table = all_indicators()
     body = f"SELECT code, date, {rnds(STANDARD_COLUMNS)} FROM {table}"
@@ -769,6 +798,11 @@ def statements() -> dict[str, str]:
         "bars_from_ticks": plain,
         "history_round_trip": plain,
         "price_csv_round_trip": plain,
+        "exported_round_trip": plain,
+        "bucketed_indicators": query(
+            f"SELECT code, date, {V}, {rnds(['sma25', 'rsi14'])} FROM s JOIN i_sma USING (code, date) JOIN i_rsi USING (code, date)",
+            *bv, *series("valid"), *t_sma((25,))[0], *t_rsi((14,))[0], recursive=True,
+        ),
         "symbol_list_round_trip": query(
             "SELECT code, name, CAST(NULL AS VARCHAR) AS fullname, CAST(NULL AS VARCHAR) AS sector, CAST(NULL AS VARCHAR) AS \"group\" FROM symbols",
             SUPPLIERS,
@@ -784,7 +818,8 @@ def statements() -> dict[str, str]:
         "code_routing": query(f"SELECT code, {IS_INDEX} AS is_index FROM listed", LISTED),
         "missing_history": query("SELECT code, name FROM listed WHERE code NOT IN (SELECT code FROM bars)", *b, LISTED),
         "listed_enriched": query(
-            f"SELECT code, date, {rnd('ri', 'ret_index')}, name FROM s JOIN listed USING (code)", *bv, *series("valid"), LISTED
+            f"SELECT code, date, {rnd('ri', 'ret_index')}, least(name, CASE WHEN TRY_CAST(code AS INTEGER) % 2 = 0 THEN 'A second ' || name END) AS name FROM s JOIN listed USING (code)",
+            *bv, *series("valid"), LISTED,
         ),
         "business_day_align": query(f"SELECT code, date, {V} FROM aligned", *b, ALIGNED),
         "valid_bars": query(f"SELECT code, date, {V} FROM valid", *bv),
@@ -806,6 +841,14 @@ def statements() -> dict[str, str]:
         "resample_weekly": period_sql("week"),
         "resample_monthly": period_sql("month"),
         "ohlc_columns": resample_sql(BDAY),
+        **{f"resample_ticks_{n}": filled_sql(resample_sql(b, ticks="user_id"), f, w) for n, b, f, w in (
+            ("filled", BDAY, "1 DAY", "WHERE isodow(date) <= 5"),
+            ("daily_filled", DAY, "1 DAY", ""),
+            ("weekly_filled", "CAST(date_trunc('week', ts) AS DATE)", "7 DAYS", ""),
+        )},
+        **{f"resample_{n}_filled": filled_sql(period_sql(u, "WHERE volume >= 49"), f, "") for n, u, f in (
+            ("weekly", "week", "7 DAYS"), ("monthly", "month", "1 MONTH"),
+        )},
         "quality_report": query(
             """SELECT code, CAST(sum(n) AS BIGINT) AS bars, CAST(sum(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicate_keys,
   CAST(sum(lb) AS BIGINT) AS low_above_body, CAST(sum(hb) AS BIGINT) AS high_below_body, CAST(sum(mi) AS BIGINT) AS incomplete_rows,
@@ -844,14 +887,16 @@ def statements() -> dict[str, str]:
   ELSE 'no sample for the classifier' END AS reason FROM (SELECT DISTINCT code, date_trunc('week', ts) FROM ticks) GROUP BY code HAVING count(*) < 16""",
             TICKS,
         ),
-        "summary": full_summary_sql(),
-        "summary_10": screening_sql(10, "rsi14"),
-        "screening_rsi9": screening_sql(1, "rsi9"),
-        "screening_rsi14": sma_rsi,
-        "ranking_top20": screening_sql(1, "rsi14", f"ORDER BY {RATIO} DESC NULLS LAST, code LIMIT 20"),
+        "summary": placed(full_summary_sql()),
+        "summary_10": placed(screening_sql(10, "rsi14")),
+        "screening_rsi9": placed(screening_sql(1, "rsi9")),
+        "screening_rsi14": placed(sma_rsi, "rsi14"),
+        "ranking_top20": placed(sma_rsi) + " QUALIFY rank <= 20",
         "chart_series_main": chart_sql(2, 3, 240),
         "chart_series_long": chart_sql(1, 1, 600),
         "chart_series_short": chart_sql(2, 2, 60),
+        "chart_series_price": chart_sql(1, 3, 240),
+        "chart_series_plain": chart_sql(2, 1, 240),
         "chart_caption": caption_sql(),
         "rolling_corr": corr_sql(),
         "binary_class": features_sql("cls", "label"),
@@ -876,6 +921,10 @@ def statements() -> dict[str, str]:
         "bernoulli_nb": nb_sql("bernoulli"),
         "discriminant": discriminant_sql(),
         "stored_model": nb_sql("gaussian"),
+        "models_by_run": query(
+            f"SELECT nb.code, nb.date, prediction, {rnd('p', 'value')} FROM nb JOIN ridge ON ridge.code = nb.code",
+            *MODELS_RUN, VALID, *learning(), *nb_ctes("gaussian"), *ridge_ctes(),
+        ),
         "stream_bars": f"""SELECT * FROM ({resample_sql(BDAY)}) WHERE CAST(date + 1 AS TIMESTAMP) <=
   (SELECT max(ts - to_days(CAST(greatest(isodow(ts) - 5, 0) AS INTEGER))) - INTERVAL 1 DAY FROM events WHERE value IS NOT NULL)""",
         "stream_upsert": query(

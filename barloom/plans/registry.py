@@ -15,7 +15,7 @@ from barloom import functions as fn
 from barloom.operators import bars as tb
 from barloom.operators import charts, finite, recursive, regressors, stochastics, summary
 from barloom.operators import features as feat
-from barloom.operators.classifiers import CLASSIFIERS, class_samples, value_samples
+from barloom.operators.classifiers import CLASSIFIERS, ModelStore, class_samples, value_samples
 from barloom.operators.sar import sar
 from barloom.operators.series import apply
 from barloom.operators.standard import enrich
@@ -40,15 +40,17 @@ STREAM_CUTS = ("1998-09-01", "1999-04-01", SPLIT, "2000-11-01")
 # exact prices never lie on a step's edge, where the last bit would decide.
 SCALE = 10_000
 OFFSET = 0.41421356
+# Columns around 1 that are one division away from the prices are compared in steps of 1/FINE.
+FINE = 100_000_000
+FINE_COLUMNS = ("ret_index", "oldest", "newest", "label")
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[
-            (F.floor(F.col(n) * float(SCALE) + OFFSET) / float(SCALE)).alias(n) if k == "double" else F.col(n)
-            for n, k in df.dtypes
-        ]
-    )
+    def cut(n: str):
+        scale = float(FINE if n in FINE_COLUMNS else SCALE)
+        return (F.floor(F.col(n) * scale + OFFSET) / scale).alias(n)
+
+    return df.select(*[cut(n) if k == "double" else F.col(n) for n, k in df.dtypes])
 
 
 def _bars(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,6 +131,12 @@ def _text_round_trip(spark, sf):
 
 
 def _price_csv_round_trip(spark, sf):
+    path = scratch_path(spark, "prices")
+    sinks.export_price_files(_bars(spark, sf), path)
+    return rounded(files.read_price_csv(spark, f"{path}/stock_*.csv"))
+
+
+def _exported_round_trip(spark, sf):
     path = scratch_path(spark, "prices")
     sinks.export_csv(_bars(spark, sf), path)
     return rounded(files.read_exported(spark, path))
@@ -176,7 +184,9 @@ def _display_names(spark, sf):
 def _listed_rows(spark, sf):
     path = scratch_path(spark, "enriched")
     sinks.write_table(apply(_bars(spark, sf), [finite.ret_index()]), path)
-    return rounded(files.read_enriched(spark, path, _listed(spark, sf)).select(*KEY, "ret_index", "name"))
+    listed = _listed(spark, sf)
+    twice = listed.withColumn("name", F.concat(F.lit("A second "), F.col("name"))).where(F.expr("try_cast(code as int) % 2 = 0"))
+    return rounded(files.read_enriched(spark, path, listed.unionByName(twice)).select(*KEY, "ret_index", "name"))
 
 
 def _fresh(spark, sf):
@@ -198,11 +208,16 @@ def _summary(span=1, sortkey="ratio", ascending=False, screening_key="rsi14", li
     return run
 
 
+def _ranked(query: Query) -> Query:
+    """A report with the place of each row."""
+    return lambda spark, sf: rounded(tb.numbered(query(spark, sf)))
+
+
 def _full_summary(spark, sf):
     kept = checkpoint(analysis.kept_bars(_bars(spark, sf), 240))
     marks = analysis.forecasts(kept, classifier="Gaussian Naive Bayes")
     table = kept.join(marks, KEY, "left")
-    return rounded(summary.ranked_summary(table, _symbols(spark, sf), ASOF))
+    return summary.ranked_summary(table, _symbols(spark, sf), ASOF)
 
 
 def _caption(spark, sf):
@@ -331,6 +346,26 @@ def _stored_model(spark, sf):
     return kind.classify(load_model(spark, path), feat.scoring_window(recent))
 
 
+def _models_by_run(spark, sf):
+    """Models of all symbols after a first history, then of two thirds after more bars; all are used.
+
+    A symbol without news has no newer bars either, so its first model is its right one.
+    """
+    bars, store = _bars(spark, sf), ModelStore(spark, scratch_path(spark, "models"))
+    early, third = F.col(DATE) < F.lit(SPLIT).cast("date"), F.col(CODE).cast("int") % 3 != 0
+    bayes = CLASSIFIERS["Gaussian Naive Bayes"]
+    windows = []
+    for run, rows in enumerate((bars.where(early), bars.where(third)), 1):
+        recent = feat.stored_recent(apply(rows, [finite.ret_index()]).select(*KEY, "ret_index"))
+        store.save("Gaussian Naive Bayes", bayes.fit(class_samples(recent)), run)
+        store.save("Ridge", regressors.fit(value_samples(recent)), run)
+        windows.append(feat.scoring_window(recent))
+    now = checkpoint(windows[0].where(~third).unionByName(windows[1]))
+    up = bayes.classify(store.load("Gaussian Naive Bayes"), now)
+    value = regressors.predict(store.load("Ridge"), now).withColumnRenamed("prediction", "value")
+    return rounded(up.join(value, KEY))
+
+
 def _enriched(spark, sf):
     return rounded(enrich(_bars(spark, sf)).select(*KEY, *STANDARD_COLUMNS))
 
@@ -388,6 +423,29 @@ def _resampled(freq: str) -> Query:
     return lambda spark, sf: rounded(ticks.resample_ticks(_event_ticks(spark, sf), freq))
 
 
+def _resampled_filled(freq: str) -> Query:
+    """Ticks of single users, which leave bins empty."""
+
+    def run(spark, sf):
+        events = spark.read.parquet(f"{sf}/events.parquet").withColumn("event_type", F.col("user_id").cast("string"))
+        return rounded(ticks.resample_ticks(ticks.event_ticks(events), freq, fill=True))
+
+    return run
+
+
+def _periods_filled(interval: str) -> Query:
+    """Bars of large volumes only, which leave weeks and months empty."""
+    return _on_bars(lambda b: tb.resample_bars(b.where(F.col("volume") >= 49), interval, fill=True))
+
+
+def _bucketed(spark, sf):
+    """Indicators of a table bucketed by symbol, joined with its bars."""
+    path = scratch_path(spark, "bucketed")
+    table = sinks.save_bucketed(_bars(spark, sf), path.rsplit("/", 1)[-1].replace("-", "_"), path, 8)
+    made = apply(table, [finite.sma(25), recursive.rsi(14)]).select(*KEY, "sma25", "rsi14")
+    return rounded(tb.merge_frames(table, made))
+
+
 def _tick_range(spark, sf):
     b = ticks.resample_ticks(_event_ticks(spark, sf))
     return rounded(files.date_range(b, EVENT_ASOF, start="2024-01-08"))
@@ -478,6 +536,8 @@ QUERIES: dict[str, Query] = {
     "bars_from_ticks": _on_bars(lambda b: b),
     "history_round_trip": _store_round_trip,
     "price_csv_round_trip": _price_csv_round_trip,
+    "exported_round_trip": _exported_round_trip,
+    "bucketed_indicators": _bucketed,
     "symbol_list_round_trip": _symbol_list_round_trip,
     "report_round_trip": _text_round_trip,
     "report_snapshots": _snapshots,
@@ -498,6 +558,11 @@ QUERIES: dict[str, Query] = {
     "changed_codes": _changed,
     "resample_ticks": _resampled("B"),
     "resample_ticks_weekly": _resampled("W"),
+    "resample_ticks_filled": _resampled_filled("B"),
+    "resample_ticks_daily_filled": _resampled_filled("D"),
+    "resample_ticks_weekly_filled": _resampled_filled("W"),
+    "resample_weekly_filled": _periods_filled("w"),
+    "resample_monthly_filled": _periods_filled("m"),
     "resample_weekly": _on_bars(lambda b: tb.resample_bars(b, "w")),
     "resample_monthly": _on_bars(lambda b: tb.resample_bars(b, "m")),
     "ohlc_columns": _ohlc_columns,
@@ -511,13 +576,15 @@ QUERIES: dict[str, Query] = {
     "chart_families": _chart_families,
     "short_history_errors": _short_history_errors,
     # reports
-    "summary": _full_summary,
-    "summary_10": lambda s, sf: rounded(_summary(span=10)(s, sf)),
-    "screening_rsi9": lambda s, sf: rounded(_summary(screening_key="rsi9")(s, sf)),
-    "screening_rsi14": lambda s, sf: rounded(_summary(sortkey="rsi14", ascending=True)(s, sf)),
-    "ranking_top20": lambda s, sf: rounded(_summary(limit=20)(s, sf)),
+    "summary": _ranked(_full_summary),
+    "summary_10": _ranked(_summary(span=10)),
+    "screening_rsi9": _ranked(_summary(screening_key="rsi9")),
+    "screening_rsi14": _ranked(_summary(sortkey="rsi14", ascending=True)),
+    "ranking_top20": _ranked(_summary(limit=20)),
     "chart_series_main": _chart(2, 3, 240),
     "chart_series_long": _chart(1, 1, 600),
+    "chart_series_price": _chart(1, 3, 240),
+    "chart_series_plain": _chart(2, 1, 240),
     "chart_series_short": _chart(2, 2, 60),
     "chart_caption": _caption,
     # indicators
@@ -563,6 +630,7 @@ QUERIES: dict[str, Query] = {
     "bernoulli_nb": _classifier("Bernoulli Naive Bayes"),
     "discriminant": _classifier("LDA"),
     "stored_model": _stored_model,
+    "models_by_run": _models_by_run,
     # streams
     "stream_bars": _streamed_bars,
     "stream_upsert": _streamed_upsert,

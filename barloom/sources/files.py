@@ -80,9 +80,10 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_enriched(spark: SparkSession, path: str, symbols: DataFrame) -> DataFrame:
-    """Enriched rows of the listed symbols, with their names; absent symbols are skipped."""
+    """Enriched rows of the listed symbols, with their names; absent symbols are skipped. A symbol
+    listed twice keeps one name, the first in text order, as in the reports."""
     ti = spark.read.parquet(path).withColumn(CODE, F.col(CODE).cast("string"))
-    return ti.join(symbols.select(CODE, "name").dropDuplicates([CODE]), CODE, "inner")
+    return ti.join(symbols.groupBy(CODE).agg(F.min("name").alias("name")), CODE, "inner")
 
 
 def missing_history(symbols: DataFrame, bars: DataFrame) -> DataFrame:

@@ -32,6 +32,39 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     ).csv(path)
 
 
+def export_price_files(df: DataFrame, path: str, prefix: str = "stock_") -> None:
+    """Bars as one file ``<prefix><code>.csv`` for each symbol, as :func:`barloom.sources.files.read_price_csv`
+    reads them; nothing is written for a symbol without bars. For short symbol lists: the driver
+    renames a file for each."""
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}/_staged"
+    export_csv(df, staged)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    unquoted = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for symbol in fs.listStatus(folder):
+        name = symbol.getPath().getName()
+        if name.startswith(f"{CODE}="):
+            code = unquoted.unescapePathName(name[len(CODE) + 1 :])
+            part = next(f.getPath() for f in fs.listStatus(symbol.getPath()) if f.getPath().getName().startswith("part-"))
+            target = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{prefix}{code}.csv")
+            fs.delete(target, False)
+            fs.rename(part, target)
+    fs.delete(folder, True)
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """Bars as a catalog table bucketed by symbol, and the table read back.
+
+    Windows by symbol, groupings by symbol and joins of such tables then need no shuffle; joins on
+    symbol and date need ``spark.sql.requireAllClusterKeysForCoPartition`` set to false for that.
+    A symbol has few rows, so buckets are even unless symbols are few.
+    """
+    sized = df.repartition(buckets, F.col(CODE)).sortWithinPartitions(CODE, DATE)
+    sized.write.mode("overwrite").option("path", path).bucketBy(buckets, CODE).sortBy(CODE, DATE).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_symbols(symbols: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A stock list without header."""
     symbols.select(SYMBOLS.fieldNames()).write.mode(mode).option("header", False).csv(path)

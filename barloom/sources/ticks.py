@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions import business_day, clean
+from barloom.operators.bars import fill_bins
 from barloom.schema import BAR_COLUMNS, CODE, DATE
 
 
@@ -97,10 +98,12 @@ def event_ticks(events: DataFrame) -> DataFrame:
     )
 
 
-def resample_ticks(ticks: DataFrame, freq: str = "B") -> DataFrame:
+def resample_ticks(ticks: DataFrame, freq: str = "B", fill: bool = False) -> DataFrame:
     """OHLC of a value series per business day (``B``), calendar day (``D``), week or month.
 
-    Weekend ticks belong to the Friday before them when the frequency is ``B``.
+    Weekend ticks belong to the Friday before them when the frequency is ``B``. With ``fill``, bins
+    without ticks between a symbol's first and last one are null rows; they are made after the
+    ticks are reduced.
     """
     day = F.to_date("ts")
     bucket = {
@@ -111,13 +114,14 @@ def resample_ticks(ticks: DataFrame, freq: str = "B") -> DataFrame:
     }
     if freq not in bucket:
         raise ValueError(f"frequency must be one of {sorted(bucket)}")
-    return ohlc(
+    bars = ohlc(
         ticks,
         code=F.col(CODE),
         day=bucket[freq],
         value=F.col("value"),
         order=order_key((F.unix_micros("ts"), 19), (F.col("seq"), 19)),
     )
+    return fill_bins(bars, freq) if fill else bars
 
 
 def supplier_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -253,3 +253,69 @@ def test_filters_reach_the_scan(spark, small):
     assert "EqualTo(l_suppkey,3)" in one._jdf.queryExecution().executedPlan().toString()
     assert one.exceptAll(ticks.lineitem_bars(spark, small).where("code = '3'")).count() == 0
     assert "l_discount" not in plan and "l_tax" not in plan
+
+
+def test_fill_bins(spark):
+    d = dt.date
+    rows = [("a", d(2024, 1, 1), 1.0), ("a", d(2024, 3, 1), 2.0), ("b", d(2024, 1, 1), 3.0)]
+    df = spark.createDataFrame(rows, "code string, date date, close double")
+    got = {f: [(r.code, r.date, r.close) for r in tb.fill_bins(df, f).orderBy("code", "date").collect()] for f in "BDM"}
+    assert got["M"] == [("a", d(2024, 1, 1), 1.0), ("a", d(2024, 2, 1), None), ("a", d(2024, 3, 1), 2.0), ("b", d(2024, 1, 1), 3.0)]
+    assert len(got["D"]) == 62 and len(got["B"]) == 46 and sum(c is None for _, _, c in got["B"]) == 43
+    weeks = df.withColumn("date", F.date_trunc("week", "date").cast("date"))
+    assert [r.date for r in tb.fill_bins(weeks, "W").where("code = 'a'").orderBy("date").collect()] == [d(2024, 1, 1) + dt.timedelta(7 * k) for k in range(9)]
+    assert tb.fill_bins(df.limit(0), "W").count() == 0
+    with pytest.raises(ValueError):
+        tb.fill_bins(df, "Q")
+
+
+def test_numbered_rows(spark):
+    df = spark.range(1000).repartition(7).withColumn("v", F.col("id") % 13).orderBy("v", F.col("id").desc())
+    got = tb.numbered(df).orderBy("rank").collect()
+    want = sorted(range(1000), key=lambda i: (i % 13, -i))
+    assert [r["id"] for r in got] == want and [r["rank"] for r in got] == list(range(1, 1001))
+    assert tb.numbered(df.where("id < 0")).count() == 0
+
+
+def test_bucketed_bars_need_no_shuffle(spark, walks, tmp_path):
+    from barloom.operators import finite, recursive
+    from barloom.operators.series import apply
+    from barloom.sources.sinks import save_bucketed
+
+    made = [finite.sma(5), recursive.ewma(5), recursive.rsi(14)]
+    table = save_bucketed(walks, "bucketed_walks", str(tmp_path / "b"), 4)
+    keys = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        indicators = apply(table, made)
+        joined = tb.merge_frames(table, indicators.select("code", "date", "sma5", "rsi14"))
+        for df in (indicators, joined):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert indicators.exceptAll(apply(walks, made)).count() == 0 and joined.count() == indicators.count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_price_files_by_name(spark, walks, tmp_path):
+    from barloom.sources import files, sinks
+
+    some = walks.where("code in ('A', 'I')").withColumn("code", F.concat("code", F.lit("=1.T")))
+    sinks.export_price_files(some, str(tmp_path / "p"))
+    assert sorted(f.name for f in (tmp_path / "p").glob("*.csv")) == ["stock_A=1.T.csv", "stock_I=1.T.csv"]
+    back = files.read_price_csv(spark, str(tmp_path / "p" / "stock_*.csv"))
+    assert back.exceptAll(some).count() == 0 and back.count() == some.count()
+
+
+def test_models_by_run(spark, tmp_path):
+    from barloom.operators.classifiers import ModelStore
+
+    store = ModelStore(spark, str(tmp_path / "m"))
+    assert store.load("Ridge") is None
+    store.save("Ridge", spark.createDataFrame([("a", 1.0), ("b", 1.0)], "code string, w double"), 1)
+    store.save("Ridge", spark.createDataFrame([("b", 2.0), ("c", 2.0)], "code string, w double"), 2)
+    assert {r.code: r.w for r in store.load("Ridge").collect()} == {"a": 1.0, "b": 2.0, "c": 2.0}
+    assert {r.code: r.w for r in store.load("Ridge", run=1).collect()} == {"a": 1.0, "b": 1.0}
+    assert store.load("Naive Bayes") is None
