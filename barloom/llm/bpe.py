@@ -174,8 +174,10 @@ class AutomatonEncoder:
         the way the pattern does it."""
         stem = part[:-1] if part[-1] in ".," else part
         if stem.isalpha() and max(stem) < "\u0250":
-            ids = self.word(b" " + stem.encode())
-            return ids if stem is part else ids + self.word(part[-1].encode())
+            if stem is part:
+                return self.word(b" " + stem.encode())
+            ids = self.pieces.known(stem)
+            return (self.word(b" " + stem.encode()) if ids is None else ids) + self.word(part[-1].encode())
         return self._piece(" " + part)
 
     def _piece(self, piece: str) -> bytes:
@@ -199,7 +201,7 @@ class AutomatonEncoder:
         return emitted(self.vocabulary, ids)
 
 
-def emitted(vocabulary: Vocabulary, ids: list[int]) -> str:
+def emitted(vocabulary: Vocabulary, ids: Sequence[int] | np.ndarray) -> str:
     """The text that the arcs' labels spell; bytes that are no UTF-8 become U+FFFD."""
     return vocabulary.decode(ids).decode("utf-8", "replace")
 
@@ -249,7 +251,7 @@ def _decoded(path: str, ids_col: str, text: str):
         vocabulary = labels_only(path)
         for batch in batches:
             column = batch.column(ids_col)
-            got = [emitted(vocabulary, v.values.to_numpy().tolist()) if v.is_valid else "" for v in column]
+            got = [emitted(vocabulary, v.values.to_numpy()) if v.is_valid else "" for v in column]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.string())], [*batch.schema.names, text])
 
     return run

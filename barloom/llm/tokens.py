@@ -40,27 +40,39 @@ class Vocabulary:
         self.added = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.size = 1 + max([*self.ids.values(), *self.added.values()])
         self.bytes_of = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.added.items()}
+        self.labels = np.full(self.size, None, object)
+        self.labels[list(self.bytes_of)] = list(self.bytes_of.values())
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        return b"".join(self.labels[np.asarray(ids, np.int64)].tolist())
 
 
 class Pieces(dict):
-    """Encoded pieces by their text without the leading space; emptied when full. ``encode``
-    gives the ids of a space and the text."""
+    """Encoded pieces by their text without the leading space. ``encode`` gives the ids of a
+    space and the text. When full, the pieces become the older half, out of which those still
+    met are taken over, and the half before is dropped."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.older = encode, {}
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.encode(part)
-        if len(part) <= CACHED_LENGTH:
-            if len(self) >= CACHED_PIECES:
-                self.clear()
-            self[part] = ids
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.encode(part)
+            if len(part) > CACHED_LENGTH:
+                return ids
+        if len(self) >= CACHED_PIECES // 2:
+            self.older = dict(self)
+            self.clear()
+        self[part] = ids
         return ids
 
+    def known(self, part: str) -> bytes | None:
+        """The ids of a piece met lately."""
+        ids = self.get(part)
+        return self.older.get(part) if ids is None else ids
+
 
 class Encoder:
     """``encode`` gives a text's ids as the bytes of little-endian integers of ``dtype``."""
