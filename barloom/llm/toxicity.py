@@ -3,10 +3,13 @@
 Terms are lower-cased words and word beginnings of four to six letters. The vocabulary is every
 term of a bounded labelled sample; document frequencies come from all documents, and a term that
 prefers one label counts more by its likelihood ratio. A term that no example holds changes no
-order of neighbours, so it is left out of a text's length too. Cosines with all examples are
-computed in single precision, common terms by a matrix product and the others from postings;
-whatever its error could put among the nearest is compared again exactly, so nothing is lost.
-Votes weighted by distance are turned into probabilities by a monotone fit on the examples
+order of neighbours, so it is left out of a text's length too. The examples stand in blocks of
+like ones. Terms of few examples have postings that are read whole; for those of many the index
+keeps the largest weight in each block. From both follows a bound of a text's cosines with all
+examples of a block; the blocks of the highest bounds are compared first, and of the others only
+those whose bound can still reach the last of the nearest found, by all texts that need a block
+together. These cosines are of single precision; whatever its error could put among the nearest
+is compared again exactly, so nothing is lost. Votes weighted by distance are turned into probabilities by a monotone fit on the examples
 themselves, each judged without its own vote, at the class shares of all labels.
 
 The corpus is read twice, for document frequencies and for verdicts; nothing of it is written.
@@ -19,7 +22,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from zlib import crc32
 
 import numpy as np
@@ -31,7 +34,10 @@ from pyspark.sql import functions as F
 from barloom.llm.common import DOUBLE, LONG, array_of, extended, text_or_empty, written
 from barloom.llm.quality import labelled_sample
 
-SAMPLE_PER_CLASS, NEIGHBOURS, BLOCK, COMMON = 2000, 15, 256, 16
+SAMPLE_PER_CLASS, NEIGHBOURS = 2000, 15
+#: Examples in a block, blocks compared first, numbers an example's sketch has, texts judged at once, and
+#: the share of examples (one in so many) from which a term is held block by block.
+BLOCK, FIRST_BLOCKS, SKETCH, TEXTS, COMMON = 32, 3, 64, 256, 16
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -86,7 +92,7 @@ def one_of_each_family(sample: DataFrame) -> DataFrame:
     return sample.join(F.broadcast(ids), "doc_id", "left_semi")
 
 
-def weigh_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
+def weigh_terms(sample: DataFrame) -> tuple[pa.Array, np.ndarray]:
     """All terms of the sample in order, and for each how far it prefers one class.
 
     That is the square of 1 and the likelihood ratio against equal rates, in units of what chance
@@ -110,7 +116,7 @@ def weigh_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
         expected = held.sum(0) * totals / totals.sum()
         ratio = 2 * (held * np.log(np.where(held > 0, held, 1) / np.where(held > 0, expected, 1))).sum(0)
         weight += np.maximum(ratio, 0) / (2 * math.log(max(2, len(weight))))
-    return counts["term"].to_pylist(), weight**2
+    return counts["term"].combine_chunks(), weight**2
 
 
 class _Known(dict):
@@ -120,8 +126,9 @@ class _Known(dict):
     0. So what is kept is bounded by the vocabulary, and stays from task to task in a worker.
     """
 
-    def __init__(self, vocabulary: list[str]):
+    def __init__(self, terms: pa.Array):
         super().__init__()
+        vocabulary = terms.to_pylist()
         self.number = {t: i for i, t in enumerate(vocabulary)}
         self.rows = np.full((1 + sum(t[-1] == "$" for t in vocabulary), 1 + len(BEGINNINGS)), -1, np.int32)
         self.extra: list[int] = []
@@ -141,6 +148,16 @@ class _Known(dict):
         return row
 
 
+@dataclass
+class _Vocabulary:
+    """The terms in one buffer, as they are shared; workers read it as :class:`_Known`."""
+
+    terms: pa.Array
+
+    def __reduce__(self):
+        return _Known, (self.terms,)
+
+
 def _terms_in(text: str, known: _Known) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and counts of the vocabulary's terms in a text."""
     words = _WORD.findall(text.lower())
@@ -212,12 +229,34 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return at, np.array([level[1] / level[0] for level in levels for _ in range(2)])
 
 
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``first[i] .. first[i] + sizes[i] - 1`` one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(first - before, sizes) + np.arange(int(sizes.sum()))
+
+
+def like_order(sketch: np.ndarray, block: int) -> np.ndarray:
+    """Rows in an order that puts like ones together: halves along the widest direction, again and again."""
+    out, todo = [], [np.arange(len(sketch))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= block:
+            out.append(rows)
+            continue
+        x = sketch[rows] - sketch[rows].mean(0)
+        widest = np.linalg.eigh(x.T @ x)[1][:, -1]
+        rows = rows[np.argsort(x @ widest, kind="stable")]
+        half = block * max(1, len(rows) // 2 // block)
+        todo += [rows[half:], rows[:half]]
+    return np.concatenate([*out, np.empty(0, np.int64)]).astype(np.int64)
+
+
 @dataclass
 class NearestExamples:
-    """The examples' index. ``ids`` are the examples' document ids, in index order.
+    """The examples' block-max index. ``ids`` are the examples' document ids, in their order.
 
-    ``terms`` and ``weights`` hold the examples' vectors one after the other. Terms of many
-    examples are rows of ``common``, the others have postings.
+    ``terms`` and ``weights`` hold the examples' vectors one after the other; the rest is made from
+    them where it is used.
     """
 
     ids: np.ndarray
@@ -232,49 +271,79 @@ class NearestExamples:
     weights: np.ndarray
 
     def arrange(self) -> None:
-        """Postings and the rows of common terms, from the examples' vectors."""
+        """Blocks of like examples, postings of rare terms, blocks and their maxima of common ones."""
         n, m = len(self.ids), len(self.idf)
-        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
+        example = np.repeat(np.arange(n), np.diff(self.start))
+        mixed = self.terms.astype(np.uint64) * MULTIPLIERS[0] >> np.uint64(32)
+        cell = example * SKETCH + (mixed % np.uint64(SKETCH)).astype(np.int64)
+        sign = np.where(mixed & np.uint64(1 << 20), 1.0, -1.0)
+        sketch = np.bincount(cell, self.weights * sign, n * SKETCH).reshape(n, SKETCH)
+        self.example_at = like_order(sketch, BLOCK)
+        place = np.empty(n, np.int32)
+        place[self.example_at] = np.arange(n)
+        at = place[example]
         held = np.bincount(self.terms, minlength=m)
         common = np.flatnonzero(held * COMMON >= max(n, 1))
         self.common_at = np.full(m, -1, np.int32)
         self.common_at[common] = np.arange(len(common))
         row = self.common_at[self.terms]
-        self.common = np.zeros((len(common), n), np.float32)
-        self.common[row[row >= 0], example[row >= 0]] = self.weights[row >= 0]
-        rare = np.flatnonzero(row < 0)
+        self.blocks = -(-n // BLOCK)
+        self.common = np.zeros((self.blocks, len(common), BLOCK), np.float32)
+        often = row >= 0
+        self.common[at[often] // BLOCK, row[often], at[often] % BLOCK] = self.weights[often]
+        self.common_most = np.ascontiguousarray(self.common.max(2, initial=0).T)
+        rare = np.flatnonzero(~often)
         rare = rare[np.argsort(self.terms[rare], kind="stable")]
-        self.posting_example, self.posting_weight = example[rare], self.weights[rare].astype(np.float32)
+        self.posting_at, self.posting_weight = at[rare], self.weights[rare].astype(np.float32)
         self.posting_start = np.concatenate([[0], np.cumsum(np.bincount(self.terms[rare], minlength=m))])
+        self.margin = 8 * (len(common) + 64) * 2.0**-24
         self.whole = np.zeros(m)
+        self.skipped = self.compared = 0
 
     def __getstate__(self) -> dict:
-        made = ("common_at", "common", "posting_example", "posting_weight", "posting_start", "whole")
-        return {k: v for k, v in self.__dict__.items() if k not in made}
+        return {f.name: self.__dict__[f.name] for f in fields(self)}
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         v = (1 + np.log(counts)) * self.idf[terms]
         norm = np.sqrt(v @ v)
         return v / norm if norm else v
 
-    def rough(self, terms: list[np.ndarray], vectors: list[np.ndarray]) -> np.ndarray:
-        """Cosines of some texts with all examples in single precision, a row for each text."""
+    def rough(self, terms: list[np.ndarray], vectors: list[np.ndarray], leave_out: np.ndarray | None = None) -> np.ndarray:
+        """Cosines of some texts with the examples in their blocks, in single precision; 0 where a
+        block was skipped. ``leave_out`` has the place of an example for each text that it must not meet."""
         if not hasattr(self, "whole"):
             self.arrange()
-        out = np.empty((len(terms), len(self.ids)), np.float32)
-        wide = np.zeros((len(terms), len(self.common)), np.float32)
+        n, texts = self.blocks * BLOCK, np.arange(len(terms))
+        out = np.empty((len(terms), n), np.float32)
+        wide = np.zeros((len(terms), len(self.common_most)), np.float32)
         for i, (t, v) in enumerate(zip(terms, vectors, strict=True)):
             at = self.common_at[t]
             wide[i, at[at >= 0]] = v[at >= 0]
             t, v = t[at < 0], v[at < 0].astype(np.float32)
             first = self.posting_start[t]
             sizes = self.posting_start[t + 1] - first
-            before = np.cumsum(sizes) - sizes
-            where = np.repeat(first - before, sizes)
-            where += np.arange(len(where))
-            out[i] = np.bincount(self.posting_example[where], self.posting_weight[where] * np.repeat(v, sizes), len(self.ids))
-        out += wide @ self.common
-        return out
+            where = _ranges(first, sizes)
+            out[i] = np.bincount(self.posting_at[where], self.posting_weight[where] * np.repeat(v, sizes), n)
+        by_block = out.reshape(len(terms), self.blocks, BLOCK)
+        bound = by_block.max(2, initial=0) + wide @ self.common_most
+        k, done = min(self.neighbours, n), np.zeros(bound.shape, bool)
+        needed = done.copy()
+        needed[texts[:, None], np.argsort(-bound, axis=1)[:, :FIRST_BLOCKS]] = True
+        for _ in range(2):
+            for b in np.flatnonzero(needed.any(0)):
+                own = np.flatnonzero(needed[:, b])
+                by_block[own, b] += wide[own] @ self.common[b]
+            done |= needed
+            if leave_out is not None:
+                out[texts, leave_out] = 0
+            known = np.where(done[:, :, None], by_block, 0).reshape(len(terms), n)
+            last = np.partition(known, n - k, axis=1)[:, n - k] if n else np.zeros(len(terms))
+            needed = ~done & (bound > 0) & (bound >= last[:, None] - self.margin)
+            if not needed.any():
+                break
+        self.compared += int(done.sum())
+        self.skipped += int((~done & (bound > 0)).sum())
+        return known
 
     def best(self, terms: np.ndarray, vector: np.ndarray, rough: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The examples of the largest cosines above zero, ties by their order, and the cosines.
@@ -283,7 +352,8 @@ class NearestExamples:
         """
         k = min(self.neighbours, len(rough))
         least = np.partition(rough, len(rough) - k)[len(rough) - k] if k else 0.0
-        found = np.flatnonzero((rough > 0) & (rough >= least - 4 * (len(self.common) + 64) * 2.0**-24))
+        found = np.flatnonzero((rough > 0) & (rough >= least - self.margin))
+        found = np.sort(self.example_at[found])
         self.whole[terms] = vector
         cosines = np.array([self.whole[self.terms[a:b]] @ self.weights[a:b] for a, b in zip(self.start[found], self.start[found + 1], strict=True)])
         self.whole[terms] = 0
@@ -291,10 +361,8 @@ class NearestExamples:
         return found[order], cosines[order]
 
     def nearest(self, terms: np.ndarray, vector: np.ndarray, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        rough = self.rough([terms], [vector])[0]
-        if leave_out >= 0:
-            rough[leave_out] = 0
-        return self.best(terms, vector, rough)
+        out = np.flatnonzero(self.example_at == leave_out) if leave_out >= 0 else None
+        return self.best(terms, vector, self.rough([terms], [vector], out)[0])
 
     def vote(self, at: np.ndarray, cosines: np.ndarray) -> float:
         weight = 1 / (1.05 - np.minimum(cosines, 1))
@@ -304,8 +372,8 @@ class NearestExamples:
         """Score, neighbours and their cosines of each text."""
         out = [(self.without_terms, self.ids[:0], np.empty(0))] * len(terms)
         full = [i for i, t in enumerate(terms) if len(t) and len(self.ids)]
-        for first in range(0, len(full), BLOCK):
-            part = full[first : first + BLOCK]
+        for first in range(0, len(full), TEXTS):
+            part = full[first : first + TEXTS]
             vectors = [self.vector(terms[i], counts[i]) for i in part]
             for i, v, rough in zip(part, vectors, self.rough([terms[i] for i in part], vectors), strict=True):
                 at, cosines = self.best(terms[i], v, rough)
@@ -328,12 +396,13 @@ def build_index(
     # Rows stand for their class's share among all labels.
     toxic = max(1, int(labels.sum()))
     row_weight = np.where(labels == 1, share / toxic, (1 - share) / max(1, n - toxic))
+    index.arrange()
     votes, has = np.zeros(n), np.zeros(n, bool)
-    for first in range(0, n, BLOCK):
-        rough = index.rough(terms[first : first + BLOCK], vectors[first : first + BLOCK])
-        for i in range(first, first + len(rough)):
-            rough[i - first, i] = 0
-            at, cosines = index.best(terms[i], vectors[i], rough[i - first])
+    place = np.argsort(index.example_at)
+    for first in range(0, n, TEXTS):
+        part = slice(first, min(n, first + TEXTS))
+        for i, rough in enumerate(index.rough(terms[part], vectors[part], place[part]), first):
+            at, cosines = index.best(terms[i], vectors[i], rough)
             if len(at):
                 votes[i], has[i] = index.vote(at, cosines), True
     if has.any():
@@ -361,7 +430,7 @@ def fit(
     sample = written(labelled_sample(docs, labels, "toxic", learn, per_class), "labelled")
     sample = written(one_of_each_family(sample), "examples")
     vocabulary, weight = weigh_terms(sample)
-    shared = docs.sparkSession.sparkContext.broadcast(_Known(vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast(_Vocabulary(vocabulary))
     n, df = document_frequencies(docs, shared, len(vocabulary), text_col)
     idf = (np.log((1 + n) / (1 + df)) + 0.1) * weight
     cut = sample.select("doc_id", F.col("y").cast("int").alias("y"), "text").mapInArrow(
@@ -394,8 +463,8 @@ def _judged(model, vocabulary, text: str, keep_text: bool):
         index, known = model.value, vocabulary.value
         for batch in batches:
             got = []
-            for first in range(0, batch.num_rows, BLOCK):
-                found = [_terms_in(t.as_py() or "", known) for t in batch.column(text).slice(first, BLOCK)]
+            for first in range(0, batch.num_rows, TEXTS):
+                found = [_terms_in(t.as_py() or "", known) for t in batch.column(text).slice(first, TEXTS)]
                 got += index.judge([f[0] for f in found], [f[1] for f in found])
             keep = [i for i, name in enumerate(batch.schema.names) if keep_text or name != text]
             yield pa.RecordBatch.from_arrays(

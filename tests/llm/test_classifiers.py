@@ -1,5 +1,6 @@
 """Quality, toxicity, licences and page extraction."""
 
+import pickle
 import random
 
 import numpy as np
@@ -82,13 +83,18 @@ def test_toxicity(spark, labelled):
     assert toxicity.score_toxicity(docs.limit(0), labels, F.lit(True)).count() == 0
 
 
-def test_nearest_is_exact_and_skips_nothing(monkeypatch):
+@pytest.mark.parametrize("n, m, most", [(150, 40, 6), (1, 3, 3), (8, 5, 3), (600, 400, 25)])
+def test_nearest_is_exact(monkeypatch, n, m, most):
+    """Blocks whose bound is too low are skipped, and the neighbours are those of all cosines."""
     monkeypatch.setattr(toxicity, "BLOCK", 8)
     rng = np.random.RandomState(0)
-    n, m = 150, 40
-    terms = [np.sort(rng.choice(m, rng.randint(0, 6), replace=False)) for _ in range(n)]
+    # Four groups that mostly use terms of their own, as languages do.
+    group = rng.randint(0, 4, n)
+    own = [np.flatnonzero((np.arange(m) % 5 == g) | (np.arange(m) % 5 == 4)) for g in range(4)]
+    terms = [np.sort(rng.choice(own[g], min(len(own[g]), rng.randint(0, most)), replace=False)) for g in group]
     counts = [rng.randint(1, 5, len(t)).astype(float) for t in terms]
     index = toxicity.build_index(np.arange(n) + 7, rng.randint(0, 2, n), terms, counts, rng.rand(m) + 0.5, 0.3)
+    index.skipped = index.compared = 0
     dense = np.zeros((n, m))
     for i in range(n):
         dense[i, terms[i]] = index.vector(terms[i], counts[i])
@@ -101,6 +107,11 @@ def test_nearest_is_exact_and_skips_nothing(monkeypatch):
             want = want[all_cosines[want] > 0]
             assert at.tolist() == want.tolist() and np.allclose(cosines, all_cosines[want])
     assert (np.diff(index.value) >= 0).all()
+    if n > 500:
+        assert index.skipped > 0.05 * (index.skipped + index.compared)
+    again = pickle.loads(pickle.dumps(index))  # as workers get it
+    got, want = again.judge(terms, counts), index.judge(terms, counts)
+    assert all(a[0] == b[0] and a[1].tolist() == b[1].tolist() for a, b in zip(got, want, strict=True))
 
 
 LINES = {
