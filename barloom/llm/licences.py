@@ -1,17 +1,19 @@
 """Licence families of paragraphs, with DataFrame functions only.
 
-A paragraph is a line. Its features are the word sequences of one to three words that hold a word
-of the licence templates, weighed by how rare that word is in all texts of the corpus, equal ones once. A
-multinomial logistic regression (Spark's own, sparse by an L1 share) learns the families from
-the templates, their variants with a word left out or text around them, and paragraphs of a
-bounded sample of the corpus as the class ``unknown``. Its probabilities are calibrated by a
-temperature fitted on variants kept out of training. A paragraph without such words has no feature and is
-``unknown`` by the intercepts; all others are scored.
-
-A prediction is confirmed by comparison: the share of a template's word triples that the
-paragraph holds, for the best template of the predicted family.
-
-Templates, anchors and weights depend on the templates alone in size, a few thousand short rows.
+A paragraph is a line. Its features are the word sequences of one to three words that occur in the
+licence templates, weighed by how rare their rarest word is in all texts of the corpus, equal ones
+once. A multinomial logistic regression (Spark's own, sparse by an L1 share)
+learns the families from the templates, which are opening sentences, paragraphs and the usual short
+forms for each name, from their variants with a word left out or text around them, and the class
+``unknown`` from all lines of a bounded sample of the corpus. A paragraph without such words has
+no feature and is ``unknown`` by the intercepts; all others are scored, each in its row, without
+a shuffle. The temperature of the probabilities is fitted last, on rows kept out of training,
+sample lines among them.
+
+A prediction is confirmed by comparison: the share of a template's word pairs that the paragraph
+holds, for the best template of the predicted family, so a changed word costs two pairs.
+
+Templates, words and weights depend on the templates alone in size, a few thousand short rows.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,6 +55,72 @@ TEMPLATES = {
     "CC0": ["Dedicated to the public domain under CC0 1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work"],
     "Unlicense": ["This is free and unencumbered software released into the public domain"],
 }
+#: Names of the families as short notices give them, and the identifiers of file headers.
+NAMES = {
+    "Apache-2.0": ["Apache", "Apache 2.0", "Apache License 2.0"],
+    "MIT": ["MIT"],
+    "BSD": ["BSD", "BSD 2-Clause", "BSD 3-Clause"],
+    "GPL": ["GPL", "GPLv2", "GPLv3", "GNU GPL v3", "GNU General Public"],
+    "LGPL": ["LGPL", "GNU LGPL v3", "GNU Lesser General Public"],
+    "AGPL": ["AGPL", "GNU AGPL v3", "GNU Affero General Public"],
+    "MPL-2.0": ["MPL 2.0", "Mozilla Public"],
+    "ISC": ["ISC"],
+    "CC-BY": ["CC BY 3.0", "CC BY 4.0"],
+    "CC-BY-SA": ["CC BY-SA 3.0", "CC BY-SA 4.0"],
+    "CC-BY-NC": ["CC BY-NC 3.0", "CC BY-NC 4.0"],
+    "CC-BY-ND": ["CC BY-ND 3.0", "CC BY-ND 4.0"],
+    "CC0": ["CC0", "CC0 1.0"],
+    "Unlicense": ["Unlicense"],
+}
+IDENTIFIERS = {
+    "Apache-2.0": ["Apache-2.0"],
+    "MIT": ["MIT"],
+    "BSD": ["BSD-2-Clause", "BSD-3-Clause"],
+    "GPL": ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "LGPL": ["LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "AGPL": ["AGPL-3.0-only", "AGPL-3.0-or-later"],
+    "MPL-2.0": ["MPL-2.0"],
+    "ISC": ["ISC"],
+    "CC-BY": ["CC-BY-3.0", "CC-BY-4.0"],
+    "CC-BY-SA": ["CC-BY-SA-3.0", "CC-BY-SA-4.0"],
+    "CC-BY-NC": ["CC-BY-NC-3.0", "CC-BY-NC-4.0"],
+    "CC-BY-ND": ["CC-BY-ND-3.0", "CC-BY-ND-4.0"],
+    "CC0": ["CC0-1.0"],
+    "Unlicense": ["Unlicense"],
+}
+NAMED = ["Licensed under the {} License", "Released under {}", "This project is {} licensed", "This software is distributed under the terms of the {} license", "License: {}"]
+IDENTIFIED = ["SPDX-License-Identifier: {}", "License: {}"]
+#: Paragraphs of full licence texts beyond their opening.
+PARAGRAPHS = {
+    "MIT": [
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT",
+    ],
+    "BSD": [
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
+    ],
+    "Apache-2.0": [
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+        "See the License for the specific language governing permissions and limitations under the License",
+    ],
+    "GPL": [
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+        "You should have received a copy of the GNU General Public License along with this program",
+    ],
+    "ISC": ["THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS"],
+    "MPL-2.0": ["If a copy of the MPL was not distributed with this file, You can obtain one at"],
+}
+
+
+def all_templates() -> list[tuple[str, str]]:
+    """``(family, text)`` of sentences, paragraphs and short forms."""
+    out = [(f, t) for texts in (TEMPLATES, PARAGRAPHS) for f, many in texts.items() for t in many]
+    out += [(f, form.format(n)) for f, names in NAMES.items() for n in names for form in NAMED]
+    return out + [(f, form.format(n)) for f, names in IDENTIFIERS.items() for n in names for form in IDENTIFIED]
+
+
 #: Sentences that use such words without granting a licence; they belong to ``unknown``.
 OTHERS = [
     "The driver showed a license to the officer",
@@ -66,7 +134,7 @@ OTHERS = [
     "Students of the MIT met in the general hall",
 ]
 UNKNOWN = "unknown"
-SAMPLE_DOCUMENTS, LONGEST_SEQUENCE, MOST_FEATURES, LEAST_RARITY = 300, 3, 8192, 0.4
+SAMPLE_DOCUMENTS, LEAST_RARITY = 300, 0.4
 AROUND, LEAST_PROBABILITY, LEAST_SIMILARITY = 4, 0.5, 0.75
 _WORD = "([a-z0-9]+(?:[.+-][a-z0-9]+)*)"
 
@@ -81,15 +149,19 @@ def sequences(w: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
 
 
-def features(w: Column, anchors: list[str]) -> Column:
-    """Distinct runs of one to three words around the anchors of ``w``, however long it is."""
-    at = F.filter(F.transform(w, lambda x, i: F.when(x.isin(anchors), i + 1)), lambda i: i.isNotNull())
+def known_words(w: Column, own: list[str]) -> Column:
+    """The words, null where a template has no such word."""
+    return F.transform(w, lambda x: F.when(x.isin(own), x))
+
 
-    def runs(n: int, back: int) -> Column:
-        fits = F.filter(at, lambda i: (i - back >= 1) & (i - back + n - 1 <= F.size(w)))
-        return F.transform(fits, lambda i: F.array_join(F.slice(w, i - back, n), " "))
+def features(v: Column) -> Column:
+    """Distinct runs of one to three words without a null between, however long the paragraph is."""
 
-    return F.array_distinct(F.concat(*[runs(n, back) for n in range(1, LONGEST_SEQUENCE + 1) for back in range(n)]))
+    def joined(runs: Column, skip: int) -> Column:
+        return F.zip_with(runs, F.slice(v, skip + 1, F.size(v)), lambda a, b: F.concat(a, F.lit(" "), b))
+
+    two = joined(v, 1)
+    return F.array_distinct(F.filter(F.concat(v, two, joined(two, 2)), lambda x: x.isNotNull()))
 
 
 def local_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
@@ -98,10 +170,8 @@ def local_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame
 
 
 def _templates(spark: SparkSession) -> DataFrame:
-    rows = [
-        {"family": family, "template": i, "text": text} for family, texts in TEMPLATES.items() for i, text in enumerate(texts)
-    ]
-    return local_table(spark, rows, "family string, template int, text string").withColumn("words", words(F.col("text")))
+    rows = [{"family": family, "text": text} for family, text in all_templates()]
+    return local_table(spark, rows, "family string, text string").withColumn("words", words(F.col("text")))
 
 
 def paragraphs(docs: DataFrame, text: str, number: str, part: str) -> DataFrame:
@@ -120,10 +190,14 @@ def rarities(docs: DataFrame, own: list[str]) -> dict[str, float]:
 
 @dataclass(frozen=True)
 class LicenceModel:
+    """The fitted stages; ``shifts`` are added to the raw scores, which are then divided by the temperature."""
+
     families: list[str]
-    anchors: list[str]
-    weights: list[dict]
-    intercepts: list[float]
+    own: list[str]
+    vectors: CountVectorizerModel
+    scale: list[float]
+    regression: LogisticRegressionModel
+    shifts: list[float]
     temperature: float
 
 
@@ -140,7 +214,6 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     plain = ~F.arrays_overlap(sequences(words(F.col("part")), 3), F.array(*[F.lit(t) for t in triples]))
     sample = written(sample.filter(plain), "licence-sample")
     own = sorted({w for r in templates.select("words").collect() for w in r["words"]})
-    anchors = [w for w in own if len(w) > 1]
     rarity = rarities(docs.select(text_or_empty(F.col(text_col)).alias("text")), own)
 
     # Different lines with the fewest template words: a notice of one source must not pass as unknown.
@@ -163,39 +236,39 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     others = local_table(spark, [{"text": t} for t in OTHERS], "text string").select(
         F.lit(UNKNOWN).alias("family"), words(F.col("text")).alias("words")
     )
-    alone = spark.range(1).select(F.explode(near).alias("near")).select(F.lit(UNKNOWN).alias("family"), words(F.col("near")).alias("words"))
+    alone = sample.distinct().select(F.lit(UNKNOWN).alias("family"), words(F.col("part")).alias("words"))
     families = [UNKNOWN, *sorted(TEMPLATES)]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
-    rows = whole.union(dropped).union(edged).union(others).union(alone)
-    rows = rows.select(label.alias("label"), features(F.col("words"), anchors).alias("grams"), F.size("words").alias("n"))
-    rows = written(rows.withColumn("aside", F.pmod(F.xxhash64("label", "grams", "n"), F.lit(5)) == 0), "licence-variants")
-    vectors = CountVectorizer(inputCol="grams", outputCol="counted", vocabSize=MOST_FEATURES, binary=True).fit(rows)
-    # Rarity is a weight of the features; it is multiplied into the model's own weights below.
+    rest = dropped.union(edged).union(others).union(alone)
+    rows = whole.withColumn("plain", F.lit(True)).union(rest.withColumn("plain", F.lit(False)))
+    rows = rows.select(label.alias("label"), known_words(F.col("words"), own).alias("v"), F.size("words").alias("n"), "plain")
+    rows = rows.select("label", features(F.col("v")).alias("grams"), "n", "plain")
+    rows = rows.filter("label > 0 or size(grams) > 0")
+    aside = ~F.col("plain") & (F.pmod(F.xxhash64("label", "grams", "n"), F.lit(5)) == 0)
+    rows = written(rows.withColumn("aside", aside), "licence-variants")
+    # Sequences of the templates are the features; what stands around them in other lines is none.
+    known = whole.select(features(F.col("words")).alias("grams"))
+    vectors = CountVectorizer(inputCol="grams", outputCol="counted", vocabSize=2**30, binary=True).fit(known)
     scale = [max(rarity[w] for w in g.split(" ") if w in rarity) for g in vectors.vocabulary]
     weighed = ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol="counted", outputCol="vector")
     wide = weighed.transform(vectors.transform(rows)).cache()
     fitted = LogisticRegression(
         featuresCol="vector", labelCol="label", family="multinomial", regParam=0.001, elasticNetParam=0.3, maxIter=60, standardization=False
     ).fit(wide.filter("not aside"))
-    k = len(families)
-    matrix, intercepts = np.zeros((k, len(vectors.vocabulary))), np.full(k, -20.0)
-    matrix[: fitted.coefficientMatrix.numRows] = fitted.coefficientMatrix.toArray() * np.array(scale)
-    intercepts[: fitted.numClasses] = fitted.interceptVector.toArray()
+    intercepts = fitted.interceptVector.toArray()
+    shifts = [0.0] * len(intercepts)
+    shifts[0] = max(0.0, float(intercepts[1:].max(initial=-20.0)) + 0.1 - float(intercepts[0]))  # nothing known means unknown
     aside = fitted.transform(wide.filter("aside")).select("label", vector_to_array("rawPrediction").alias("raw")).collect()
     wide.unpersist()
-    intercepts[0] = max(intercepts[0], intercepts[1:].max() + 2.0)  # nothing known means unknown
 
     def loss(t: float) -> float:
-        z = np.array([r["raw"] for r in aside]) / t
+        z = (np.array([r["raw"] for r in aside]) + shifts) / t
         z -= z.max(1, keepdims=True)
         at = np.array([int(r["label"]) for r in aside])
         return float(np.mean(np.log(np.exp(z).sum(1)) - z[np.arange(len(at)), at]))
 
     temperature = float(min(np.geomspace(0.25, 4, 33), key=loss)) if aside else 1.0
-    weights = [
-        {"gram": g, "w": [round(float(x), 9) for x in matrix[:, i]]} for i, g in enumerate(vectors.vocabulary) if np.abs(matrix[:, i]).max() > 0
-    ]
-    return LicenceModel(families, anchors, weights, [float(x) for x in intercepts], temperature)
+    return LicenceModel(families, own, vectors, scale, fitted, shifts, temperature)
 
 
 def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -208,48 +281,46 @@ def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", with_text
     through. Every paragraph that is not ``unknown`` with at least ``LEAST_PROBABILITY`` comes
     out; ``confirmed`` tells whether the comparison agrees.
     """
-    spark = docs.sparkSession
     result = ["paragraph", "family", "probability", "similarity", "confirmed", "licence_text"]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in result and c != text_col])
-    text, row, w, gram, part = fresh_name(docs, "text_", "row_", "words_", "gram_", "part_")
+    names = ["text_", "words_", "known_", "grams_", "part_", "counted_", "vector_", "raw_", "z_", "top_", "step_"]
+    text, w, known, gram, part, counted, vector, raw, z, top, step = fresh_name(docs, *names)
     others = [c for c in docs.columns if c != text_col]
     held = docs.select(*others, text_or_empty(F.col(text_col)).alias(text))
-    lines = paragraphs(held, text, "paragraph", part).drop(text).withColumn(w, words(F.col(part)))
-    # Written once, with a number that later joins can use; words are cut once.
-    lines = lines.filter(F.exists(w, lambda x: x.isin(model.anchors)))
-    lines = written(lines.withColumn(row, F.monotonically_increasing_id()), "licence-lines")
-
-    k = len(model.families)
-    known = local_table(spark, model.weights, "gram string, w array<double>").withColumnRenamed("gram", gram)
-    grams = lines.select(row, F.explode(features(F.col(w), model.anchors)).alias(gram))
-    sums = grams.join(F.broadcast(known), gram).groupBy(row)
-    logits = sums.agg(*[F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)])
-    z = F.array(*[(F.col(f"z{i}") + model.intercepts[i]) / model.temperature for i in range(k)])
-    best = logits.select(row, z.alias("z")).select(row, "z", F.array_max("z").alias("top"))
-    total = F.aggregate(F.transform("z", lambda x: F.exp(x - F.col("top"))), F.lit(0.0), lambda a, x: a + x)
-    names = F.array(*[F.lit(f) for f in model.families])
-    predicted = best.select(
-        row,
-        F.element_at(names, F.array_position("z", F.col("top")).cast("int")).alias("family"),
-        (1 / total).alias("probability"),
-    ).filter((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST_PROBABILITY))
-
-    triples = lambda c: F.array_distinct(sequences(c, 3))
-    compare = _templates(spark).select("family", triples(F.col("words")).alias("wanted"))
-    found = lines.join(predicted, row)
-    near = (
-        found.select(row, "family", triples(F.col(w)).alias("own"))
-        .join(F.broadcast(compare), "family")  # bounded by the templates
-        .groupBy(row)
-        .agg(F.max(F.size(F.array_intersect("own", "wanted")) / F.size("wanted")).alias("similarity"))
+    # Row numbers between the steps keep filters from moving below them, where they would repeat the work.
+    number = F.monotonically_increasing_id().alias(step)
+    lines = paragraphs(held, text, "paragraph", part).drop(text).select("*", words(F.col(part)).alias(w), number)
+    lines = lines.drop(step).select("*", known_words(F.col(w), model.own).alias(known), number)
+    lines = lines.filter(F.exists(known, lambda x: x.isNotNull())).drop(step)
+    grams = lines.select("*", features(F.col(known)).alias(gram), number)
+
+    vectors = model.vectors.copy().setInputCol(gram).setOutputCol(counted)
+    weighed = ElementwiseProduct(scalingVec=Vectors.dense(model.scale), inputCol=counted, outputCol=vector)
+    regression = model.regression.copy().setFeaturesCol(vector).setRawPredictionCol(raw).setProbabilityCol("").setPredictionCol("")
+    scored = regression.transform(weighed.transform(vectors.transform(grams)))
+    shifts = F.array(*[F.lit(x) for x in model.shifts])
+    shifted = F.zip_with(vector_to_array(raw), shifts, lambda a, b: (a + b) / model.temperature)
+    kept = [*others, "paragraph", part, w]
+    scored = scored.select(*kept, shifted.alias(z), number).select(*kept, z, F.array_max(z).alias(top), number)
+    total = F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - F.col(top)))
+    families = F.array(*[F.lit(f) for f in model.families])
+    family = F.element_at(families, F.array_position(z, F.col(top)).cast("int"))
+    found = scored.select(*kept, family.alias("family"), (1 / total).alias("probability"), number).filter(
+        (F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST_PROBABILITY)
     )
-    out = found.join(near, row)
-    return out.select(
+
+    pairs = lambda c: F.array_distinct(sequences(c, 2))
+    # The templates are values of the expression, some hundred short lists.
+    wanted = _templates(docs.sparkSession).select("family", pairs(F.col("words")).alias("pairs")).distinct().collect()
+    texts = F.from_json(F.lit(json.dumps([r.asDict() for r in wanted])), "array<struct<family string, pairs array<string>>>")
+    held_share = lambda t: F.size(F.array_intersect(pairs(F.col(w)), t["pairs"])) / F.size(t["pairs"])
+    similarity = F.array_max(F.transform(F.filter(texts, lambda t: t["family"] == F.col("family")), held_share))
+    return found.select(
         *others,
         "paragraph",
         "family",
         "probability",
-        "similarity",
-        (F.col("similarity") >= LEAST_SIMILARITY).alias("confirmed"),
+        similarity.alias("similarity"),
+        (similarity >= LEAST_SIMILARITY).alias("confirmed"),
         *([F.col(part).alias("licence_text")] if with_text else []),
     )

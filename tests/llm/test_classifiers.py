@@ -231,3 +231,62 @@ def test_licence_words_of_one_large_source_stay_telling_elsewhere(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.paragraph): r for r in licences.scan(docs, licences.fit_licences(docs)).collect()}
     assert [got[200 + k, 1].family if (200 + k, 1) in got else None for k in range(len(LINES))] == list(LINES)
+
+
+#: Wordings that are no templates, with the family they grant.
+WORDINGS = [
+    ("Apache-2.0", "The library is licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Our tools are licensed under the Apache License 2.0"),
+    ("MIT", "Our code is released under the MIT license."),
+    ("MIT", "Licensed under the MIT License"),
+    ("MIT", "This project is MIT licensed, have fun"),
+    ("MIT", "// SPDX-License-Identifier: MIT"),
+    ("MIT", "the above copyright notice and this permission notice shall be included in all copies of the Software"),
+    ("BSD", "Released under the BSD 2-Clause License"),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the disclaimer"),
+    ("GPL", "License: GPL-3.0-or-later"),
+    ("GPL", "# SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL", "You can redistribute it and/or modify it under the terms of the GNU General Public License, version 2"),
+    ("LGPL", "Licensed under the GNU Lesser General Public License v3"),
+    ("AGPL", "This server is licensed under the GNU Affero General Public License, version 3"),
+    ("ISC", "Distributed under the ISC license"),
+    ("CC0", "This dataset is dedicated to the public domain under CC0 1.0."),
+    ("CC-BY", "Licensed under CC BY 3.0"),
+    ("CC-BY-SA", "All pictures are licensed under CC BY-SA 4.0"),
+    ("CC-BY-NC", "Texts licensed under CC BY-NC 4.0 unless noted"),
+    ("CC-BY-ND", "Licensed under CC BY-ND 3.0"),
+]
+NO_LICENCES = [
+    "The driver lost his license on the road", "Version 2.0 of the public library software", "The general public is free to use this road",
+    "A copy of the letter was included in the file", "She works at MIT in the general office", "The warranty ends in May",
+]
+
+
+def brute_scores(model, line):
+    """Family and probability by plain Python from the fitted weights."""
+    import re
+
+    w = re.findall("[a-z0-9]+(?:[.+-][a-z0-9]+)*", line.lower())
+    grams = {" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}
+    at = [i for i, g in enumerate(model.vectors.vocabulary) if g in grams]
+    z = model.regression.coefficientMatrix.toArray()[:, at] @ np.array(model.scale)[at] if at else 0.0
+    z = (z + model.regression.interceptVector.toArray() + model.shifts) / model.temperature
+    p = np.exp(z - z.max())
+    return model.families[int(z.argmax())], float((p / p.sum()).max())
+
+
+def test_licence_wordings_and_scores(spark):
+    rng = random.Random(5)
+    corpus = spark.createDataFrame([(i, "\n".join(prose(rng, 20) for _ in range(3))) for i in range(80)], "doc_id long, text string")
+    model = licences.fit_licences(corpus)
+    lines = [t for _, t in WORDINGS] + NO_LICENCES + [prose(rng, 30) for _ in range(10)]
+    docs = spark.createDataFrame([(7, "\n".join(lines), 1, 2)], "doc_id long, text string, grams_ int, raw_ int")
+    got = {r.paragraph: r for r in licences.scan(docs, model).collect()}
+    assert [got[i].family if i in got and got[i].confirmed else None for i in range(len(WORDINGS))] == [f for f, _ in WORDINGS]
+    assert not any(i in got and got[i].confirmed for i in range(len(WORDINGS), len(lines)))
+    for i, line in enumerate(lines):
+        family, probability = brute_scores(model, line)
+        if family != licences.UNKNOWN and probability >= licences.LEAST_PROBABILITY:
+            assert got[i].family == family and abs(got[i].probability - probability) < 1e-9
+        else:
+            assert i not in got
