@@ -273,12 +273,14 @@ class NearestExamples:
     def arrange(self) -> None:
         """Blocks of like examples, postings of rare terms, blocks and their maxima of common ones."""
         n, m = len(self.ids), len(self.idf)
-        example = np.repeat(np.arange(n), np.diff(self.start))
-        mixed = self.terms.astype(np.uint64) * MULTIPLIERS[0] >> np.uint64(32)
-        cell = example * SKETCH + (mixed % np.uint64(SKETCH)).astype(np.int64)
-        sign = np.where(mixed & np.uint64(1 << 20), 1.0, -1.0)
-        sketch = np.bincount(cell, self.weights * sign, n * SKETCH).reshape(n, SKETCH)
-        self.example_at = like_order(sketch, BLOCK)
+        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start))
+        mixed = np.arange(m, dtype=np.uint64) * MULTIPLIERS[0] >> np.uint64(32)
+        bucket = (mixed % np.uint64(SKETCH)).astype(np.int32)
+        sign = np.where(mixed & np.uint64(1 << 20), np.float32(1), np.float32(-1))
+        del mixed
+        sketch = np.bincount(example * np.int32(SKETCH) + bucket[self.terms], self.weights * sign[self.terms], n * SKETCH)
+        self.example_at = like_order(sketch.reshape(n, SKETCH), BLOCK)
+        del bucket, sign, sketch
         place = np.empty(n, np.int32)
         place[self.example_at] = np.arange(n)
         at = place[example]
@@ -292,8 +294,9 @@ class NearestExamples:
         often = row >= 0
         self.common[at[often] // BLOCK, row[often], at[often] % BLOCK] = self.weights[often]
         self.common_most = np.ascontiguousarray(self.common.max(2, initial=0).T)
-        rare = np.flatnonzero(~often)
+        rare = np.flatnonzero(~often).astype(np.int32)
         rare = rare[np.argsort(self.terms[rare], kind="stable")]
+        del example, row, often
         self.posting_at, self.posting_weight = at[rare], self.weights[rare].astype(np.float32)
         self.posting_start = np.concatenate([[0], np.cumsum(np.bincount(self.terms[rare], minlength=m))])
         self.margin = 8 * (len(common) + 64) * 2.0**-24
@@ -389,10 +392,11 @@ def build_index(
     n = len(ids)
     start = np.concatenate([[0], np.cumsum([len(t) for t in terms])]).astype(np.int64)
     index = NearestExamples(
-        ids, labels, idf, neighbours, share, np.array([0.0]), np.array([share]), start, np.concatenate([*terms, np.empty(0)]).astype(np.int32), np.empty(0)
+        ids, labels, idf, neighbours, share, np.array([0.0]), np.array([share]), start, np.concatenate([*terms, np.empty(0, np.int32)]).astype(np.int32), np.empty(start[-1])
     )
-    vectors = [index.vector(t, c) for t, c in zip(terms, counts, strict=True)]
-    index.weights = np.concatenate([*vectors, np.empty(0)])
+    vectors = [index.weights[a:b] for a, b in zip(start[:-1], start[1:], strict=True)]
+    for v, t, c in zip(vectors, terms, counts, strict=True):
+        v[:] = index.vector(t, c)
     # Rows stand for their class's share among all labels.
     toxic = max(1, int(labels.sum()))
     row_weight = np.where(labels == 1, share / toxic, (1 - share) / max(1, n - toxic))
@@ -442,8 +446,8 @@ def fit(
     index = build_index(
         rows["doc_id"].to_numpy().astype(np.int64),
         rows["y"].to_numpy().astype(np.int64),
-        [t.values.to_numpy().astype(np.int64) for t in rows["terms"]],
-        [c.values.to_numpy().astype(np.float64) for c in rows["counts"]],
+        [t.values.to_numpy() for t in rows["terms"]],
+        [c.values.to_numpy() for c in rows["counts"]],
         idf,
         float(share or 0.0),
     )
