@@ -18,16 +18,11 @@ def typical():
     return (F.col(H) + F.col(L) + F.col(C)) / 3.0
 
 
-# A sliding frame costs n updates per row; from this length on, running sums are used.
-LONG_WINDOW = 16
-
-
 def sma(n: int = 5) -> Indicator:
+    """Mean of the last ``n`` closes, from running sums: a sliding frame would cost n updates a row."""
     name = f"sma{n}"
 
     def build(f: Frame):
-        if n < LONG_WINDOW:
-            return [Stage({name: since(n, F.avg(C).over(f.last(n)))})]
         return [
             Stage({"_csum": F.sum(C).over(f.so_far)}),
             Stage({name: since(n, (F.col("_csum") - f.lag_or_zero("_csum", n)) / float(n))}),
