@@ -68,15 +68,22 @@ def enrich_resumed(bars: DataFrame) -> DataFrame:
     return ordered.withColumn("sar", F.col("_sar.shown")).withColumn("_new", F.col(RN) > F.coalesce("_old", F.lit(0)))
 
 
+def last_only(last: str) -> list[Column]:
+    """What :func:`next_carry` reads of a symbol's last row, dated ``last``; null in all others."""
+    kept = [RN, BASE, "_vmax", "_top", "_under", *recurrence_names(resumable()), "_sar"]
+    return [F.when(F.col(DATE) == F.col(last), F.col(c)).alias(c) for c in kept]
+
+
 def next_carry(enriched: DataFrame) -> DataFrame:
-    """The carry after the rows of :func:`enrich_resumed`."""
+    """The carry after the new rows of :func:`enrich_resumed`; of what is carried only each symbol's last
+    row needs values, see :func:`last_only`."""
 
     def last(value: Column) -> Column:
         return F.max_by(value, RN)
 
     names = recurrence_names(resumable())
     fields = ["long", "stop", "extreme", "factor", "high", "low"]
-    first = F.coalesce(F.max(BASE), F.min_by("adj_close", RN))
+    first = F.coalesce(F.max(BASE), F.min_by("adj_close", DATE))
     return enriched.groupBy(CODE).agg(
         F.max(DATE).alias(DATE),
         F.max(RN).cast("long").alias("n"),

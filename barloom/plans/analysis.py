@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import output_class, truncated
@@ -11,7 +11,7 @@ from barloom.operators.bars import by_date, last_bars, merge_frames, new_rows, v
 from barloom.operators.classifiers import CLASSIFIERS, class_samples, classify_pooled, fit_pooled, value_samples
 from barloom.operators.features import scoring_window, stored_recent
 from barloom.operators.finite import ret_index
-from barloom.operators.resume import VOLUME_RATE, enrich_resumed, next_carry, with_carry, with_volume_rate
+from barloom.operators.resume import VOLUME_RATE, enrich_resumed, last_only, next_carry, with_carry, with_volume_rate
 from barloom.operators.scan import BASE
 from barloom.operators.series import apply
 from barloom.operators.standard import enrich
@@ -24,6 +24,8 @@ from barloom.sources.sinks import append_snapshot, write_summary
 
 #: Bars that an indicator of the standard set or a model looks back, at most.
 LONGEST_WINDOW = 250
+#: The standard columns that are stored for whole histories.
+WHOLE_COLUMNS = [c for c in STANDARD_COLUMNS if c not in VOLUME_RATE]
 
 
 def kept_bars(bars: DataFrame, days: int) -> DataFrame:
@@ -137,6 +139,7 @@ class DailyStore(KeyedStore):
         whole = self.all_rows("whole", run)
         if whole is None:
             return self.current("enriched", run)
+        whole = whole.select(*BAR_COLUMNS, *WHOLE_COLUMNS)
         marks = self.current("marks", run).select(*KEY, "classified", "predicted")
         return with_volume_rate(whole, self.current("carry", run)).join(marks, KEY, "left")
 
@@ -172,22 +175,29 @@ def daily_run(store: DailyStore, landed: DataFrame, run: int, days: int = 240) -
         store.stage(run, "enriched", analyse(kept, days))
         keyed, growing = ["tail", "enriched"], ["bars"]
     else:
-        _whole_histories(store, tail, run)
+        _whole_histories(store, tail, changed, run)
         keyed, growing = ["tail", "carry", "marks"], ["bars", "whole"]
     store.commit(run, changed, keyed, growing)
     return store.enriched()
 
 
-def _whole_histories(store: DailyStore, bars: DataFrame, run: int) -> None:
-    """Stage what a run adds to whole histories: analysed new rows, carries and marks."""
+def _whole_histories(store: DailyStore, bars: DataFrame, changed: DataFrame, run: int) -> None:
+    """Stage what a run adds to whole histories: analysed new rows, carries and marks.
+
+    Wide rows are written once, the new ones; what is carried stands in a symbol's last row.
+    """
     carry = store.current("carry", run - 1)
     carried = with_carry(bars, carry, store.tail)
-    enriched = checkpoint(enrich_resumed(carried))
-    columns = [c for c in STANDARD_COLUMNS if c not in VOLUME_RATE]
-    store.stage(run, "whole", enriched.where("_new").select(*BAR_COLUMNS, *columns))
-    store.stage(run, "carry", next_carry(enriched))
-    store.stage(run, "marks", forecasts(enriched.select(*BAR_COLUMNS, BASE)))
-    store.stage(run, "tail", last_bars(enriched.select(*BAR_COLUMNS), store.tail))
+    last = F.max(DATE).over(Window.partitionBy(CODE))
+    enriched = enrich_resumed(carried.withColumn("_last", last)).where("_new")
+    rows = store.stage(run, "whole", enriched.select(*BAR_COLUMNS, *WHOLE_COLUMNS, *last_only("_last")))
+    carries = next_carry(rows)
+    if carry is not None:  # symbols whose new bars are all incomplete keep theirs
+        same = carry.join(changed.select(CODE), CODE, "left_semi").join(rows.select(CODE), CODE, "left_anti")
+        carries = carries.unionByName(same)
+    store.stage(run, "carry", carries)
+    store.stage(run, "marks", forecasts(carried.select(*BAR_COLUMNS, BASE)))
+    store.stage(run, "tail", last_bars(bars.select(*BAR_COLUMNS), store.tail))
 
 
 def demo(bars: DataFrame) -> DataFrame:
