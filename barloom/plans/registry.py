@@ -97,9 +97,9 @@ def _on_bars(f: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: rounded(f(_bars(spark, sf)))
 
 
-def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _halves(spark: SparkSession, sf: str, made: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """A stored history with gaps, and a landed one that covers everything at other prices."""
-    b = _bars(spark, sf)
+    b = _bars(spark, sf) if made is None else made
     old = b.where(F.col(DATE) < F.lit(SPLIT).cast("date")).withColumn(
         "volume", F.when(F.col("volume") <= 40, F.col("volume"))
     )
@@ -476,20 +476,19 @@ def _streamed_bars(spark, sf):
     return rounded(spark.read.schema(bars.schema).parquet(f"{path}/out"))
 
 
-def _landed(spark, path: str, schema, files_at_once: int | None = None) -> DataFrame:
-    """A stream of the bar files under ``path``."""
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
-    return (reader if files_at_once is None else reader.option("maxFilesPerTrigger", files_at_once)).parquet(path)
+def _landed(spark, path: str, schema) -> DataFrame:
+    """A stream of the bar files under ``path``; all that landed since the last start are one batch."""
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
 
 def _streamed_upsert(spark, sf):
     """Three batches with common keys: cells that are null at first, and other prices later, which must not count."""
-    old, new = _halves(spark, sf)
+    old, new = _halves(spark, sf, _stored_bars(spark, sf))
     third = new.select(*KEY, *[(F.col(c) * 1.5).alias(c) for c in VALUES])
     path = scratch_path(spark, "upsert")
     for i, part in enumerate([old, new.where(F.col(CODE).cast("int") % 2 == 1), third]):
-        part.coalesce(1).write.parquet(f"{path}/in/{i}")
-    stream_upsert(_landed(spark, f"{path}/in", old.schema, 1), f"{path}/table", f"{path}/state").awaitTermination()
+        part.write.parquet(f"{path}/in/{i}")
+        stream_upsert(_landed(spark, f"{path}/in", old.schema), f"{path}/table", f"{path}/state").awaitTermination()
     return rounded(read_upserted(spark, f"{path}/table"))
 
 
@@ -509,10 +508,10 @@ def _streamed_indicators(stored_pieces: int = 0) -> Query:
     """Each piece lands, and the stream starts anew from its state; the first ones may be stored bars instead."""
 
     def run(spark, sf):
-        path, pieces = scratch_path(spark, "indicators"), _pieces(checkpoint(_bars(spark, sf)))
+        path, pieces = scratch_path(spark, "indicators"), _pieces(_stored_bars(spark, sf))
         stored = files.concat_pages(pieces[:stored_pieces]).dropDuplicates(KEY) if stored_pieces else None
         for i, piece in enumerate(pieces[stored_pieces:]):
-            piece.coalesce(1).write.parquet(f"{path}/in/{i}")
+            piece.write.parquet(f"{path}/in/{i}")
             out = stream_indicators(_landed(spark, f"{path}/in", piece.schema), stored=stored)
             with row_store(spark):
                 query = (
