@@ -7,7 +7,7 @@ costs the same whatever the length of the history, and the state can start from
 
 from __future__ import annotations
 
-import datetime as dt
+import math
 from collections import deque
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -22,11 +22,15 @@ from barloom.operators.bars import valid_bars
 from barloom.operators.sar import Stop
 from barloom.schema import CODE, DATE
 
+#: The date of a bar in days since 1970, which crosses into Python as a plain number.
+DAY = "day"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-EPOCH = dt.date(1970, 1, 1)
 LINKS = 6
-MEANS = ["num", "den", "up", "down", "spread", "fast", "slow", "signal", *[f"e{k}" for k in range(1, LINKS + 1)]]
+CHAIN = [f"e{k}" for k in range(1, LINKS + 1)]
+MEANS = ["num", "den", "up", "down", "spread", "fast", "slow", "signal", *CHAIN]
+#: The published weights of the sixth to the third average, for a factor of 0.7.
+W6, W5, W4, W3 = -(0.7**3), 3 * (0.7**2 + 0.7**3), -6 * 0.7**2 - 3 * (0.7 + 0.7**3), 1 + 3 * 0.7 + 0.7**3 + 3 * 0.7**2
 
 
 class History:
@@ -43,13 +47,13 @@ class History:
     @staticmethod
     def _seeded(value: float, x: float, row: int, n: int, start: int, step: float) -> float:
         """Sum over the seed rows from ``start`` on, its mean at the last of them, then the average."""
+        if row >= start + n:
+            return value + (x - value) * step
         if row < start:
             return 0.0
         if row < start + n - 1:
             return value + x
-        if row == start + n - 1:
-            return (value + x) / n
-        return value + (x - value) * step
+        return (value + x) / n
 
     def add(self, high: float, low: float, c: float) -> tuple[float | None, ...]:
         """The indicators at the next bar."""
@@ -68,8 +72,8 @@ class History:
         line = m["fast"] - m["slow"]
         m["signal"] = self._seeded(m["signal"], line, n, signal, slow, 2.0 / (signal + 1))
         x, b = c, self.bands
-        for k in range(1, LINKS + 1):
-            m[f"e{k}"] = x = self._seeded(m[f"e{k}"], x, n, b, (k - 1) * (b - 1) + 1, 2.0 / (b + 1))
+        for k, link in enumerate(CHAIN):
+            m[link] = x = self._seeded(m[link], x, n, b, k * (b - 1) + 1, 2.0 / (b + 1))
         self.closes.append(c)
         stop = self.stop.step(n, high, low)
         self.close = c
@@ -80,11 +84,9 @@ class History:
         out.append((m["spread"] / c * 100.0 if c else 0.0) if ready else None)
         out += [line, m["signal"], line - m["signal"]] if n >= slow + signal - 1 else [None] * 3
         if n > LINKS * (b - 1):
-            v = 0.7
-            # The published weights of the sixth to the third average.
-            w = (-(v**3), 3 * (v**2 + v**3), -6 * v**2 - 3 * (v + v**3), 1 + 3 * v + v**3 + 3 * v**2)
-            middle = sum(a * m[f"e{k}"] for a, k in zip(w, (6, 5, 4, 3), strict=True))
-            wide = 2.0 * float(np.std(self.closes))
+            middle = W6 * m["e6"] + W5 * m["e5"] + W4 * m["e4"] + W3 * m["e3"]
+            mean = sum(self.closes) / len(self.closes)
+            wide = 2.0 * math.sqrt(sum([(c - mean) * (c - mean) for c in self.closes]) / len(self.closes))
             out += [middle + wide, middle, middle - wide]
         else:
             out += [None] * 3
@@ -106,8 +108,8 @@ class BarIndicators(StatefulProcessor):
 
     def _load(self) -> History:
         h = History(*self.periods)
-        if self.seen.exists():
-            h.n, h.day, h.close = self.seen.get()
+        if (seen := self.seen.get()) is not None:
+            h.n, h.day, h.close = seen
             h.means = dict(zip(MEANS, self.means.get(), strict=True))
             h.closes.extend(row[0] for row in self.closes.get())
             h.stop.resume(self.stop.get())
@@ -134,12 +136,13 @@ class BarIndicators(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterable[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         h, out = self._load(), []
-        bars = pd.concat(list(rows)).sort_values([DATE, "high", "low", "adj_close"])
-        for day, high, low, c in zip(bars[DATE], bars["high"], bars["low"], bars["adj_close"], strict=True):
-            number = (day - EPOCH).days
-            if h.day is None or number > h.day:
+        parts = list(rows)
+        columns = [np.concatenate([p[c].to_numpy() for p in parts]) for c in (DAY, "high", "low", "adj_close")]
+        order = np.lexsort(columns[::-1])
+        for day, high, low, c in zip(*(column[order].tolist() for column in columns), strict=True):
+            if h.day is None or day > h.day:
                 out.append((key[0], day, *h.add(high, low, c)))
-                h.day = number
+                h.day = day
         if out:
             self._store(h)
             yield pd.DataFrame(out, columns=self.columns)
@@ -177,19 +180,21 @@ def stream_indicators(
     """
     names = [f"ewma{span}", f"rsi{period}", "atr", "natr", "macd", "macdsignal", "macdhist"]
     names += ["upperband", "middleband", "lowerband", "sar"]
-    output = ", ".join([f"{CODE} string", f"{DATE} date", *(f"{n} double" for n in names)])
-    rows = valid_bars(bars).select(CODE, DATE, "high", "low", "adj_close")
+    output = ", ".join([f"{CODE} string", f"{DAY} int", *(f"{n} double" for n in names)])
+    rows = valid_bars(bars).select(CODE, F.unix_date(DATE).alias(DAY), "high", "low", "adj_close", DATE)
     if idle_days:
         rows = rows.withColumn("_ts", F.col(DATE).cast("timestamp")).withWatermark("_ts", delay)
+    rows = rows.drop(DATE)
     initial = None
     if stored is not None:
         bar = F.struct(F.unix_date(DATE).alias("day"), "high", "low", "adj_close")
         tail = valid_bars(stored).groupBy(CODE).agg(F.sort_array(F.collect_list(bar)).alias("b"))
         fields = {"days": "day", "highs": "high", "lows": "low", "closes": "adj_close"}
         initial = tail.select(CODE, *[F.col(f"b.{c}").alias(n) for n, c in fields.items()]).groupBy(CODE)
-    processor = BarIndicators([CODE, DATE, *names], idle_days, span, period, fast, slow, signal, bands)
+    processor = BarIndicators([CODE, DAY, *names], idle_days, span, period, fast, slow, signal, bands)
     mode = "EventTime" if idle_days else "None"
-    return rows.groupBy(CODE).transformWithStateInPandas(processor, output, "Append", mode, initial)
+    made = rows.groupBy(CODE).transformWithStateInPandas(processor, output, "Append", mode, initial)
+    return made.select(CODE, F.date_from_unix_date(DAY).alias(DATE), *names)
 
 
 @contextmanager
