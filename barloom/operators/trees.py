@@ -46,21 +46,14 @@ def grown(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, draw=None) ->
         tn, tp = w[rows].sum(), wy.sum()
         best = None
         if node < 2**depth and 0 < tp < tn:
-            order = np.argsort(x[rows], axis=0, kind="stable")
-            v = np.take_along_axis(x[rows], order, axis=0)
-            n, p = np.cumsum(w[rows][order], axis=0)[:-1], np.cumsum(wy[order], axis=0)[:-1]
-            possible = v[1:] > v[:-1]
-            if possible.any():
-                rn, rp = tn - n, tp - p
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    gain = (p * p + (n - p) * (n - p)) / n + (rp * rp + (rn - rp) * (rn - rp)) / rn
-                gain = np.where(possible, gain, -np.inf)
-                if draw is None:
-                    f = int(gain.max(axis=0).argmax())
-                else:
-                    f = next(f for f in draw(node) if possible[:, f].any())
-                at = int(gain[:, f].argmax())
-                best = f, (v[at, f] + v[at + 1, f]) / 2.0
+            here = w[rows]
+            for looked in [range(x.shape[1])] if draw is None else ([f] for f in draw(node)):
+                v, gain = _gains(x[rows] if draw is None else x[rows, looked[0]][:, None], here, wy, tn, tp)
+                k = int(gain.max(axis=0).argmax())
+                at = int(gain[:, k].argmax())
+                if gain[at, k] > -np.inf:
+                    best = looked[k], (v[at, k] + v[at + 1, k]) / 2.0
+                    break
         if best is None:
             nodes[node] = (None, None, float(tp / tn))
             continue
@@ -70,6 +63,17 @@ def grown(x: np.ndarray, y: np.ndarray, w: np.ndarray, depth: int, draw=None) ->
     return nodes
 
 
+def _gains(x: np.ndarray, w: np.ndarray, wy: np.ndarray, tn: float, tp: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each column's values in order, and the gain of a cut after each but the last; -inf between equal ones."""
+    order = np.argsort(x, axis=0, kind="stable")
+    v = np.take_along_axis(x, order, axis=0)
+    n, p = np.cumsum(w[order], axis=0)[:-1], np.cumsum(wy[order], axis=0)[:-1]
+    rn, rp = tn - n, tp - p
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = (p * p + (n - p) * (n - p)) / n + (rp * rp + (rn - rp) * (rn - rp)) / rn
+    return v, np.where(v[1:] > v[:-1], gain, -np.inf)
+
+
 def drawn_order(code: str, tree: int, node: int, seed: int) -> list[int]:
     """Features in the order of two digits each of a digest, the larger first."""
     digits = md5(f"{code}|{tree}|{node}|{seed}".encode()).hexdigest()
@@ -146,12 +150,15 @@ def fit_forest(samples: DataFrame, trees: int = 10, depth: int = DEPTH, seed: in
     replacement. Draws are digests of key, tree and seed: the same on every retry.
     """
 
-    def weight(tree: Column) -> Column:
-        name = F.concat_ws("|", CODE, F.date_format(DATE, "yyyy-MM-dd"), tree.cast("string"), F.lit(str(seed)))
-        drawn = F.substring(F.md5(name.cast("binary")), 1, 8)
-        return sum(((drawn > step).cast("double") for step in poisson_steps()), F.lit(0.0))
+    def drawn(tree: int) -> Column:
+        name = F.concat_ws("|", CODE, F.date_format(DATE, "yyyy-MM-dd"), F.lit(str(tree)), F.lit(str(seed)))
+        return F.substring(F.md5(name.cast("binary")), 1, 8)
+
+    def weight(digits: Column) -> Column:
+        return sum(((digits > step).cast("double") for step in poisson_steps()), F.lit(0.0))
 
-    weights = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), weight)
+    # The digests are an array of their own: inside the steps each would be made again for every one.
+    weights = F.transform(F.array(*[drawn(t) for t in range(trees)]), weight)
     return grow(samples.withColumn("weights", weights), depth, one_feature_seed=seed)
 
 
