@@ -8,11 +8,18 @@ and only one of them goes on.
 In every bucket each member is compared with the bucket's least and greatest member, two stars,
 so candidate pairs grow with the members. Links are confirmed on the full sets of word
 sequences. Stars alone can miss a link between two members that are both unlike the centres. So
-buckets that still hold several components are searched again: members outside the component of
-the least member are held against the members of other components, in cells of bounded size,
+buckets that still hold several components are searched again: members outside the bucket's largest
+component are held against the members of other components, in cells of bounded size,
 first by signature and then by their full sets, and only links leave the cell. Pairs inside a
 component cannot change the result. The odds that no band of a pair at the threshold agrees
 are about 5 in a million.
+
+Outsiders that fit one cell make at most two rows of each member. A bucket with more of them is dealt
+to cells at random, each member to one, and dealt anew with the components found as long as that
+brings many outsiders in: a large family is one component soon. What is then still open shares a passage
+more than a text. Its rows are grouped by their rarest shingles: of two sets at the threshold, the
+rarest quarter of each, in one order of all shingles, have one in common. Where that makes fewer
+rows than all pairs of cells, it takes their place.
 """
 
 from __future__ import annotations
@@ -33,6 +40,7 @@ from barloom.llm.components import components
 SHINGLE, PERCENT = 5, 75
 BINS, BAND, TRIES, SEED = 128, 4, 1024, 11
 CELL = 256
+TURNS, WORTH, SLOTS = 8, 10, 1 << 20
 _MIX = tuple(np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
@@ -165,11 +173,11 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _across(cell: pa.Table) -> pa.Table:
     """Links between the outsiders of a cell and its members of other components.
 
-    A pair is looked at in the first band it shares only, and once if both are outsiders. Of a
-    component, one link is enough.
+    A pair is looked at in the first band it shares only, unless the band is null, and once if both
+    are outsiders. Of a component, one link is enough.
     """
     row, comp, n = (cell.column(c).to_numpy() for c in ("row", "component", "n_shingles"))
-    query, outside = (np.asarray(cell.column(c).to_pylist(), bool) for c in ("query", "outside"))
+    asks, held, outside = (np.asarray(cell.column(c).to_pylist(), bool) for c in ("asks", "held", "outside"))
     sigs = np.frombuffer(b"".join(cell.column("signature").to_pylist()), np.uint8).reshape(len(row), BINS)
     keys = np.array(cell.column("band_keys").to_pylist(), np.int64)
     band = cell.column("band")[0].as_py()
@@ -180,12 +188,12 @@ def _across(cell: pa.Table) -> pa.Table:
             sets[row[i]] = shingle_set(text[i].as_py())
         return sets[row[i]]
 
-    members, links = np.flatnonzero(~query), []
-    for q in np.flatnonzero(query):
+    members, links = np.flatnonzero(held), []
+    for q in np.flatnonzero(asks):
         fits = (comp[members] != comp[q]) & (~outside[members] | (row[members] > row[q]))
         fits &= 100 * np.minimum(n[members], n[q]) >= PERCENT * np.maximum(n[members], n[q])
         at = members[fits]
-        first = (keys[at] == keys[q]).argmax(1) == band
+        first = True if band is None else (keys[at] == keys[q]).argmax(1) == band
         agree = (sigs[at] == sigs[q]).mean(1)
         likely = first & (agree >= _least_agreement(np.minimum(n[at], n[q])))
         at, agree = at[likely], agree[likely]
@@ -245,22 +253,25 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     links = _confirm(_likely(pairs, members), texts)
     joined = components(links)
 
-    labelled = filled.filter("m > 3").join(joined.withColumnRenamed("node", "row"), "row", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "row")).select("key", "band", "row", "component", "lo")
-    labelled = written(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    main = labelled.filter("row = lo").select("key", F.col("component").alias("main"))
-    open_rows = written(
-        labelled.join(mixed.select("key"), "key", "left_semi")
-        .join(main, "key")
-        .join(members, "row")
-        .withColumn("outside", F.col("component") != F.col("main"))
-        .drop("lo", "main"),
-        "open-buckets",
-    )
-    if not open_rows.isEmpty():
-        cells = _cells(open_rows).join(texts.hint("merge"), "row")
-        more = written(cells.groupBy("key", "cm", "co").applyInArrow(_across, "a long, b long").distinct(), "across")
+    opened = _opened(filled.filter("m > 3").select(*BUCKET), joined, members)
+    before = None
+    for turn in range(TURNS):
+        wide = opened.filter(F.col("others") > CELL)
+        outsiders = wide.filter("outside").select("row").distinct().count()
+        if not outsiders or (before and WORTH * (before - outsiders) < before):
+            break
+        more, before = _linked(_dealt(wide, turn), texts), outsiders
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        joined = components(links)
+        opened = _opened(opened.select(*BUCKET), joined, members)
+    if not opened.isEmpty():
+        cells, wide = _cells(opened.filter(F.col("others") <= CELL)), opened.filter(F.col("others") > CELL)
+        if not wide.isEmpty():
+            rare = _by_rare_shingles(wide, members, texts)
+            cells = cells.union(_cells(min(wide, rare, key=_rows_in_cells)))
+        more = _linked(cells, texts)
         if not more.isEmpty():
             joined = components(links.union(more))
 
@@ -308,16 +319,99 @@ def _likely(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return written(like.mapInArrow(_agreeing, "a long, b long"), "likely")
 
 
+BUCKET = ("key", "band", "row")
+
+
+def _opened(buckets: DataFrame, joined: DataFrame, members: DataFrame) -> DataFrame:
+    """The members of the buckets that hold several components (written). ``outside`` are those not in
+    the bucket's largest component, ``others`` is their number."""
+    labelled = buckets.join(joined.withColumnRenamed("node", "row"), "row", "left")
+    labelled = written(labelled.select(*BUCKET, F.coalesce("component", "row").alias("component")), "labelled")
+    parts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("key").agg(F.max_by("component", "n").alias("main"), (F.sum("n") - F.max("n")).alias("others"))
+    rows = labelled.join(mixed.filter("others > 0"), "key").join(members, "row")
+    return written(rows.withColumn("outside", F.col("component") != F.col("main")).drop("main"), "open-buckets")
+
+
+def _linked(cells: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links found in ``cells`` (written)."""
+    full = cells.join(texts.hint("merge"), "row")
+    return written(full.groupBy("key", "cm", "co").applyInArrow(_across, "a long, b long").distinct(), "across")
+
+
+def _shares(rows: DataFrame) -> DataFrame:
+    """Of each bucket the shares of its members and of its outsiders, and their numbers."""
+    share = lambda c: F.ceil(F.col(c) / CELL)
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("outside").cast("int")).alias("outsiders"))
+    return sizes.select("*", share("members").alias("nm"), share("outsiders").alias("no"))
+
+
+def _rows_in_cells(rows: DataFrame) -> int:
+    cost = F.when(F.col("nm") == 1, F.col("members")).otherwise(F.col("members") * F.col("no") + F.col("outsiders") * F.col("nm"))
+    return _shares(rows).agg(F.sum(cost)).first()[0] or 0
+
+
+def _dealt(rows: DataFrame, turn: int) -> DataFrame:
+    """The rows of each bucket dealt to cells of about ``CELL``, every row to one of them."""
+    cell = F.pmod(F.xxhash64("row", F.lit(turn)), "nm")
+    dealt = rows.withColumn("band", F.lit(None).cast("int")).join(_shares(rows).select("key", "nm"), "key")
+    return dealt.select(*rows.columns, F.col("outside").alias("asks"), F.lit(True).alias("held"), cell.alias("cm"), cell.alias("co"))
+
+
 def _cells(rows: DataFrame) -> DataFrame:
-    """The rows dealt to cells of about ``CELL`` outsiders (``query``) and ``CELL`` members of one
-    bucket. A member goes to as many cells as there are shares of outsiders, and the reverse."""
-    sizes = rows.groupBy("key").agg(
-        F.ceil(F.count(F.lit(1)) / CELL).alias("nm"), F.ceil(F.sum(F.col("outside").cast("int")) / CELL).alias("no")
-    )
-    sized = rows.join(sizes, "key").withColumn("dealt", F.xxhash64("row"))
+    """The rows dealt to cells of about ``CELL`` outsiders, who ask, and ``CELL`` members of one
+    bucket, who are held. A member goes to as many cells as there are shares of outsiders, and the
+    reverse; in a bucket of one cell a row is there once."""
+    sized = rows.join(_shares(rows).select("key", "nm", "no"), "key").withColumn("dealt", F.xxhash64("row"))
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    held = sized.select(*rows.columns, F.lit(False).alias("query"), F.pmod("dealt", "nm").alias("cm"), upto("no").alias("co"))
-    out = sized.filter("outside").select(
-        *rows.columns, F.lit(True).alias("query"), upto("nm").alias("cm"), F.pmod("dealt", "no").alias("co")
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0).cast("long")
+    one = sized.filter("nm = 1").select(*rows.columns, F.col("outside").alias("asks"), yes.alias("held"), zero.alias("cm"), zero.alias("co"))
+    many = sized.filter("nm > 1")
+    held = many.select(*rows.columns, no.alias("asks"), yes.alias("held"), F.pmod("dealt", "nm").alias("cm"), upto("no").alias("co"))
+    out = many.filter("outside").select(
+        *rows.columns, yes.alias("asks"), no.alias("held"), upto("nm").alias("cm"), F.pmod("dealt", "no").alias("co")
     )
-    return held.union(out)
+    return one.union(held).union(out)
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of the task hold shingles of each slot."""
+    counts = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for t in batch.column("text"):
+            np.add.at(counts, _slots(shingle_hashes(t.as_py())), 1)
+    held = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held])], ["slot", "n"])
+
+
+def _rarest(counts: np.ndarray):
+    """The rows by each of their rarest shingles, as many as a set at the threshold cannot lack."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, keys = [], []
+            for i, t in enumerate(batch.column("text")):
+                h = shingle_hashes(t.as_py())
+                some = len(h) - -(-PERCENT * len(h) // 100) + 1
+                keys.append(h[np.lexsort((h, counts[_slots(h)]))[:some]].view(np.int64))
+                at.append(np.full(some, i))
+            rows = batch.select(["row", "component"]).take(pa.array(np.concatenate(at)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *rows.columns], ["key", "row", "component"])
+
+    return run
+
+
+def _by_rare_shingles(rows: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``rows`` as open buckets of equal rare shingles, without a band (written)."""
+    some = written(rows.select("row", "component").distinct().join(texts.hint("merge"), "row"), "open-texts")
+    counted = some.mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int32)  # collisions change the order of shingles, which any order may be
+    counts[counted.column("slot").to_numpy()] = np.minimum(counted.column("n").to_numpy(), 2**31 - 1)
+    held = written(some.mapInArrow(_rarest(counts), "key long, row long, component long"), "rare-shingles")
+    mixed = held.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    keyed = held.join(mixed.select("key"), "key", "left_semi").select("key", F.lit(None).cast("int").alias("band"), "row")
+    return _opened(keyed, held.select(F.col("row").alias("node"), "component").distinct(), members)

@@ -122,6 +122,40 @@ def test_cells_find_links_that_stars_miss(spark, monkeypatch):
     assert {r.doc_id: (r.component_id, r.n_shingles) for r in neardup.near_groups(docs).collect()} == want
 
 
+def test_cells_of_large_buckets_grow_with_their_rows(spark, monkeypatch):
+    """Rows in cells: a family beside one passage in many unlike texts, and a family with few outsiders."""
+    rng = random.Random(3)
+    monkeypatch.setattr(neardup, "CELL", 8)
+    dealt, real = [], neardup._cells
+
+    def cells(rows):
+        out = real(rows)
+        dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "_cells", cells)
+
+    def counted(texts):
+        rows = list(enumerate(texts))
+        dealt.clear()
+        got = neardup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        want = {rows[i][0]: w for i, w in brute_near(rows).items()}
+        assert {r.doc_id: (r.component_id, r.n_shingles) for r in got} == want
+        return sum(dealt)
+
+    def passage(n):
+        return [" ".join([f"c{i}" for i in range(90)] + [f"u{k}x{i}" for i in range(50)]) for k in range(n)]
+
+    base = [f"w{i}" for i in range(120)]
+
+    def family(n):  # every text but the first eight is near the one before
+        return [" ".join(mutated(base, rng, 8)) for _ in range(8)] + [" ".join(mutated(base, rng, k % 3)) for k in range(n)]
+
+    for texts in (passage, family):
+        few, many = counted(texts(100)), counted(texts(400))
+        assert many <= 5 * few
+
+
 def test_signature_agreement_estimates_similarity():
     rng = random.Random(2)
     base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
