@@ -248,12 +248,12 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     )
     pairs = stars.filter("a <> b").select("a", "b").distinct()
     # All later comparisons are between rows that share a bucket: their texts move once.
-    texts = rows.select("row", text_or_empty(F.col(text)).alias("text"))
+    texts = rows.select("row", "n_shingles", "signature", "band_keys", text_or_empty(F.col(text)).alias("text"))
     texts = written(texts.join(filled.select("row").distinct().hint("merge"), "row", "left_semi"), "bucket-texts")
     links = _confirm(_likely(pairs, members), texts)
     joined = components(links)
 
-    opened = _opened(filled.filter("m > 3").select(*BUCKET), joined, members)
+    opened = _opened(filled.filter("m > 3").select(*BUCKET), joined)
     before = None
     for turn in range(TURNS):
         wide = opened.filter(F.col("others") > CELL)
@@ -265,11 +265,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
             break
         links = links.union(more)
         joined = components(links)
-        opened = _opened(opened.select(*BUCKET), joined, members)
+        opened = _opened(opened.select(*BUCKET), joined)
     if not opened.isEmpty():
         cells, wide = _cells(opened.filter(F.col("others") <= CELL)), opened.filter(F.col("others") > CELL)
         if not wide.isEmpty():
-            rare = _by_rare_shingles(wide, members, texts)
+            rare = _by_rare_shingles(wide, texts)
             cells = cells.union(_cells(min(wide, rare, key=_rows_in_cells)))
         more = _linked(cells, texts)
         if not more.isEmpty():
@@ -322,19 +322,19 @@ def _likely(pairs: DataFrame, members: DataFrame) -> DataFrame:
 BUCKET = ("key", "band", "row")
 
 
-def _opened(buckets: DataFrame, joined: DataFrame, members: DataFrame) -> DataFrame:
+def _opened(buckets: DataFrame, joined: DataFrame) -> DataFrame:
     """The members of the buckets that hold several components (written). ``outside`` are those not in
     the bucket's largest component, ``others`` is their number."""
     labelled = buckets.join(joined.withColumnRenamed("node", "row"), "row", "left")
     labelled = written(labelled.select(*BUCKET, F.coalesce("component", "row").alias("component")), "labelled")
     parts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = parts.groupBy("key").agg(F.max_by("component", "n").alias("main"), (F.sum("n") - F.max("n")).alias("others"))
-    rows = labelled.join(mixed.filter("others > 0"), "key").join(members, "row")
+    rows = labelled.join(mixed.filter("others > 0"), "key")
     return written(rows.withColumn("outside", F.col("component") != F.col("main")).drop("main"), "open-buckets")
 
 
 def _linked(cells: DataFrame, texts: DataFrame) -> DataFrame:
-    """The links found in ``cells`` (written)."""
+    """The links found in ``cells`` (written). Sketches and texts come in by one join."""
     full = cells.join(texts.hint("merge"), "row")
     return written(full.groupBy("key", "cm", "co").applyInArrow(_across, "a long, b long").distinct(), "across")
 
@@ -405,13 +405,13 @@ def _rarest(counts: np.ndarray):
     return run
 
 
-def _by_rare_shingles(rows: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
+def _by_rare_shingles(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of ``rows`` as open buckets of equal rare shingles, without a band (written)."""
-    some = written(rows.select("row", "component").distinct().join(texts.hint("merge"), "row"), "open-texts")
+    some = written(rows.select("row", "component").distinct().join(texts.select("row", "text").hint("merge"), "row"), "open-texts")
     counted = some.mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int32)  # collisions change the order of shingles, which any order may be
     counts[counted.column("slot").to_numpy()] = np.minimum(counted.column("n").to_numpy(), 2**31 - 1)
     held = written(some.mapInArrow(_rarest(counts), "key long, row long, component long"), "rare-shingles")
     mixed = held.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     keyed = held.join(mixed.select("key"), "key", "left_semi").select("key", F.lit(None).cast("int").alias("band"), "row")
-    return _opened(keyed, held.select(F.col("row").alias("node"), "component").distinct(), members)
+    return _opened(keyed, held.select(F.col("row").alias("node"), "component").distinct())
