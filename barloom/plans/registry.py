@@ -138,7 +138,7 @@ def _text_round_trip(spark, sf):
 def _price_csv_round_trip(spark, sf):
     path = scratch_path(spark, "prices")
     sinks.export_price_files(_bars(spark, sf), path)
-    return rounded(files.read_price_csv(spark, f"{path}/stock_*.csv"))
+    return rounded(files.read_price_csv(spark, path, folder=True))
 
 
 def _exported_round_trip(spark, sf):

@@ -26,10 +26,15 @@ def _to_bars(df: DataFrame, code, date) -> DataFrame:
     )
 
 
-def read_price_csv(spark: SparkSession, path: str | list[str], prefix: str = "stock_") -> DataFrame:
-    """Price histories named ``<prefix><code>.csv``; ``path`` may be a glob over all symbols."""
+def read_price_csv(spark: SparkSession, path: str | list[str], prefix: str = "stock_", folder: bool = False) -> DataFrame:
+    """Price histories named ``<prefix><code>.csv``; ``path`` may be a glob over all symbols.
+
+    With ``folder`` it is the folder that holds them. A folder is listed in one call, whereas
+    every file that a glob finds is listed again by itself.
+    """
+    reader = spark.read.option("pathGlobFilter", f"{prefix}*.csv") if folder else spark.read
     raw = (
-        spark.read.schema(PRICE_FILE)
+        reader.schema(PRICE_FILE)
         .option("header", True)
         .option("dateFormat", "yyyy-MM-dd")
         .option("enforceSchema", False)

@@ -145,6 +145,33 @@ def test_exported_text_reads_back(spark, walks, tmp_path):
     assert one.drop("code").exceptAll(walks.where("code = 'I'").drop("code")).count() == 0
 
 
+@pytest.mark.parametrize("mounted", [True, False])
+def test_price_files_are_listed_once(spark, walks, tmp_path, monkeypatch, mounted):
+    """The driver's calls and Spark's listing jobs do not add up over the symbols, but for renames."""
+    path, renamed = str(tmp_path / "p"), sinks._rename_staged
+    names = ["I", "x,y", "a b", "50%"]
+    if not mounted:  # as on a file system that only Spark reaches
+        monkeypatch.setattr(sinks, "MOUNTED", "none")
+    monkeypatch.setattr(sinks, "_rename_staged", (lambda *a: pytest.fail("the driver renames files")) if mounted else renamed)
+    one = walks.where("code = 'I'")
+    many = one.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("code"), *one.columns[1:])
+    sinks.export_price_files(many, path)
+    sinks.export_price_files(many.withColumn("volume", F.lit(7.0)).where("code != 'a b'"), path)  # replaces three files
+    assert {p.name for p in (tmp_path / "p").glob("[!.]*")} == {f"stock_{n}.csv" for n in names}
+    sinks.export_csv(one, str(tmp_path / "c"))
+    assert next((tmp_path / "c" / "code=I").glob("part-*")).read_text() == (tmp_path / "p" / "stock_a b.csv").read_text()
+    jobs, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    jobs.setJobGroup("listing", "listing")
+    got = files.read_price_csv(spark, path, folder=True)
+    jobs.setJobGroup("", "")
+    assert len(got.inputFiles()) == 4 and list(tracker.getJobIdsForGroup("listing")) == []
+    want = many.withColumn("volume", F.when(F.col("code") == "a b", F.col("volume")).otherwise(7.0))
+    rows = got.select("date", "open", "volume").exceptAll(want.select("date", "open", "volume"))
+    assert got.count() == many.count() and rows.count() == 0
+    few = files.read_price_csv(spark, str(tmp_path / "p" / "stock_[Ix]*.csv")).select("code").distinct().collect()
+    assert {r.code for r in few} == {"I", "x,y"}
+
+
 def test_order_key_keeps_ticks_in_a_hash_table(spark, small):
     plan = ticks.lineitem_bars(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
