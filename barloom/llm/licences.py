@@ -271,6 +271,30 @@ def fit_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return LicenceModel(families, own, vectors, scale, fitted, shifts, temperature)
 
 
+def may_be_licence(w: Column, model: LicenceModel) -> Column:
+    """False only for words of a paragraph that the model is sure to find ``unknown``.
+
+    ``unknown`` starts ahead of every family. What a sequence can add to any family over ``unknown``
+    is put down to its rarest word; if all that the distinct words of a paragraph stand for does not
+    make up the lead, no family can win, whatever their order.
+    """
+    scores = np.array(model.regression.coefficientMatrix.toArray()) * model.scale
+    starts = model.regression.interceptVector.toArray() + np.array(model.shifts)
+    gains = (scores[1:] - scores[0]).max(0, initial=0.0)
+    rarity = dict(zip(model.vectors.vocabulary, model.scale, strict=True))  # also of each word alone
+    stands = dict.fromkeys(model.own, 0.0)
+    for gram, gain in zip(model.vectors.vocabulary, gains.tolist(), strict=True):
+        stands[max((x for x in gram.split(" ") if x in stands), key=lambda x: (rarity.get(x, 0.0), x))] += gain
+    telling = {x: v for x, v in stands.items() if v > 0}
+    if not telling:
+        return F.lit(starts[1:].max() >= starts[0])
+    lead = float(starts[0] - starts[1:].max())
+    rounding = 1e-6 * (1 + abs(lead))
+    worth = F.map_from_arrays(F.array(*[F.lit(x) for x in telling]), F.array(*[F.lit(v) for v in telling.values()]))
+    held = F.array_distinct(F.filter(w, lambda x: x.isin(list(telling))))
+    return F.aggregate(held, F.lit(0.0), lambda a, x: a + worth[x]) >= lead - rounding
+
+
 def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", with_text: bool = False) -> DataFrame:
     """One row for each paragraph that is a licence statement.
 
@@ -283,16 +307,15 @@ def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", with_text
     """
     result = ["paragraph", "family", "probability", "similarity", "confirmed", "licence_text"]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in result and c != text_col])
-    names = ["text_", "words_", "known_", "grams_", "part_", "counted_", "vector_", "raw_", "z_", "top_", "step_"]
-    text, w, known, gram, part, counted, vector, raw, z, top, step = fresh_name(docs, *names)
+    names = ["text_", "words_", "grams_", "part_", "counted_", "vector_", "raw_", "z_", "top_", "step_"]
+    text, w, gram, part, counted, vector, raw, z, top, step = fresh_name(docs, *names)
     others = [c for c in docs.columns if c != text_col]
     held = docs.select(*others, text_or_empty(F.col(text_col)).alias(text))
-    # Row numbers between the steps keep filters from moving below them, where they would repeat the work.
-    number = F.monotonically_increasing_id().alias(step)
+    # A filter that reads the row number cannot move below the step that made it, where it would repeat the work.
+    number, after = F.monotonically_increasing_id().alias(step), F.col(step) >= 0
     lines = paragraphs(held, text, "paragraph", part).drop(text).select("*", words(F.col(part)).alias(w), number)
-    lines = lines.drop(step).select("*", known_words(F.col(w), model.own).alias(known), number)
-    lines = lines.filter(F.exists(known, lambda x: x.isNotNull())).drop(step)
-    grams = lines.select("*", features(F.col(known)).alias(gram), number)
+    lines = lines.filter(after & may_be_licence(F.col(w), model)).drop(step)
+    grams = lines.select("*", features(known_words(F.col(w), model.own)).alias(gram))
 
     vectors = model.vectors.copy().setInputCol(gram).setOutputCol(counted)
     weighed = ElementwiseProduct(scalingVec=Vectors.dense(model.scale), inputCol=counted, outputCol=vector)
@@ -301,13 +324,13 @@ def scan(docs: DataFrame, model: LicenceModel, text_col: str = "text", with_text
     shifts = F.array(*[F.lit(x) for x in model.shifts])
     shifted = F.zip_with(vector_to_array(raw), shifts, lambda a, b: (a + b) / model.temperature)
     kept = [*others, "paragraph", part, w]
-    scored = scored.select(*kept, shifted.alias(z), number).select(*kept, z, F.array_max(z).alias(top), number)
+    scored = scored.select(*kept, shifted.alias(z)).select(*kept, z, F.array_max(z).alias(top))
     total = F.aggregate(z, F.lit(0.0), lambda a, x: a + F.exp(x - F.col(top)))
     families = F.array(*[F.lit(f) for f in model.families])
     family = F.element_at(families, F.array_position(z, F.col(top)).cast("int"))
     found = scored.select(*kept, family.alias("family"), (1 / total).alias("probability"), number).filter(
-        (F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST_PROBABILITY)
-    )
+        after & (F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST_PROBABILITY)
+    ).drop(step)
 
     pairs = lambda c: F.array_distinct(sequences(c, 2))
     # The templates are values of the expression, some hundred short lists.

@@ -290,3 +290,22 @@ def test_licence_wordings_and_scores(spark):
             assert got[i].family == family and abs(got[i].probability - probability) < 1e-9
         else:
             assert i not in got
+
+
+def test_licence_lines_are_cut_into_words_once_and_none_is_dropped(spark):
+    rng = random.Random(11)
+    corpus = spark.createDataFrame([(i, "\n".join(prose(rng, 20) for _ in range(3))) for i in range(80)], "doc_id long, text string")
+    model = licences.fit_licences(corpus)
+    parts = [t.split(" ") for _, t in licences.all_templates()]
+    lines = []
+    for _ in range(400):  # pieces and shuffled words of templates, most of them close to the decision
+        cuts = [(p, rng.randrange(len(p))) for p in rng.sample(parts, rng.randint(1, 3))]
+        words = [w for p, a in cuts for w in p[a : a + rng.randint(1, 5)]]
+        lines.append(" ".join(words if rng.random() < 0.5 else rng.sample(words, len(words))))
+    docs = spark.createDataFrame([(7, "\n".join(lines))], "doc_id long, text string")
+    found = licences.scan(docs, model)
+    want = {i for i, t in enumerate(lines) if (s := brute_scores(model, t))[0] != licences.UNKNOWN and s[1] >= licences.LEAST_PROBABILITY}
+    assert {r.paragraph for r in found.collect()} == want and 50 < len(want) < 350
+    plain = corpus.select(F.explode(F.split("text", "\n")).alias("t"))
+    assert plain.where(licences.may_be_licence(licences.words(F.col("t")), model)).count() == 0
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
