@@ -157,14 +157,15 @@ def vol(n: int = 250, min_periods: int = 50, of: str = "ret_index") -> Indicator
     """Rolling sample deviation of a column (by default the return index level) times sqrt(n).
 
     The frame is added up anew for each row: differences of running sums would lose the digits of
-    a small deviation after a long rise.
+    a small deviation after a long rise. Values are counted by a running count, which loses nothing.
     """
 
     def build(f: Frame):
-        w = f.last(n)
-        value = F.when(F.count(of).over(w) >= max(min_periods, 2), F.stddev_samp(of).over(w) * math.sqrt(n))
+        count = F.col(f"_n_{of}")
+        held = count - F.coalesce(f.lag(count, n), F.lit(0))
+        value = F.when(held >= max(min_periods, 2), F.stddev_samp(of).over(f.last(n)) * math.sqrt(n))
         first = [Stage({"ret_index": F.try_divide(C, f.first(C))})] if of == "ret_index" else []
-        return [*first, Stage({"vol": value})]
+        return [*first, Stage({f"_n_{of}": F.count(of).over(f.so_far)}), Stage({"vol": value})]
 
     return Indicator(["vol"], build)
 

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -175,3 +176,17 @@ def test_deviation_after_a_long_rise(spark):
     got = apply(spark.createDataFrame(rows, BARS), [finite.vol()]).orderBy("date").select("vol").toPandas()["vol"]
     want = pd.Series(close / close[0]).rolling(250, min_periods=50).apply(lambda x: np.std(x, ddof=1), raw=True) * np.sqrt(250)
     assert np.allclose(got, want, rtol=1e-9, equal_nan=True)
+
+
+def test_the_long_frame_of_vol_only_deviates(spark, walks):
+    """Each row adds up 250 others: nothing that a running value can give belongs there."""
+    out = apply(walks, [finite.vol(20, 5)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    made = re.findall(r"(\w+)\([^()]*\) windowspecdefinition\((?:(?!windowspecdefinition).)*?-19, currentrow", plan)
+    assert set(made) == {"stddev_samp"}
+    closes = [r.adj_close for r in valid_bars(walks).where("code = 'I'").orderBy("date").collect()]
+    index = [c / closes[0] for c in closes]
+    got = [r.vol for r in out.where("code = 'I'").orderBy("date").collect()]
+    for i, v in enumerate(got):
+        part = index[max(0, i - 19) : i + 1]
+        assert (v is None) == (len(part) < 5) and (v is None or abs(v - np.std(part, ddof=1) * math.sqrt(20)) < 1e-9)
