@@ -8,9 +8,11 @@ entry: the arc it lacks. An arc of a merged token exists where the arc of its le
 when the merge came.
 
 Exactly one path spells any string, so the state after a string is a function of the string.
-Encoding walks a table from (string state, byte) to string state. A table entry is
-computed when it is first needed, from the automaton's arcs that end there, and carries the
-labels of its path. Decoding emits the labels of the arcs.
+Encoding walks a table from (string state, byte) to string state. A string state holds which
+tokens are begun and may still end, with the automaton states they began in, and the arc that
+ends there. States in which the same longer tokens can be read count as one, so strings of different words meet
+in few string states and a new word needs few new entries. A table entry is computed when it is
+first needed. The path is read off from its end, arc by arc. Decoding emits the labels of the arcs.
 
 Automaton and tables are made in each Python worker from the vocabulary file; tables are
 emptied when full.
@@ -30,7 +32,9 @@ from pyspark.sql import functions as F
 from barloom.llm.common import INT, array_of, extended, fresh_name, text_or_empty
 from barloom.llm.tokens import NOT_PLAIN, Pieces, Vocabulary
 
-TABLE_ENTRIES, TABLE_WORD = 250_000, 48
+TABLE_ENTRIES, TABLE_WORD, ROWS = 250_000, 48, 512
+#: What is begun in the empty string; automaton states whose readable tokens are kept; a time after all merges.
+START, KEPT_STATES, NEVER = (0, 0), 4096, 2**31 - 1
 #: Fixed value: the pre-split pattern of this kind of vocabulary; white space is Unicode's.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -88,92 +92,165 @@ class MergeAutomaton:
             before, token = self.made[token], self.left[token]
 
 
+class StringState(dict):
+    """The table's line of one string state: byte to string state, filled as needed. ``begun`` holds automaton
+    state and tree node of each token that is begun in the string and may still end, the longest
+    first. ``label`` and ``width`` are those of the arc that ends here."""
+
+    __slots__ = ("begun", "encoder", "label", "width")
+
+    def __init__(self, encoder: AutomatonEncoder, begun: tuple[int, ...], label: bytes = b"", width: int = 0):
+        super().__init__()
+        self.encoder, self.begun, self.label, self.width = encoder, begun, label, width
+
+    def __missing__(self, byte: int) -> StringState:
+        return self.encoder.entry(self, byte)
+
+
 class AutomatonEncoder:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.automaton = MergeAutomaton(self.vocabulary)
         self.dtype = np.dtype("<u2" if self.vocabulary.size <= 2**16 else "<u4")
-        alive = self.automaton.target
-        self.tokens = {b: i for b, i in self.vocabulary.ids.items() if i in alive}
-        self.longest = max(map(len, self.tokens))
+        self._lay_out_tokens()
         self.raw = {i: i.to_bytes(self.dtype.itemsize, "little") for i in self.vocabulary.bytes_of}
         self.split = regex.compile(PATTERN).findall
         added = [regex.escape(t) for t in sorted(self.vocabulary.added, key=len, reverse=True)]
         self.special = regex.compile("|".join(added)) if added else None
-        self.arcs: dict[tuple[int, int], bool] = {}
         self.pieces = Pieces(self._spaced)
         self._empty_table()
 
+    def _lay_out_tokens(self) -> None:
+        """The tokens with arcs as a tree of bytes: (node << 8 | byte) to node, and the token that ends in a node."""
+        self.child: dict[int, int] = {}
+        alive = sorted((token, i) for token, i in self.vocabulary.ids.items() if i in self.automaton.target)
+        self.in_order, self.length = [i for _, i in alive], {i: len(token) for token, i in alive}
+        self.token, self.after, self.until = [-1], [0], [len(alive)]  # a node's extensions in that order
+        for place, (token, i) in enumerate(alive):
+            node = 0
+            for byte in token:
+                key = node << 8 | byte
+                node = self.child.get(key)
+                if node is None:
+                    node = self.child[key] = len(self.token)
+                    self.token.append(-1)
+                    self.after.append(place)
+                    self.until.append(place)
+                self.until[node] = place + 1
+            self.token[node], self.after[node] = i, place + 1
+        # Tokens by the number of their left parts; of each its left part and when it was made.
+        left, made, depth = self.automaton.left, self.automaton.made, dict.fromkeys(self.in_order, 0)
+        for i in made:  # in the order of merges
+            depth[i] = depth[left[i]] + 1
+        by_depth = sorted(depth, key=depth.__getitem__)
+        self.row = {i: k for k, i in enumerate(by_depth)}
+        self.in_order_rows = np.array([self.row[i] for i in self.in_order])
+        self.left_row = np.array([self.row[left[i]] if i in left else -1 for i in by_depth])
+        self.made_at = np.array([made.get(i, 0) for i in by_depth], np.int32)
+        self.depth_ends = np.cumsum(np.bincount(list(depth.values()), minlength=1))
+
     def _empty_table(self) -> None:
-        self.next: dict[int, int] = {}  # (string state << 8 | byte) to string state
-        self.state, self.labels = [0], [b""]
-
-    def _reads(self, state: int, token: int) -> bool:
-        """The automaton's answer, kept for the next time."""
-        if len(self.arcs) >= TABLE_ENTRIES:
-            self.arcs.clear()
-        found = self.arcs[state, token] = self.automaton.arc(state, token)
-        return found
-
-    def _last(self, word: bytes, end: int, path: Sequence[int], state: list[int]) -> tuple[int, int]:
-        """Start and token of the arc that ends at ``end``; ``state`` holds the automaton's states
-        by the entries of ``path``."""
-        find, known, reads = self.tokens.get, self.arcs.get, self._reads
-        for start in range(end - self.longest if end > self.longest else 0, end):
-            token = find(word[start:end])
-            if token is not None:
-                at = state[path[start]]
-                found = known((at, token))
-                if found or (found is None and reads(at, token)):
-                    return start, token
-        raise ValueError("a byte of the text has no token")
+        self.entries = 0
+        self.start = StringState(self, START)
+        self.states = {}
+        self.alike: dict[int, int] = {}  # (node << 32 | automaton state) to the first state that reads the same, or -1
+        self.reads: dict[tuple[int, int], int] = {}
+        self.readable: dict[int, int] = {}
+
+    def _read(self, begun: tuple[int, ...], byte: int) -> tuple[tuple[int, ...], int]:
+        """What is begun after one more byte, and the token of the arc that ends there."""
+        child, tokens, found, on = self.child.get, self.token, -1, []
+        for state, node in zip(begun[::2], begun[1::2], strict=True):
+            node = child(node << 8 | byte)
+            if node is not None:
+                if found < 0 <= tokens[node] and self.automaton.arc(state, tokens[node]):
+                    found = tokens[node]
+                key = node << 32 | state
+                same = self.alike.get(key)
+                if same is None:
+                    same = self._alike(key)
+                if same >= 0:
+                    on += (same, node)
+        if found < 0:
+            raise ValueError("a byte of the text has no token")
+        return (*on, self.automaton.target[found], 0), found
+
+    def _alike(self, key: int) -> int:
+        """The first automaton state found that reads the same tokens below a node, -1 if none is read."""
+        node, state = key >> 32, key & 0xFFFFFFFF
+        bits = self.readable.get(state)
+        if bits is None:
+            if len(self.readable) >= KEPT_STATES:
+                self.readable.clear()
+            bits = self.readable[state] = self._readable(state)
+        if len(self.alike) >= TABLE_ENTRIES:
+            self.alike.clear()
+            self.reads.clear()
+        below = bits >> self.after[node] & (1 << self.until[node] - self.after[node]) - 1
+        same = self.alike[key] = self.reads.setdefault((node, below), state) if below else -1
+        return same
+
+    def _readable(self, state: int) -> int:
+        """The tokens that can be read in a state, as bits in their order: what :meth:`MergeAutomaton.arc` says."""
+        since = np.full(len(self.row), NEVER, np.int32)  # since when a token is missing, -1 if its left part was
+        line, until = self.automaton.line[state], self.automaton.until[state]
+        while line >= 0:
+            for token, time in self.automaton.lacks[line].items():
+                if time <= until:
+                    row = self.row[token]
+                    since[row] = min(since[row], time)
+            line, until = self.automaton.base[line]
+        for first, end in zip(self.depth_ends, self.depth_ends[1:]):
+            since[first:end][since[self.left_row[first:end]] <= self.made_at[first:end]] = -1
+        read = since[self.in_order_rows] == NEVER
+        return int.from_bytes(np.packbits(read, bitorder="little").tobytes(), "little")
+
+    def entry(self, at: StringState, byte: int) -> StringState:
+        """The string state after one more byte, a new entry of the table."""
+        begun, token = self._read(at.begun, byte)
+        to = self.states.get((begun, token))
+        if to is None:
+            to = self.states[begun, token] = StringState(self, begun, self.raw[token], self.length[token])
+        self.entries += 1
+        at[byte] = to
+        return to
 
     def word(self, word: bytes) -> bytes:
         """Ids of one pre-split word."""
         if len(word) > TABLE_WORD:
             return self._long(word)
-        if len(self.next) >= TABLE_ENTRIES:
+        if self.entries >= TABLE_ENTRIES:
             self._empty_table()
-        path, at, table = [0], 0, self.next
+        path, at = [], self.start
         for byte in word:
-            to = table.get(at << 8 | byte)
-            if to is None:
-                return self._new_entries(word, path)
-            at = to
+            at = at[byte]
             path.append(at)
-        return self.labels[at]
-
-    def _new_entries(self, word: bytes, path: list[int]) -> bytes:
-        """Table entries for the rest of the word, whose known beginning ``path`` walks."""
-        state, labels, raw, target = self.state, self.labels, self.raw, self.automaton.target
-        at = path[-1]
-        for i in range(len(path) - 1, len(word)):
-            start, token = self._last(word, i + 1, path, state)
-            to = self.next[at << 8 | word[i]] = len(labels)
-            state.append(target[token])
-            labels.append(labels[path[start]] + raw[token])
-            path.append(to)
-            at = to
-        return labels[at]
+        out, end = [], len(path)
+        while end:
+            at = path[end - 1]
+            out.append(at.label)
+            end -= at.width
+        out.reverse()
+        return b"".join(out)
 
     def _long(self, word: bytes) -> bytes:
         """The same without keeping table entries."""
-        states, back, path = [0], [(0, 0)], range(len(word) + 1)
-        for end in range(1, len(word) + 1):
-            start, token = self._last(word, end, path, states)
-            states.append(self.automaton.target[token])
-            back.append((start, token))
+        begun, ends = START, []
+        for byte in word:
+            begun, token = self._read(begun, byte)
+            ends.append(token)
         out, end = [], len(word)
         while end:
-            end, token = back[end]
+            token = ends[end - 1]
             out.append(self.raw[token])
+            end -= self.length[token]
         return b"".join(reversed(out))
 
     def _spaced(self, part: str) -> bytes:
         """Ids of a space and ``part``. A Latin word, perhaps with a point or comma, is split in
         the way the pattern does it."""
         stem = part[:-1] if part[-1] in ".," else part
-        if stem.isalpha() and max(stem) < "\u0250":
+        if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
             if stem is part:
                 return self.word(b" " + stem.encode())
             ids = self.pieces.known(stem)
@@ -216,10 +293,17 @@ def automaton_encoder(path: str) -> AutomatonEncoder:
     return AutomatonEncoder(path)
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in small batches, so that a worker holds little besides the batch it got."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
 def _encoded(path: str, text: str, ids_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = automaton_encoder(path)
-        for batch in batches:
+        for batch in parts(batches):
             rows = [np.frombuffer(enc.encode(t), enc.dtype) for t in batch.column(text).to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
             flat = np.concatenate([*rows, np.empty(0, enc.dtype)]).astype(np.int32)
@@ -249,7 +333,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
 def _decoded(path: str, ids_col: str, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = labels_only(path)
-        for batch in batches:
+        for batch in parts(batches):
             column = batch.column(ids_col)
             got = [emitted(vocabulary, v.values.to_numpy()) if v.is_valid else "" for v in column]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.string())], [*batch.schema.names, text])

@@ -74,6 +74,24 @@ def test_automaton_on_every_short_string(tmp_path, merges):
     assert np.frombuffer(enc._long(b"ab" * 40), enc.dtype).tolist() == by_rank("ab" * 40)
 
 
+def test_new_words_meet_in_known_string_states(library, monkeypatch):
+    """Words never seen before need few entries, for their strings end like those of other words; nor does
+    it matter when the tables are emptied."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(["th", "er", "in", "on", "sch", "eux", "é"], 5)) for _ in range(6000)]
+    words = list(dict.fromkeys(words))
+    want = [library.encode(" " + w, add_special_tokens=False).ids for w in words]
+    enc, half = bpe.AutomatonEncoder(PATH), len(words) // 2
+    assert [np.frombuffer(enc.word(b" " + w.encode()), enc.dtype).tolist() for w in words[:half]] == want[:half]
+    known = enc.entries
+    assert [np.frombuffer(enc.word(b" " + w.encode()), enc.dtype).tolist() for w in words[half:]] == want[half:]
+    assert 0 < enc.entries - known < half / 2
+    monkeypatch.setattr(bpe, "TABLE_ENTRIES", 300)
+    monkeypatch.setattr(bpe, "KEPT_STATES", 20)
+    enc = bpe.AutomatonEncoder(PATH)
+    assert [np.frombuffer(enc.word(b" " + w.encode()), enc.dtype).tolist() for w in words[:600]] == want[:600]
+
+
 def test_encode_and_decode_tables(spark, library):
     rows = [(i, t, "clash") for i, t in enumerate([None, *ODD])] + [(1, "twice", "x"), (1, "twice", "x"), (None, "no id", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
