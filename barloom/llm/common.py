@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegerType, LongType, StructField, StructType
@@ -21,6 +25,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def give_back() -> None:
+    """Returns memory that the allocators of Arrow and C keep after use. A driver that fitted a model
+    or fetched a table would else hold it as long as it lives."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's only
+    if trim:
+        trim(0)
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

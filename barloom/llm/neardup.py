@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from barloom.llm.common import LONG, array_of, extended, row_order, text_or_empty, written
+from barloom.llm.common import LONG, array_of, extended, give_back, row_order, text_or_empty, written
 from barloom.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -411,6 +411,8 @@ def _by_rare_shingles(rows: DataFrame, texts: DataFrame) -> DataFrame:
     counted = some.mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int32)  # collisions change the order of shingles, which any order may be
     counts[counted.column("slot").to_numpy()] = np.minimum(counted.column("n").to_numpy(), 2**31 - 1)
+    del counted
+    give_back()
     held = written(some.mapInArrow(_rarest(counts), "key long, row long, component long"), "rare-shingles")
     mixed = held.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
     keyed = held.join(mixed.select("key"), "key", "left_semi").select("key", F.lit(None).cast("int").alias("band"), "row")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import DOUBLE, extended, fresh_name, text_or_empty
+from barloom.llm.common import DOUBLE, extended, fresh_name, give_back, text_or_empty
 
 SAMPLE_PER_CLASS, WORD_FORMS, SHAPE_FORMS, WIDTH, NONZERO, REACH, HIDDEN = 2000, 4096, 1024, 64, 6, 2, 32
 SEED, EPOCHS, BATCH, STEP, DECAY = 7, 60, 128, 0.003, 1e-3
@@ -214,7 +214,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, per_class: in
         rows.append(forms_of(r["text"]))
         y.append(r["y"])
     order = np.random.Generator(np.random.PCG64(SEED)).permutation(len(rows))
-    return train([rows[i] for i in order], np.array([y[i] for i in order], np.float64))
+    model = train([rows[i] for i in order], np.array([y[i] for i in order], np.float64))
+    del rows, y
+    give_back()
+    return model
 
 
 def _scored(model, text: str, score: str):
