@@ -21,7 +21,7 @@ from barloom.operators.series import apply
 from barloom.operators.standard import enrich
 from barloom.plans import analysis
 from barloom.schema import BAR_COLUMNS, CODE, CSV_HEADERS, DATE, INDEX_CODES, KEY, STANDARD_COLUMNS, VALUES
-from barloom.session import checkpoint, scratch_path, stored
+from barloom.session import CODEC, checkpoint, remove, scratch_path, stored, unstore
 from barloom.sources import files, sinks, ticks
 from barloom.streaming.bars import stream_bars
 from barloom.streaming.recursive import row_store, stream_indicators
@@ -392,6 +392,7 @@ def _daily(spark: SparkSession, sf: str, days: int = 240) -> analysis.DailyStore
     analysis.daily_run(store, bars.where(early), 1, days)
     analysis.daily_run(store, again, 2, days)
     analysis.daily_run(store, again, 3, days)
+    unstore(bars)
     return store
 
 
@@ -412,6 +413,7 @@ def _daily_whole(spark, sf):
     for run, cut in enumerate(("2000-06-01", "2000-06-20", "2001-03-01", "9999-12-31"), 1):
         landed = bars.where((day < F.lit(cut).cast("date")) & (third | F.lit(run in (1, 4))))
         analysis.daily_run(store, landed, run, days=0)
+    unstore(bars)
     return rounded(store.enriched().select(*BAR_COLUMNS, *STANDARD_COLUMNS, "classified", "predicted"))
 
 
@@ -483,12 +485,16 @@ def _landed(spark, path: str, schema) -> DataFrame:
 
 def _streamed_upsert(spark, sf):
     """Three batches with common keys: cells that are null at first, and other prices later, which must not count."""
-    old, new = _halves(spark, sf, _stored_bars(spark, sf))
+    bars = _stored_bars(spark, sf)
+    old, new = _halves(spark, sf, bars)
     third = new.select(*KEY, *[(F.col(c) * 1.5).alias(c) for c in VALUES])
     path = scratch_path(spark, "upsert")
     for i, part in enumerate([old, new.where(F.col(CODE).cast("int") % 2 == 1), third]):
-        part.write.parquet(f"{path}/in/{i}")
+        part.write.parquet(f"{path}/in/{i}", compression=CODEC)
+        if part is third:
+            unstore(bars)
         stream_upsert(_landed(spark, f"{path}/in", old.schema), f"{path}/table", f"{path}/state").awaitTermination()
+        remove(spark, f"{path}/in/{i}")  # all of it is in the table
     return rounded(read_upserted(spark, f"{path}/table"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,11 @@ DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+#: Whether the shuffle files of a job are deleted when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: How tables of numbers are compressed: a fifth smaller than by default.
+CODEC = "zstd"
+
 _local_folder: str | None = None
 
 
@@ -71,10 +78,38 @@ def stored(df: DataFrame) -> DataFrame:
     were dealt and ordered is not kept.
     """
     path = scratch_path(df.sparkSession, "stored")
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path, compression=CODEC)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Jobs of tables made inside delete their shuffle files when they end.
+
+    Otherwise these stay until the driver collects garbage, which may be never: the disk then holds
+    the shuffles of all steps at once.
+    """
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def unstore(df: DataFrame) -> None:
+    """Delete the table that :func:`stored` returned, when the last job has read it."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove(df.sparkSession, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by key into ``spark.sql.shuffle.partitions`` parts.
 

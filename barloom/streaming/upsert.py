@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.schema import BAR_COLUMNS, KEY, VALUES
+from barloom.session import CODEC, shuffles_freed
 
 BATCH = "batch"
 
@@ -22,14 +23,15 @@ def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
     once = batch.groupBy(*KEY).agg(
         *[F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.max(c)).alias(c) for c in VALUES]
     )
-    (
-        once.select(BAR_COLUMNS)
-        .withColumn(BATCH, F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
+    with shuffles_freed(batch.sparkSession):
+        (
+            once.select(BAR_COLUMNS)
+            .withColumn(BATCH, F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH)
+            .parquet(path, compression=CODEC)
+        )
 
 
 def stream_upsert(bars: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
