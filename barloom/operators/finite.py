@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.scan import RN
@@ -170,6 +173,49 @@ def vol(n: int = 250, min_periods: int = 50, of: str = "ret_index") -> Indicator
     return Indicator(["vol"], build)
 
 
+def resumed_vol(place: Column, new: Column, value: Column, cut: Column, n: int = 250, min_periods: int = 50) -> Column:
+    """:func:`vol` of ``value`` at the new rows of each symbol; NaN at old ones.
+
+    ``place`` counts a symbol's rows from 1, which must arrive together and in date order; the first may
+    bring the values ``cut`` off before it, the last ``n - 1`` at least if there were more. The frame of a
+    row is added up anew, as differences from its last value, for a stack of rows at once.
+    """
+    fewest = max(min_periods, 2)
+
+    def deviations(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        before, at, known = np.zeros(n - 1), 0, 0
+        for places, news, values, cuts in batches:
+            p, x = places.to_numpy(np.int64), values.to_numpy(float)
+            rows, held, pieces, total = np.empty(len(p), np.int64), np.empty(len(p), np.int64), [before], n - 1
+            edges = sorted({0, *np.flatnonzero(p == 1).tolist(), len(p)})
+            for a, b in zip(edges, edges[1:]):
+                if p[a] == 1:
+                    at, known = 0, 0
+                    if cuts[a] is not None:
+                        pieces.append(np.asarray(cuts[a], float))
+                        known = len(pieces[-1])
+                        total += known
+                if (p[a:b] != np.arange(at + 1, at + 1 + b - a)).any():
+                    raise RuntimeError("rows of a symbol must arrive together and in date order")
+                pieces.append(x[a:b])
+                rows[a:b], held[a:b] = np.arange(total, total + b - a), np.arange(known + 1, known + 1 + b - a)
+                at, known, total = at + b - a, known + b - a, total + b - a
+            series = np.concatenate(pieces)
+            out, frames = np.full(len(p), np.nan), np.lib.stride_tricks.sliding_window_view(series, n)
+            todo = np.flatnonzero(news.to_numpy(bool) & (held >= fewest))
+            for some in np.array_split(todo, len(todo) // 1024 + 1):
+                size = np.minimum(held[some], n)[:, None]
+                inside = np.arange(n) >= n - size
+                gap = np.where(inside, frames[rows[some] - n + 1] - series[rows[some]][:, None], 0.0)
+                gap = np.where(inside, gap - gap.sum(1, keepdims=True) / size, 0.0)
+                out[some] = np.sqrt((gap * gap).sum(1) / (size[:, 0] - 1) * n)
+            before = series[len(series) - n + 1 :]
+            yield pd.Series(out)
+
+    # Not deterministic to the optimizer: no filter may move below it and cut the history.
+    return F.pandas_udf(deviations, "double").asNondeterministic()(place, new, value, cut)
+
+
 def volume_rate() -> Indicator:
     """Volume relative to the largest of the kept window, scaled for both chart panels."""
 
