@@ -1,6 +1,8 @@
 """The keyed store over many runs, and whole histories resumed from carries."""
 
 import datetime as dt
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,9 @@ from barloom.operators.bars import valid_bars
 from barloom.operators.series import apply
 from barloom.operators import resume, stochastics
 from barloom.plans import analysis
+from barloom.plans.registry import QUERIES
 from barloom.schema import BAR_COLUMNS, KEY, STANDARD_COLUMNS
+from barloom.session import CLEANUP, shuffles_freed, stored, unstore
 from barloom.sources.keyed import KeyedStore
 
 DAY = dt.date(2024, 1, 1)
@@ -105,3 +109,49 @@ def test_varying_recurrences_resume(spark, walks):
             want = {r.date: r.fastd for r in whole}
             assert len(got) == 300 - at and all(abs(v - want[d]) < 1e-9 for d, v in got.items())
     assert resume.recurrence_names(made) == [name]
+
+
+def test_a_run_leaves_no_shuffles_and_no_wide_rows_move(spark, walks, tmp_path):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return sum("/shuffle_" in f and f.endswith(".data") for f in files.split("\n"))
+
+    spark._jvm.System.gc()
+    before, store = shuffles(), analysis.DailyStore(spark, str(tmp_path / "daily"))
+    analysis.daily_run(store, walks.where("date < '2019-05-01'"), 1)
+    analysis.daily_run(store, walks, 2)
+    until = time.time() + 10
+    while shuffles() > before and time.time() < until:  # files are deleted in the background
+        time.sleep(0.2)
+    assert shuffles() <= before and spark.conf.get(CLEANUP) == "false"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = store.enriched()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert not set(resume.ROW_COLUMNS) & set(spark.read.parquet(f"{tmp_path}/daily/enriched").columns)
+    assert [*BAR_COLUMNS, *STANDARD_COLUMNS, "classified", "predicted"] == store.enriched().columns
+
+
+def test_stored_tables_can_be_deleted(spark, tmp_path):
+    made = stored(spark.range(10))
+    folder = made.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(folder)
+    unstore(made)
+    assert not os.path.exists(folder)
+    with pytest.raises(ValueError), shuffles_freed(spark):
+        raise ValueError
+    assert spark.conf.get(CLEANUP) == "false"
+
+
+def test_what_was_upserted_does_not_stay(spark, tmp_path):
+    """What landed is in the table, and the bars it was made from are read by no later job."""
+    rows = [(k, 1, k % 3, 100.0 + k, 10.0 + k % 50, k % 4, dt.datetime(1999, 11, 1) + dt.timedelta(k // 4)) for k in range(400)]
+    names = "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double, l_quantity double, l_suppkey long, l_shipdate timestamp"
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    assert QUERIES["stream_upsert"](spark, str(tmp_path)).count() == 400
+    left = [f"{d}/{f}" for new in set(os.listdir(shared)) - before for d, _, files in os.walk(f"{shared}/{new}") for f in files if f.endswith(".parquet")]
+    assert left and all("/table/batch=" in f for f in left), left
