@@ -490,11 +490,12 @@ def _streamed_upsert(spark, sf):
     third = new.select(*KEY, *[(F.col(c) * 1.5).alias(c) for c in VALUES])
     path = scratch_path(spark, "upsert")
     for i, part in enumerate([old, new.where(F.col(CODE).cast("int") % 2 == 1), third]):
+        if i:
+            remove(spark, f"{path}/in/{i - 1}")  # all of it is in the table; the newest stays
         part.write.parquet(f"{path}/in/{i}", compression=CODEC)
         if part is third:
             unstore(bars)
         stream_upsert(_landed(spark, f"{path}/in", old.schema), f"{path}/table", f"{path}/state").awaitTermination()
-        remove(spark, f"{path}/in/{i}")  # all of it is in the table
     return rounded(read_upserted(spark, f"{path}/table"))
 
 

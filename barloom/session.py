@@ -101,7 +101,8 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
 def unstore(df: DataFrame) -> None:
     """Delete the table that :func:`stored` returned, when the last job has read it."""
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        remove(df.sparkSession, folder)
+        if folder.rsplit("/", 1)[-1].startswith("stored-"):  # no other table that stands in for it
+            remove(df.sparkSession, folder)
 
 
 def remove(spark: SparkSession, path: str) -> None:
